@@ -4,29 +4,83 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from . import bpe, ctw, html_text, itq_dedup, ngram_join, packing, quality_mil, toxicity_knn
+from .common import held_out, table
 from .sharding import assign_shards
 from .topk import exact_top_k
 
+QUALITY_AT, TOXIC_AT = 0.3, 0.5
+
+
+def op1_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = quality_mil.score_quality(docs, quality_mil.learn(docs, table(spark, sf_dir, "labels")))
+    return out.select("doc_id", held_out(F.col("doc_id"), 5, 0).alias("held_out"), "score", (F.col("score") >= QUALITY_AT).cast("int").alias("predicted"), "passage")
+
+
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.bpe_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op3_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ctw.score_documents(table(spark, sf_dir, "documents"), held_out(F.col("doc_id"), 7, 2))
+
+
+def op4_toxicity_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = toxicity_knn.score_toxicity(docs, toxicity_knn.learn(docs, table(spark, sf_dir, "labels")))
+    return out.select("doc_id", held_out(F.col("doc_id"), 5, 0).alias("held_out"), "score", (F.col("score") >= TOXIC_AT).cast("int").alias("predicted"), "nearest")
+
 
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = assign_shards(table(spark, sf_dir, "documents"), 16)
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(table(spark, sf_dir, "documents"))
+
+
+def op7_itq_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return itq_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), 0.95)
+
+
 def op8_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path
+    return packing.pack(table(spark, sf_dir, "documents"), path("byte_bpe_50k.json"), path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op5_sharding": op5_sharding,
-    "op8_exact_topk": op8_exact_topk,
+    f.__name__: f for f in (op1_quality_mil, op2_bpe, op3_ctw, op4_toxicity_knn, op5_sharding, op6_ngram_join, op7_itq_dedup, op8_exact_topk, op9_packing, op10_html_text)
 }
 
 ORACLES: dict[str, str] = {
+    "op7_itq_dedup": """
+WITH RECURSIVE v AS (
+  SELECT vec_id, list_transform(embedding, x -> CAST(x AS DOUBLE)) AS e FROM embeddings
+), u AS (
+  SELECT vec_id, e FROM v WHERE e IS NOT NULL AND len(e) > 0 AND len(list_filter(e, x -> x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, x -> x <> 0)) > 0
+), l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.95
+), r AS (
+  SELECT vec_id, vec_id AS root FROM v UNION SELECT l.b, r.root FROM r JOIN l ON l.a = r.vec_id
+), c AS (
+  SELECT vec_id, min(root) AS component_id FROM r GROUP BY vec_id
+)
+SELECT c.vec_id, (SELECT count(*) FROM l WHERE l.a = c.vec_id) AS n_links, component_id, c.vec_id = component_id AS kept FROM c
+""",
     "op8_exact_topk": """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, x -> CAST(floor(64 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e FROM embeddings
