@@ -1,8 +1,52 @@
-"""The corpus pipeline."""
+"""A corpus pipeline: quality, toxicity, near duplicates, packing.
 
-STAGES = []
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; run() writes each stage's rows as Parquet into the shared
+folder and gives them to the next. All stages but the last return the columns of documents.
+"""
+
+from __future__ import annotations
+
+from functools import reduce
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from gridjobs.llm import ngram_join, packing, quality_mil, toxicity_knn
+from gridjobs.llm.common import table, written
+from gridjobs.llm.queries import QUALITY_AT, TOXIC_AT
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier doesn't reject. It is learned from the documents at hand and their labels."""
+    model = quality_mil.learn(docs, table(spark, sf_dir, "labels"))
+    return quality_mil.filter_documents(docs, model, QUALITY_AT)
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the labelled examples don't call toxic."""
+    model = toxicity_knn.learn(docs, table(spark, sf_dir, "labels"))
+    return toxicity_knn.filter_documents(docs, model, TOXIC_AT)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that of the smallest doc_id, of each group that links hold together. Rows that repeat a doc_id with the same text stay one."""
+    kept = ngram_join.join(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
+    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi").dropDuplicates(["doc_id", "text"])
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path
+    return packing.pack(docs, path("byte_bpe_50k.json"), path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+STAGES = [("quality", quality), ("toxicity", toxicity), ("near_duplicates", near_duplicates), ("packing", pack)]
+
+#: SQL can express none of the stages.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    docs = reduce(lambda d, stage: written(stage[1](spark, d, sf_dir), f"pipeline-{stage[0]}"), STAGES[:-1], docs)
+    return STAGES[-1][1](spark, docs, sf_dir)
