@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .chunks import slices
-from .common import whole
+from .common import where, whole
 from .labelled import sample
 
 #: Characters of a passage.
@@ -172,11 +172,9 @@ def filter_documents(docs: DataFrame, model: AttentionBags, least: float, text:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-
         for batch in batches:
             texts = [t or "" for t in batch.column(text).to_pylist()]
             scores = [shared.value.score(texts[at])[0] for at in slices(texts, 4_000_000)]
-            yield batch.filter(pa.array(np.concatenate([np.zeros(0), *scores]) >= least))
+            yield where(batch, (np.concatenate([np.zeros(0), *scores]) >= least).tolist())
 
     return docs.mapInArrow(run, docs.schema)

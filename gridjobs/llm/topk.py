@@ -18,7 +18,7 @@ FAN_IN = 16
 PACKED = "block int, dim int, n int, ids binary, vectors binary"
 LISTS = "block int, shard int, n int, ids binary, found binary, scores binary"
 #: Marks an empty place in a list.
-NONE = np.iinfo(np.int64).min
+NONE = -np.iinfo(np.int64).max
 
 
 def finite(vector: str):

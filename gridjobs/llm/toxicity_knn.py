@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .chunks import slices
-from .common import whole
+from .common import where, whole
 from .labelled import sample
 from .quality_mil import sigmoid
 
@@ -223,11 +223,9 @@ def filter_documents(docs: DataFrame, model: tuple[BlockMaxIndex, dict[str, int]
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-
         index, vocabulary = shared.value
         find = Terms(vocabulary)
         for batch in batches:
-            yield batch.filter(pa.array([index.score(find(t or ""))[0] < below for t in batch.column(text).to_pylist()], pa.bool_()))
+            yield where(batch, [index.score(find(t or ""))[0] < below for t in batch.column(text).to_pylist()])
 
     return docs.mapInArrow(run, docs.schema)
