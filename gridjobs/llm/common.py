@@ -66,13 +66,3 @@ def rows_by_key(batches: Iterator, keys: list[str]) -> Iterator:
             yield pdf.iloc[:cut].reset_index(drop=True)
     if held is not None and len(held):
         yield held.reset_index(drop=True)
-
-
-def where(batch, keep: list[bool]):
-    """The rows of an Arrow batch that are to be kept, as a batch."""
-    import pyarrow as pa
-
-    mask = pa.array(keep, pa.bool_())
-    columns = [c.filter(mask) for c in batch.columns]
-    columns = [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in columns]
-    return pa.RecordBatch.from_arrays(columns, schema=batch.schema)

@@ -219,7 +219,8 @@ def join(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
             for at in slices(texts):
                 part, found = pdf.iloc[at], shingler(texts[at])
                 own = np.array([len(s) > 0 and shingler.hash(s.tobytes()) - (1 << 63) == c for s, c in zip(found, part["id"], strict=True)], bool)
-                yield part.loc[own, ["id", "root", "copies"]].assign(shingles=[s.tobytes() for s, o in zip(found, own, strict=True) if o])
+                if own.any():
+                    yield part.loc[own, ["id", "root", "copies"]].assign(shingles=[s.tobytes() for s, o in zip(found, own, strict=True) if o])
 
     mine = perhaps(rows, candidates, key).join(candidates, F.col(key).eqNullSafe(F.col("class_id"))).select("id", "root", "copies", "t")
     mine = written(mine.mapInPandas(sets, "id long, root long, copies long, shingles binary").dropDuplicates(["id"]), "ngram-sets")

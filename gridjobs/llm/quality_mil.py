@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .chunks import slices
-from .common import where, whole
+from .common import whole
 from .labelled import sample
 
 #: Characters of a passage.
@@ -77,6 +77,10 @@ class AttentionBags:
         self.mean, self.scale = np.zeros(width, np.float32), np.ones(width, np.float32)
         self.p = {"W": init(width, hidden), "b": np.zeros(hidden, np.float32), "V": init(hidden, gate), "U": init(hidden, gate), "a": init(gate), "c": init(hidden), "d": np.zeros(1, np.float32)}
 
+    def scaled(self, x: np.ndarray) -> np.ndarray:
+        """Standardised by the training passages; what lies far beyond them counts as their edge."""
+        return np.clip((x - self.mean) / self.scale, -6, 6)
+
     def forward(self, x: np.ndarray, sizes: np.ndarray) -> dict[str, np.ndarray]:
         p, first, bag = self.p, np.cumsum(sizes) - sizes, np.repeat(np.arange(len(sizes)), sizes)
         h = np.tanh(x @ p["W"] + p["b"])
@@ -102,7 +106,7 @@ class AttentionBags:
     def fit(self, x: np.ndarray, sizes: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 40, batch: int = 128, rate: float = 4e-3, decay: float = 1e-4) -> AttentionBags:
         """Adam on mini-batches of bags."""
         self.mean, self.scale = x.mean(0), x.std(0) + 1e-3
-        x = (x - self.mean) / self.scale
+        x = self.scaled(x)
         first, r, step = np.cumsum(sizes) - sizes, np.random.default_rng(11), 0
         m = {k: np.zeros_like(v) for k, v in self.p.items()}
         s = {k: np.zeros_like(v) for k, v in self.p.items()}
@@ -122,7 +126,7 @@ class AttentionBags:
     def score(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Score of each text, and the number of its passage with the most attention."""
         x, sizes = encode(texts)
-        f = self.forward((x - self.mean) / self.scale, sizes)
+        f = self.forward(self.scaled(x), sizes)
         first = np.r_[f["first"], len(x)]
         return f["y"], np.array([int(f["w"][a:b].argmax()) for a, b in zip(first[:-1], first[1:], strict=True)])
 
@@ -168,13 +172,13 @@ def score_quality(docs: DataFrame, model: AttentionBags, text: str = "text", key
 
 
 def filter_documents(docs: DataFrame, model: AttentionBags, least: float, text: str = "text") -> DataFrame:
-    """The rows, with all their columns, whose text scores `least` or more; no row leaves its task."""
+    """The rows, with all their columns, whose text scores `least` or more; only texts go to Python."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator) -> Iterator:
-        for batch in batches:
-            texts = [t or "" for t in batch.column(text).to_pylist()]
-            scores = [shared.value.score(texts[at])[0] for at in slices(texts, 4_000_000)]
-            yield where(batch, (np.concatenate([np.zeros(0), *scores]) >= least).tolist())
+    @F.pandas_udf("double")
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            texts = texts.to_list()
+            yield pd.Series(np.concatenate([np.zeros(0), *(shared.value.score(texts[at])[0] for at in slices(texts, 4_000_000))]).astype(float))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.filter(score(whole(F.col(text))) >= least)

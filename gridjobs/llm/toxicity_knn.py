@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .chunks import slices
-from .common import where, whole
+from .common import whole
 from .labelled import sample
 from .quality_mil import sigmoid
 
@@ -160,7 +160,7 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: i
         for pdf in batches:
             for y, t in zip(pdf["y"], pdf["t"], strict=True):
                 seen[int(y)].update({x for c in set(t.lower().split()) for x in terms_of(c)})
-        for y in (0, 1):
+        for y in filter(seen.__getitem__, (0, 1)):
             yield pd.DataFrame({"term": list(seen[y]), "y0": [n * (1 - y) for n in seen[y].values()], "y1": [n * y for n in seen[y].values()]})
 
     n0, n1 = (float(rows.filter(F.col("y") == y).count()) for y in (0, 1))
@@ -219,13 +219,14 @@ def score_toxicity(docs: DataFrame, model: tuple[BlockMaxIndex, dict[str, int]],
 
 
 def filter_documents(docs: DataFrame, model: tuple[BlockMaxIndex, dict[str, int]], below: float, text: str = "text") -> DataFrame:
-    """The rows, with all their columns, whose text scores below `below`; no row leaves its task."""
+    """The rows, with all their columns, whose text scores below `below`; only texts go to Python."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator) -> Iterator:
+    @F.pandas_udf("double")
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         index, vocabulary = shared.value
         find = Terms(vocabulary)
-        for batch in batches:
-            yield where(batch, [index.score(find(t or ""))[0] < below for t in batch.column(text).to_pylist()])
+        for texts in batches:
+            yield pd.Series([index.score(find(t))[0] for t in texts], dtype=float)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.filter(score(whole(F.col(text))) < below)
