@@ -18,8 +18,9 @@ from .quality_mil import sigmoid
 
 #: Labelled examples of each class in the index, at most, and terms of the vocabulary.
 PER_CLASS, TERMS = 8_000, 4_096
-#: A term is taken if this many examples have it and it is this telling of toxic ones (chi-square with one degree of freedom).
-LEAST, TELLING = 5, 30.0
+#: A term is taken if this many examples have it, it is this telling of toxic ones (chi-square with one degree of freedom), and
+#: its share among toxic examples is so many times that among the others: words that any long text holds tell nothing.
+LEAST, TELLING, LIFT = 5, 30.0, 4.0
 #: Neighbours that vote; examples of a block.
 NEIGHBOURS, BLOCK = 15, 128
 WORD = re.compile(r"\w+")
@@ -169,7 +170,7 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: i
     has = F.col("a0") + F.col("a1")
     cross = F.col("a1") * (n0 - F.col("a0")) - F.col("a0") * (n1 - F.col("a1"))
     chi = n * cross * cross / F.greatest(F.lit(1e-9), F.lit(n0 * n1) * has * (n - has))
-    top = counts.filter((has >= LEAST) & (cross > 0)).withColumn("chi", chi).filter(F.col("chi") >= TELLING).orderBy(F.desc("chi"), "term").limit(TERMS)
+    top = counts.filter((has >= LEAST) & (cross > 0) & (F.col("a1") * n0 >= LIFT * n1 * F.col("a0"))).withColumn("chi", chi).filter(F.col("chi") >= TELLING).orderBy(F.desc("chi"), "term").limit(TERMS)
     vocabulary = {r.term: i for i, r in enumerate(top.select("term").collect())}
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
