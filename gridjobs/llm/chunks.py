@@ -48,7 +48,7 @@ class ChunkEncoder:
 ODD = frozenset(chr(c) for c in range(0x3001) if chr(c).isspace()) - {" "}
 
 
-def slices(texts: list[str], chars: int = 6_000_000) -> Iterator[slice]:
+def slices(texts: list[str], chars: int = 1_500_000) -> Iterator[slice]:
     """Runs of texts of about so many characters each."""
     start = held = 0
     for i, text in enumerate(texts):

@@ -44,7 +44,7 @@ def needed(compared: int, least: float = LEAST, tolerance: float = TOLERANCE) ->
 class Shingler:
     """Sorted distinct 64-bit hashes of the word n-grams of texts; a text of fewer words is one n-gram of all its words."""
 
-    def __init__(self, words: int = WORDS, most: int = 600_000):
+    def __init__(self, words: int = WORDS, most: int = 200_000):
         import xxhash
 
         self.words, self.most, self.known, self.hash = words, most, {}, xxhash.xxh3_64_intdigest

@@ -164,7 +164,7 @@ def score_quality(docs: DataFrame, model: AttentionBags, text: str = "text", key
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             texts = pdf["t"].to_list()
-            for at in slices(texts, 4_000_000):
+            for at in slices(texts, 1_500_000):
                 y, passage = shared.value.score(texts[at])
                 yield pd.DataFrame({key: pdf[key].iloc[at], "score": y.astype(float), "passage": passage})
 
@@ -179,6 +179,6 @@ def filter_documents(docs: DataFrame, model: AttentionBags, least: float, text:
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             texts = texts.to_list()
-            yield pd.Series(np.concatenate([np.zeros(0), *(shared.value.score(texts[at])[0] for at in slices(texts, 4_000_000))]).astype(float))
+            yield pd.Series(np.concatenate([np.zeros(0), *(shared.value.score(texts[at])[0] for at in slices(texts, 1_500_000))]).astype(float))
 
     return docs.filter(score(whole(F.col(text))) >= least)

@@ -40,7 +40,7 @@ def terms_of(chunk: str) -> list[str]:
 class Terms:
     """Numbers of the vocabulary's terms in a text; what a chunk holds is looked up once."""
 
-    def __init__(self, vocabulary: dict[str, int], most: int = 400_000):
+    def __init__(self, vocabulary: dict[str, int], most: int = 200_000):
         self.vocabulary, self.most, self.known = vocabulary, most, {}
 
     def __call__(self, text: str) -> Counter:
