@@ -103,15 +103,18 @@ def test_context_tree_is_a_distribution_and_follows_the_definition():
             cells.append((d, k >> (8 * (3 - d)), k & 255, m))
     cells = pd.DataFrame(cells, columns=["d", "ctx", "sym", "n"]).groupby(["d", "ctx", "sym"], as_index=False).sum()
     tree = ctw.Tree(cells, 2)
-    assert (10.0 ** tree.logs).sum(1) == pytest.approx(1, abs=1e-4)
-    # the root's first bit, by the recursion itself: half of the estimate, half of the product below
-    counts = {}
+    unseen = np.bincount(tree.code, minlength=tree.logs.shape[1])[-1]
+    assert (10.0 ** (tree.logs[:, tree.code] + np.where(tree.code == tree.code.max(), tree.other, 0))).sum(1) == pytest.approx(1, abs=1e-4)
+    assert tree.other == pytest.approx(-np.log10(unseen))
+    assert (tree.zero + tree.one).sum(1).min() >= 1 and not (tree.zero * tree.one).any()
+    # the first decision, by the recursion itself: half of the estimate, half of the product below
+    counts, side = {}, tree.one[tree.code, -1].astype(int)
     for t in texts:
         s = b"\0\0" + t + b"\xff"
         for i in range(2, len(s)):
             for ctx in ((), (s[i - 1],), (s[i - 1], s[i - 2])):
                 c = counts.setdefault(ctx, [0, 0])
-                c[s[i] >> 7] += 1
+                c[side[s[i]]] += 1
     kt = lambda c: float(ctw.log_kt(np.array([float(c[0])]), np.array([float(c[1])]))[0])
 
     def whole(ctx):
@@ -126,8 +129,8 @@ def test_context_tree_is_a_distribution_and_follows_the_definition():
         w = np.exp(kt(c) - np.log(2) - whole(ctx))
         return w * p + (1 - w) * one(path, path[: len(ctx) + 1])
 
-    state = tree.child[tree.child[0, ord("r")], ord("b")]
-    assert (10.0 ** tree.logs[state, 128:]).sum() == pytest.approx(one((ord("r"), ord("b"))), rel=1e-3, abs=1e-6)
+    state = tree.child[tree.child[0, tree.code[ord("r")]], tree.code[ord("b")]]
+    assert (10.0 ** tree.logs[state])[tree.one[:, -1] == 1].sum() == pytest.approx(one((ord("r"), ord("b"))), rel=1e-3, abs=1e-6)
     assert tree.score([b"abra"])[0] > tree.score([b"zzzz"])[0]
 
 
