@@ -343,14 +343,14 @@ def w5_interpolate_positions(spark, sf_dir):
 
 @query(None)
 def f4_f5_svd_fill(spark, sf_dir):
-    """Chlorophyll filling of each cell's years x windows: original, nearest, reconstructed from the climatology as first guess."""
-    g = fill.dense(view(spark, sf_dir, "grid8d").filter("year BETWEEN 1995 AND 1999").select(*CELL, F.when((F.col("n") > 1), F.col("v") / 100).alias("chl")), ["year", "widx"], ["ilat", "ilon"])
-    near = fill.fill_nearest(g.withColumn("near", F.col("chl")), "near", [(["ilat", "ilon"], ["year", "widx"])])
+    """Chlorophyll filling year by year: original, nearest along time, latitude and longitude, reconstructed from the climatology as first guess."""
+    g = fill.dense(view(spark, sf_dir, "grid8d").select(*CELL, F.when((F.col("n") > 1), F.col("v") / 100).alias("chl")), ["year", "widx"], ["ilat", "ilon"])
+    near = fill.fill_nearest(g.withColumn("near", F.col("chl")), "near", [(["ilat", "ilon"], ["year", "widx"]), (["year", "widx", "ilon"], ["ilat"]), (["year", "widx", "ilat"], ["ilon"])])
     season = clim.climatology(g, ["chl"], "widx").withColumnRenamed("season_key", "widx")
     cells = near.join(season, ["ilat", "ilon", "widx"])
-    series = cells.groupBy("year", "ilat", "ilon").agg(F.array_sort(F.collect_list(F.struct("widx", "chl", "clim_chl"))).alias("s"))
-    series = series.select("year", "ilat", "ilon", F.col("s.widx").alias("widx"), F.col("s.chl").alias("chl"), F.col("s.clim_chl").alias("guess"))
-    filled, _ = svdfill.svd_fill(series, ["year", "ilat", "ilon", "widx"], "chl", "guess", 3, 5)
+    series = cells.groupBy("year", "ilat", "ilon").agg(F.array_sort(F.collect_list(F.struct("widx", "near", "clim_chl"))).alias("s"))
+    series = series.select("year", "ilat", "ilon", F.col("s.widx").alias("widx"), F.col("s.near").alias("near"), F.col("s.clim_chl").alias("guess"))
+    filled, _ = svdfill.svd_fill(series, ["year", "ilat", "ilon", "widx"], "near", "guess", apart="year")
     filled = filled.select("year", "ilat", "ilon", F.explode(F.arrays_zip("widx", "filled")).alias("z")).select("year", "ilat", "ilon", "z.widx", "z.filled")
     return svdfill.chlorophyll(cells.join(filled, CELL, "left")).select(*CELL, F.round("chl_filled", 6).alias("chl_filled"), "chl_flag")
 

@@ -25,54 +25,60 @@ def replay(values: np.ndarray, guess: np.ndarray, projections: list[np.ndarray])
     return x
 
 
-def svd_fill(series: DataFrame, keys: list[str], value: str, guess: str, rank: int = 8, rounds: int = 13) -> tuple[DataFrame, list[float]]:
+def svd_fill(series: DataFrame, keys: list[str], value: str, guess: str, rank: int = 8, rounds: int = 13, apart: str | None = None) -> tuple[DataFrame, list[float]]:
     """series: keys, and arrays of doubles over the same times for the values and for the first guess.
 
+    apart: a key, few of whose values occur (years); each value's cells are a matrix of their own, with times of their own.
     A cell without a value whose guess is null anywhere is land: it stays null and has no part. Returns keys with `filled` and the
     mean absolute error on the known values after each round. Only the list of projections grows, one times x times matrix a round.
     """
     series = series.persist()
     arrays = lambda pdf, c: np.array([[np.nan if x is None else x for x in r] for r in pdf[c]], float)
-    projections: list[np.ndarray] = []
+    projections: dict[str, list[np.ndarray]] = {}
+    parts = lambda pdf: pdf.groupby(pdf[apart].astype(str)) if apart else [("", pdf)]
 
     def gram(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        g, err, n = 0.0, 0.0, 0
+        sums: dict[str, tuple] = {}
         for pdf in batches:
-            v, first = arrays(pdf, value), arrays(pdf, guess)
-            sea = ~np.isnan(first).any(1)
-            v, first = v[sea], first[sea]
-            if not len(v):
-                continue
-            x = replay(v, first, projections)
-            g = g + x.T @ x
-            if projections:
-                known = ~np.isnan(v)
-                before = replay(v, first, projections[:-1])
-                err, n = err + float(np.abs((before @ projections[-1] - v)[known]).sum()), n + int(known.sum())
-        if not np.isscalar(g):
-            yield pd.DataFrame({"i": np.arange(g.size), "g": g.ravel(), "err": [err] + [0.0] * (g.size - 1), "n": [n] + [0] * (g.size - 1)})
+            for name, part in parts(pdf):
+                v, first = arrays(part, value), arrays(part, guess)
+                sea = ~np.isnan(first).any(1) if len(first) else np.zeros(0, bool)
+                v, first = v[sea], first[sea]
+                if not len(v):
+                    continue
+                own, (g, err, n) = projections.get(name, []), sums.get(name, (0.0, 0.0, 0))
+                x = replay(v, first, own)
+                if own:
+                    known = ~np.isnan(v)
+                    before = replay(v, first, own[:-1])
+                    err, n = err + float(np.abs((before @ own[-1] - v)[known]).sum()), n + int(known.sum())
+                sums[name] = g + x.T @ x, err, n
+        for name, (g, err, n) in sums.items():
+            yield pd.DataFrame({"part": name, "i": np.arange(g.size), "g": g.ravel(), "err": [err] + [0.0] * (g.size - 1), "n": [n] + [0] * (g.size - 1)})
 
     columns, errors = series.select(*keys, value, guess), []
     for done in range(rounds + 1):
-        got = columns.mapInPandas(gram, "i int, g double, err double, n long").groupBy("i").agg(F.sum("g").alias("g"), F.sum("err").alias("err"), F.sum("n").alias("n")).toPandas().sort_values("i")
+        got = columns.mapInPandas(gram, "part string, i int, g double, err double, n long").groupBy("part", "i").agg(F.sum("g").alias("g"), F.sum("err").alias("err"), F.sum("n").alias("n")).toPandas().sort_values(["part", "i"])
         if not len(got):
             break
         if done:
             errors.append(float(got["err"].sum() / max(1, got["n"].sum())))
         if done == rounds:
             break
-        t = int(round(len(got) ** 0.5))
-        _, vectors = np.linalg.eigh(got["g"].to_numpy().reshape(t, t))
-        top = vectors[:, ::-1][:, :rank]
-        projections.append(top @ top.T)
+        for name, own in got.groupby("part"):
+            t = int(round(len(own) ** 0.5))
+            _, vectors = np.linalg.eigh(own["g"].to_numpy().reshape(t, t))
+            top = vectors[:, ::-1][:, :rank]
+            projections.setdefault(name, []).append(top @ top.T)
 
     def fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            if len(pdf):
-                v, first = arrays(pdf, value), arrays(pdf, guess)
-                x = replay(v, first, projections)
-                x[np.isnan(first).any(1)] = np.nan
-                yield pdf[keys].assign(filled=[[None if np.isnan(y) else float(y) for y in r] for r in x])
+            for name, part in parts(pdf):
+                if len(part):
+                    v, first = arrays(part, value), arrays(part, guess)
+                    x = replay(v, first, projections.get(name, []))
+                    x[np.isnan(first).any(1)] = np.nan
+                    yield part[keys].assign(filled=[[None if np.isnan(y) else float(y) for y in r] for r in x])
 
     schema = ", ".join(f"{k} {dict(series.dtypes)[k]}" for k in keys) + ", filled array<double>"
     return columns.mapInPandas(fill, schema), errors
