@@ -1,8 +1,8 @@
 """Language-model scoring by context-tree weighting over bytes, beside a smoothed word-count baseline.
 
 A byte is a run of binary decisions down a Huffman tree of the training bytes, so that frequent bytes take few; bytes that
-no training text holds share one leaf. Each decision is a node, whose tree splits by the preceding bytes, nearest first. A context is split as long as the corpus visits it often enough: at least 1/K of all
-training bytes, so that a depth has at most K contexts whatever the corpus; a context's other continuations stay together
+no training text holds share one leaf. Each decision is a node, whose tree splits by the preceding bytes, nearest first. A context has its place if the corpus visits it twice,
+so the tree grows with the corpus and stays dealt out by the nearest bytes; a context's other continuations stay together
 in one further leaf. At each context the Krichevsky-Trofimov estimate stands against the product of what lies below it,
 half each; the posterior weights mix the estimates of all depths.
 """
@@ -21,8 +21,10 @@ from pyspark.sql import functions as F
 from .chunks import slices
 from .common import partitions, whole, written
 
-#: Preceding bytes of the longest context, and K: contexts of a depth at most.
-DEPTH, MOST = 6, 1 << 17
+#: Preceding bytes of the longest context, and visits that a context needs to have a place of its own, whatever the corpus.
+DEPTH, LEAST = 6, 2
+#: The tree is dealt out by so many nearest bytes of the context; chunks whose contexts one task looks up.
+TOP, TOGETHER = 2, 64
 #: Closes every text; no UTF-8 text holds it. Zeros stand before a text's first byte.
 END = b"\xff"
 #: Characters whose words are counted together before they are dealt out.
@@ -189,8 +191,132 @@ def counted(keys: np.ndarray, n: np.ndarray | None) -> tuple[np.ndarray, np.ndar
     return keys[first], (np.diff(np.r_[first, len(keys)]) if n is None else np.add.reduceat(n, first) if len(first) else n)
 
 
-def fit(docs: DataFrame, learn: Column, text: str = "text", depth: int = DEPTH, most: int = MOST) -> Tree:
-    """The context tree of the rows where `learn` holds. Every task counts its own texts; the counts are then added up."""
+class Paths:
+    """The decisions on the way to each symbol: nodes, and whether the one side is taken."""
+
+    def __init__(self, n: np.ndarray):
+        """n: how often each byte value occurs in the training texts."""
+        seen = np.union1d([0], np.flatnonzero(n))  # zeros stand before texts
+        self.code = np.full(256, len(seen), np.int64)
+        self.code[seen] = np.arange(len(seen))
+        self.other = -np.log10(max(1, 256 - len(seen)))
+        zero, one = decomposition(np.r_[n[seen], 0].astype(float))
+        column, self.node = np.nonzero(zero + one)
+        self.bit = one[column, self.node]
+        self.edge = np.searchsorted(column, np.arange(len(seen) + 2))
+        self.root = zero.shape[1] - 1
+
+    def expand(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For each decision on the way to each key's symbol: the number of the key, the node, the side."""
+        column = self.code[(keys & np.uint64(255)).astype(np.int64)]
+        first, many = self.edge[column], self.edge[column + 1] - self.edge[column]
+        row = np.repeat(np.arange(len(keys)), many)
+        at = np.arange(len(row)) + np.repeat(first - np.cumsum(many) + many, many)
+        return row, self.node[at], self.bit[at]
+
+
+class Level:
+    """Contexts of one depth by node, packed as context << 8 | node in ascending order, with zeros and ones; only decisions met there are held."""
+
+    def __init__(self, key: np.ndarray, zeros: np.ndarray, ones: np.ndarray):
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, int)
+        add = lambda x: np.add.reduceat(x[order], first) if len(first) else np.zeros(0)
+        self.key, self.zeros, self.ones = key[first], add(zeros), add(ones)
+
+    def above(self) -> np.ndarray:
+        return self.key >> 16 << 8 | self.key & 255
+
+    def often(self, root: int, least: int) -> np.ndarray:
+        """Keep the contexts that are visited `least` times or more, and tell which; the root's decision is made at each visit."""
+        context, visits = self.key >> 8, np.zeros(len(self.key))
+        own = np.flatnonzero(self.key & 255 == root)
+        visits = (self.zeros + self.ones)[own][np.searchsorted(context[own], context)] if len(own) else visits
+        keep = visits >= least
+        self.key, self.zeros, self.ones = self.key[keep], self.zeros[keep], self.ones[keep]
+        return keep
+
+    def weigh(self, below: Level | None) -> None:
+        """Block probabilities, the weight of stopping, and the counts of continuations that have no context of their own."""
+        own = log_kt(self.zeros, self.ones)
+        self.total, self.stop, self.rest = own, np.ones(len(own)), (self.zeros, self.ones)
+        if below is not None and len(below.key):
+            at, n = np.searchsorted(self.key, below.above()), len(own)
+            self.rest = self.zeros - np.bincount(at, below.zeros, n), self.ones - np.bincount(at, below.ones, n)
+            split = log_kt(*self.rest) + np.bincount(at, below.total, n)
+            parted = np.isin(self.key >> 8, np.unique(below.key >> 16))
+            self.total = np.where(parted, np.logaddexp(own, split) - np.log(2), own)
+            self.stop = np.where(parted, np.exp(np.minimum(0, own - np.log(2) - self.total)), 1.0)
+
+    def find(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if not len(self.key):
+            return np.zeros(len(key), int), np.zeros(len(key), bool)
+        at = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
+        return at, self.key[at] == key
+
+
+def grown(bottom: Level, paths: Paths, depth: int, top: int, least: int) -> list[Level]:
+    """Levels from top to depth, weighed from the deepest up. The contexts of the top are all held, wanted or not."""
+    levels = [bottom]
+    for _ in range(depth - top):
+        levels.insert(0, Level(levels[0].above(), levels[0].zeros, levels[0].ones))
+    below = None
+    for level in reversed(levels):
+        if least and level is not levels[0]:
+            level.often(paths.root, least)
+        level.weigh(below)
+        below = level
+    return levels
+
+
+def predicted(levels: list[Level], paths: Paths, keys: np.ndarray, depth: int) -> np.ndarray:
+    """log10 probability of each key's symbol after its context, by the levels from depth 0 on."""
+    row, node, bit = paths.expand(keys)
+    one, given, left = np.full(len(row), 0.5), np.zeros(len(row)), np.ones(len(row))
+    context, at = (keys >> np.uint64(8)).astype(np.int64)[row], np.arange(len(row))
+    for d, level in enumerate(levels):
+        key = context[at] >> 8 * (depth - d) << 8 | node[at]
+        place, met = level.find(key)
+        one[at[~met]] = given[at[~met]] + left[at[~met]] / 2  # nothing is known of this decision from here on
+        at, place = at[met], place[met]
+        z, o = level.zeros[place], level.ones[place]
+        so_far = given[at] + left[at] * level.stop[place] * ((o + 0.5) / (z + o + 1))
+        open_ = left[at] * (1 - level.stop[place])
+        deeper = np.zeros(len(at), bool)
+        if d < depth:
+            deeper = levels[d + 1].find(context[at] >> 8 * (depth - d - 1) << 8 | paths.root)[1]
+        z, o = level.rest[0][place], level.rest[1][place]
+        one[at] = so_far + open_ * ((o + 0.5) / (z + o + 1))
+        given[at], left[at] = so_far, open_
+        at = at[deeper]
+    one = np.clip(one, 1e-12, 1 - 1e-12)
+    out = np.bincount(row, np.log10(np.where(bit > 0, one, 1 - one)), len(keys))
+    return out + np.where(paths.code[(keys & np.uint64(255)).astype(np.int64)] == len(paths.edge) - 2, paths.other, 0.0)
+
+
+def bottom_of(keys: np.ndarray, n: np.ndarray, paths: Paths) -> Level:
+    row, node, bit = paths.expand(keys)
+    return Level((keys >> np.uint64(8)).astype(np.int64)[row] << 8 | node, n[row] * (1 - bit), n[row] * bit)
+
+
+def packed_keys(keys: np.ndarray) -> bytes:
+    """Ascending keys as steps, byte by byte, which compresses well."""
+    return np.ascontiguousarray(np.diff(keys, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def unpacked_keys(raw: bytes) -> np.ndarray:
+    return np.cumsum(np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view(np.uint64).ravel(), dtype=np.uint64)
+
+
+def fit(docs: DataFrame, learn: Column, text: str = "text", depth: int = DEPTH, least: int = LEAST) -> tuple[DataFrame, Paths, list[Level]]:
+    """The context tree of the rows where `learn` holds: counts by context and symbol, with the context's nearest bytes as `p`; the
+    decisions' paths; and the levels above p's.
+
+    Every context that is visited `least` times or more has its place, so the tree grows with the corpus. It stays dealt out by the
+    TOP nearest bytes; only the contexts of so many bytes, at most 256 ** TOP whatever the corpus, meet on the driver.
+    """
+    top = min(TOP, depth)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         keys, n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
@@ -205,26 +331,38 @@ def fit(docs: DataFrame, learn: Column, text: str = "text", depth: int = DEPTH,
         yield pd.DataFrame({"k": keys.astype(np.int64), "n": n})
 
     found = docs.filter(learn).select(whole(F.col(text)).alias("t")).mapInPandas(count, "k long, n long")
-    found = written(found.groupBy("k").agg(F.sum("n").alias("n")), "ctw-grams")
-    total = found.agg(F.sum("n")).first()[0] or 0
-    d = F.explode(F.array(*[F.struct(F.lit(i).alias("d"), F.shiftrightunsigned("k", 8 * (depth + 1 - i)).alias("ctx")) for i in range(depth + 1)])).alias("c")
-    cells = found.select(d, (F.col("k") % 256).cast("int").alias("sym"), "n").groupBy("c.d", "c.ctx", "sym").agg(F.sum("n").alias("n"))
-    often = cells.groupBy("d", "ctx").agg(F.sum("n").alias("all")).filter(F.col("all") * most >= total).select("d", "ctx")
-    kinds = {"d": np.int8, "ctx": np.int64, "sym": np.uint8, "n": np.int64}
-
-    def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            yield pd.DataFrame({c: [pdf[c].to_numpy().astype(t).tobytes()] for c, t in kinds.items()})
-
-    kept = cells.join(F.broadcast(often), ["d", "ctx"]).select(*kinds)  # at most depth * most + 1 contexts of 256 symbols
-    rows = kept.mapInPandas(packed, "d binary, ctx binary, sym binary, n binary").collect()
-    return Tree(pd.DataFrame({c: np.concatenate([np.zeros(0, t), *(np.frombuffer(r[c], t) for r in rows)]) for c, t in kinds.items()}), depth)
+    found = written(found.groupBy("k").agg(F.sum("n").alias("n")).withColumn("p", F.shiftright("k", 8 * (depth + 1 - top))), "ctw-grams")
+    n = np.zeros(256)
+    for r in found.groupBy((F.col("k") % 256).alias("s")).agg(F.sum("n").alias("n")).collect():  # 256 rows at most
+        n[r.s] = r.n
+    paths = Paths(n)
+
+    def upward(pdf: pd.DataFrame) -> pd.DataFrame:
+        level = grown(bottom_of(pdf["k"].to_numpy(np.uint64), pdf["n"].to_numpy(float), paths), paths, depth, top, least)[0]
+        return pd.DataFrame({c: [x.tobytes()] for c, x in (("key", level.key), ("zeros", level.zeros), ("ones", level.ones), ("total", level.total))})
+
+    rows = found.groupBy("p").applyInPandas(upward, "key binary, zeros binary, ones binary, total binary").collect()
+    take = lambda c, kind: np.concatenate([np.zeros(0, kind), *(np.frombuffer(r[c], kind) for r in rows)])
+    key = take("key", np.int64)
+    order = np.argsort(key)
+    joint = Level(key, take("zeros", float), take("ones", float))
+    levels = [joint]
+    for _ in range(top):
+        levels.insert(0, Level(levels[0].above(), levels[0].zeros, levels[0].ones))
+    joint.total = take("total", float)[order]
+    keep = joint.often(paths.root, least) if top else slice(None)
+    joint.total = joint.total[keep]
+    for d in range(top - 1, -1, -1):
+        if d:
+            levels[d].often(paths.root, least)
+        levels[d].weigh(levels[d + 1])
+    return found, paths, levels[:top]
 
 
 # --- documents ------------------------------------------------------------------------------------------------------
 
 
-def score_documents(docs: DataFrame, held_out: Column, text: str = "text", key: str = "doc_id", depth: int = DEPTH, most: int = MOST) -> DataFrame:
+def score_documents(docs: DataFrame, held_out: Column, text: str = "text", key: str = "doc_id", depth: int = DEPTH, least: int = LEAST) -> DataFrame:
     """Score all whole texts by the context tree and by add-one word counts, both learned from rows that aren't held out.
 
     Returns key, held_out, n_tokens, n_known, train_tokens, base_score, score (log10 probability of the text and its end),
@@ -234,42 +372,61 @@ def score_documents(docs: DataFrame, held_out: Column, text: str = "text", key:
     Words: each task numbers the words of a chunk of documents and deals the chunk's distinct words with their counts into
     buckets, by a 64-bit hash (two words that share one would be counted as one; among 10^9 words that is 1 pair in 40).
     A bucket adds up its counts and sends each chunk its words' sums, which meet the chunk's documents by the numbers. So a
-    frequent word costs one entry in each chunk, and neither vocabulary nor texts are gathered anywhere.
+    frequent word costs one entry in each chunk, and neither vocabulary nor texts are gathered anywhere. Pairs of context and
+    symbol go the same way, dealt out by the context's nearest bytes to where that part of the tree is.
     """
     spark = docs.sparkSession
     kind = dict(docs.dtypes)[key]
-    tree = spark.sparkContext.broadcast(fit(docs, ~held_out, text, depth, most))
+    found, paths, levels = fit(docs, ~held_out, text, depth, least)
+    top = min(TOP, depth)
+    tree = spark.sparkContext.broadcast((paths, levels))
     buckets = max(64, 4 * partitions(spark))
     rows = docs.select(F.col(key), whole(F.col(text)).alias("t"), held_out.alias("held_out"))
     trained = rows.filter(~F.col("held_out")).count()
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def numbered(own: list[bytes]) -> tuple[np.ndarray, dict[bytes, int]]:
+        """Hashes of the distinct words by bucket, and the number of each word in that order."""
         import xxhash
 
-        model, chunk = tree.value, TaskContext.get().partitionId() << 32
-        names = ["chunk", "part", key, "held_out", "score", "bytes", "tokens", "bucket", "hashes", "counts"]
+        words = list(set().union(*(t.split() for t in own)))
+        hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in words], np.uint64)
+        order = np.lexsort((hashes, hashes % np.uint64(buckets)))
+        return hashes[order], dict(zip(map(words.__getitem__, order.tolist()), range(len(order)), strict=True))
+
+    def distinct(own: list[bytes]) -> np.ndarray:
+        """Pairs of context and symbol in ascending order, a slice of the texts at a time."""
+        keys = np.zeros(0, np.uint64)
+        for s in slices(own, 4_000_000):
+            keys = np.union1d(keys, grams(own[s], depth)[0])
+        return keys
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        chunk = TaskContext.get().partitionId() << 32
+        names = ["chunk", "part", key, "held_out", "body", "bucket", "hashes", "counts"]
         for pdf in batches:
             texts, held = pdf["t"].to_list(), pdf["held_out"].to_numpy(bool)
             for at in slices(texts, CHARS):
                 own = [t.encode().lower() for t in texts[at]]
-                scores = np.concatenate([model.score(own[s]) for s in slices(own, 500_000)])
-                words = list(set().union(*(t.split() for t in own)))
-                hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in words], np.uint64)
-                order = np.lexsort((hashes, hashes % np.uint64(buckets)))
-                number = dict(zip(map(words.__getitem__, order.tolist()), range(len(order)), strict=True))
-                hashes = hashes[order]
-                numbers = [np.array([number[w] for w in t.split()], np.int32) for t in own]  # split again: all lists of tokens at once are large
-                learned = [n for n, h in zip(numbers, held[at], strict=True) if not h]
-                counts = np.bincount(np.concatenate([np.zeros(0, np.int32), *learned]), minlength=len(words))
-                out = pd.DataFrame({key: pdf[key].iloc[at].to_numpy(), "held_out": held[at], "score": scores, "bytes": [len(t) for t in own], "tokens": [n.tobytes() for n in numbers]})
+                hashes, number = numbered(own)
+                counts = np.zeros(len(hashes), np.int64)
+                for t, h in zip(own, held[at], strict=True):
+                    if not h:
+                        np.add.at(counts, np.array([number[w] for w in t.split()], np.int64), 1)
+                del number
+                out = pd.DataFrame({key: pdf[key].iloc[at].to_numpy(), "held_out": held[at], "body": own})
                 yield out.assign(chunk=chunk, part=0, bucket=0, hashes=None, counts=None).astype({key: pdf[key].dtype})[names]
                 edge = np.searchsorted(hashes % np.uint64(buckets), np.arange(buckets + 1, dtype=np.uint64))
                 some = np.flatnonzero(np.diff(edge))
                 cut = lambda x: [x[edge[b] : edge[b + 1]].tobytes() for b in some]  # noqa: E731, B023
-                yield pd.DataFrame({"chunk": chunk, "part": 1, key: None, "held_out": None, "score": None, "bytes": None, "tokens": None, "bucket": some, "hashes": cut(hashes), "counts": cut(counts.astype(np.int64))})[names]
+                rest = {"chunk": chunk, key: None, "held_out": None, "body": None}
+                yield pd.DataFrame({**rest, "part": 1, "bucket": some, "hashes": cut(hashes), "counts": cut(counts)})[names]
+                keys = distinct(own)
+                place = (keys >> np.uint64(8 * (depth + 1 - top))).astype(np.int64)
+                edge = np.r_[np.flatnonzero(np.diff(place, prepend=-1)), len(keys)]
+                yield pd.DataFrame({**rest, "part": 2, "bucket": place[edge[:-1]], "hashes": [packed_keys(keys[a:b]) for a, b in zip(edge[:-1], edge[1:], strict=True)], "counts": None})[names]
                 chunk += 1
 
-    schema = f"chunk long, part int, {key} {kind}, held_out boolean, score double, bytes long, tokens binary, bucket int, hashes binary, counts binary"
+    schema = f"chunk long, part int, {key} {kind}, held_out boolean, body binary, bucket int, hashes binary, counts binary"
     held = written(rows.mapInPandas(read, schema), "ctw-chunks")
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -286,19 +443,48 @@ def score_documents(docs: DataFrame, held_out: Column, text: str = "text", key:
     n, v = (x or 0 for x in sums.agg(F.sum("n"), F.sum("v")).first())
     n, v = n + trained, v + (trained > 0)
 
-    def meet(own: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
-        count = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(x, np.int64) for x in words.sort_values("bucket")["sums"])])
+    salts = max(1, held.filter("part = 0").select("chunk").distinct().count() // TOGETHER)
+    salt = F.pmod(F.xxhash64("chunk"), F.lit(salts)).cast("int").alias("salt")
+    asked = held.filter("part = 2").select("chunk", "bucket", salt, "hashes")
+    cells = found.select(F.col("p").cast("int").alias("bucket"), F.explode(F.array(*[F.lit(i) for i in range(salts)])).alias("salt"), "k", "n")
+
+    def look_up(own: pd.DataFrame, cells: pd.DataFrame) -> pd.DataFrame:
+        if not len(own):
+            return pd.DataFrame({"chunk": [], "bucket": [], "sums": []})
+        paths, levels = tree.value
+        cells = grown(bottom_of(cells["k"].to_numpy(np.uint64), cells["n"].to_numpy(float), paths), paths, depth, top, least)
+        cells[0].often(paths.root, least)
+        cells[0].weigh(cells[1] if len(cells) > 1 else None)
+        keys = [unpacked_keys(x) for x in own["hashes"]]
+        every = np.unique(np.concatenate(keys))
+        logs = np.concatenate([predicted([*levels, *cells], paths, every[i : i + 200_000], depth) for i in range(0, len(every), 200_000)]).astype(np.float32)
+        return pd.DataFrame({"chunk": own["chunk"], "bucket": own["bucket"], "sums": [logs[np.searchsorted(every, k)].tobytes() for k in keys]})
+
+    logs = asked.groupBy("bucket", "salt").cogroup(cells.groupBy("bucket", "salt")).applyInPandas(look_up, "chunk long, bucket int, sums binary")
+
+    def meet(own: pd.DataFrame, back: pd.DataFrame) -> pd.DataFrame:
+        back = back.sort_values(["part", "bucket"])
+        joined = lambda part, kind: np.concatenate([np.zeros(0, kind), *(np.frombuffer(x, kind) for x in back.loc[back["part"] == part, "sums"])])
+        count, log_of = joined(1, np.int64), joined(2, np.float32)
+        body = own["body"].to_list()
+        _, number = numbered(body)
+        numbers = [np.array([number[w] for w in t.split()], np.int64) for t in body]
+        keys, scores = distinct(body), [np.zeros(0)]
+        for s in slices(body, 1_000_000):
+            scores.append(np.array([log_of[np.searchsorted(keys, k)].astype(float) @ n for k, n in (grams([t], depth) for t in body[s])]))
         logs = np.log10(count + 1.0)
-        out = own[[key, "held_out", "score"]].copy()
-        numbers = [np.frombuffer(x, np.int32) for x in own["tokens"]]
+        out = own[[key, "held_out"]].copy()
         out["n_tokens"] = [len(x) + 1 for x in numbers]
         out["n_known"] = [int((count[x] > 0).sum()) + (trained > 0) for x in numbers]
-        out["train_tokens"] = n
-        out["base_score"] = [logs[x].sum() + np.log10(trained + 1) - (len(x) + 1) * np.log10(n + v + 1) for x in numbers]
-        out["bits_per_byte"] = -out["score"] * np.log2(10) / (own["bytes"] + 1)
+        out["train_tokens"] = n_all
+        out["base_score"] = [logs[x].sum() + np.log10(trained + 1) - (len(x) + 1) * np.log10(n_all + v + 1) for x in numbers]
+        out["score"] = np.concatenate(scores)
+        out["bits_per_byte"] = -out["score"] * np.log2(10) / (np.array([len(t) for t in body]) + 1)
         return out[[key, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"]]
 
-    documents = held.filter("part = 0").select("chunk", key, "held_out", "score", "bytes", "tokens")
-    return documents.groupBy("chunk").cogroup(sums.select("chunk", "bucket", "sums").groupBy("chunk")).applyInPandas(
+    n_all = n
+    back = sums.select("chunk", F.lit(1).alias("part"), "bucket", "sums").unionByName(logs.withColumn("part", F.lit(2)))
+    documents = held.filter("part = 0").select("chunk", key, "held_out", "body")
+    return documents.groupBy("chunk").cogroup(back.groupBy("chunk")).applyInPandas(
         meet, f"{key} {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double"
     )
