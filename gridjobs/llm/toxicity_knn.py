@@ -16,11 +16,8 @@ from .common import whole
 from .labelled import sample
 from .quality_mil import sigmoid
 
-#: Labelled examples of each class in the index, at most, and terms of the vocabulary.
-PER_CLASS, TERMS = 8_000, 4_096
-#: A term is taken if this many examples have it, it is this telling of toxic ones (chi-square with one degree of freedom), and
-#: its share among toxic examples is so many times that among the others: words that any long text holds tell nothing.
-LEAST, TELLING, LIFT = 5, 30.0, 4.0
+#: Labelled examples of each class in the index, at most.
+PER_CLASS = 8_000
 #: Neighbours that vote; examples of a block.
 NEIGHBOURS, BLOCK = 15, 128
 WORD = re.compile(r"\w+")
@@ -37,6 +34,13 @@ def terms_of(chunk: str) -> list[str]:
     return out
 
 
+def spans(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers from each a up to its b, and which pair each comes from."""
+    many = b - a
+    which = np.repeat(np.arange(len(a)), many)
+    return np.arange(len(which)) + (a - np.cumsum(many) + many)[which], which
+
+
 class Terms:
     """Numbers of the vocabulary's terms in a text; what a chunk holds is looked up once."""
 
@@ -74,9 +78,13 @@ class BlockMaxIndex:
         rows, terms, weights = cat(rows, np.int64), cat(terms, np.int64), cat(weights, float)
         order = np.lexsort((rows, terms))
         self.rows, self.weights = rows[order], weights[order]
-        self.edge = np.searchsorted(terms[order], np.arange(len(idf) + 1))
-        self.most = np.zeros((len(idf), -(-len(some) // BLOCK)), np.float64)
-        np.maximum.at(self.most, (terms, rows // BLOCK), weights)
+        # runs of a term's postings in one block: where they start, the block, the largest weight
+        block, terms = self.rows // BLOCK, terms[order]
+        self.run = np.flatnonzero(np.r_[True, (terms[1:] != terms[:-1]) | (block[1:] != block[:-1])]) if len(terms) else np.zeros(0, int)
+        self.block, self.blocks = block[self.run], -(-len(some) // BLOCK)
+        self.most = np.maximum.reduceat(self.weights, self.run) if len(self.run) else np.zeros(0)
+        self.runs = np.searchsorted(terms[self.run], np.arange(len(idf) + 1))
+        self.run = np.r_[self.run, len(terms)]
         self.a, self.b = 1.0, 0.0
 
     def vector(self, counts: Counter) -> tuple[np.ndarray, np.ndarray]:
@@ -87,28 +95,23 @@ class BlockMaxIndex:
     def nearest(self, counts: Counter, leave: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Rows and cosines of the k nearest examples, ties by row; exact. leave: a row to leave out."""
         t, w = self.vector(counts)
-        bound = w @ self.most[t]
+        at, own = spans(self.runs[t], self.runs[t + 1])
+        bound = np.bincount(self.block[at], w[own] * self.most[at], self.blocks)
         order = np.argsort(-bound, kind="stable")
         found_rows, found = np.zeros(0, int), np.zeros(0)
-        at, step = 0, 4
-        while at < len(order) and bound[order[at]] > 0:
-            if len(found) >= self.k and bound[order[at]] < found[self.k - 1] - 1e-12:
-                break
-            wanted = np.zeros(len(order), bool)
-            wanted[order[at : at + step]] = True
-            place = np.cumsum(wanted) - 1
-            sums = np.zeros(BLOCK * int(wanted.sum()))
-            for term, weight in zip(t, w, strict=True):
-                rows = self.rows[self.edge[term] : self.edge[term + 1]]
-                own = wanted[rows // BLOCK]
-                rows = rows[own]
-                sums[place[rows // BLOCK] * BLOCK + rows % BLOCK] += weight * self.weights[self.edge[term] : self.edge[term + 1]][own]
-            rows = (np.flatnonzero(wanted)[:, None] * BLOCK + np.arange(BLOCK)).ravel()
-            hit = (sums > 0) & (rows != (-1 if leave is None else leave))
-            found_rows, found = np.r_[found_rows, rows[hit]], np.r_[found, sums[hit]]
+        for few in (order[:4], order[4:]):  # the best blocks first: most others can't reach what they hold
+            wanted = np.zeros(self.blocks, bool)
+            wanted[few] = bound[few] > 0
+            if len(found) >= self.k:
+                wanted[few] &= bound[few] >= found[self.k - 1] - 1e-12
+            run = at[wanted[self.block[at]]]
+            posting, which = spans(self.run[run], self.run[run + 1])
+            sums = np.bincount(self.rows[posting], w[own[wanted[self.block[at]]]][which] * self.weights[posting], len(self.y))
+            rows = np.flatnonzero(sums > 0)
+            rows = rows[rows != (-1 if leave is None else leave)]
+            found_rows, found = np.r_[found_rows, rows], np.r_[found, sums[rows]]
             best = np.lexsort((found_rows, -found))[: self.k]
             found_rows, found = found_rows[best], found[best]
-            at, step = at + step, step * 2
         return found_rows, found
 
     def vote(self, rows: np.ndarray, cosine: np.ndarray) -> float:
@@ -150,28 +153,17 @@ class BlockMaxIndex:
 
 
 def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = PER_CLASS, text: str = "text", key: str = "doc_id") -> tuple[BlockMaxIndex, dict[str, int]]:
-    """Index of at most per_class labelled examples of each class, over at most TERMS terms that tell toxic ones.
+    """Index of at most per_class labelled examples of each class, over all their terms.
 
     Document frequencies are counted over all documents. key must be an integer.
     """
     rows, stands = sample(docs, labels, label, per_class, text, key)
 
-    def by_class(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: tuple[Counter, Counter] = (Counter(), Counter())
+    def terms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for y, t in zip(pdf["y"], pdf["t"], strict=True):
-                seen[int(y)].update({x for c in set(t.lower().split()) for x in terms_of(c)})
-        for y in filter(seen.__getitem__, (0, 1)):
-            yield pd.DataFrame({"term": list(seen[y]), "y0": [n * (1 - y) for n in seen[y].values()], "y1": [n * y for n in seen[y].values()]})
-
-    n0, n1 = (float(rows.filter(F.col("y") == y).count()) for y in (0, 1))
-    counts = rows.select("y", "t").mapInPandas(by_class, "term string, y0 long, y1 long").groupBy("term").agg(F.sum("y0").alias("a0"), F.sum("y1").alias("a1"))
-    n = n0 + n1
-    has = F.col("a0") + F.col("a1")
-    cross = F.col("a1") * (n0 - F.col("a0")) - F.col("a0") * (n1 - F.col("a1"))
-    chi = n * cross * cross / F.greatest(F.lit(1e-9), F.lit(n0 * n1) * has * (n - has))
-    top = counts.filter((has >= LEAST) & (cross > 0) & (F.col("a1") * n0 >= LIFT * n1 * F.col("a0"))).withColumn("chi", chi).filter(F.col("chi") >= TELLING).orderBy(F.desc("chi"), "term").limit(TERMS)
-    vocabulary = {r.term: i for i, r in enumerate(top.select("term").collect())}
+            yield pd.DataFrame({"term": list({x for t in pdf["t"] for c in set(t.lower().split()) for x in terms_of(c)})})
+
+    vocabulary = {r.term: i for i, r in enumerate(rows.select("t").mapInPandas(terms, "term string").distinct().orderBy("term").collect())}  # terms of 2 * per_class rows
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -182,7 +174,7 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: i
                 df.update(find(t).keys())
         yield pd.DataFrame({"i": [-1, *df], "n": [total, *df.values()]})
 
-    df = docs.select(whole(F.col(text)).alias("t")).mapInPandas(frequencies, "i int, n long").groupBy("i").agg(F.sum("n").alias("n")).toPandas().set_index("i")["n"]  # at most TERMS + 1 rows
+    df = docs.select(whole(F.col(text)).alias("t")).mapInPandas(frequencies, "i int, n long").groupBy("i").agg(F.sum("n").alias("n")).toPandas().set_index("i")["n"]  # a row for each term of the vocabulary
     idf = np.array([np.log((1 + df.get(-1, 0)) / (1 + df.get(i, 0))) + 1 for i in range(len(vocabulary))])
 
     def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

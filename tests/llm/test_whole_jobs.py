@@ -5,7 +5,8 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from gridjobs.llm import ctw
+from gridjobs.llm import ctw, toxicity_knn
+from gridjobs.llm.common import held_out
 
 
 def words(seed, n):
@@ -28,3 +29,15 @@ def test_every_context_that_comes_twice_has_its_place(spark, monkeypatch):
     tree = ctw.Tree(pd.concat(cells), ctw.DEPTH)
     want = tree.score([t.encode().lower() for t in texts])
     assert [got[i] for i in range(len(texts))] == pytest.approx(want, abs=1e-3, rel=1e-4)
+
+
+def test_toxicity_searches_every_text_over_all_terms(spark):
+    texts = [(i, words(i % 30, 30) + (" slurx" if i % 6 == 0 else "")) for i in range(120)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 6 == 0)) for i, _ in texts], "doc_id long, toxic int")
+    model = toxicity_knn.learn(docs, labels)
+    learned = {r.doc_id for r in docs.filter(~held_out(F.col("doc_id"), 5, 0)).collect()}
+    assert set(model[0].ids.tolist()) == learned
+    got = {r.doc_id: r.nearest for r in toxicity_knn.score_toxicity(docs, model).collect()}
+    assert all(n in learned and dict(texts)[n].split()[:30] == dict(texts)[i].split()[:30] for i, n in got.items() if any((i - j) % 30 == 0 for j in learned))
+    assert None not in got.values()
