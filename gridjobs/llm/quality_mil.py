@@ -16,8 +16,8 @@ from .labelled import sample
 
 #: Characters of a passage.
 PASSAGE = 480
-#: Labelled documents of each class to learn from, and their passages, spread evenly over the text, at most.
-PER_CLASS, TRAINING_PASSAGES = 3_000, 64
+#: Labelled documents of each class to learn from, at most; all their passages are encoded.
+PER_CLASS = 3_000
 CLASSES = 11
 WIDTH = CLASSES * CLASSES + 8
 
@@ -35,19 +35,17 @@ def byte_classes() -> np.ndarray:
 TABLE = byte_classes()
 
 
-def encode(texts: list[str], most: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+def encode(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Passage vectors of the texts, in order, and the number of passages of each.
 
     A vector holds how often each class of character follows each other one, the shares of distinct and of repeated words,
-    lengths, and the document's shares of distinct lines and words. most: take so many passages of a text, evenly spread.
+    lengths, and the document's shares of distinct lines and words.
     """
     passages, sizes, extra = [], [], []
     for text in texts:
         lines, words = text.split("\n"), text.split()
         wide = (len(set(lines)) / len(lines), len(set(words)) / max(1, len(words)) ** 0.9, np.log1p(len(words)))
         starts = range(0, max(1, len(text)), PASSAGE)
-        if most and len(starts) > most:
-            starts = [starts[i] for i in np.linspace(0, len(starts) - 1, most).astype(int)]
         sizes.append(len(starts))
         for at in starts:
             piece = text[at : at + PASSAGE]
@@ -137,9 +135,11 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class:
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            x, sizes = encode(pdf["t"].to_list(), TRAINING_PASSAGES)
-            parts = np.split(x, np.cumsum(sizes)[:-1])
-            yield pd.DataFrame({"k": pdf["k"], "y": pdf["y"], "x": [p.tobytes() for p in parts]})
+            texts = pdf["t"].to_list()
+            for at in slices(texts, 1_500_000):
+                x, sizes = encode(texts[at])
+                parts = np.split(x, np.cumsum(sizes)[:-1])
+                yield pd.DataFrame({"k": pdf["k"].iloc[at], "y": pdf["y"].iloc[at], "x": [p.tobytes() for p in parts]})
 
     got = rows.select(F.col(key).cast("string").alias("k"), "y", "t").mapInPandas(features, "k string, y int, x binary").toPandas().sort_values("k")
     model = AttentionBags(WIDTH)

@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from gridjobs.llm import ctw, toxicity_knn
+from gridjobs.llm import ctw, quality_mil, toxicity_knn
 from gridjobs.llm.common import held_out
 
 
@@ -41,3 +41,12 @@ def test_toxicity_searches_every_text_over_all_terms(spark):
     got = {r.doc_id: r.nearest for r in toxicity_knn.score_toxicity(docs, model).collect()}
     assert all(n in learned and dict(texts)[n].split()[:30] == dict(texts)[i].split()[:30] for i, n in got.items() if any((i - j) % 30 == 0 for j in learned))
     assert None not in got.values()
+
+
+def test_quality_learns_from_every_passage(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, "a b c " * (80 * 100 if i == 1 else 10)) for i in range(12)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(12)], "doc_id long, quality int")
+    sizes = []
+    monkeypatch.setattr(quality_mil.AttentionBags, "fit", lambda self, x, n, y, weight: sizes.extend(n.tolist()) or self)
+    quality_mil.learn(docs, labels)
+    assert max(sizes) == 100
