@@ -1,15 +1,17 @@
 """Language-model scoring by context-tree weighting over bytes, beside a smoothed word-count baseline.
 
 A byte is a run of binary decisions down a Huffman tree of the training bytes, so that frequent bytes take few; bytes that
-no training text holds share one leaf. Each decision is a node, whose tree splits by the preceding bytes, nearest first. A context has its place if the corpus visits it twice,
-so the tree grows with the corpus and stays dealt out by the nearest bytes; a context's other continuations stay together
-in one further leaf. At each context the Krichevsky-Trofimov estimate stands against the product of what lies below it,
-half each; the posterior weights mix the estimates of all depths.
+no training text holds share one leaf. Each decision is a node, whose tree splits by the preceding bytes, nearest first. A
+context has its place if the corpus visits it twice, so the tree grows with the corpus and stays dealt out by the nearest
+bytes; a context's other continuations stay together in one further leaf. At each context the Krichevsky-Trofimov estimate
+stands against the product of what lies below it, half each; the posterior weights mix the estimates of all depths.
 """
 
 from __future__ import annotations
 
 import heapq
+import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,26 +23,42 @@ from pyspark.sql import functions as F
 from .chunks import slices
 from .common import partitions, whole, written
 
-#: Preceding bytes of the longest context, and visits that a context needs to have a place of its own, whatever the corpus.
+#: Preceding bytes of the longest context (7 bytes of a key), and visits that a context needs for a place of its own, whatever the corpus.
 DEPTH, LEAST = 6, 2
 #: The tree is dealt out by so many nearest bytes of the context; chunks whose contexts one task looks up.
-TOP, TOGETHER = 2, 64
+DEAL, TOGETHER = 3, 64
 #: Closes every text; no UTF-8 text holds it. Zeros stand before a text's first byte.
 END = b"\xff"
-#: Characters whose words are counted together before they are dealt out.
-CHARS = 10_000_000
+#: Characters of a chunk, and bytes whose contexts are packed at once.
+CHARS, WINDOW = 24_000_000, 3_000_000
+#: Counts whose gamma functions are tabled.
+SMALL = 4096
 
 
 # --- the tree -------------------------------------------------------------------------------------------------------
 
 
-def log_gamma(x: np.ndarray) -> np.ndarray:
-    """ln of the gamma function for x > 0: Stirling's series from x + 8."""
-    y = x + 8
-    s = (y - 0.5) * np.log(y) - y + 0.5 * np.log(2 * np.pi) + 1 / (12 * y) - 1 / (360 * y**3) + 1 / (1260 * y**5)
-    for i in range(8):
-        s -= np.log(x + i)
-    return s
+def stirling(x: np.ndarray) -> np.ndarray:
+    """ln of the gamma function for large x."""
+    return (x - 0.5) * np.log(x) - x + 0.5 * np.log(2 * np.pi) + 1 / (12 * x) - 1 / (360 * x**3)
+
+
+#: ln gamma(n + 1/2) and ln gamma(n + 1) for n = 0, 1, ...
+HALVES = np.cumsum(np.r_[0.5 * np.log(np.pi), np.log(np.arange(SMALL - 1) + 0.5)])
+WHOLES = np.cumsum(np.r_[0.0, np.log(np.arange(1, SMALL))])
+
+
+def tabled(n: np.ndarray, table: np.ndarray, shift: float) -> np.ndarray:
+    out = table[np.minimum(n, SMALL - 1).astype(np.int64)]
+    large = n >= SMALL
+    if large.any():
+        out[large] = stirling(n[large] + shift)
+    return out
+
+
+def log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
+    """ln of the Krichevsky-Trofimov probability of a sequence with so many zeros and ones."""
+    return tabled(zeros, HALVES, 0.5) + tabled(ones, HALVES, 0.5) - tabled(zeros + ones, WHOLES, 1.0) - np.log(np.pi)
 
 
 def decomposition(n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -56,141 +74,6 @@ def decomposition(n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return held(0), held(1)
 
 
-def log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
-    """ln of the Krichevsky-Trofimov probability of a sequence with so many zeros and ones."""
-    return log_gamma(zeros + 0.5) + log_gamma(ones + 0.5) - log_gamma(zeros + ones + 1) - np.log(np.pi)
-
-
-class Tree:
-    """Predictive tables of a context tree: child[state, column] is the next deeper context or -1, logs[state, column] log10 P.
-
-    Each byte of the training texts has a column, by `code`; the last column stands for all other bytes, alike likely.
-    """
-
-    def __init__(self, cells: pd.DataFrame, depth: int):
-        """cells: d, ctx, sym, n of the contexts to keep, d preceding bytes packed nearest first into ctx."""
-        self.depth = depth
-        seen = np.union1d([0], cells.loc[cells["d"] == 0, "sym"].to_numpy(int))  # zeros stand before texts
-        self.code = np.full(256, len(seen), np.int32)
-        self.code[seen] = np.arange(len(seen))
-        self.other = -np.log10(max(1, 256 - len(seen)))
-        wide = len(seen) + 1
-        levels = []  # contexts, and their counts: context number, column, count
-        for d in range(depth + 1):
-            part = cells[cells["d"] == d].sort_values("ctx")
-            ctx, row = np.unique(part["ctx"].to_numpy(np.int64), return_inverse=True)
-            levels.append((ctx, row.astype(np.int32), self.code[part["sym"].to_numpy(int)], part["n"].to_numpy(float)))
-        if not len(levels[0][0]):
-            levels[0] = (np.zeros(1, np.int64), *levels[0][1:])
-
-        def counts(d: int, a: int, b: int) -> np.ndarray:
-            _, row, col, n = levels[d]
-            own = slice(*np.searchsorted(row, [a, b]))
-            out = np.zeros((b - a, wide))
-            out[row[own] - a, col[own]] = n[own]
-            return out
-
-        self.zero, self.one = decomposition(counts(0, 0, 1)[0])
-        sizes = [len(x[0]) for x in levels]
-        start = np.cumsum([0, *sizes])
-        self.child = np.full((start[-1], wide), -1, np.int32)
-        up = [np.zeros(0, int)]  # of each context, in ascending order, the one above it
-        for d in range(1, depth + 1):
-            up.append(np.searchsorted(levels[d - 1][0], levels[d][0] >> 8))
-            self.child[start[d - 1] + up[d], self.code[levels[d][0] & 255]] = start[d] + np.arange(sizes[d])
-        blocks = lambda d: ((a, min(a + 2048, sizes[d])) for a in range(0, sizes[d], 2048))  # noqa: E731  few dense rows at a time
-
-        def below_of(d: int, a: int, b: int) -> slice:
-            return slice(*np.searchsorted(up[d + 1], [a, b])) if d < depth else slice(0, 0)
-
-        def rest(d: int, a: int, b: int, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            """Zeros and ones of the continuations that have no context of their own."""
-            under = below_of(d, a, b)
-            count = count.copy()
-            for i, j in ((i, min(i + 2048, under.stop)) for i in range(under.start, under.stop, 2048)):
-                np.subtract.at(count, up[d + 1][i:j] - a, counts(d + 1, i, j))
-            return count @ self.zero, count @ self.one
-
-        # from the leaves: block probabilities, and the weight of stopping at each context
-        self.logs, below = np.ones((start[-1], wide), np.float32), np.zeros((0, wide - 1))
-        stop = [self.logs[i:j, :-1] for i, j in zip(start[:-1], start[1:], strict=True)]  # kept where the logs go later
-        for d in range(depth, -1, -1):
-            total = np.empty((sizes[d], wide - 1))
-            for a, b in blocks(d):
-                count, under = counts(d, a, b), below_of(d, a, b)
-                own = log_kt(count @ self.zero, count @ self.one)
-                total[a:b] = own
-                if under.start < under.stop:
-                    split = log_kt(*rest(d, a, b, count))
-                    np.add.at(split, up[d + 1][under] - a, below[under])
-                    parted = np.unique(up[d + 1][under]) - a
-                    total[a:b][parted] = np.logaddexp(own[parted], split[parted]) - np.log(2)
-                    stop[d][a:b][parted] = np.exp(own[parted] - np.log(2) - total[a:b][parted])
-            below = total
-        del below, total
-        # from the root: what the contexts above have given, and the weight that is left
-        given, left = np.zeros((1, wide - 1), np.float32), np.ones((1, wide - 1), np.float32)
-        for d in range(depth + 1):
-            at_given, at_left = given, left
-            if d < depth:
-                given, left = np.empty((sizes[d], wide - 1), np.float32), np.empty((sizes[d], wide - 1), np.float32)
-            for a, b in blocks(d):
-                above = up[d][a:b] if d else np.zeros(1, int)
-                count = counts(d, a, b)
-                z, o = count @ self.zero, count @ self.one
-                so_far = at_given[above] + at_left[above] * stop[d][a:b] * ((o + 0.5) / (z + o + 1))
-                open_ = at_left[above] * (1 - stop[d][a:b])
-                z, o = rest(d, a, b, count)
-                one = np.clip(so_far + open_ * ((o + 0.5) / (z + o + 1)), 1e-12, 1 - 1e-12)
-                self.logs[start[d] + a : start[d] + b] = np.log10(1 - one) @ self.zero.T + np.log10(one) @ self.one.T
-                if d < depth:
-                    given[a:b], left[a:b] = so_far, open_
-
-    def score(self, texts: list[bytes]) -> np.ndarray:
-        """log10 probability of each text and its end."""
-        pad = b"\0" * self.depth
-        raw = self.code[np.frombuffer(b"".join([pad + t + END for t in texts]), np.uint8)]
-        size = np.array([len(t) + self.depth + 1 for t in texts])
-        first = np.cumsum(size) - size
-        n, child, wide = len(raw) - self.depth, self.child.ravel(), self.child.shape[1]
-        state, at = np.zeros(n, np.int32), np.arange(n)
-        for d in range(1, self.depth + 1):
-            nxt = child[state[at].astype(np.int64) * wide + raw[at + self.depth - d]]
-            deeper = nxt >= 0
-            at = at[deeper]
-            state[at] = nxt[deeper]
-        logs = np.zeros(len(raw))
-        logs[self.depth :] = self.logs.ravel()[state.astype(np.int64) * wide + raw[self.depth :]] + np.where(raw[self.depth :] == wide - 1, self.other, 0.0)
-        for i in range(self.depth):
-            logs[first + i] = 0
-        return np.add.reduceat(logs, first)
-
-
-def grams(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (context, symbol) pairs, packed nearest byte first with the symbol last, and their counts."""
-    pad = b"\0" * depth
-    raw = np.frombuffer(b"".join([pad + t + END for t in texts]), np.uint8)
-    size = np.array([len(t) + depth + 1 for t in texts])
-    coded = np.ones(len(raw), bool)
-    for i in range(depth):
-        coded[np.cumsum(size) - size + i] = False
-    n = len(raw) - depth
-    key = np.zeros(n, np.uint64)
-    for d in range(1, depth + 1):
-        key = (key << np.uint64(8)) | raw[depth - d : depth - d + n]
-    return counted(((key << np.uint64(8)) | raw[depth:])[coded[depth:]], None)
-
-
-def counted(keys: np.ndarray, n: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
-    if n is None:
-        keys = np.sort(keys)
-    else:
-        order = np.argsort(keys, kind="stable")
-        keys, n = keys[order], n[order]
-    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, int)
-    return keys[first], (np.diff(np.r_[first, len(keys)]) if n is None else np.add.reduceat(n, first) if len(first) else n)
-
-
 class Paths:
     """The decisions on the way to each symbol: nodes, and whether the one side is taken."""
 
@@ -228,26 +111,30 @@ class Level:
     def above(self) -> np.ndarray:
         return self.key >> 16 << 8 | self.key & 255
 
-    def often(self, root: int, least: int) -> np.ndarray:
-        """Keep the contexts that are visited `least` times or more, and tell which; the root's decision is made at each visit."""
-        context, visits = self.key >> 8, np.zeros(len(self.key))
-        own = np.flatnonzero(self.key & 255 == root)
-        visits = (self.zeros + self.ones)[own][np.searchsorted(context[own], context)] if len(own) else visits
-        keep = visits >= least
-        self.key, self.zeros, self.ones = self.key[keep], self.zeros[keep], self.ones[keep]
-        return keep
-
-    def weigh(self, below: Level | None) -> None:
-        """Block probabilities, the weight of stopping, and the counts of continuations that have no context of their own."""
+    def often(self, root: int, least: int) -> None:
+        """Keep the contexts that are visited `least` times or more; the root's decision is made at each visit."""
+        context, own = self.key >> 8, np.flatnonzero(self.key & 255 == root)
+        if len(own):
+            keep = (self.zeros + self.ones)[own][np.searchsorted(context[own], context)] >= least
+            self.key, self.zeros, self.ones = self.key[keep], self.zeros[keep], self.ones[keep]
+
+    def under(self, below: Level) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """What the contexts right below hold: zeros, ones, ln of their block probabilities."""
+        at, n = np.searchsorted(self.key, below.above()), len(self.key)
+        return np.bincount(at, below.zeros, n), np.bincount(at, below.ones, n), np.bincount(at, below.total, n)
+
+    def weigh(self, root: int, zeros: np.ndarray, ones: np.ndarray, total: np.ndarray) -> None:
+        """Block probabilities, the weight of stopping, and the counts of continuations that have no context of their own.
+
+        zeros, ones, total: what lies right below, as `under` gives it.
+        """
         own = log_kt(self.zeros, self.ones)
-        self.total, self.stop, self.rest = own, np.ones(len(own)), (self.zeros, self.ones)
-        if below is not None and len(below.key):
-            at, n = np.searchsorted(self.key, below.above()), len(own)
-            self.rest = self.zeros - np.bincount(at, below.zeros, n), self.ones - np.bincount(at, below.ones, n)
-            split = log_kt(*self.rest) + np.bincount(at, below.total, n)
-            parted = np.isin(self.key >> 8, np.unique(below.key >> 16))
-            self.total = np.where(parted, np.logaddexp(own, split) - np.log(2), own)
-            self.stop = np.where(parted, np.exp(np.minimum(0, own - np.log(2) - self.total)), 1.0)
+        self.rest = self.zeros - zeros, self.ones - ones
+        context, roots = self.key >> 8, self.key & 255 == root
+        parted = np.isin(context, context[roots & (zeros + ones > 0)])
+        split = np.where(parted, log_kt(*self.rest) + total, own)
+        self.total = np.where(parted, np.logaddexp(own, split) - np.log(2), own)
+        self.stop = np.where(parted, np.exp(np.minimum(0, own - np.log(2) - self.total)), 1.0)
 
     def find(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if not len(self.key):
@@ -256,48 +143,148 @@ class Level:
         return at, self.key[at] == key
 
 
-def grown(bottom: Level, paths: Paths, depth: int, top: int, least: int) -> list[Level]:
-    """Levels from top to depth, weighed from the deepest up. The contexts of the top are all held, wanted or not."""
-    levels = [bottom]
-    for _ in range(depth - top):
+def nothing(level: Level) -> tuple[np.ndarray, ...]:
+    return (np.zeros(len(level.key)),) * 3
+
+
+def grown(keys: np.ndarray, n: np.ndarray, paths: Paths, depth: int, deal: int, least: int) -> tuple[Level, list[Level]]:
+    """From pairs of context and symbol: the level right above `deal`, not weighed, and those from there to depth, weighed from the deepest up."""
+    row, node, bit = paths.expand(keys)
+    levels = [Level((keys >> np.uint64(8)).astype(np.int64)[row] << 8 | node, n[row] * (1 - bit), n[row] * bit)]
+    for _ in range(depth - deal + 1):
         levels.insert(0, Level(levels[0].above(), levels[0].zeros, levels[0].ones))
     below = None
-    for level in reversed(levels):
-        if least and level is not levels[0]:
-            level.often(paths.root, least)
-        level.weigh(below)
+    for level in reversed(levels[1:]):
+        level.often(paths.root, least)
+        level.weigh(paths.root, *(nothing(level) if below is None else level.under(below)))
         below = level
-    return levels
+    return levels[0], levels[1:]
 
 
 def predicted(levels: list[Level], paths: Paths, keys: np.ndarray, depth: int) -> np.ndarray:
     """log10 probability of each key's symbol after its context, by the levels from depth 0 on."""
     row, node, bit = paths.expand(keys)
     one, given, left = np.full(len(row), 0.5), np.zeros(len(row)), np.ones(len(row))
-    context, at = (keys >> np.uint64(8)).astype(np.int64)[row], np.arange(len(row))
+    context, at = (keys >> np.uint64(8)).astype(np.int64), np.arange(len(row))
+    inside = np.ones(len(keys), bool)  # whether the context of this depth has its place
     for d, level in enumerate(levels):
-        key = context[at] >> 8 * (depth - d) << 8 | node[at]
-        place, met = level.find(key)
+        place, met = level.find(context[row[at]] >> 8 * (depth - d) << 8 | node[at])
         one[at[~met]] = given[at[~met]] + left[at[~met]] / 2  # nothing is known of this decision from here on
         at, place = at[met], place[met]
         z, o = level.zeros[place], level.ones[place]
         so_far = given[at] + left[at] * level.stop[place] * ((o + 0.5) / (z + o + 1))
         open_ = left[at] * (1 - level.stop[place])
-        deeper = np.zeros(len(at), bool)
-        if d < depth:
-            deeper = levels[d + 1].find(context[at] >> 8 * (depth - d - 1) << 8 | paths.root)[1]
         z, o = level.rest[0][place], level.rest[1][place]
         one[at] = so_far + open_ * ((o + 0.5) / (z + o + 1))
-        given[at], left[at] = so_far, open_
-        at = at[deeper]
+        if d < depth:
+            given[at], left[at] = so_far, open_
+            inside[inside] = levels[d + 1].find(context[inside] >> 8 * (depth - d - 1) << 8 | paths.root)[1]
+            at = at[inside[row[at]]]
     one = np.clip(one, 1e-12, 1 - 1e-12)
     out = np.bincount(row, np.log10(np.where(bit > 0, one, 1 - one)), len(keys))
     return out + np.where(paths.code[(keys & np.uint64(255)).astype(np.int64)] == len(paths.edge) - 2, paths.other, 0.0)
 
 
-def bottom_of(keys: np.ndarray, n: np.ndarray, paths: Paths) -> Level:
-    row, node, bit = paths.expand(keys)
-    return Level((keys >> np.uint64(8)).astype(np.int64)[row] << 8 | node, n[row] * (1 - bit), n[row] * bit)
+def upper(joint: pd.DataFrame, paths: Paths, deal: int, least: int) -> list[Level]:
+    """The levels above `deal`, weighed. joint: the parts' sums of the lowest of them: key, zeros, ones and what lies right below."""
+    joint = joint.sort_values("key")
+    columns = [joint[c].to_numpy(float) for c in ("zeros", "ones", "zeros_under", "ones_under", "total_under")]
+    levels = [Level(joint["key"].to_numpy(np.int64), *columns[:2])]
+    for _ in range(deal - 1):
+        levels.insert(0, Level(levels[0].above(), levels[0].zeros, levels[0].ones))
+    every, below = levels[-1].key, None
+    for d in range(deal - 1, -1, -1):
+        level = levels[d]
+        if d:
+            level.often(paths.root, least)
+        level.weigh(paths.root, *(level.under(below) if below else (x[np.isin(every, level.key)] for x in columns[2:])))
+        below = level
+    return levels
+
+
+# --- texts as keys --------------------------------------------------------------------------------------------------
+
+
+class Bytes:
+    """Texts one after the other, each after `depth` zeros and closed by END; keys pack a context, nearest byte first, and its symbol."""
+
+    def __init__(self, texts: list[bytes], depth: int):
+        pad = b"\0" * depth
+        self.raw, self.depth = np.frombuffer(b"".join([pad + t + END for t in texts]), np.uint8), depth
+        size = np.fromiter((len(t) + depth + 1 for t in texts), np.int64, len(texts))
+        self.first = np.cumsum(size) - size
+        self.coded = np.ones(len(self.raw), bool)
+        for i in range(depth):
+            self.coded[self.first + i] = False
+
+    def windows(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Where a window starts, its keys, and which of them belong to a text's symbols."""
+        for a in range(self.depth, len(self.raw), WINDOW):
+            b = min(a + WINDOW, len(self.raw))
+            key = np.zeros(b - a, np.uint64)
+            for d in range(1, self.depth + 1):
+                key <<= np.uint64(8)
+                key |= self.raw[a - d : b - d]
+            key <<= np.uint64(8)
+            key |= self.raw[a:b]
+            yield a, key, self.coded[a:b]
+
+    def counted(self) -> tuple[np.ndarray, np.ndarray]:
+        """The distinct keys, ascending, and their counts."""
+        keys, n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        for _, key, coded in self.windows():
+            key = key[coded]
+            key.sort()
+            first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, int)
+            keys, n = added([keys, key[first]], [n, np.diff(np.r_[first, len(key)])])
+        return keys, n
+
+    def sums(self, keys: np.ndarray, value: np.ndarray) -> np.ndarray:
+        """For each text the sum of its symbols' values; keys holds every key of the texts."""
+        find, out = Lookup(keys), np.zeros(len(self.first))
+        for a, key, coded in self.windows():
+            at = np.zeros(len(key))
+            at[coded] = value[find(key[coded])]
+            t = slice(int(np.searchsorted(self.first, a, "right")) - 1, int(np.searchsorted(self.first, a + len(key) - 1, "right")))
+            out[t] += np.add.reduceat(at, np.maximum(self.first[t] - a, 0))
+        return out
+
+
+def added(keys: list[np.ndarray], n: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys of ascending runs, ascending, and the sums of their counts."""
+    key, n = np.concatenate(keys), np.concatenate(n)
+    order = np.argsort(key, kind="stable")  # merges runs
+    key, n = key[order], n[order]
+    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, int)
+    return key[first], np.add.reduceat(n, first) if len(first) else n
+
+
+class Lookup:
+    """Positions of keys that are all known, by a hash table with linear probing."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys, bits = keys, max(4, int(2 * len(keys)).bit_length())
+        self.mask, self.shift = (1 << bits) - 1, np.uint64(64 - bits)
+        self.slot = np.full(1 << bits, -1, np.int32)
+        left, pos = np.arange(len(keys), dtype=np.int32), self.hash(keys)
+        while len(left):
+            free = self.slot[pos] < 0
+            self.slot[pos[free]] = left[free]
+            out = self.slot[pos] != left
+            left, pos = left[out], pos[out] + 1 & self.mask
+
+    def hash(self, keys: np.ndarray) -> np.ndarray:
+        return (keys * np.uint64(0x9E3779B97F4A7C15) >> self.shift).astype(np.int64)
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        pos = self.hash(keys)
+        at = self.slot[pos]
+        off = np.flatnonzero(self.keys[at] != keys)
+        while len(off):
+            pos[off] = pos[off] + 1 & self.mask
+            at[off] = self.slot[pos[off]]
+            off = off[self.keys[at[off]] != keys[off]]
+        return at
 
 
 def packed_keys(keys: np.ndarray) -> bytes:
@@ -309,56 +296,6 @@ def unpacked_keys(raw: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view(np.uint64).ravel(), dtype=np.uint64)
 
 
-def fit(docs: DataFrame, learn: Column, text: str = "text", depth: int = DEPTH, least: int = LEAST) -> tuple[DataFrame, Paths, list[Level]]:
-    """The context tree of the rows where `learn` holds: counts by context and symbol, with the context's nearest bytes as `p`; the
-    decisions' paths; and the levels above p's.
-
-    Every context that is visited `least` times or more has its place, so the tree grows with the corpus. It stays dealt out by the
-    TOP nearest bytes; only the contexts of so many bytes, at most 256 ** TOP whatever the corpus, meet on the driver.
-    """
-    top = min(TOP, depth)
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        keys, n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        for pdf in batches:
-            texts = pdf["t"].to_list()
-            for at in slices(texts, 6_000_000):
-                k, m = grams([t.encode().lower() for t in texts[at]], depth)
-                keys, n = counted(np.concatenate([keys, k]), np.concatenate([n, m]))
-                if len(keys) > 4_000_000:
-                    yield pd.DataFrame({"k": keys.astype(np.int64), "n": n})
-                    keys, n = keys[:0], n[:0]
-        yield pd.DataFrame({"k": keys.astype(np.int64), "n": n})
-
-    found = docs.filter(learn).select(whole(F.col(text)).alias("t")).mapInPandas(count, "k long, n long")
-    found = written(found.groupBy("k").agg(F.sum("n").alias("n")).withColumn("p", F.shiftright("k", 8 * (depth + 1 - top))), "ctw-grams")
-    n = np.zeros(256)
-    for r in found.groupBy((F.col("k") % 256).alias("s")).agg(F.sum("n").alias("n")).collect():  # 256 rows at most
-        n[r.s] = r.n
-    paths = Paths(n)
-
-    def upward(pdf: pd.DataFrame) -> pd.DataFrame:
-        level = grown(bottom_of(pdf["k"].to_numpy(np.uint64), pdf["n"].to_numpy(float), paths), paths, depth, top, least)[0]
-        return pd.DataFrame({c: [x.tobytes()] for c, x in (("key", level.key), ("zeros", level.zeros), ("ones", level.ones), ("total", level.total))})
-
-    rows = found.groupBy("p").applyInPandas(upward, "key binary, zeros binary, ones binary, total binary").collect()
-    take = lambda c, kind: np.concatenate([np.zeros(0, kind), *(np.frombuffer(r[c], kind) for r in rows)])
-    key = take("key", np.int64)
-    order = np.argsort(key)
-    joint = Level(key, take("zeros", float), take("ones", float))
-    levels = [joint]
-    for _ in range(top):
-        levels.insert(0, Level(levels[0].above(), levels[0].zeros, levels[0].ones))
-    joint.total = take("total", float)[order]
-    keep = joint.often(paths.root, least) if top else slice(None)
-    joint.total = joint.total[keep]
-    for d in range(top - 1, -1, -1):
-        if d:
-            levels[d].often(paths.root, least)
-        levels[d].weigh(levels[d + 1])
-    return found, paths, levels[:top]
-
-
 # --- documents ------------------------------------------------------------------------------------------------------
 
 
@@ -367,123 +304,145 @@ def score_documents(docs: DataFrame, held_out: Column, text: str = "text", key:
 
     Returns key, held_out, n_tokens, n_known, train_tokens, base_score, score (log10 probability of the text and its end),
     bits_per_byte. ASCII letters are taken in lower case. A null text counts as empty: it has one token, the end. Repeated
-    rows each count and keep a row; an empty table gives no rows; other columns are ignored.
-
-    Words: each task numbers the words of a chunk of documents and deals the chunk's distinct words with their counts into
-    buckets, by a 64-bit hash (two words that share one would be counted as one; among 10^9 words that is 1 pair in 40).
-    A bucket adds up its counts and sends each chunk its words' sums, which meet the chunk's documents by the numbers. So a
-    frequent word costs one entry in each chunk, and neither vocabulary nor texts are gathered anywhere. Pairs of context and
-    symbol go the same way, dealt out by the context's nearest bytes to where that part of the tree is.
+    rows each count and keep a row; an empty table gives no rows; other columns are ignored. A very long text is a chunk of
+    its own, whose contexts are packed window by window. depth is 1 to 6.
+
+    One pass over the texts cuts them into chunks and sends each chunk's distinct words and distinct pairs of context and
+    symbol, with their counts in its training texts, to buckets: words by a hash, pairs by the context's DEAL nearest bytes,
+    so a frequent one costs one entry in each chunk. A bucket of pairs adds up its counts, weighs its part of the tree and
+    sends sums up; the levels above DEAL, at most 256 ** (DEAL - 1) contexts whatever the corpus, meet on the driver and go
+    back to all. Then a bucket predicts each of its pairs once and answers the chunks, where sums by text are taken.
     """
+    assert 1 <= depth <= DEPTH
     spark = docs.sparkSession
-    kind = dict(docs.dtypes)[key]
-    found, paths, levels = fit(docs, ~held_out, text, depth, least)
-    top = min(TOP, depth)
-    tree = spark.sparkContext.broadcast((paths, levels))
-    buckets = max(64, 4 * partitions(spark))
+    kind, deal = dict(docs.dtypes)[key], min(DEAL, depth)
+    buckets = max(32, 4 * partitions(spark))
     rows = docs.select(F.col(key), whole(F.col(text)).alias("t"), held_out.alias("held_out"))
-    trained = rows.filter(~F.col("held_out")).count()
-
-    def numbered(own: list[bytes]) -> tuple[np.ndarray, dict[bytes, int]]:
-        """Hashes of the distinct words by bucket, and the number of each word in that order."""
-        import xxhash
+    names = ["chunk", "part", "bucket", key, "held_out", "body", "items", "counts", "n"]
+    schema = f"chunk long, part int, bucket int, {key} {kind}, held_out boolean, body binary, items binary, counts binary, n long"
 
-        words = list(set().union(*(t.split() for t in own)))
-        hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in words], np.uint64)
-        order = np.lexsort((hashes, hashes % np.uint64(buckets)))
-        return hashes[order], dict(zip(map(words.__getitem__, order.tolist()), range(len(order)), strict=True))
-
-    def distinct(own: list[bytes]) -> np.ndarray:
-        """Pairs of context and symbol in ascending order, a slice of the texts at a time."""
-        keys = np.zeros(0, np.uint64)
-        for s in slices(own, 4_000_000):
-            keys = np.union1d(keys, grams(own[s], depth)[0])
-        return keys
+    def dealt(keys: np.ndarray) -> np.ndarray:
+        place = keys >> np.uint64(8 * (depth + 1 - deal))
+        return ((place * np.uint64(2654435761) & np.uint64(0xFFFFFFFF)) >> np.uint64(8)).astype(np.int64) % buckets
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Rows of part 0: documents; 1: words; 2: pairs of context and symbol; 3: symbols of training texts."""
         chunk = TaskContext.get().partitionId() << 32
-        names = ["chunk", "part", key, "held_out", "body", "bucket", "hashes", "counts"]
         for pdf in batches:
-            texts, held = pdf["t"].to_list(), pdf["held_out"].to_numpy(bool)
+            texts, out_of = pdf["t"].to_list(), pdf["held_out"].to_numpy(bool)
             for at in slices(texts, CHARS):
-                own = [t.encode().lower() for t in texts[at]]
-                hashes, number = numbered(own)
-                counts = np.zeros(len(hashes), np.int64)
-                for t, h in zip(own, held[at], strict=True):
-                    if not h:
-                        np.add.at(counts, np.array([number[w] for w in t.split()], np.int64), 1)
-                del number
-                out = pd.DataFrame({key: pdf[key].iloc[at].to_numpy(), "held_out": held[at], "body": own})
-                yield out.assign(chunk=chunk, part=0, bucket=0, hashes=None, counts=None).astype({key: pdf[key].dtype})[names]
-                edge = np.searchsorted(hashes % np.uint64(buckets), np.arange(buckets + 1, dtype=np.uint64))
-                some = np.flatnonzero(np.diff(edge))
-                cut = lambda x: [x[edge[b] : edge[b + 1]].tobytes() for b in some]  # noqa: E731, B023
-                rest = {"chunk": chunk, key: None, "held_out": None, "body": None}
-                yield pd.DataFrame({**rest, "part": 1, "bucket": some, "hashes": cut(hashes), "counts": cut(counts)})[names]
-                keys = distinct(own)
-                place = (keys >> np.uint64(8 * (depth + 1 - top))).astype(np.int64)
-                edge = np.r_[np.flatnonzero(np.diff(place, prepend=-1)), len(keys)]
-                yield pd.DataFrame({**rest, "part": 2, "bucket": place[edge[:-1]], "hashes": [packed_keys(keys[a:b]) for a, b in zip(edge[:-1], edge[1:], strict=True)], "counts": None})[names]
+                own, held = [t.encode().lower() for t in texts[at]], out_of[at]
+                made = lambda part, **columns: pd.DataFrame({**dict.fromkeys(names), "chunk": chunk, "part": part, **columns})[names]  # noqa: E731, B023
+                yield made(0, **{key: pdf[key].iloc[at].to_numpy(), "held_out": held, "body": own}).astype({key: pdf[key].dtype})
+                trained, words = [t for t, h in zip(own, held, strict=True) if not h], Counter()
+                for t in trained:
+                    words.update(t.split())
+                for t, h in zip(own, held, strict=True):
+                    if h:
+                        words.update(dict.fromkeys(set(t.split()) - words.keys(), 0))
+                shares = [[] for _ in range(buckets)]
+                for w in words:
+                    shares[zlib.crc32(w) % buckets].append(w)
+                some = [b for b in range(buckets) if shares[b]]
+                yield made(1, bucket=some, items=[b" ".join(shares[b]) for b in some], counts=[np.array([words[w] for w in shares[b]], np.int64).tobytes() for b in some])
+                del words, shares
+                raw = Bytes(trained, depth)
+                symbols = np.bincount(raw.raw[raw.coded], minlength=256)
+                yield made(3, bucket=np.flatnonzero(symbols), n=symbols[symbols > 0])
+                keys, n = raw.counted()
+                del raw
+                more = Bytes([t for t, h in zip(own, held, strict=True) if h], depth).counted()[0]
+                keys, n = added([keys, more], [n, np.zeros(len(more), np.int64)])
+                place = dealt(keys)
+                order = np.argsort(place, kind="stable")
+                edge = np.searchsorted(place[order], np.arange(buckets + 1))
+                parts = [order[a:b] for a, b in zip(edge[:-1], edge[1:], strict=True)]
+                some = [b for b in range(buckets) if len(parts[b])]
+                yield made(2, bucket=some, items=[packed_keys(keys[parts[b]]) for b in some], counts=[n[parts[b]].astype(np.uint32).tobytes() for b in some])
                 chunk += 1
 
-    schema = f"chunk long, part int, {key} {kind}, held_out boolean, body binary, bucket int, hashes binary, counts binary"
     held = written(rows.mapInPandas(read, schema), "ctw-chunks")
-
-    def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        hashes = [np.frombuffer(x, np.uint64) for x in pdf["hashes"]]
-        own, at = np.unique(np.concatenate(hashes), return_inverse=True)
-        sums = np.zeros(len(own), np.int64)
-        np.add.at(sums, at, np.concatenate([np.frombuffer(x, np.int64) for x in pdf["counts"]]))
-        back = np.split(sums[at], np.cumsum([len(h) for h in hashes])[:-1])
+    trained = held.filter("part = 0 AND NOT held_out").count()
+
+    def add_words(pdf: pd.DataFrame) -> pd.DataFrame:
+        total = Counter()
+        for items, n in zip(pdf["items"], pdf["counts"], strict=True):
+            for w, c in zip(items.split(b" "), np.frombuffer(n, np.int64).tolist(), strict=True):
+                total[w] += c
+        sums = [np.array([total[w] for w in items.split(b" ")], np.int64).tobytes() for items in pdf["items"]]
         n, v = np.zeros(len(pdf), np.int64), np.zeros(len(pdf), np.int64)
-        n[0], v[0] = sums.sum(), (sums > 0).sum()
-        return pd.DataFrame({"chunk": pdf["chunk"], "bucket": pdf["bucket"], "sums": [b.tobytes() for b in back], "n": n, "v": v})
+        n[0], v[0] = total.total(), sum(c > 0 for c in total.values())
+        return pd.DataFrame({"chunk": pdf["chunk"], "items": pdf["items"], "sums": sums, "n": n, "v": v})
+
+    words = held.filter("part = 1").select("chunk", "bucket", "items", "counts").groupBy("bucket")
+    words = written(words.applyInPandas(add_words, "chunk long, items binary, sums binary, n long, v long"), "ctw-words")
+    n_all, v_all = (x or 0 for x in words.agg(F.sum("n"), F.sum("v")).first())
+    n_all, v_all = n_all + trained, v_all + (trained > 0)
+
+    symbols = np.zeros(256)
+    for r in held.filter("part = 3").groupBy("bucket").agg(F.sum("n").alias("n")).collect():  # 256 rows at most
+        symbols[r.bucket] = r.n
+    paths = Paths(symbols)
+    sums_of = ["zeros", "ones", "zeros_under", "ones_under", "total_under"]
+
+    def add_pairs(pdf: pd.DataFrame) -> pd.DataFrame:
+        keys, n = added([unpacked_keys(x) for x in pdf["items"]], [np.frombuffer(x, np.uint32).astype(np.int64) for x in pdf["counts"]])
+        some = n > 0
+        joint, levels = grown(keys[some], n[some].astype(float), paths, depth, deal, least)
+        sums = pd.DataFrame(dict(zip(["key", *sums_of], [joint.key, joint.zeros, joint.ones, *joint.under(levels[0])], strict=True)))
+        cells = pd.DataFrame({"bucket": pdf["bucket"].iloc[:1], "items": [packed_keys(keys)], "counts": [n.tobytes()]})
+        return pd.concat([cells, sums])[["bucket", "items", "counts", "key", *sums_of]].astype({"bucket": "Int64", "key": "Int64"})
+
+    pairs = held.filter("part = 2").select("bucket", "items", "counts").groupBy("bucket")
+    pairs = written(pairs.applyInPandas(add_pairs, "bucket int, items binary, counts binary, key long, " + ", ".join(f"{c} double" for c in sums_of)), "ctw-pairs")
+    joint = pairs.filter("key IS NOT NULL").groupBy("key").agg(*[F.sum(c).alias(c) for c in sums_of]).toPandas()  # 256 ** (DEAL - 1) contexts at most
+    tree = spark.sparkContext.broadcast((paths, upper(joint, paths, deal, least)))
+
+    def predict(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        paths, levels = tree.value
+        for pdf in batches:
+            for bucket, items, counts in zip(pdf["bucket"], pdf["items"], pdf["counts"], strict=True):
+                keys, n = unpacked_keys(items), np.frombuffer(counts, np.int64)
+                own = levels + grown(keys[n > 0], n[n > 0].astype(float), paths, depth, deal, least)[1]
+                logs = [predicted(own, paths, keys[i : i + 100_000], depth) for i in range(0, len(keys), 100_000)]
+                yield pd.DataFrame({"bucket": [bucket], "items": [items], "logs": [np.concatenate(logs).astype(np.float32).tobytes()]})
 
-    sums = written(held.filter("part = 1").select("chunk", "bucket", "hashes", "counts").groupBy("bucket").applyInPandas(add, "chunk long, bucket int, sums binary, n long, v long"), "ctw-sums")
-    n, v = (x or 0 for x in sums.agg(F.sum("n"), F.sum("v")).first())
-    n, v = n + trained, v + (trained > 0)
+    cells = pairs.filter("items IS NOT NULL").select("bucket", "items", "counts").repartition(partitions(spark), "bucket")
+    cells = written(cells.mapInPandas(predict, "bucket int, items binary, logs binary"), "ctw-logs")
 
     salts = max(1, held.filter("part = 0").select("chunk").distinct().count() // TOGETHER)
-    salt = F.pmod(F.xxhash64("chunk"), F.lit(salts)).cast("int").alias("salt")
-    asked = held.filter("part = 2").select("chunk", "bucket", salt, "hashes")
-    cells = found.select(F.col("p").cast("int").alias("bucket"), F.explode(F.array(*[F.lit(i) for i in range(salts)])).alias("salt"), "k", "n")
+    asked = held.filter("part = 2").select("chunk", "bucket", F.pmod(F.xxhash64("chunk"), F.lit(salts)).cast("int").alias("salt"), "items")
+    cells = cells.withColumn("salt", F.explode(F.array(*[F.lit(i) for i in range(salts)])))
 
     def look_up(own: pd.DataFrame, cells: pd.DataFrame) -> pd.DataFrame:
         if not len(own):
-            return pd.DataFrame({"chunk": [], "bucket": [], "sums": []})
-        paths, levels = tree.value
-        cells = grown(bottom_of(cells["k"].to_numpy(np.uint64), cells["n"].to_numpy(float), paths), paths, depth, top, least)
-        cells[0].often(paths.root, least)
-        cells[0].weigh(cells[1] if len(cells) > 1 else None)
-        keys = [unpacked_keys(x) for x in own["hashes"]]
-        every = np.unique(np.concatenate(keys))
-        logs = np.concatenate([predicted([*levels, *cells], paths, every[i : i + 200_000], depth) for i in range(0, len(every), 200_000)]).astype(np.float32)
-        return pd.DataFrame({"chunk": own["chunk"], "bucket": own["bucket"], "sums": [logs[np.searchsorted(every, k)].tobytes() for k in keys]})
+            return pd.DataFrame({"chunk": [], "items": [], "sums": []})
+        keys, logs = unpacked_keys(cells["items"].iloc[0]), np.frombuffer(cells["logs"].iloc[0], np.float32)
+        return pd.DataFrame({"chunk": own["chunk"], "items": own["items"], "sums": [logs[np.searchsorted(keys, unpacked_keys(x))].tobytes() for x in own["items"]]})
 
-    logs = asked.groupBy("bucket", "salt").cogroup(cells.groupBy("bucket", "salt")).applyInPandas(look_up, "chunk long, bucket int, sums binary")
+    logs = asked.groupBy("bucket", "salt").cogroup(cells.groupBy("bucket", "salt")).applyInPandas(look_up, "chunk long, items binary, sums binary")
 
     def meet(own: pd.DataFrame, back: pd.DataFrame) -> pd.DataFrame:
-        back = back.sort_values(["part", "bucket"])
-        joined = lambda part, kind: np.concatenate([np.zeros(0, kind), *(np.frombuffer(x, kind) for x in back.loc[back["part"] == part, "sums"])])
-        count, log_of = joined(1, np.int64), joined(2, np.float32)
         body = own["body"].to_list()
-        _, number = numbered(body)
-        numbers = [np.array([number[w] for w in t.split()], np.int64) for t in body]
-        keys, scores = distinct(body), [np.zeros(0)]
-        for s in slices(body, 1_000_000):
-            scores.append(np.array([log_of[np.searchsorted(keys, k)].astype(float) @ n for k, n in (grams([t], depth) for t in body[s])]))
-        logs = np.log10(count + 1.0)
-        out = own[[key, "held_out"]].copy()
-        out["n_tokens"] = [len(x) + 1 for x in numbers]
-        out["n_known"] = [int((count[x] > 0).sum()) + (trained > 0) for x in numbers]
-        out["train_tokens"] = n_all
-        out["base_score"] = [logs[x].sum() + np.log10(trained + 1) - (len(x) + 1) * np.log10(n_all + v + 1) for x in numbers]
-        out["score"] = np.concatenate(scores)
-        out["bits_per_byte"] = -out["score"] * np.log2(10) / (np.array([len(t) for t in body]) + 1)
-        return out[[key, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"]]
-
-    n_all = n
-    back = sums.select("chunk", F.lit(1).alias("part"), "bucket", "sums").unionByName(logs.withColumn("part", F.lit(2)))
+        log_of = {}
+        for items, sums in back.loc[back["part"] == 1, ["items", "sums"]].itertuples(index=False):
+            log_of.update(zip(items.split(b" "), np.log10(np.frombuffer(sums, np.int64) + 1.0).tolist(), strict=True))
+        n_tokens, n_known, base = [], [], []
+        for t in body:
+            found = list(map(log_of.__getitem__, t.split()))
+            n_tokens.append(len(found) + 1)
+            n_known.append(len(found) - found.count(0.0) + (trained > 0))
+            base.append(sum(found) + np.log10(trained + 1) - n_tokens[-1] * np.log10(n_all + v_all + 1))
+        del log_of
+        back = back[back["part"] == 2]
+        keys = np.concatenate([np.zeros(0, np.uint64), *map(unpacked_keys, back["items"])])
+        logs = np.concatenate([np.zeros(0, np.float32), *(np.frombuffer(x, np.float32) for x in back["sums"])])
+        score = Bytes(body, depth).sums(keys, logs)
+        out = own[[key, "held_out"]].assign(n_tokens=n_tokens, n_known=n_known, train_tokens=n_all, base_score=base, score=score)
+        out["bits_per_byte"] = -score * np.log2(10) / (np.array([len(t) for t in body]) + 1)
+        return out
+
+    back = words.select("chunk", F.lit(1).alias("part"), "items", "sums").unionByName(logs.withColumn("part", F.lit(2)))
     documents = held.filter("part = 0").select("chunk", key, "held_out", "body")
     return documents.groupBy("chunk").cogroup(back.groupBy("chunk")).applyInPandas(
         meet, f"{key} {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double"

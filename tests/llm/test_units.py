@@ -18,6 +18,8 @@ from gridjobs.llm.quality_mil import AttentionBags, encode
 from gridjobs.llm.sharding import longest_first
 from gridjobs.llm.topk import NONE, best, products
 
+from dense_tree import Tree
+
 PATH = P.path("byte_bpe_multi_50k.tiktoken")
 ODD = ["", " ", "  a  b ", "\n x", "a　b  c\x1cd e\x85f", "1²½Ⅷ٣ áb 漢字かな", "a" * 700, "x \n\n  y\t\tz ", "don't I'll 'S", "é́ z\x00 \x1c q", "a \x1c b", " " * 50, "\n" * 9 + "a b\t "]
 
@@ -96,13 +98,13 @@ def test_best_breaks_ties_by_id():
 
 def test_context_tree_is_a_distribution_and_follows_the_definition():
     texts = [b"abracadabra", b"abra", b"", b"cadabra " * 5]
-    keys, n = ctw.grams(texts, 2)
+    keys, n = ctw.Bytes(texts, 2).counted()
     cells = []
     for d in range(3):
         for k, m in zip(keys.tolist(), n.tolist(), strict=True):
             cells.append((d, k >> (8 * (3 - d)), k & 255, m))
     cells = pd.DataFrame(cells, columns=["d", "ctx", "sym", "n"]).groupby(["d", "ctx", "sym"], as_index=False).sum()
-    tree = ctw.Tree(cells, 2)
+    tree = Tree(cells, 2)
     unseen = np.bincount(tree.code, minlength=tree.logs.shape[1])[-1]
     assert (10.0 ** (tree.logs[:, tree.code] + np.where(tree.code == tree.code.max(), tree.other, 0))).sum(1) == pytest.approx(1, abs=1e-4)
     assert tree.other == pytest.approx(-np.log10(unseen))
@@ -134,11 +136,28 @@ def test_context_tree_is_a_distribution_and_follows_the_definition():
     assert tree.score([b"abra"])[0] > tree.score([b"zzzz"])[0]
 
 
-def test_log_gamma():
-    from math import lgamma
+def test_log_kt():
+    from math import lgamma, log, pi
+
+    pairs_of = [(0, 0), (0, 1), (3, 0), (7, 9), (4095, 1), (4096, 5000), (10**7, 3)]
+    want = [lgamma(z + 0.5) + lgamma(o + 0.5) - lgamma(z + o + 1) - log(pi) for z, o in pairs_of]
+    assert ctw.log_kt(*np.array(pairs_of, float).T) == pytest.approx(want, rel=1e-8, abs=1e-8)
 
-    x = np.array([0.5, 1, 1.5, 7, 1e6])
-    assert ctw.log_gamma(x) == pytest.approx([lgamma(v) for v in x], rel=1e-8, abs=1e-8)
+
+def test_keys_are_found_and_summed_across_windows(monkeypatch):
+    monkeypatch.setattr(ctw, "WINDOW", 7)
+    texts = [b"abracadabra", b"", b"abra", b"x" * 30]
+    keys, n = ctw.Bytes(texts, 3).counted()
+    want = {}
+    for t in texts:
+        s = b"\0\0\0" + t + ctw.END
+        for i in range(3, len(s)):
+            k = int.from_bytes(s[i - 3 : i][::-1] + s[i : i + 1], "big")
+            want[k] = want.get(k, 0) + 1
+    assert dict(zip(keys.tolist(), n.tolist(), strict=True)) == want
+    assert ctw.unpacked_keys(ctw.packed_keys(keys)).tolist() == keys.tolist()
+    assert ctw.Lookup(keys)(keys[::-1]).tolist() == list(range(len(keys)))[::-1]
+    assert ctw.Bytes(texts, 3).sums(keys, np.ones(len(keys))).tolist() == [len(t) + 1 for t in texts]
 
 
 def test_bayesian_bound():
