@@ -2,8 +2,8 @@
 
 A byte is a run of binary decisions down a Huffman tree of the training bytes, so that frequent bytes take few; bytes that
 no training text holds share one leaf. Each decision is a node, whose tree splits by the preceding bytes, nearest first. A
-context has its place if the corpus visits it twice, so the tree grows with the corpus and stays dealt out by the nearest
-bytes; a context's other continuations stay together in one further leaf. At each context the Krichevsky-Trofimov estimate
+context has its place if the corpus visits it, so the tree grows with the corpus and stays dealt out by the nearest bytes; a
+context's other continuations stay together in one further leaf. At each context the Krichevsky-Trofimov estimate
 stands against the product of what lies below it, half each; the posterior weights mix the estimates of all depths.
 """
 
@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 from .chunks import slices
 from .common import partitions, whole, written
 
-#: Preceding bytes of the longest context (7 bytes of a key), and visits that a context needs for a place of its own, whatever the corpus.
-DEPTH, LEAST = 6, 2
+#: Preceding bytes of the longest context (seven and the symbol make a 64-bit key), and visits that a context needs for a place of its own.
+DEPTH, LEAST = 7, 1
 #: The tree is dealt out by so many nearest bytes of the context; chunks whose contexts one task looks up.
 DEAL, TOGETHER = 3, 64
 #: Closes every text; no UTF-8 text holds it. Zeros stand before a text's first byte.
@@ -84,8 +84,9 @@ class Paths:
         self.code[seen] = np.arange(len(seen))
         self.other = -np.log10(max(1, 256 - len(seen)))
         zero, one = decomposition(np.r_[n[seen], 0].astype(float))
-        column, self.node = np.nonzero(zero + one)
-        self.bit = one[column, self.node]
+        column, node = np.nonzero(zero + one)
+        self.node = node.astype(np.uint64)
+        self.bit = one[column, node]
         self.edge = np.searchsorted(column, np.arange(len(seen) + 2))
         self.root = zero.shape[1] - 1
 
@@ -150,7 +151,7 @@ def nothing(level: Level) -> tuple[np.ndarray, ...]:
 def grown(keys: np.ndarray, n: np.ndarray, paths: Paths, depth: int, deal: int, least: int) -> tuple[Level, list[Level]]:
     """From pairs of context and symbol: the level right above `deal`, not weighed, and those from there to depth, weighed from the deepest up."""
     row, node, bit = paths.expand(keys)
-    levels = [Level((keys >> np.uint64(8)).astype(np.int64)[row] << 8 | node, n[row] * (1 - bit), n[row] * bit)]
+    levels = [Level((keys >> np.uint64(8))[row] << 8 | node, n[row] * (1 - bit), n[row] * bit)]
     for _ in range(depth - deal + 1):
         levels.insert(0, Level(levels[0].above(), levels[0].zeros, levels[0].ones))
     below = None
@@ -165,7 +166,7 @@ def predicted(levels: list[Level], paths: Paths, keys: np.ndarray, depth: int) -
     """log10 probability of each key's symbol after its context, by the levels from depth 0 on."""
     row, node, bit = paths.expand(keys)
     one, given, left = np.full(len(row), 0.5), np.zeros(len(row)), np.ones(len(row))
-    context, at = (keys >> np.uint64(8)).astype(np.int64), np.arange(len(row))
+    context, at = keys >> np.uint64(8), np.arange(len(row))
     inside = np.ones(len(keys), bool)  # whether the context of this depth has its place
     for d, level in enumerate(levels):
         place, met = level.find(context[row[at]] >> 8 * (depth - d) << 8 | node[at])
@@ -189,7 +190,7 @@ def upper(joint: pd.DataFrame, paths: Paths, deal: int, least: int) -> list[Leve
     """The levels above `deal`, weighed. joint: the parts' sums of the lowest of them: key, zeros, ones and what lies right below."""
     joint = joint.sort_values("key")
     columns = [joint[c].to_numpy(float) for c in ("zeros", "ones", "zeros_under", "ones_under", "total_under")]
-    levels = [Level(joint["key"].to_numpy(np.int64), *columns[:2])]
+    levels = [Level(joint["key"].to_numpy(np.uint64), *columns[:2])]
     for _ in range(deal - 1):
         levels.insert(0, Level(levels[0].above(), levels[0].zeros, levels[0].ones))
     every, below = levels[-1].key, None
@@ -241,10 +242,10 @@ class Bytes:
 
     def sums(self, keys: np.ndarray, value: np.ndarray) -> np.ndarray:
         """For each text the sum of its symbols' values; keys holds every key of the texts."""
-        find, out = Lookup(keys), np.zeros(len(self.first))
+        find, out = Lookup(keys, value), np.zeros(len(self.first))
         for a, key, coded in self.windows():
             at = np.zeros(len(key))
-            at[coded] = value[find(key[coded])]
+            at[coded] = find(key[coded])
             t = slice(int(np.searchsorted(self.first, a, "right")) - 1, int(np.searchsorted(self.first, a + len(key) - 1, "right")))
             out[t] += np.add.reduceat(at, np.maximum(self.first[t] - a, 0))
         return out
@@ -260,31 +261,33 @@ def added(keys: list[np.ndarray], n: list[np.ndarray]) -> tuple[np.ndarray, np.n
 
 
 class Lookup:
-    """Positions of keys that are all known, by a hash table with linear probing."""
+    """Values of keys that are all known, by a sparse hash table with linear probing, keys and values in its order."""
 
-    def __init__(self, keys: np.ndarray):
-        self.keys, bits = keys, max(4, int(2 * len(keys)).bit_length())
+    def __init__(self, keys: np.ndarray, value: np.ndarray):
+        bits = max(4, int(2 * len(keys)).bit_length() + 1)
         self.mask, self.shift = (1 << bits) - 1, np.uint64(64 - bits)
-        self.slot = np.full(1 << bits, -1, np.int32)
-        left, pos = np.arange(len(keys), dtype=np.int32), self.hash(keys)
-        while len(left):
-            free = self.slot[pos] < 0
-            self.slot[pos[free]] = left[free]
-            out = self.slot[pos] != left
-            left, pos = left[out], pos[out] + 1 & self.mask
+        self.keys, self.value = np.full(1 << bits, 2**64 - 1, np.uint64), np.zeros(1 << bits, value.dtype)  # no key is all ones
+        pos = self.hash(keys)
+        while len(keys):
+            free = self.keys[pos] == self.keys.dtype.type(2**64 - 1)
+            self.keys[pos[free]] = keys[free]
+            out = self.keys[pos] != keys
+            self.value[pos[~out]] = value[~out]
+            keys, value, pos = keys[out], value[out], pos[out] + 1 & self.mask
 
     def hash(self, keys: np.ndarray) -> np.ndarray:
-        return (keys * np.uint64(0x9E3779B97F4A7C15) >> self.shift).astype(np.int64)
+        return (keys * np.uint64(0x9E3779B97F4A7C15) >> self.shift).view(np.int64)
 
     def __call__(self, keys: np.ndarray) -> np.ndarray:
         pos = self.hash(keys)
-        at = self.slot[pos]
-        off = np.flatnonzero(self.keys[at] != keys)
+        out, off = self.value[pos], np.flatnonzero(self.keys[pos] != keys)
+        pos, keys = pos[off], keys[off]
         while len(off):
-            pos[off] = pos[off] + 1 & self.mask
-            at[off] = self.slot[pos[off]]
-            off = off[self.keys[at[off]] != keys[off]]
-        return at
+            pos = pos + 1 & self.mask
+            out[off] = self.value[pos]
+            more = self.keys[pos] != keys
+            off, pos, keys = off[more], pos[more], keys[more]
+        return out
 
 
 def packed_keys(keys: np.ndarray) -> bytes:
@@ -305,7 +308,7 @@ def score_documents(docs: DataFrame, held_out: Column, text: str = "text", key:
     Returns key, held_out, n_tokens, n_known, train_tokens, base_score, score (log10 probability of the text and its end),
     bits_per_byte. ASCII letters are taken in lower case. A null text counts as empty: it has one token, the end. Repeated
     rows each count and keep a row; an empty table gives no rows; other columns are ignored. A very long text is a chunk of
-    its own, whose contexts are packed window by window. depth is 1 to 6.
+    its own, whose contexts are packed window by window. depth is 1 to 7.
 
     One pass over the texts cuts them into chunks and sends each chunk's distinct words and distinct pairs of context and
     symbol, with their counts in its training texts, to buckets: words by a hash, pairs by the context's DEAL nearest bytes,
@@ -337,9 +340,8 @@ def score_documents(docs: DataFrame, held_out: Column, text: str = "text", key:
                 trained, words = [t for t, h in zip(own, held, strict=True) if not h], Counter()
                 for t in trained:
                     words.update(t.split())
-                for t, h in zip(own, held, strict=True):
-                    if h:
-                        words.update(dict.fromkeys(set(t.split()) - words.keys(), 0))
+                for w in set().union(*(t.split() for t, h in zip(own, held, strict=True) if h)):
+                    words.setdefault(w, 0)
                 shares = [[] for _ in range(buckets)]
                 for w in words:
                     shares[zlib.crc32(w) % buckets].append(w)
@@ -389,7 +391,7 @@ def score_documents(docs: DataFrame, held_out: Column, text: str = "text", key:
         keys, n = added([unpacked_keys(x) for x in pdf["items"]], [np.frombuffer(x, np.uint32).astype(np.int64) for x in pdf["counts"]])
         some = n > 0
         joint, levels = grown(keys[some], n[some].astype(float), paths, depth, deal, least)
-        sums = pd.DataFrame(dict(zip(["key", *sums_of], [joint.key, joint.zeros, joint.ones, *joint.under(levels[0])], strict=True)))
+        sums = pd.DataFrame(dict(zip(["key", *sums_of], [joint.key.astype(np.int64), joint.zeros, joint.ones, *joint.under(levels[0])], strict=True)))
         cells = pd.DataFrame({"bucket": pdf["bucket"].iloc[:1], "items": [packed_keys(keys)], "counts": [n.tobytes()]})
         return pd.concat([cells, sums])[["bucket", "items", "counts", "key", *sums_of]].astype({"bucket": "Int64", "key": "Int64"})
 

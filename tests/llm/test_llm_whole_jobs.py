@@ -16,18 +16,19 @@ def words(seed, n):
     return " ".join("".join(r.choice(list("abcdefghij"), 4)) for _ in range(n))
 
 
-def test_every_context_that_comes_twice_has_its_place(spark, monkeypatch):
+@pytest.mark.parametrize("least", [1, 2])
+def test_every_context_has_its_place(spark, monkeypatch, least):
     monkeypatch.setattr(ctw, "CHARS", 700)
     monkeypatch.setattr(ctw, "TOGETHER", 1)
     texts = [words(i % 9, 40 + i) + " é"[: i % 3] for i in range(24)] + ["", "zebra Zebra! \x07", "Once"]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = {r.doc_id: r.score for r in ctw.score_documents(docs, F.col("doc_id") >= 20).collect()}
+    got = {r.doc_id: r.score for r in ctw.score_documents(docs, F.col("doc_id") >= 20, least=least).collect()}
     keys, n = ctw.Bytes([t.encode().lower() for t in texts[:20]], ctw.DEPTH).counted()
     cells = []
     for d in range(ctw.DEPTH + 1):
         part = pd.DataFrame({"ctx": (keys >> np.uint64(8 * (ctw.DEPTH + 1 - d))).astype(np.int64), "sym": (keys & np.uint64(255)).astype(int), "n": n}).groupby(["ctx", "sym"], as_index=False).sum()
         visits = part.groupby("ctx")["n"].transform("sum")
-        cells.append(part[visits >= 2].assign(d=d))
+        cells.append(part[visits >= least].assign(d=d))
     tree = Tree(pd.concat(cells), ctw.DEPTH)
     want = tree.score([t.encode().lower() for t in texts])
     assert [got[i] for i in range(len(texts))] == pytest.approx(want, abs=1e-3, rel=1e-4)

@@ -156,7 +156,7 @@ def test_keys_are_found_and_summed_across_windows(monkeypatch):
             want[k] = want.get(k, 0) + 1
     assert dict(zip(keys.tolist(), n.tolist(), strict=True)) == want
     assert ctw.unpacked_keys(ctw.packed_keys(keys)).tolist() == keys.tolist()
-    assert ctw.Lookup(keys)(keys[::-1]).tolist() == list(range(len(keys)))[::-1]
+    assert ctw.Lookup(keys, np.arange(len(keys)))(keys[::-1]).tolist() == list(range(len(keys)))[::-1]
     assert ctw.Bytes(texts, 3).sums(keys, np.ones(len(keys))).tolist() == [len(t) + 1 for t in texts]
 
 
