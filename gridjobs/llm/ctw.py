@@ -29,8 +29,8 @@ DEPTH, LEAST = 7, 1
 DEAL, TOGETHER = 3, 64
 #: Closes every text; no UTF-8 text holds it. Zeros stand before a text's first byte.
 END = b"\xff"
-#: Characters of a chunk, and bytes whose contexts are packed at once.
-CHARS, WINDOW = 24_000_000, 3_000_000
+#: Characters of a chunk; bytes whose contexts are packed at once where they are counted and where they are looked up.
+CHARS, COUNTED, SUMMED = 8_000_000, 8_000_000, 2_000_000
 #: Counts whose gamma functions are tabled.
 SMALL = 4096
 
@@ -218,10 +218,10 @@ class Bytes:
         for i in range(depth):
             self.coded[self.first + i] = False
 
-    def windows(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    def windows(self, wide: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """Where a window starts, its keys, and which of them belong to a text's symbols."""
-        for a in range(self.depth, len(self.raw), WINDOW):
-            b = min(a + WINDOW, len(self.raw))
+        for a in range(self.depth, len(self.raw), wide):
+            b = min(a + wide, len(self.raw))
             key = np.zeros(b - a, np.uint64)
             for d in range(1, self.depth + 1):
                 key <<= np.uint64(8)
@@ -233,7 +233,7 @@ class Bytes:
     def counted(self) -> tuple[np.ndarray, np.ndarray]:
         """The distinct keys, ascending, and their counts."""
         keys, n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        for _, key, coded in self.windows():
+        for _, key, coded in self.windows(COUNTED):
             key = key[coded]
             key.sort()
             first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, int)
@@ -243,7 +243,7 @@ class Bytes:
     def sums(self, keys: np.ndarray, value: np.ndarray) -> np.ndarray:
         """For each text the sum of its symbols' values; keys holds every key of the texts."""
         find, out = Lookup(keys, value), np.zeros(len(self.first))
-        for a, key, coded in self.windows():
+        for a, key, coded in self.windows(SUMMED):
             at = np.zeros(len(key))
             at[coded] = find(key[coded])
             t = slice(int(np.searchsorted(self.first, a, "right")) - 1, int(np.searchsorted(self.first, a + len(key) - 1, "right")))
@@ -264,26 +264,26 @@ class Lookup:
     """Values of keys that are all known, by a sparse hash table with linear probing, keys and values in its order."""
 
     def __init__(self, keys: np.ndarray, value: np.ndarray):
-        bits = max(4, int(2 * len(keys)).bit_length() + 1)
-        self.mask, self.shift = (1 << bits) - 1, np.uint64(64 - bits)
-        self.keys, self.value = np.full(1 << bits, 2**64 - 1, np.uint64), np.zeros(1 << bits, value.dtype)  # no key is all ones
+        self.size = max(8, 3 * len(keys))
+        self.keys, self.value = np.full(self.size, 2**64 - 1, np.uint64), np.zeros(self.size, value.dtype)  # no key is all ones
         pos = self.hash(keys)
         while len(keys):
             free = self.keys[pos] == self.keys.dtype.type(2**64 - 1)
             self.keys[pos[free]] = keys[free]
             out = self.keys[pos] != keys
             self.value[pos[~out]] = value[~out]
-            keys, value, pos = keys[out], value[out], pos[out] + 1 & self.mask
+            keys, value, pos = keys[out], value[out], (pos[out] + 1) % self.size
 
     def hash(self, keys: np.ndarray) -> np.ndarray:
-        return (keys * np.uint64(0x9E3779B97F4A7C15) >> self.shift).view(np.int64)
+        """A place below size, which is less than 2 ** 32."""
+        return ((keys * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)) * np.uint64(self.size) >> np.uint64(32)).view(np.int64)
 
     def __call__(self, keys: np.ndarray) -> np.ndarray:
         pos = self.hash(keys)
         out, off = self.value[pos], np.flatnonzero(self.keys[pos] != keys)
         pos, keys = pos[off], keys[off]
         while len(off):
-            pos = pos + 1 & self.mask
+            pos = (pos + 1) % self.size
             out[off] = self.value[pos]
             more = self.keys[pos] != keys
             off, pos, keys = off[more], pos[more], keys[more]

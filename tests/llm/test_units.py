@@ -145,7 +145,8 @@ def test_log_kt():
 
 
 def test_keys_are_found_and_summed_across_windows(monkeypatch):
-    monkeypatch.setattr(ctw, "WINDOW", 7)
+    monkeypatch.setattr(ctw, "COUNTED", 7)
+    monkeypatch.setattr(ctw, "SUMMED", 5)
     texts = [b"abracadabra", b"", b"abra", b"x" * 30]
     keys, n = ctw.Bytes(texts, 3).counted()
     want = {}
