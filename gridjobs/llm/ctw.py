@@ -23,14 +23,14 @@ from pyspark.sql import functions as F
 from .chunks import slices
 from .common import partitions, whole, written
 
-#: Preceding bytes of the longest context (seven and the symbol make a 64-bit key), and visits that a context needs for a place of its own.
-DEPTH, LEAST = 7, 1
+#: Preceding bytes of the longest context (seven at most: with the symbol they make a 64-bit key), and visits that a context needs for a place of its own.
+DEPTH, LEAST = 6, 1
 #: The tree is dealt out by so many nearest bytes of the context; chunks whose contexts one task looks up.
 DEAL, TOGETHER = 3, 64
 #: Closes every text; no UTF-8 text holds it. Zeros stand before a text's first byte.
 END = b"\xff"
 #: Characters of a chunk; bytes whose contexts are packed at once where they are counted and where they are looked up.
-CHARS, COUNTED, SUMMED = 8_000_000, 8_000_000, 2_000_000
+CHARS, COUNTED, SUMMED = 16_000_000, 6_000_000, 2_000_000
 #: Counts whose gamma functions are tabled.
 SMALL = 4096
 
@@ -316,7 +316,7 @@ def score_documents(docs: DataFrame, held_out: Column, text: str = "text", key:
     sends sums up; the levels above DEAL, at most 256 ** (DEAL - 1) contexts whatever the corpus, meet on the driver and go
     back to all. Then a bucket predicts each of its pairs once and answers the chunks, where sums by text are taken.
     """
-    assert 1 <= depth <= DEPTH
+    assert 1 <= depth <= 7
     spark = docs.sparkSession
     kind, deal = dict(docs.dtypes)[key], min(DEAL, depth)
     buckets = max(32, 4 * partitions(spark))
