@@ -13,6 +13,7 @@ import heapq
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from copy import copy
 
 import numpy as np
 import pandas as pd
@@ -30,7 +31,7 @@ DEAL, TOGETHER = 3, 64
 #: Closes every text; no UTF-8 text holds it. Zeros stand before a text's first byte.
 END = b"\xff"
 #: Characters of a chunk; bytes whose contexts are packed at once where they are counted and where they are looked up.
-CHARS, COUNTED, SUMMED = 16_000_000, 6_000_000, 2_000_000
+CHARS, COUNTED, SUMMED = 30_000_000, 4_000_000, 1_000_000
 #: Counts whose gamma functions are tabled.
 SMALL = 4096
 
@@ -206,20 +207,26 @@ def upper(joint: pd.DataFrame, paths: Paths, deal: int, least: int) -> list[Leve
 # --- texts as keys --------------------------------------------------------------------------------------------------
 
 
+def joined(texts: list[bytes], depth: int) -> bytes:
+    pad = b"\0" * depth
+    return b"".join([pad + t + END for t in texts])
+
+
 class Bytes:
-    """Texts one after the other, each after `depth` zeros and closed by END; keys pack a context, nearest byte first, and its symbol."""
+    """Joined texts of so many bytes, each after `depth` zeros and closed by END; keys pack a context, nearest byte first, and its symbol."""
 
-    def __init__(self, texts: list[bytes], depth: int):
-        pad = b"\0" * depth
-        self.raw, self.depth = np.frombuffer(b"".join([pad + t + END for t in texts]), np.uint8), depth
-        size = np.fromiter((len(t) + depth + 1 for t in texts), np.int64, len(texts))
-        self.first = np.cumsum(size) - size
+    def __init__(self, raw: bytes, size: np.ndarray, depth: int):
+        self.raw, self.depth, self.size = np.frombuffer(raw, np.uint8), depth, size + depth + 1
+        self.first = np.cumsum(self.size) - self.size
         self.coded = np.ones(len(self.raw), bool)
         for i in range(depth):
             self.coded[self.first + i] = False
 
+    def text(self, i: int) -> bytes:
+        return self.raw[self.first[i] + self.depth : self.first[i] + self.size[i] - 1].tobytes()
+
     def windows(self, wide: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """Where a window starts, its keys, and which of them belong to a text's symbols."""
+        """Where a window starts, its keys, and which of them are coded."""
         for a in range(self.depth, len(self.raw), wide):
             b = min(a + wide, len(self.raw))
             key = np.zeros(b - a, np.uint64)
@@ -230,8 +237,14 @@ class Bytes:
             key |= self.raw[a:b]
             yield a, key, self.coded[a:b]
 
+    def only(self, some: np.ndarray) -> Bytes:
+        """The same with only some texts coded."""
+        out = copy(self)
+        out.coded = self.coded & np.repeat(some, self.size)
+        return out
+
     def counted(self) -> tuple[np.ndarray, np.ndarray]:
-        """The distinct keys, ascending, and their counts."""
+        """The distinct keys of coded symbols, ascending, and their counts."""
         keys, n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         for _, key, coded in self.windows(COUNTED):
             key = key[coded]
@@ -321,25 +334,27 @@ def score_documents(docs: DataFrame, held_out: Column, text: str = "text", key:
     kind, deal = dict(docs.dtypes)[key], min(DEAL, depth)
     buckets = max(32, 4 * partitions(spark))
     rows = docs.select(F.col(key), whole(F.col(text)).alias("t"), held_out.alias("held_out"))
-    names = ["chunk", "part", "bucket", key, "held_out", "body", "items", "counts", "n"]
-    schema = f"chunk long, part int, bucket int, {key} {kind}, held_out boolean, body binary, items binary, counts binary, n long"
+    names = ["chunk", "part", "bucket", key, "held_out", "size", "items", "counts", "n"]
+    schema = f"chunk long, part int, bucket int, {key} {kind}, held_out boolean, size int, items binary, counts binary, n long"
 
     def dealt(keys: np.ndarray) -> np.ndarray:
         place = keys >> np.uint64(8 * (depth + 1 - deal))
         return ((place * np.uint64(2654435761) & np.uint64(0xFFFFFFFF)) >> np.uint64(8)).astype(np.int64) % buckets
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Rows of part 0: documents; 1: words; 2: pairs of context and symbol; 3: symbols of training texts."""
+        """Rows of part 0: documents; 1: words; 2: pairs of context and symbol; 3: symbols of training texts; 4: the texts, packed."""
         chunk = TaskContext.get().partitionId() << 32
         for pdf in batches:
             texts, out_of = pdf["t"].to_list(), pdf["held_out"].to_numpy(bool)
             for at in slices(texts, CHARS):
                 own, held = [t.encode().lower() for t in texts[at]], out_of[at]
+                size = np.fromiter(map(len, own), np.int64, len(own))
                 made = lambda part, **columns: pd.DataFrame({**dict.fromkeys(names), "chunk": chunk, "part": part, **columns})[names]  # noqa: E731, B023
-                yield made(0, **{key: pdf[key].iloc[at].to_numpy(), "held_out": held, "body": own}).astype({key: pdf[key].dtype})
-                trained, words = [t for t, h in zip(own, held, strict=True) if not h], Counter()
-                for t in trained:
-                    words.update(t.split())
+                yield made(0, **{key: pdf[key].iloc[at].to_numpy(), "held_out": held, "size": size, "n": np.arange(len(own))}).astype({key: pdf[key].dtype})
+                words = Counter()
+                for t, h in zip(own, held, strict=True):
+                    if not h:
+                        words.update(t.split())
                 for w in set().union(*(t.split() for t, h in zip(own, held, strict=True) if h)):
                     words.setdefault(w, 0)
                 shares = [[] for _ in range(buckets)]
@@ -348,12 +363,15 @@ def score_documents(docs: DataFrame, held_out: Column, text: str = "text", key:
                 some = [b for b in range(buckets) if shares[b]]
                 yield made(1, bucket=some, items=[b" ".join(shares[b]) for b in some], counts=[np.array([words[w] for w in shares[b]], np.int64).tobytes() for b in some])
                 del words, shares
-                raw = Bytes(trained, depth)
-                symbols = np.bincount(raw.raw[raw.coded], minlength=256)
+                raw = joined(own, depth)
+                yield made(4, items=[zlib.compress(raw, 1)])
+                raw, own = Bytes(raw, size, depth), None
+                learned = raw.only(~held)
+                symbols = np.bincount(learned.raw[learned.coded], minlength=256)
                 yield made(3, bucket=np.flatnonzero(symbols), n=symbols[symbols > 0])
-                keys, n = raw.counted()
-                del raw
-                more = Bytes([t for t, h in zip(own, held, strict=True) if h], depth).counted()[0]
+                keys, n = learned.counted()
+                more = raw.only(held).counted()[0]
+                del raw, learned
                 keys, n = added([keys, more], [n, np.zeros(len(more), np.int64)])
                 place = dealt(keys)
                 order = np.argsort(place, kind="stable")
@@ -425,13 +443,14 @@ def score_documents(docs: DataFrame, held_out: Column, text: str = "text", key:
     logs = asked.groupBy("bucket", "salt").cogroup(cells.groupBy("bucket", "salt")).applyInPandas(look_up, "chunk long, items binary, sums binary")
 
     def meet(own: pd.DataFrame, back: pd.DataFrame) -> pd.DataFrame:
-        body = own["body"].to_list()
+        own = own.sort_values("n")
+        raw = Bytes(zlib.decompress(back.loc[back["part"] == 4, "items"].iloc[0]), own["size"].to_numpy(np.int64), depth)
         log_of = {}
         for items, sums in back.loc[back["part"] == 1, ["items", "sums"]].itertuples(index=False):
             log_of.update(zip(items.split(b" "), np.log10(np.frombuffer(sums, np.int64) + 1.0).tolist(), strict=True))
         n_tokens, n_known, base = [], [], []
-        for t in body:
-            found = list(map(log_of.__getitem__, t.split()))
+        for i in range(len(own)):
+            found = list(map(log_of.__getitem__, raw.text(i).split()))
             n_tokens.append(len(found) + 1)
             n_known.append(len(found) - found.count(0.0) + (trained > 0))
             base.append(sum(found) + np.log10(trained + 1) - n_tokens[-1] * np.log10(n_all + v_all + 1))
@@ -439,13 +458,14 @@ def score_documents(docs: DataFrame, held_out: Column, text: str = "text", key:
         back = back[back["part"] == 2]
         keys = np.concatenate([np.zeros(0, np.uint64), *map(unpacked_keys, back["items"])])
         logs = np.concatenate([np.zeros(0, np.float32), *(np.frombuffer(x, np.float32) for x in back["sums"])])
-        score = Bytes(body, depth).sums(keys, logs)
+        score = raw.sums(keys, logs)
         out = own[[key, "held_out"]].assign(n_tokens=n_tokens, n_known=n_known, train_tokens=n_all, base_score=base, score=score)
-        out["bits_per_byte"] = -score * np.log2(10) / (np.array([len(t) for t in body]) + 1)
+        out["bits_per_byte"] = -score * np.log2(10) / (own["size"] + 1)
         return out
 
     back = words.select("chunk", F.lit(1).alias("part"), "items", "sums").unionByName(logs.withColumn("part", F.lit(2)))
-    documents = held.filter("part = 0").select("chunk", key, "held_out", "body")
+    back = back.unionByName(held.filter("part = 4").select("chunk", "part", "items", F.lit(None).cast("binary").alias("sums")))
+    documents = held.filter("part = 0").select("chunk", key, "held_out", "size", "n")
     return documents.groupBy("chunk").cogroup(back.groupBy("chunk")).applyInPandas(
         meet, f"{key} {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double"
     )

@@ -23,7 +23,8 @@ def test_every_context_has_its_place(spark, monkeypatch, least):
     texts = [words(i % 9, 40 + i) + " é"[: i % 3] for i in range(24)] + ["", "zebra Zebra! \x07", "Once"]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.doc_id: r.score for r in ctw.score_documents(docs, F.col("doc_id") >= 20, least=least).collect()}
-    keys, n = ctw.Bytes([t.encode().lower() for t in texts[:20]], ctw.DEPTH).counted()
+    own = [t.encode().lower() for t in texts[:20]]
+    keys, n = ctw.Bytes(ctw.joined(own, ctw.DEPTH), np.array(list(map(len, own))), ctw.DEPTH).counted()
     cells = []
     for d in range(ctw.DEPTH + 1):
         part = pd.DataFrame({"ctx": (keys >> np.uint64(8 * (ctw.DEPTH + 1 - d))).astype(np.int64), "sym": (keys & np.uint64(255)).astype(int), "n": n}).groupby(["ctx", "sym"], as_index=False).sum()

@@ -98,7 +98,7 @@ def test_best_breaks_ties_by_id():
 
 def test_context_tree_is_a_distribution_and_follows_the_definition():
     texts = [b"abracadabra", b"abra", b"", b"cadabra " * 5]
-    keys, n = ctw.Bytes(texts, 2).counted()
+    keys, n = ctw.Bytes(ctw.joined(texts, 2), np.array(list(map(len, texts))), 2).counted()
     cells = []
     for d in range(3):
         for k, m in zip(keys.tolist(), n.tolist(), strict=True):
@@ -148,7 +148,9 @@ def test_keys_are_found_and_summed_across_windows(monkeypatch):
     monkeypatch.setattr(ctw, "COUNTED", 7)
     monkeypatch.setattr(ctw, "SUMMED", 5)
     texts = [b"abracadabra", b"", b"abra", b"x" * 30]
-    keys, n = ctw.Bytes(texts, 3).counted()
+    raw = ctw.Bytes(ctw.joined(texts, 3), np.array(list(map(len, texts))), 3)
+    keys, n = raw.counted()
+    assert [raw.text(i) for i in range(4)] == texts and raw.only(np.arange(4) == 1).counted()[1].tolist() == [1]
     want = {}
     for t in texts:
         s = b"\0\0\0" + t + ctw.END
@@ -158,7 +160,7 @@ def test_keys_are_found_and_summed_across_windows(monkeypatch):
     assert dict(zip(keys.tolist(), n.tolist(), strict=True)) == want
     assert ctw.unpacked_keys(ctw.packed_keys(keys)).tolist() == keys.tolist()
     assert ctw.Lookup(keys, np.arange(len(keys)))(keys[::-1]).tolist() == list(range(len(keys)))[::-1]
-    assert ctw.Bytes(texts, 3).sums(keys, np.ones(len(keys))).tolist() == [len(t) + 1 for t in texts]
+    assert raw.sums(keys, np.ones(len(keys))).tolist() == [len(t) + 1 for t in texts]
 
 
 def test_bayesian_bound():
