@@ -1,4 +1,9 @@
-"""Toxicity by the nearest labelled examples: exact TF-IDF cosine over a block-max inverted index, distance-weighted votes."""
+"""Toxicity by the nearest labelled examples: exact TF-IDF cosine over a block-max inverted index, distance-weighted votes.
+
+Every word of every sampled example is a term. A term's weight is (1 + log tf) * idf * relevance: idf counts all documents,
+and relevance, 1 or more, grows with how surely the term's share differs between toxic and other examples (the lower bound
+of its log odds ratio), so that a few telling words aren't lost among hundreds of rare ones. relevance = 0 gives plain TF-IDF.
+"""
 
 from __future__ import annotations
 
@@ -12,26 +17,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .chunks import slices
-from .common import whole
+from .common import whole, written
 from .labelled import sample
 from .quality_mil import sigmoid
 
 #: Labelled examples of each class in the index, at most.
-PER_CLASS = 8_000
-#: Neighbours that vote; examples of a block.
-NEIGHBOURS, BLOCK = 15, 128
+PER_CLASS = 4_000
+#: Neighbours that vote; examples of a block; texts searched together.
+NEIGHBOURS, BLOCK, TOGETHER = 30, 64, 32
+#: How much relevance counts, and standard errors that the odds ratio is lowered by.
+RELEVANCE, ERRORS = 3.0, 3.0
+#: Votes are held this far from 0 and 1.
+EDGE = 1e-5
+#: Share of the examples from which on a term's weights are a dense row.
+DENSE = 0.1
 WORD = re.compile(r"\w+")
-#: Lengths of the beginnings of words that are terms beside the whole words.
-STEMS = (4, 5, 6)
-
-
-def terms_of(chunk: str) -> list[str]:
-    """Terms of a space-separated chunk in lower case: its words, and the beginnings of longer words, marked with a hyphen."""
-    out = []
-    for w in WORD.findall(chunk):
-        out.append(w)
-        out.extend(w[:n] + "-" for n in STEMS if len(w) > n)
-    return out
+NONE = np.zeros(0, np.int32)
 
 
 def spans(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -42,7 +43,7 @@ def spans(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Terms:
-    """Numbers of the vocabulary's terms in a text; what a chunk holds is looked up once."""
+    """Numbers of the vocabulary's terms in a text, and their counts; what a chunk between spaces holds is looked up once."""
 
     def __init__(self, vocabulary: dict[str, int], most: int = 200_000):
         self.vocabulary, self.most, self.known = vocabulary, most, {}
@@ -52,67 +53,107 @@ class Terms:
             self.known.clear()
         known, get, chunks = self.known, self.vocabulary.get, text.lower().split()
         for c in set(chunks).difference(known):
-            known[c] = tuple(i for t in terms_of(c) if (i := get(t)) is not None)
+            known[c] = tuple(i for t in WORD.findall(c) if (i := get(t)) is not None)
         return Counter(i for own in filter(None, map(known.__getitem__, chunks)) for i in own)
 
 
+def flat(counts: list[Counter]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Number of the text, term and count, of all texts."""
+    many = np.fromiter(map(len, counts), np.int64, len(counts))
+    terms = np.fromiter((t for c in counts for t in c), np.int64, int(many.sum()))
+    n = np.fromiter((m for c in counts for m in c.values()), float, int(many.sum()))
+    return np.repeat(np.arange(len(counts)), many), terms, n
+
+
 class BlockMaxIndex:
-    """Postings by term over examples in blocks; a block's largest weight of each term bounds what it can reach."""
-
-    def __init__(self, examples: list[Counter], y: np.ndarray, ids: np.ndarray, idf: np.ndarray, stands: dict[int, float], k: int = NEIGHBOURS):
-        self.idf, self.k = idf, k
-        some = [i for i, e in enumerate(examples) if e]
-        weight_of = np.array([stands.get(int(v), 1.0) for v in y])
-        bare = np.array([not e for e in examples], bool)
-        self.bare = (float((weight_of * (y == 1))[bare].sum()) + 0.5) / (float(weight_of[bare].sum()) + 50.0)
-        # like examples side by side, so that few blocks hold much of a term
-        some.sort(key=lambda i: (max(examples[i], key=lambda t: examples[i][t] * idf[t]), int(ids[i])))
-        self.y, self.ids, self.share = y[some].astype(float), ids[some], weight_of[some]
-        rows, terms, weights = [], [], []
-        for r, i in enumerate(some):
-            t, w = self.vector(examples[i])
-            rows.append(np.full(len(t), r))
-            terms.append(t)
-            weights.append(w)
-        cat = lambda x, kind: np.concatenate([np.zeros(0, kind), *x]).astype(kind)
-        rows, terms, weights = cat(rows, np.int64), cat(terms, np.int64), cat(weights, float)
+    """Weights by term over examples in blocks; a block's largest weight of each term bounds what it can reach.
+
+    Terms that many examples hold are dense rows, whose part of the cosines is a matrix product; the others are postings, read
+    only for blocks whose bound reaches the k-th best that is known so far.
+    """
+
+    def __init__(self, rows: np.ndarray, terms: np.ndarray, n: np.ndarray, y: np.ndarray, ids: np.ndarray, idf: np.ndarray, stands: dict[int, float], relevance: float = RELEVANCE, k: int = NEIGHBOURS):
+        """rows, terms, n: number of the example, term, count; y, ids: of each example."""
+        self.k, share = k, np.array([stands.get(int(v), 1.0) for v in y])
+        bare = np.bincount(rows, minlength=len(y)) == 0
+        self.bare = (float((share * (y == 1))[bare].sum()) + 0.5) / (float(share[bare].sum()) + 50.0)
+        self.weight = idf * (1 + relevance * told_apart(terms, rows, y, len(idf)))
+        w = self.weighted(rows, terms, n, len(y))
+        # like examples side by side, so that few blocks hold much of a term; those without any term are left out
+        order = np.lexsort((-w, rows))
+        first = np.flatnonzero(np.r_[True, np.diff(rows[order]) > 0]) if len(rows) else np.zeros(0, int)
+        some, leading = rows[order][first], terms[order][first]
+        some = some[np.lexsort((ids[some], leading))]
+        place = np.zeros(len(y), np.int64)
+        place[some] = np.arange(len(some))
+        self.y, self.ids, self.share = y[some].astype(float), ids[some], share[some]
+        self.size, self.blocks = len(some), -(-len(some) // BLOCK)
+        self.repeats = int(np.unique(self.ids, return_counts=True)[1].max()) if len(some) else 0  # rows that share an id
+        rows = place[rows]
+        held = np.bincount(terms, minlength=len(idf))
+        self.dense_of = np.full(len(idf), -1, np.int64)
+        often = np.flatnonzero(held > DENSE * self.size)
+        self.dense_of[often] = np.arange(len(often))
+        self.dense = np.zeros((len(often), self.blocks * BLOCK))
+        at = self.dense_of[terms] >= 0
+        self.dense[self.dense_of[terms[at]], rows[at]] = w[at]
+        rows, terms, w = rows[~at], terms[~at], w[~at]
         order = np.lexsort((rows, terms))
-        self.rows, self.weights = rows[order], weights[order]
+        rows, terms, self.weights = rows[order].astype(np.int32), terms[order], w[order]
         # runs of a term's postings in one block: where they start, the block, the largest weight
-        block, terms = self.rows // BLOCK, terms[order]
+        block = rows // BLOCK
         self.run = np.flatnonzero(np.r_[True, (terms[1:] != terms[:-1]) | (block[1:] != block[:-1])]) if len(terms) else np.zeros(0, int)
-        self.block, self.blocks = block[self.run], -(-len(some) // BLOCK)
+        self.rows, self.block = rows, block[self.run]
         self.most = np.maximum.reduceat(self.weights, self.run) if len(self.run) else np.zeros(0)
         self.runs = np.searchsorted(terms[self.run], np.arange(len(idf) + 1))
         self.run = np.r_[self.run, len(terms)]
         self.a, self.b = 1.0, 0.0
 
-    def vector(self, counts: Counter) -> tuple[np.ndarray, np.ndarray]:
-        t = np.fromiter(counts, int, len(counts))
-        w = (1 + np.log(np.fromiter(counts.values(), float, len(counts)))) * self.idf[t]
-        return t, w / max(1e-12, float(np.sqrt(w @ w)))
-
-    def nearest(self, counts: Counter, leave: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """Rows and cosines of the k nearest examples, ties by row; exact. leave: a row to leave out."""
-        t, w = self.vector(counts)
-        at, own = spans(self.runs[t], self.runs[t + 1])
-        bound = np.bincount(self.block[at], w[own] * self.most[at], self.blocks)
-        order = np.argsort(-bound, kind="stable")
-        found_rows, found = np.zeros(0, int), np.zeros(0)
-        for few in (order[:4], order[4:]):  # the best blocks first: most others can't reach what they hold
-            wanted = np.zeros(self.blocks, bool)
-            wanted[few] = bound[few] > 0
-            if len(found) >= self.k:
-                wanted[few] &= bound[few] >= found[self.k - 1] - 1e-12
-            run = at[wanted[self.block[at]]]
-            posting, which = spans(self.run[run], self.run[run + 1])
-            sums = np.bincount(self.rows[posting], w[own[wanted[self.block[at]]]][which] * self.weights[posting], len(self.y))
-            rows = np.flatnonzero(sums > 0)
-            rows = rows[rows != (-1 if leave is None else leave)]
-            found_rows, found = np.r_[found_rows, rows], np.r_[found, sums[rows]]
-            best = np.lexsort((found_rows, -found))[: self.k]
-            found_rows, found = found_rows[best], found[best]
-        return found_rows, found
+    def weighted(self, rows: np.ndarray, terms: np.ndarray, n: np.ndarray, size: int) -> np.ndarray:
+        """Weights of length 1 for each text."""
+        w = (1 + np.log(n)) * self.weight[terms]
+        return w / np.maximum(1e-12, np.sqrt(np.bincount(rows, w * w, size)))[rows]
+
+    def nearest(self, counts: list[Counter], leave: list[int] | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each text the rows and cosines of its k nearest examples, exact to ten decimals, ties by row. leave: an id for each text, to be left out."""
+        many, wide = len(counts), self.blocks * BLOCK
+        if not self.size:
+            return [(NONE, np.zeros(0))] * many
+        q, t, n = flat(counts)
+        w = self.weighted(q, t, n, many)
+        of = self.dense_of[t]
+        asked = np.zeros((many, len(self.dense)))
+        asked[q[of >= 0], of[of >= 0]] = w[of >= 0]
+        found = asked @ self.dense
+        q, t, w = q[of < 0], t[of < 0], w[of < 0]
+        run, own = spans(self.runs[t], self.runs[t + 1])
+        cell = q[own] * self.blocks + self.block[run]
+        bound = found.reshape(many, self.blocks, BLOCK).max(2).ravel() + np.bincount(cell, w[own] * self.most[run], many * self.blocks)
+        k = min(self.k + (leave is not None) * self.repeats, self.size)
+
+        def read(wanted: np.ndarray) -> np.ndarray:
+            here = wanted[cell]
+            posting, which = spans(self.run[run[here]], self.run[run[here] + 1])
+            return np.bincount(q[own[here]][which] * wide + self.rows[posting], w[own[here]][which] * self.weights[posting], many * wide).reshape(many, wide)
+
+        best = np.zeros(many * self.blocks, bool)  # the blocks of the largest bounds first: most others can't reach what they hold
+        few = min(4, self.blocks)
+        best[(np.argpartition(-bound.reshape(many, -1), few - 1, 1)[:, :few] + np.arange(many)[:, None] * self.blocks).ravel()] = True
+        found += read(best)
+        known = np.where(np.repeat(best.reshape(many, -1), BLOCK, 1), found, 0)
+        reach = np.partition(known, wide - k, 1)[:, wide - k]
+        left = ~best & (bound >= np.repeat(reach, self.blocks) - 1e-9)
+        found += read(left)
+        found = np.where(np.repeat((best | left).reshape(many, -1), BLOCK, 1), found, 0)[:, : self.size].round(10)
+        out = []
+        for i in range(many):
+            if leave is not None:
+                found[i, self.ids == leave[i]] = 0
+            least = np.partition(found[i], self.size - k)[self.size - k]
+            rows = np.flatnonzero(found[i] >= max(least, 1e-10))
+            rows = rows[np.lexsort((rows, -found[i, rows]))][: self.k]
+            out.append((rows, found[i, rows]))
+        return out
 
     def vote(self, rows: np.ndarray, cosine: np.ndarray) -> float:
         """Share of toxic ones among the neighbours, each weighted by its closeness and by the examples it stands for."""
@@ -121,98 +162,133 @@ class BlockMaxIndex:
         w = self.share[rows] * cosine**2 / (1.05 - np.minimum(cosine, 1.0))
         return float((w @ self.y[rows] + 0.02 * self.bare) / (w.sum() + 0.02))
 
-    def calibrate(self, examples: list[Counter]) -> None:
-        """Platt's scaling of the examples' own votes, each left out of its own."""
-        if len(self.y) < 20 or self.y.min() == self.y.max():
-            return
-        row_of = {int(i): r for r, i in enumerate(self.ids)}
-        x, y, w = [], [], []
-        for i, e in examples:
-            if e and i in row_of:
-                v = np.clip(self.vote(*self.nearest(e, row_of[i])), 1e-3, 1 - 1e-3)
-                x.append(np.log(v / (1 - v)))
-                y.append(self.y[row_of[i]])
-                w.append(self.share[row_of[i]])
-        x, y, w = np.array(x), np.array(y), np.array(w)
-        w = w / w.sum()
-        ab = np.array([1.0, 0.0])
-        for _ in range(30):  # Newton's method, with a little pull to (1, 0)
-            p = sigmoid(ab[0] * x + ab[1])
-            g = np.array([(w * (p - y)) @ x, (w * (p - y)).sum()]) + 1e-3 * (ab - [1, 0])
-            h = np.array([[(w * p * (1 - p)) @ (x * x), (w * p * (1 - p)) @ x], [(w * p * (1 - p)) @ x, (w * p * (1 - p)).sum()]]) + 1e-3 * np.eye(2)
-            ab = ab - np.linalg.solve(h, g)
-        self.a, self.b = float(max(ab[0], 0.05)), float(ab[1])
-
-    def score(self, counts: Counter) -> tuple[float, int | None]:
-        """Calibrated score and the id of the nearest example; a text without any term has the rate of such examples."""
-        if not counts:
-            return self.bare, None
-        rows, cosine = self.nearest(counts)
-        v = min(max(self.vote(rows, cosine), 1e-3), 1 - 1e-3)
-        return float(sigmoid(np.array(self.a * np.log(v / (1 - v)) + self.b))), int(self.ids[rows[0]]) if len(rows) else None
-
-
-def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = PER_CLASS, text: str = "text", key: str = "doc_id") -> tuple[BlockMaxIndex, dict[str, int]]:
-    """Index of at most per_class labelled examples of each class, over all their terms.
-
-    Document frequencies are counted over all documents. key must be an integer.
+    def votes(self, counts: list[Counter], leave: list[int] | None = None) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+        """For each text the log odds of its neighbours' vote, and the neighbours."""
+        found = []
+        for i in range(0, len(counts), TOGETHER):
+            found += self.nearest(counts[i : i + TOGETHER], leave and leave[i : i + TOGETHER])
+        v = np.clip([self.vote(*x) for x in found], EDGE, 1 - EDGE)
+        return np.log(v / (1 - v)), found
+
+    def score(self, counts: list[Counter]) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+        """Calibrated scores, and the neighbours; a text without any term has the rate of such examples."""
+        x, found = self.votes(counts)
+        return np.where([len(c) > 0 for c in counts], sigmoid(self.a * x + self.b), self.bare), found
+
+
+def told_apart(terms: np.ndarray, rows: np.ndarray, y: np.ndarray, size: int) -> np.ndarray:
+    """How far each term's log odds ratio between the classes lies from 0, less ERRORS standard errors; 0 where it may be chance."""
+    ones = np.bincount(terms, y[rows] == 1, size)
+    zeros = np.bincount(terms, minlength=size) - ones
+    a, b, c, d = ones + 0.5, (y == 1).sum() - ones + 0.5, zeros + 0.5, (y != 1).sum() - zeros + 0.5
+    return np.maximum(0, np.abs(np.log(a / b) - np.log(c / d)) - ERRORS * np.sqrt(1 / a + 1 / b + 1 / c + 1 / d))
+
+
+def platt(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[float, float]:
+    """a, b of the weighted logistic regression of y on x, by Newton's method, each step halved until the loss falls."""
+    w = w / w.sum()
+    ones = (w * y).sum()
+    y = np.where(y == 1, 1 - 0.5 / (len(y) * ones + 1), 0.5 / (len(y) * (1 - ones) + 1))  # no example is quite sure
+    loss = lambda ab: float(w @ (np.logaddexp(0, ab[0] * x + ab[1]) - y * (ab[0] * x + ab[1])) + 5e-4 * ((ab[0] - 1) ** 2 + ab[1] ** 2))
+    ab = np.array([1.0, 0.0])
+    for _ in range(50):
+        p = sigmoid(ab[0] * x + ab[1])
+        g = np.array([(w * (p - y)) @ x, (w * (p - y)).sum()]) + 1e-3 * (ab - [1, 0])
+        v = w * p * (1 - p)
+        step = np.linalg.solve(np.array([[v @ (x * x), v @ x], [v @ x, v.sum()]]) + 1e-3 * np.eye(2), g)
+        size = 1.0
+        while size > 1e-6 and loss(ab - size * step) > loss(ab):
+            size /= 2
+        ab = ab - size * step
+        if np.abs(size * step).max() < 1e-9:
+            break
+    return float(max(ab[0], 0.05)), float(ab[1])
+
+
+def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = PER_CLASS, text: str = "text", key: str = "doc_id", relevance: float = RELEVANCE) -> tuple[BlockMaxIndex, dict[str, int]]:
+    """Index of at most per_class labelled examples of each class, over all their words.
+
+    Document frequencies are counted over all documents. key must be an integer. Votes are calibrated by Platt's scaling of the
+    examples' own votes, each left out of its own.
     """
+    spark = docs.sparkSession
     rows, stands = sample(docs, labels, label, per_class, text, key)
+    rows = written(rows.select(F.col(key).cast("long").alias("id"), "y", "t"), "toxicity-examples")
 
     def terms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            yield pd.DataFrame({"term": list({x for t in pdf["t"] for c in set(t.lower().split()) for x in terms_of(c)})})
+            yield pd.DataFrame({"term": list({t for x in pdf["t"] for t in WORD.findall(x.lower())})})
 
-    vocabulary = {r.term: i for i, r in enumerate(rows.select("t").mapInPandas(terms, "term string").distinct().orderBy("term").collect())}  # terms of 2 * per_class rows
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    vocabulary = {t: i for i, t in enumerate(sorted(rows.select("t").mapInPandas(terms, "term string").distinct().toArrow().column("term").to_pylist()))}  # terms of 2 * per_class rows
+    shared = spark.sparkContext.broadcast(vocabulary)
 
     def frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        find, df, total = Terms(shared.value), Counter(), 0
+        find, df, total = Terms(shared.value), np.zeros(len(shared.value), np.int64), 0
         for pdf in batches:
             total += len(pdf)
             for t in pdf["t"]:
-                df.update(find(t).keys())
-        yield pd.DataFrame({"i": [-1, *df], "n": [total, *df.values()]})
+                df[list(find(t))] += 1
+        some = np.flatnonzero(df)
+        yield pd.DataFrame({"i": np.r_[-1, some], "n": np.r_[total, df[some]]})
 
-    df = docs.select(whole(F.col(text)).alias("t")).mapInPandas(frequencies, "i int, n long").groupBy("i").agg(F.sum("n").alias("n")).toPandas().set_index("i")["n"]  # a row for each term of the vocabulary
-    idf = np.array([np.log((1 + df.get(-1, 0)) / (1 + df.get(i, 0))) + 1 for i in range(len(vocabulary))])
+    got = docs.select(whole(F.col(text)).alias("t")).mapInPandas(frequencies, "i int, n long").groupBy("i").agg(F.sum("n").alias("n")).toArrow()  # a row for each term of the vocabulary
+    df = np.zeros(len(vocabulary) + 1)
+    df[got.column("i").to_numpy()] = got.column("n").to_numpy()  # the last place has the number of documents
+    idf = np.log((1 + df[-1]) / (1 + df[:-1])) + 1
 
     def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         find = Terms(shared.value)
         for pdf in batches:
             found = [find(t) for t in pdf["t"]]
-            yield pd.DataFrame({"id": pdf["id"], "y": pdf["y"], "terms": [list(c) for c in found], "counts": [list(c.values()) for c in found]})
+            yield pd.DataFrame({"id": pdf["id"], "y": pdf["y"], "terms": [np.fromiter(c, np.int32, len(c)).tobytes() for c in found], "counts": [np.fromiter(c.values(), np.int32, len(c)).tobytes() for c in found]})
+
+    got = rows.mapInPandas(vectors, "id long, y int, terms binary, counts binary").toArrow()  # 2 * per_class rows
+    ids, y = got.column("id").to_numpy(), got.column("y").to_numpy()
+    own_terms, own_counts = ([np.frombuffer(x, np.int32) for x in got.column(c).to_pylist()] for c in ("terms", "counts"))
+    own = np.repeat(np.arange(len(ids)), [len(x) for x in own_terms])
+    index = BlockMaxIndex(own, np.concatenate([NONE, *own_terms]).astype(np.int64), np.concatenate([NONE, *own_counts]).astype(float), y, ids, idf, stands, relevance)
+    if len(index.y) < 20 or index.y.min() == index.y.max():
+        return index, vocabulary
+    model = spark.sparkContext.broadcast((index, vocabulary))
+
+    def leave_one_out(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        index, vocabulary = model.value
+        find = Terms(vocabulary)
+        for pdf in batches:
+            counts = [find(t) for t in pdf["t"]]
+            some = np.array([len(c) > 0 for c in counts])
+            yield pd.DataFrame({"y": pdf["y"], "x": index.votes(counts, pdf["id"].to_list())[0]})[some]
 
-    got = rows.select(F.col(key).cast("long").alias("id"), "y", "t").mapInPandas(vectors, "id long, y int, terms array<int>, counts array<int>").toPandas().sort_values("id")  # 2 * per_class rows
-    examples = [Counter(dict(zip(map(int, t), map(int, c), strict=True))) for t, c in zip(got["terms"], got["counts"], strict=True)]
-    index = BlockMaxIndex(examples, got["y"].to_numpy(int), got["id"].to_numpy(np.int64), idf, stands)
-    index.calibrate(list(zip(got["id"], examples, strict=True)))
+    got = rows.repartition(4 * spark.sparkContext.defaultParallelism, "id").mapInPandas(leave_one_out, "y int, x double").toArrow()  # 2 * per_class rows
+    y = got.column("y").to_numpy()
+    index.a, index.b = platt(got.column("x").to_numpy(), y.astype(float), np.array([stands[int(v)] for v in y]))
     return index, vocabulary
 
 
 def score_toxicity(docs: DataFrame, model: tuple[BlockMaxIndex, dict[str, int]], text: str = "text", key: str = "doc_id") -> DataFrame:
-    """Score every whole text: key, score, nearest (id of the closest example, the evidence), terms (that it was found by).
+    """Score every whole text: key, score, and the evidence: nearest (id of the closest example), cosine, toxic_near (toxic ones among the neighbours).
 
-    A null text counts as empty; a text without any term of the vocabulary has the rate of toxic ones among such examples;
-    repeated rows each keep a row; an empty table gives no rows; other columns are never read.
+    A null text counts as empty; a text without any term of the vocabulary has the rate of toxic ones among such examples, and no
+    evidence; of equally near examples those first in the index count (like examples side by side, then by id); repeated rows each
+    keep a row; an empty table gives no rows; other columns are never read. Cosines are taken over the examples' terms.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         index, vocabulary = shared.value
-        find, names = Terms(vocabulary), list(vocabulary)
+        find = Terms(vocabulary)
         for pdf in batches:
             texts = pdf["t"].to_list()
             for at in slices(texts):
-                found = [find(t) for t in texts[at]]
-                scores = [index.score(c) for c in found]
-                yield pd.DataFrame({key: pdf[key].iloc[at], "score": [s for s, _ in scores], "nearest": pd.array([i for _, i in scores], "Int64"), "terms": [[names[i] for i in c] for c in found]})
+                scores, found = index.score([find(t) for t in texts[at]])
+                nearest = pd.array([int(index.ids[r[0]]) if len(r) else None for r, _ in found], "Int64")
+                yield pd.DataFrame({key: pdf[key].iloc[at], "score": scores, "nearest": nearest, "cosine": [c[0] if len(c) else 0.0 for _, c in found], "toxic_near": [int(index.y[r].sum()) for r, _ in found]})
 
-    return docs.select(F.col(key), whole(F.col(text)).alias("t")).mapInPandas(run, f"{key} {dict(docs.dtypes)[key]}, score double, nearest long, terms array<string>")
+    return docs.select(F.col(key), whole(F.col(text)).alias("t")).mapInPandas(run, f"{key} {dict(docs.dtypes)[key]}, score double, nearest long, cosine double, toxic_near int")
 
 
 def filter_documents(docs: DataFrame, model: tuple[BlockMaxIndex, dict[str, int]], below: float, text: str = "text") -> DataFrame:
-    """The rows, with all their columns, whose text scores below `below`; only texts go to Python."""
+    """The rows, with all their columns, whose text scores below `below`; only texts go to Python. Null, empty, repeated and very long texts are scored as score_toxicity does."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
@@ -220,6 +296,7 @@ def filter_documents(docs: DataFrame, model: tuple[BlockMaxIndex, dict[str, int]
         index, vocabulary = shared.value
         find = Terms(vocabulary)
         for texts in batches:
-            yield pd.Series([index.score(find(t))[0] for t in texts], dtype=float)
+            texts = texts.to_list()
+            yield pd.Series(np.concatenate([np.zeros(0), *(index.score([find(t) for t in texts[at]])[0] for at in slices(texts))]))
 
     return docs.filter(score(whole(F.col(text))) < below)

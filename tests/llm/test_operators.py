@@ -245,22 +245,39 @@ def test_block_max_is_exact():
     from collections import Counter
 
     r = np.random.default_rng(2)
-    examples = [Counter(r.integers(0, 30, r.integers(0, 6)).tolist()) for _ in range(700)]
-    index = toxicity_knn.BlockMaxIndex(examples, r.integers(0, 2, 700), np.arange(700), r.random(30) + 0.5, {0: 1.0, 1: 1.0})
-    dense = np.zeros((len(index.y), 30))
-    at = {int(i): n for n, i in enumerate(index.ids)}
+    examples = [Counter((r.integers(0, 90, r.integers(0, 9)) ** 2 // 90).tolist()) for _ in range(700)]
+    rows, terms, n = toxicity_knn.flat(examples)
+    y, idf = r.integers(0, 2, 700), r.random(90) + 0.5
+    index = toxicity_knn.BlockMaxIndex(rows, terms, n, y, np.arange(700), idf, {0: 3.0, 1: 1.0})
+    assert 0 < len(index.dense) < 90 and sorted(index.ids.tolist()) == [i for i, e in enumerate(examples) if e]
+    index.a, index.b = 1.3, -0.2
+    dense = np.zeros((700, 90))
     for i, e in enumerate(examples):
-        if e:
-            t, w = index.vector(e)
-            dense[at[i], t] = w
-    for e in examples[:80]:
-        if e:
-            t, w = index.vector(e)
-            cos = dense[:, t] @ w
-            rows, got = index.nearest(e)
-            want = np.lexsort((np.arange(len(cos)), -cos.round(12)))[:15]
+        for t, c in e.items():
+            dense[i, t] = (1 + np.log(c)) * index.weight[t]
+    dense /= np.maximum(1e-12, np.sqrt((dense**2).sum(1)))[:, None]
+    scores, found = index.score(examples[:90])
+    alone = index.nearest(examples[:90], list(range(90)))
+    for i, e in enumerate(examples[:90]):
+        if not e:
+            assert scores[i] == index.bare and not len(found[i][0])
+            continue
+        for (own, cosine), left in ((found[i], None), (alone[i], i)):
+            cos = (dense[index.ids] @ dense[i]).round(10)
+            cos[index.ids == left] = 0
+            want = np.lexsort((np.arange(len(cos)), -cos))[: index.k]
             want = want[cos[want] > 0]
-            assert got == pytest.approx(cos[want], abs=1e-9)
+            assert own.tolist() == want.tolist() and cosine == pytest.approx(cos[want], abs=1e-9)
+        w = cos_of = (dense[index.ids] @ dense[i])[found[i][0]].clip(max=1.0)
+        w = np.where(y[index.ids[found[i][0]]] == 1, 1.0, 3.0) * cos_of**2 / (1.05 - cos_of)
+        v = np.clip((w @ y[index.ids[found[i][0]]] + 0.02 * index.bare) / (w.sum() + 0.02), 1e-5, 1 - 1e-5)
+        assert scores[i] == pytest.approx(1 / (1 + (v / (1 - v)) ** -1.3 * np.exp(0.2)), abs=1e-6)
+
+
+def test_platt_converges_on_parted_votes():
+    x = np.r_[np.linspace(-6, -1, 300), np.linspace(1, 6, 40)]
+    a, b = toxicity_knn.platt(x, (x > 0).astype(float), np.where(x > 0, 1.0, 8.0))
+    assert 0.5 < a < 20 and abs(b) < 20
 
 
 def test_html(spark):
