@@ -31,7 +31,7 @@ DEAL, TOGETHER = 3, 64
 #: Closes every text; no UTF-8 text holds it. Zeros stand before a text's first byte.
 END = b"\xff"
 #: Characters of a chunk; bytes whose contexts are packed at once where they are counted and where they are looked up.
-CHARS, COUNTED, SUMMED = 30_000_000, 4_000_000, 1_000_000
+CHARS, COUNTED, SUMMED = 14_000_000, 4_000_000, 1_000_000
 #: Counts whose gamma functions are tabled.
 SMALL = 4096
 
@@ -337,9 +337,12 @@ def score_documents(docs: DataFrame, held_out: Column, text: str = "text", key:
     names = ["chunk", "part", "bucket", key, "held_out", "size", "items", "counts", "n"]
     schema = f"chunk long, part int, bucket int, {key} {kind}, held_out boolean, size int, items binary, counts binary, n long"
 
-    def dealt(keys: np.ndarray) -> np.ndarray:
+    def dealt(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The order of ascending keys by bucket, and where each bucket starts in it."""
         place = keys >> np.uint64(8 * (depth + 1 - deal))
-        return ((place * np.uint64(2654435761) & np.uint64(0xFFFFFFFF)) >> np.uint64(8)).astype(np.int64) % buckets
+        place = ((place * np.uint64(2654435761) & np.uint64(0xFFFFFFFF)) >> np.uint64(8)) % np.uint64(buckets)
+        order = np.argsort(place.astype(np.min_scalar_type(buckets)), kind="stable")
+        return order, np.searchsorted(place[order], np.arange(buckets + 1, dtype=np.uint64))
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Rows of part 0: documents; 1: words; 2: pairs of context and symbol; 3: symbols of training texts; 4: the texts, packed."""
@@ -373,9 +376,7 @@ def score_documents(docs: DataFrame, held_out: Column, text: str = "text", key:
                 more = raw.only(held).counted()[0]
                 del raw, learned
                 keys, n = added([keys, more], [n, np.zeros(len(more), np.int64)])
-                place = dealt(keys)
-                order = np.argsort(place, kind="stable")
-                edge = np.searchsorted(place[order], np.arange(buckets + 1))
+                order, edge = dealt(keys)
                 parts = [order[a:b] for a, b in zip(edge[:-1], edge[1:], strict=True)]
                 some = [b for b in range(buckets) if len(parts[b])]
                 yield made(2, bucket=some, items=[packed_keys(keys[parts[b]]) for b in some], counts=[n[parts[b]].astype(np.uint32).tobytes() for b in some])
@@ -436,11 +437,11 @@ def score_documents(docs: DataFrame, held_out: Column, text: str = "text", key:
 
     def look_up(own: pd.DataFrame, cells: pd.DataFrame) -> pd.DataFrame:
         if not len(own):
-            return pd.DataFrame({"chunk": [], "items": [], "sums": []})
+            return pd.DataFrame({"chunk": [], "bucket": [], "sums": []})
         keys, logs = unpacked_keys(cells["items"].iloc[0]), np.frombuffer(cells["logs"].iloc[0], np.float32)
-        return pd.DataFrame({"chunk": own["chunk"], "items": own["items"], "sums": [logs[np.searchsorted(keys, unpacked_keys(x))].tobytes() for x in own["items"]]})
+        return pd.DataFrame({"chunk": own["chunk"], "bucket": own["bucket"], "sums": [logs[np.searchsorted(keys, unpacked_keys(x))].tobytes() for x in own["items"]]})
 
-    logs = asked.groupBy("bucket", "salt").cogroup(cells.groupBy("bucket", "salt")).applyInPandas(look_up, "chunk long, items binary, sums binary")
+    logs = asked.groupBy("bucket", "salt").cogroup(cells.groupBy("bucket", "salt")).applyInPandas(look_up, "chunk long, bucket int, sums binary")
 
     def meet(own: pd.DataFrame, back: pd.DataFrame) -> pd.DataFrame:
         own = own.sort_values("n")
@@ -455,16 +456,19 @@ def score_documents(docs: DataFrame, held_out: Column, text: str = "text", key:
             n_known.append(len(found) - found.count(0.0) + (trained > 0))
             base.append(sum(found) + np.log10(trained + 1) - n_tokens[-1] * np.log10(n_all + v_all + 1))
         del log_of
-        back = back[back["part"] == 2]
-        keys = np.concatenate([np.zeros(0, np.uint64), *map(unpacked_keys, back["items"])])
-        logs = np.concatenate([np.zeros(0, np.float32), *(np.frombuffer(x, np.float32) for x in back["sums"])])
+        back = back[back["part"] == 2].sort_values("bucket")
+        keys = raw.counted()[0]
+        logs = np.zeros(len(keys), np.float32)
+        logs[dealt(keys)[0]] = np.concatenate([np.zeros(0, np.float32), *(np.frombuffer(x, np.float32) for x in back["sums"])])
         score = raw.sums(keys, logs)
         out = own[[key, "held_out"]].assign(n_tokens=n_tokens, n_known=n_known, train_tokens=n_all, base_score=base, score=score)
         out["bits_per_byte"] = -score * np.log2(10) / (own["size"] + 1)
         return out
 
-    back = words.select("chunk", F.lit(1).alias("part"), "items", "sums").unionByName(logs.withColumn("part", F.lit(2)))
-    back = back.unionByName(held.filter("part = 4").select("chunk", "part", "items", F.lit(None).cast("binary").alias("sums")))
+    none = F.lit(None).cast("binary")
+    back = words.select("chunk", F.lit(1).alias("part"), F.lit(0).alias("bucket"), "items", "sums")
+    back = back.unionByName(held.filter("part = 4").select("chunk", "part", F.lit(0).alias("bucket"), "items", none.alias("sums")))
+    back = back.unionByName(logs.select("chunk", F.lit(2).alias("part"), "bucket", none.alias("items"), "sums"))
     documents = held.filter("part = 0").select("chunk", key, "held_out", "size", "n")
     return documents.groupBy("chunk").cogroup(back.groupBy("chunk")).applyInPandas(
         meet, f"{key} {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double"
