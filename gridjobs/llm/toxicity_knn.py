@@ -10,9 +10,11 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,7 +39,7 @@ NONE = np.zeros(0, np.int32)
 
 def spans(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All numbers from each a up to its b, and which pair each comes from."""
-    many = b - a
+    a, many = a.astype(np.int64), b.astype(np.int64) - a
     which = np.repeat(np.arange(len(a)), many)
     return np.arange(len(which)) + (a - np.cumsum(many) + many)[which], which
 
@@ -69,7 +71,7 @@ class BlockMaxIndex:
     """Weights by term over examples in blocks; a block's largest weight of each term bounds what it can reach.
 
     Terms that many examples hold are dense rows, whose part of the cosines is a matrix product; the others are postings, read
-    only for blocks whose bound reaches the k-th best that is known so far.
+    only for blocks whose bound reaches the k-th best that is known so far. Examples' weights are single-precision numbers.
     """
 
     def __init__(self, rows: np.ndarray, terms: np.ndarray, n: np.ndarray, y: np.ndarray, ids: np.ndarray, idf: np.ndarray, stands: dict[int, float], relevance: float = RELEVANCE, k: int = NEIGHBOURS):
@@ -94,20 +96,19 @@ class BlockMaxIndex:
         self.dense_of = np.full(len(idf), -1, np.int64)
         often = np.flatnonzero(held > DENSE * self.size)
         self.dense_of[often] = np.arange(len(often))
-        self.dense = np.zeros((len(often), self.blocks * BLOCK))
+        self.dense = np.zeros((len(often), self.blocks * BLOCK), np.float32)
         at = self.dense_of[terms] >= 0
         self.dense[self.dense_of[terms[at]], rows[at]] = w[at]
         rows, terms, w = rows[~at], terms[~at], w[~at]
         order = np.lexsort((rows, terms))
-        rows, terms, self.weights = rows[order].astype(np.int32), terms[order], w[order]
+        rows, terms, self.weights = rows[order], terms[order], w[order].astype(np.float32)
         # runs of a term's postings in one block: where they start, the block, the largest weight
         block = rows // BLOCK
         self.run = np.flatnonzero(np.r_[True, (terms[1:] != terms[:-1]) | (block[1:] != block[:-1])]) if len(terms) else np.zeros(0, int)
-        self.rows, self.block = rows, block[self.run]
-        self.most = np.maximum.reduceat(self.weights, self.run) if len(self.run) else np.zeros(0)
-        self.runs = np.searchsorted(terms[self.run], np.arange(len(idf) + 1))
-        self.run = np.r_[self.run, len(terms)]
-        self.a, self.b = 1.0, 0.0
+        self.rows, self.block = rows.astype(np.min_scalar_type(self.size)), block[self.run].astype(np.min_scalar_type(self.blocks))
+        self.most = np.maximum.reduceat(self.weights, self.run) if len(self.run) else np.zeros(0, np.float32)
+        self.runs = np.searchsorted(terms[self.run], np.arange(len(idf) + 1)).astype(np.int32)
+        self.run = np.r_[self.run, len(terms)].astype(np.int32)
 
     def weighted(self, rows: np.ndarray, terms: np.ndarray, n: np.ndarray, size: int) -> np.ndarray:
         """Weights of length 1 for each text."""
@@ -124,6 +125,8 @@ class BlockMaxIndex:
         of = self.dense_of[t]
         asked = np.zeros((many, len(self.dense)))
         asked[q[of >= 0], of[of >= 0]] = w[of >= 0]
+        if self.dense.dtype != np.float64:
+            self.dense = self.dense.astype(np.float64)  # sums are taken in double precision; what is sent is half as large
         found = asked @ self.dense
         q, t, w = q[of < 0], t[of < 0], w[of < 0]
         run, own = spans(self.runs[t], self.runs[t + 1])
@@ -170,11 +173,6 @@ class BlockMaxIndex:
         v = np.clip([self.vote(*x) for x in found], EDGE, 1 - EDGE)
         return np.log(v / (1 - v)), found
 
-    def score(self, counts: list[Counter]) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
-        """Calibrated scores, and the neighbours; a text without any term has the rate of such examples."""
-        x, found = self.votes(counts)
-        return np.where([len(c) > 0 for c in counts], sigmoid(self.a * x + self.b), self.bare), found
-
 
 def told_apart(terms: np.ndarray, rows: np.ndarray, y: np.ndarray, size: int) -> np.ndarray:
     """How far each term's log odds ratio between the classes lies from 0, less ERRORS standard errors; 0 where it may be chance."""
@@ -205,7 +203,21 @@ def platt(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[float, float]:
     return float(max(ab[0], 0.05)), float(ab[1])
 
 
-def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = PER_CLASS, text: str = "text", key: str = "doc_id", relevance: float = RELEVANCE) -> tuple[BlockMaxIndex, dict[str, int]]:
+class Model(NamedTuple):
+    """An index and its vocabulary as the tasks get them, each sent once, and the calibration of its votes."""
+
+    index: Broadcast
+    vocabulary: Broadcast
+    a: float = 1.0
+    b: float = 0.0
+
+    def score(self, counts: list[Counter]) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+        """Calibrated scores, and the neighbours; a text without any term has the rate of such examples."""
+        x, found = self.index.value.votes(counts)
+        return np.where([len(c) > 0 for c in counts], sigmoid(self.a * x + self.b), self.index.value.bare), found
+
+
+def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = PER_CLASS, text: str = "text", key: str = "doc_id", relevance: float = RELEVANCE) -> Model:
     """Index of at most per_class labelled examples of each class, over all their words.
 
     Document frequencies are counted over all documents. key must be an integer. Votes are calibrated by Platt's scaling of the
@@ -247,56 +259,51 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: i
     own_terms, own_counts = ([np.frombuffer(x, np.int32) for x in got.column(c).to_pylist()] for c in ("terms", "counts"))
     own = np.repeat(np.arange(len(ids)), [len(x) for x in own_terms])
     index = BlockMaxIndex(own, np.concatenate([NONE, *own_terms]).astype(np.int64), np.concatenate([NONE, *own_counts]).astype(float), y, ids, idf, stands, relevance)
+    model = Model(spark.sparkContext.broadcast(index), shared)
     if len(index.y) < 20 or index.y.min() == index.y.max():
-        return index, vocabulary
-    model = spark.sparkContext.broadcast((index, vocabulary))
+        return model
 
     def leave_one_out(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        index, vocabulary = model.value
-        find = Terms(vocabulary)
+        find = Terms(model.vocabulary.value)
         for pdf in batches:
             counts = [find(t) for t in pdf["t"]]
             some = np.array([len(c) > 0 for c in counts])
-            yield pd.DataFrame({"y": pdf["y"], "x": index.votes(counts, pdf["id"].to_list())[0]})[some]
+            yield pd.DataFrame({"y": pdf["y"], "x": model.index.value.votes(counts, pdf["id"].to_list())[0]})[some]
 
     got = rows.repartition(4 * spark.sparkContext.defaultParallelism, "id").mapInPandas(leave_one_out, "y int, x double").toArrow()  # 2 * per_class rows
     y = got.column("y").to_numpy()
-    index.a, index.b = platt(got.column("x").to_numpy(), y.astype(float), np.array([stands[int(v)] for v in y]))
-    return index, vocabulary
+    a, b = platt(got.column("x").to_numpy(), y.astype(float), np.array([stands[int(v)] for v in y]))
+    return model._replace(a=a, b=b)
 
 
-def score_toxicity(docs: DataFrame, model: tuple[BlockMaxIndex, dict[str, int]], text: str = "text", key: str = "doc_id") -> DataFrame:
+def score_toxicity(docs: DataFrame, model: Model, text: str = "text", key: str = "doc_id") -> DataFrame:
     """Score every whole text: key, score, and the evidence: nearest (id of the closest example), cosine, toxic_near (toxic ones among the neighbours).
 
     A null text counts as empty; a text without any term of the vocabulary has the rate of toxic ones among such examples, and no
     evidence; of equally near examples those first in the index count (like examples side by side, then by id); repeated rows each
     keep a row; an empty table gives no rows; other columns are never read. Cosines are taken over the examples' terms.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        index, vocabulary = shared.value
-        find = Terms(vocabulary)
+        find, index = Terms(model.vocabulary.value), model.index.value
         for pdf in batches:
             texts = pdf["t"].to_list()
             for at in slices(texts):
-                scores, found = index.score([find(t) for t in texts[at]])
+                scores, found = model.score([find(t) for t in texts[at]])
                 nearest = pd.array([int(index.ids[r[0]]) if len(r) else None for r, _ in found], "Int64")
                 yield pd.DataFrame({key: pdf[key].iloc[at], "score": scores, "nearest": nearest, "cosine": [c[0] if len(c) else 0.0 for _, c in found], "toxic_near": [int(index.y[r].sum()) for r, _ in found]})
 
     return docs.select(F.col(key), whole(F.col(text)).alias("t")).mapInPandas(run, f"{key} {dict(docs.dtypes)[key]}, score double, nearest long, cosine double, toxic_near int")
 
 
-def filter_documents(docs: DataFrame, model: tuple[BlockMaxIndex, dict[str, int]], below: float, text: str = "text") -> DataFrame:
+def filter_documents(docs: DataFrame, model: Model, below: float, text: str = "text") -> DataFrame:
     """The rows, with all their columns, whose text scores below `below`; only texts go to Python. Null, empty, repeated and very long texts are scored as score_toxicity does."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        index, vocabulary = shared.value
-        find = Terms(vocabulary)
+        find = Terms(model.vocabulary.value)
         for texts in batches:
             texts = texts.to_list()
-            yield pd.Series(np.concatenate([np.zeros(0), *(index.score([find(t) for t in texts[at]])[0] for at in slices(texts))]))
+            yield pd.Series(np.concatenate([np.zeros(0), *(model.score([find(t) for t in texts[at]])[0] for at in slices(texts))]))
 
     return docs.filter(score(whole(F.col(text))) < below)

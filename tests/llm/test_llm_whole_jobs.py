@@ -41,7 +41,7 @@ def test_toxicity_searches_every_text_over_all_terms(spark):
     labels = spark.createDataFrame([(i, int(i % 6 == 0)) for i, _ in texts], "doc_id long, toxic int")
     model = toxicity_knn.learn(docs, labels)
     learned = {r.doc_id for r in docs.filter(~held_out(F.col("doc_id"), 5, 0)).collect()}
-    assert set(model[0].ids.tolist()) == learned
+    assert set(model.index.value.ids.tolist()) == learned
     got = {r.doc_id: r.nearest for r in toxicity_knn.score_toxicity(docs, model).collect()}
     assert all(n in learned and dict(texts)[n].split()[:30] == dict(texts)[i].split()[:30] for i, n in got.items() if any((i - j) % 30 == 0 for j in learned))
     assert None not in got.values()

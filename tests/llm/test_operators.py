@@ -2,6 +2,7 @@
 
 import hashlib
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers as P
@@ -250,25 +251,27 @@ def test_block_max_is_exact():
     y, idf = r.integers(0, 2, 700), r.random(90) + 0.5
     index = toxicity_knn.BlockMaxIndex(rows, terms, n, y, np.arange(700), idf, {0: 3.0, 1: 1.0})
     assert 0 < len(index.dense) < 90 and sorted(index.ids.tolist()) == [i for i, e in enumerate(examples) if e]
-    index.a, index.b = 1.3, -0.2
+    assert index.dense.dtype == np.float32
     dense = np.zeros((700, 90))
     for i, e in enumerate(examples):
         for t, c in e.items():
             dense[i, t] = (1 + np.log(c)) * index.weight[t]
     dense /= np.maximum(1e-12, np.sqrt((dense**2).sum(1)))[:, None]
-    scores, found = index.score(examples[:90])
+    kept = dense[index.ids].astype(np.float32).astype(float)
+    sent = SimpleNamespace(value=index)
+    scores, found = toxicity_knn.Model(sent, None, 1.3, -0.2).score(examples[:90])
     alone = index.nearest(examples[:90], list(range(90)))
     for i, e in enumerate(examples[:90]):
         if not e:
             assert scores[i] == index.bare and not len(found[i][0])
             continue
         for (own, cosine), left in ((found[i], None), (alone[i], i)):
-            cos = (dense[index.ids] @ dense[i]).round(10)
+            cos = (kept @ dense[i]).round(10)
             cos[index.ids == left] = 0
             want = np.lexsort((np.arange(len(cos)), -cos))[: index.k]
             want = want[cos[want] > 0]
             assert own.tolist() == want.tolist() and cosine == pytest.approx(cos[want], abs=1e-9)
-        w = cos_of = (dense[index.ids] @ dense[i])[found[i][0]].clip(max=1.0)
+        w = cos_of = (kept @ dense[i])[found[i][0]].clip(max=1.0)
         w = np.where(y[index.ids[found[i][0]]] == 1, 1.0, 3.0) * cos_of**2 / (1.05 - cos_of)
         v = np.clip((w @ y[index.ids[found[i][0]]] + 0.02 * index.bare) / (w.sum() + 0.02), 1e-5, 1 - 1e-5)
         assert scores[i] == pytest.approx(1 / (1 + (v / (1 - v)) ** -1.3 * np.exp(0.2)), abs=1e-6)
