@@ -9,7 +9,8 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -26,13 +27,13 @@ from .quality_mil import sigmoid
 #: Labelled examples of each class in the index, at most.
 PER_CLASS = 4_000
 #: Neighbours that vote; examples of a block; texts searched together.
-NEIGHBOURS, BLOCK, TOGETHER = 30, 64, 32
+NEIGHBOURS, BLOCK, TOGETHER = 30, 256, 32
 #: How much relevance counts, and standard errors that the odds ratio is lowered by.
 RELEVANCE, ERRORS = 3.0, 3.0
 #: Votes are held this far from 0 and 1.
 EDGE = 1e-5
 #: Share of the examples from which on a term's weights are a dense row.
-DENSE = 0.1
+DENSE = 0.05
 WORD = re.compile(r"\w+")
 NONE = np.zeros(0, np.int32)
 
@@ -47,23 +48,37 @@ def spans(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 class Terms:
     """Numbers of the vocabulary's terms in a text, and their counts; what a chunk between spaces holds is looked up once."""
 
-    def __init__(self, vocabulary: dict[str, int], most: int = 200_000):
+    def __init__(self, vocabulary: dict[str, int], most: int = 400_000):
         self.vocabulary, self.most, self.known = vocabulary, most, {}
 
-    def __call__(self, text: str) -> Counter:
+    def look_up(self, chunks: Iterable[str]) -> None:
         if len(self.known) > self.most:
             self.known.clear()
-        known, get, chunks = self.known, self.vocabulary.get, text.lower().split()
+        known, get = self.known, self.vocabulary.get
         for c in set(chunks).difference(known):
-            known[c] = tuple(i for t in WORD.findall(c) if (i := get(t)) is not None)
-        return Counter(i for own in filter(None, map(known.__getitem__, chunks)) for i in own)
+            i = get(c)  # a chunk that is a term holds no other
+            known[c] = (i,) if i is not None else tuple(i for t in WORD.findall(c) if (i := get(t)) is not None)
+
+    def distinct(self, text: str) -> list[int]:
+        chunks = set(text.lower().split())
+        self.look_up(chunks)
+        return list(set().union(*map(self.known.__getitem__, chunks)))
+
+    def __call__(self, text: str) -> dict[int, int]:
+        chunks = Counter(text.lower().split())
+        self.look_up(chunks)
+        known, out = self.known, {}
+        for c, n in chunks.items():
+            for i in known[c]:
+                out[i] = out.get(i, 0) + n
+        return out
 
 
-def flat(counts: list[Counter]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def flat(counts: list[dict[int, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Number of the text, term and count, of all texts."""
     many = np.fromiter(map(len, counts), np.int64, len(counts))
-    terms = np.fromiter((t for c in counts for t in c), np.int64, int(many.sum()))
-    n = np.fromiter((m for c in counts for m in c.values()), float, int(many.sum()))
+    terms = np.fromiter(chain.from_iterable(counts), np.int64, int(many.sum()))
+    n = np.fromiter(chain.from_iterable(c.values() for c in counts), float, int(many.sum()))
     return np.repeat(np.arange(len(counts)), many), terms, n
 
 
@@ -115,7 +130,7 @@ class BlockMaxIndex:
         w = (1 + np.log(n)) * self.weight[terms]
         return w / np.maximum(1e-12, np.sqrt(np.bincount(rows, w * w, size)))[rows]
 
-    def nearest(self, counts: list[Counter], leave: list[int] | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+    def nearest(self, counts: list[dict[int, int]], leave: list[int] | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each text the rows and cosines of its k nearest examples, exact to ten decimals, ties by row. leave: an id for each text, to be left out."""
         many, wide = len(counts), self.blocks * BLOCK
         if not self.size:
@@ -135,9 +150,12 @@ class BlockMaxIndex:
         k = min(self.k + (leave is not None) * self.repeats, self.size)
 
         def read(wanted: np.ndarray) -> np.ndarray:
-            here = wanted[cell]
-            posting, which = spans(self.run[run[here]], self.run[run[here] + 1])
-            return np.bincount(q[own[here]][which] * wide + self.rows[posting], w[own[here]][which] * self.weights[posting], many * wide).reshape(many, wide)
+            here = np.flatnonzero(wanted[cell])
+            first, of_run = self.run[run[here]], own[here]
+            length = self.run[run[here] + 1] - first
+            posting, _ = spans(first, first + length)
+            place = np.repeat(q[of_run] * wide, length) + self.rows[posting]
+            return np.bincount(place, np.repeat(w[of_run], length) * self.weights[posting], many * wide).reshape(many, wide)
 
         best = np.zeros(many * self.blocks, bool)  # the blocks of the largest bounds first: most others can't reach what they hold
         few = min(4, self.blocks)
@@ -165,7 +183,7 @@ class BlockMaxIndex:
         w = self.share[rows] * cosine**2 / (1.05 - np.minimum(cosine, 1.0))
         return float((w @ self.y[rows] + 0.02 * self.bare) / (w.sum() + 0.02))
 
-    def votes(self, counts: list[Counter], leave: list[int] | None = None) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+    def votes(self, counts: list[dict[int, int]], leave: list[int] | None = None) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
         """For each text the log odds of its neighbours' vote, and the neighbours."""
         found = []
         for i in range(0, len(counts), TOGETHER):
@@ -211,7 +229,7 @@ class Model(NamedTuple):
     a: float = 1.0
     b: float = 0.0
 
-    def score(self, counts: list[Counter]) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+    def score(self, counts: list[dict[int, int]]) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
         """Calibrated scores, and the neighbours; a text without any term has the rate of such examples."""
         x, found = self.index.value.votes(counts)
         return np.where([len(c) > 0 for c in counts], sigmoid(self.a * x + self.b), self.index.value.bare), found
@@ -239,7 +257,7 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: i
         for pdf in batches:
             total += len(pdf)
             for t in pdf["t"]:
-                df[list(find(t))] += 1
+                df[find.distinct(t)] += 1
         some = np.flatnonzero(df)
         yield pd.DataFrame({"i": np.r_[-1, some], "n": np.r_[total, df[some]]})
 
