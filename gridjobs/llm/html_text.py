@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -12,13 +13,14 @@ from pyspark.sql import functions as F
 
 from .common import whole
 
+# In a tag a quote opens a string only right after an equals sign; elsewhere it is part of a name or value.
 TOKEN = re.compile(
     r"""<!--(?:>|->|.*?(?:--!?>|\Z))"""
-    r"""|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>"']|"[^"]*(?:"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)"""
+    r"""|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>=]++|=\s*+(?:"[^"]*+(?:"|\Z)|'[^']*+(?:'|\Z)|[^\s>]*+))*+)(?:>|\Z)"""
     r"""|<[!?/][^>]*(?:>|\Z)""",
     re.S,
 )
-ATTR = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"?|'([^']*)'?|([^\s>]+)))?""")
+ATTR = re.compile(r"""([^\s=/>]+)(?:\s*=\s*(?:"([^"]*)"?|'([^']*)'?|([^\s>]+)))?""")
 SPACE = re.compile(r"[ \t\n\f\r]+")
 HIDING = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\s*(?:!\s*important\s*)?(?:;|$)", re.I)
 
@@ -67,20 +69,30 @@ def attributes(text: str) -> dict[str, str]:
 def parse(source: str) -> Node:
     """The tree of a page. Tags that the standard implies are closed or opened; stray end tags are dropped."""
     root = Node("html")
-    open_ = [root]
+    open_, held = [root], Counter(["html"])  # the open elements, and how many there are of each name
     pos, n = 0, len(source)
 
+    def push(node: Node) -> None:
+        open_.append(node)
+        held[node.name] += 1
+
+    def cut(i: int) -> None:
+        held.subtract(x.name for x in open_[i:])
+        del open_[i:]
+
     def add(text: str) -> None:
         if open_[-1].name == "head" and text.strip():
-            open_.pop()
+            cut(-1)
         if open_[-1].name in TABLE | ROWS | {"tr"} and not text.strip():
             return
         open_[-1].kids.append(html.unescape(text) if "&" in text else text)
 
     def close(names: frozenset[str], fence: frozenset[str]) -> bool:
+        if not any(map(held.__getitem__, names)):
+            return False
         for i in range(len(open_) - 1, 0, -1):
             if open_[i].name in names:
-                del open_[i:]
+                cut(i)
                 return True
             if open_[i].name in fence:
                 return False
@@ -103,7 +115,7 @@ def parse(source: str) -> Node:
                 continue
             if name == "br":
                 open_[-1].kids.append(Node("br"))
-            elif name == "p" and not any(x.name == "p" for x in open_):
+            elif name == "p" and not held["p"]:
                 open_[-1].kids.append(Node("p"))
             elif name in TABLE:
                 close(TABLE, frozenset())
@@ -117,10 +129,10 @@ def parse(source: str) -> Node:
         if name == "html":
             root.attrs = root.attrs or m["attrs"]
             continue
-        if name == "body" and any(x.name == "body" for x in open_):
+        if name == "body" and held["body"]:
             continue
         if open_[-1].name == "head" and name not in HEAD_ONLY:
-            open_.pop()
+            cut(-1)
         if name in IMPLIED:
             names, fence = IMPLIED[name]
             while close(names, fence):
@@ -128,10 +140,10 @@ def parse(source: str) -> Node:
         if name in ENDS_P:
             close(frozenset(["p"]), FENCE | frozenset("button object template".split()))
         if name[0] == "h" and name in ("h1", "h2", "h3", "h4", "h5", "h6") and open_[-1].name in ("h1", "h2", "h3", "h4", "h5", "h6"):
-            open_.pop()
+            cut(-1)
         if name in CELLS and open_[-1].name in TABLE | ROWS:  # a cell without its row
             open_[-1].kids.append(row := Node("tr"))
-            open_.append(row)
+            push(row)
         open_[-1].kids.append(node := Node(name, m["attrs"]))
         if name in RAW:
             end = re.compile(rf"</{re.escape(name)}(?=[\s/>]|\Z)[^>]*>?", re.I).search(source, pos)
@@ -140,7 +152,7 @@ def parse(source: str) -> Node:
                 body = html.unescape(body)
             node.kids.append(body)
         elif name not in VOID:
-            open_.append(node)
+            push(node)
     return root
 
 

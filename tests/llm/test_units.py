@@ -242,3 +242,18 @@ def test_html_deep_nesting_and_all_words():
     source = "".join(f"<{t}>{w}</{t}> " for w, t in zip(words, ["p", "b", "li", "td", "div", "h2", "span", "a", "em", "ul"] * 30, strict=True))
     assert re.findall(r"w\d+", html_to_text(source)) == words
     assert html_to_text(None) == html_to_text("") == ""
+
+
+def test_html_quotes_open_strings_only_after_an_equals_sign():
+    assert html_to_text("<p title=it's>Hello <b>don't</b> rest</p><p>tail</p>") == "Hello don't rest\n\ntail"
+    assert html_to_text("""<p class="a"b'>Hello</p><p>more's here</p>""") == "Hello\n\nmore's here"
+    assert html_to_text("""<p a = "x > y" b= 'z>' c=>one</p><p " d>two</p>""") == "one\n\ntwo"
+    assert html_to_text("<div hidden='x'>no</div><div style=\"display:none\">no</div>yes") == "yes"
+
+
+def test_html_deep_nesting_is_linear():
+    from time import process_time
+
+    began = process_time()
+    assert html_to_text("<div>" * 50_000 + "deep" + "</div>" * 50_000) == "deep"
+    assert process_time() - began < 10
