@@ -256,12 +256,12 @@ def g7_hourly_wind(spark, sf_dir):
     return out.drop("wind_moment3").withColumns(r6("u10", "v10", "wind") | {n: F.round(n, 3) for n in ("wind_moment2", "wind_moment2_sigma_regrid")})
 
 
-@query("""WITH f AS (SELECT (year - 1990) * 46 * 5 + widx * 5 AS day, ilat, ilon, v FROM grid8d WHERE widx % 2 = 0), t AS (SELECT DISTINCT day FROM f),
+@query("""WITH f AS (SELECT (year - 1990) * 46 * 5 + widx * 5 AS day, ilat, ilon, v FROM grid8d), t AS (SELECT DISTINCT day FROM f),
 p AS (SELECT day AS t0, lead(day) OVER (ORDER BY day) AS t1 FROM t), d AS (SELECT unnest(range(t0, coalesce(t1, t0 + 1))) AS d, t0, t1 FROM p),
 w AS (SELECT d, t0 AS day, 1 - CASE WHEN t1 IS NULL THEN 0 ELSE (d - t0) / CAST(t1 - t0 AS DOUBLE) END AS w FROM d UNION ALL SELECT d, t1, (d - t0) / CAST(t1 - t0 AS DOUBLE) FROM d WHERE d > t0)
 SELECT ilat, ilon, CAST(d AS INT) AS day, round(CASE WHEN sum(w) > 1 - 1e-9 THEN sum(w * v) END, 6) AS v FROM f JOIN w USING (day) GROUP BY 1, 2, 3""", "grid8d")
 def g8a_daily(spark, sf_dir):
-    f = view(spark, sf_dir, "grid8d").filter("widx % 2 = 0").select(((F.col("year") - 1990) * 230 + F.col("widx") * 5).alias("day"), "ilat", "ilon", "v")
+    f = view(spark, sf_dir, "grid8d").select(((F.col("year") - 1990) * 230 + F.col("widx") * 5).alias("day"), "ilat", "ilon", "v")
     return regrid.to_daily(f, "v").withColumns(r6("v"))
 
 
@@ -418,9 +418,9 @@ def e2_e3_w3_features(spark, sf_dir):
 
 
 @query(f"""WITH {FEATURES}, o AS (SELECT CAST(year(obs_time) AS INT) AS year, CAST(floor((dayofyear(obs_time) - 1) / 8e0) AS INT) AS widx, CAST(floor(lat10 / 3e2) AS INT) AS ilat, CAST(floor(lon10 / 3e2) AS INT) AS ilon,
-avg(sst) AS sst_mean, count(*) AS n FROM obs WHERE expocode < 'S5' GROUP BY 1, 2, 3, 4) SELECT year, widx, ilat, ilon, sst_mean, n, {FEATURE_COLUMNS} FROM o JOIN f USING (year, widx, ilat, ilon)""", "grid8d")
+avg(sst) AS sst_mean, count(*) AS n FROM obs GROUP BY 1, 2, 3, 4) SELECT year, widx, ilat, ilon, sst_mean, n, {FEATURE_COLUMNS} FROM o JOIN f USING (year, widx, ilat, ilon)""", "grid8d")
 def j9_b4_training_table(spark, sf_dir):
-    seen = observe.grid(view(spark, sf_dir, "obs").filter("expocode < 'S5'"), ["sst"], 30.0).drop("sst_std")
+    seen = observe.grid(view(spark, sf_dir, "obs"), ["sst"], 30.0).drop("sst_std")
     return products.training_table(seen, view(spark, sf_dir, "grid8d"), ["v"]).withColumns(r6("anom_v", "delta_v", "clim_v", "seas_v"))
 
 
@@ -588,13 +588,13 @@ def v9_v12_append_verdict(spark, sf_dir):
 # --- jobs ------------------------------------------------------------------------------------------------------------
 
 
-@query(f"""WITH c AS (SELECT {W}, CAST(floor(ilat / 3e0) AS INT) AS ilat, CAST(floor(ilon / 3e0) AS INT) AS ilon, round(avg(v), 6) AS v, round(stddev_pop(v), 6) AS v_sigma_regrid FROM cells_daily WHERE time >= TIMESTAMP '1996-01-01' AND time <= TIMESTAMP '1998-12-31' GROUP BY 1, 2, 3, 4)
+@query(f"""WITH c AS (SELECT {W}, CAST(floor(ilat / 3e0) AS INT) AS ilat, CAST(floor(ilon / 3e0) AS INT) AS ilon, round(avg(v), 6) AS v, round(stddev_pop(v), 6) AS v_sigma_regrid FROM cells_daily GROUP BY 1, 2, 3, 4)
 SELECT *, {center()} AS window_center FROM c""", "cells_daily")
 def b1_product_windows(spark, sf_dir):
-    return products.product_windows(clip(view(spark, sf_dir, "cells_daily"), "time", "1996-01-01", "1998-12-31"), ["v"], 3).withColumns(r6("v", "v_sigma_regrid"))
+    return products.product_windows(view(spark, sf_dir, "cells_daily"), ["v"], 3).withColumns(r6("v", "v_sigma_regrid"))
 
 
-@query(f"""WITH g AS (SELECT CAST(year(obs_time) AS INT) AS year, CAST(floor((dayofyear(obs_time) - 1) / 8e0) AS INT) AS widx, CAST(floor(lat10 / 5e1) AS INT) AS ilat, CAST(floor(lon10 / 5e1) AS INT) AS ilon, avg(fco2) AS fco2_mean, round(stddev_pop(fco2), 6) AS fco2_std, count(*) AS n FROM obs WHERE obs_time >= TIMESTAMP '1997-01-01' GROUP BY 1, 2, 3, 4)
+@query(f"""WITH g AS (SELECT CAST(year(obs_time) AS INT) AS year, CAST(floor((dayofyear(obs_time) - 1) / 8e0) AS INT) AS widx, CAST(floor(lat10 / 5e1) AS INT) AS ilat, CAST(floor(lon10 / 5e1) AS INT) AS ilon, avg(fco2) AS fco2_mean, round(stddev_pop(fco2), 6) AS fco2_std, count(*) AS n FROM obs WHERE obs_time >= TIMESTAMP '1982-01-01' GROUP BY 1, 2, 3, 4)
 SELECT *, {center()} AS window_center FROM g""")
 def b3_s12_observation_job(spark, sf_dir):
-    return products.gridded_observations(view(spark, sf_dir, "obs"), ["fco2"], 5.0, 1997).withColumns(r6("fco2_std"))
+    return products.gridded_observations(view(spark, sf_dir, "obs"), ["fco2"], 5.0).withColumns(r6("fco2_std"))

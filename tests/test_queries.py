@@ -24,7 +24,7 @@ def plain(df):
     return df.sort_values(list(df)).reset_index(drop=True)
 
 
-@pytest.mark.parametrize("name", list(ORACLES)[::4])
+@pytest.mark.parametrize("name", list(ORACLES))
 def test_same_rows(spark, name):
     con = duckdb.connect()
     for t in ("lineitem", "orders", "events", "embeddings"):
