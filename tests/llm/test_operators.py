@@ -75,10 +75,27 @@ def test_sharding(docs, empty):
     assert assign_shards(empty, 4).count() == 0
 
 
-def test_sharding_is_longest_first(spark):
+def test_sharding_is_longest_first(spark, monkeypatch):
+    """Against a heap over all groups, one by one: equal loads, with hot texts, runs of equal sizes and numbering in parts."""
+    monkeypatch.setattr("gridjobs.llm.sharding.NUMBERED", 7)
+    monkeypatch.setattr("gridjobs.llm.sharding.HOT", 20)
     texts = [(i, "x" * (7 * i % 101) + str(i)) for i in range(200)]
-    loads = [r.b for r in assign_shards(docs_of(spark, texts), 8).groupBy("shard").agg(F.sum("size").alias("b")).collect()]
-    assert max(loads) - min(loads) <= 8
+    texts += [(200 + i, f"{i:04d}") for i in range(150)] + [(1000 + i, "the hot text") for i in range(170)] + [(2000, None), (2001, "")]
+    got = assign_shards(docs_of(spark, texts), 8).collect()
+    assert sorted(r.doc_id for r in got) == sorted(i for i, _ in texts)
+    groups = {}
+    for _, t in texts:
+        groups[t or ""] = groups.get(t or "", 0) + len(t or "") + 1
+    loads = [0] * 8
+    for size in sorted(groups.values(), reverse=True):
+        loads[loads.index(min(loads))] += size
+    found = [0] * 8
+    for r in got:
+        found[r.shard] += r.size
+    assert found == loads
+    assert len({r.shard for r in got if 1000 <= r.doc_id < 2000}) == 1
+    for s in range(8):
+        assert sorted(r.slot for r in got if r.shard == s) == list(range(sum(r.shard == s for r in got)))
 
 
 def test_ngram_join_by_brute_force(spark, docs, empty):

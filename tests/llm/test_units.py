@@ -82,9 +82,26 @@ def test_plan_wastes_little():
     assert (have * np.arange(2049)).sum() / 2048 / n > 0.99
 
 
+def one_by_one(sizes, counts, bins):
+    loads, out = [0] * bins, {}
+    for size, count in sorted(zip(sizes, counts, strict=True), reverse=True):
+        out[size] = [0] * bins
+        for _ in range(count):
+            b = min(range(bins), key=lambda b: (loads[b], b))
+            loads[b] += size
+            out[size][b] += 1
+    return [out[size] for size in sizes]
+
+
 def test_longest_first_is_greedy():
-    assert longest_first([5, 4, 3, 3, 3], 2) == [0, 1, 1, 0, 1]
-    assert longest_first([], 3) == []
+    assert longest_first([5, 4, 3], [1, 1, 3], 2) == [[1, 0], [0, 1], [1, 2]]
+    assert longest_first([], [], 3) == []
+    r = np.random.default_rng(1)
+    for top, most in ((20, 3), (300, 200), (5000, 400)):  # runs dealt one by one and runs dealt in one step
+        for bins in (1, 3, 8):
+            sizes = r.choice(np.arange(1, top), 12, replace=False).tolist()
+            counts = r.integers(1, most, 12).tolist()
+            assert longest_first(sizes, counts, bins) == one_by_one(sizes, counts, bins)
 
 
 def test_best_breaks_ties_by_id():
