@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import comb
 
 import numpy as np
 import pandas as pd
@@ -16,8 +17,10 @@ from .topk import finite
 
 #: Vectors that the rotations are learned from, at most; all are indexed.
 SAMPLE = 20_000
-#: Chance that a pair just at the threshold shares no table, and share of differing bits beyond which a pair is dropped.
-MISSED, FAR = 0.01, 0.35
+#: Chance that a pair just at the threshold is near in no table, and standard deviations by which its codes may differ more than expected.
+MISSED, FAR = 0.01, 3.5
+#: Bits of a key that may differ: each vector is filed under its key and the keys one bit away, so two vectors meet if theirs differ in two bits.
+PROBED = 2
 
 
 def rotations(x: np.ndarray, bits: int, many: int, rounds: int = 30) -> tuple[np.ndarray, np.ndarray]:
@@ -38,11 +41,25 @@ def rotations(x: np.ndarray, bits: int, many: int, rounds: int = 30) -> tuple[np
     return mean, np.stack(out)
 
 
-def tables_of(n: int, dim: int, least: float) -> tuple[int, int]:
-    """Bits of a table's key, so that a bucket keeps a few rows at any size, and tables, so that few pairs are missed."""
-    bits = int(min(dim, 24, max(8, np.ceil(np.log2(max(2, n))))))
+def tables_of(n: int, dim: int, least: float) -> tuple[int, int, int]:
+    """Bits of a table's key, so that a bucket keeps few rows at any size; tables, so that few pairs are missed; and the
+    number of differing bits in all tables beyond which a pair is dropped."""
+    bits = int(min(dim, 31, max(8, np.ceil(np.log2(max(2, n))))))
     p = np.arccos(least) / np.pi * 1.25  # chance that a bit differs; a quarter more, for codes about the mean
-    return bits, int(np.ceil(np.log(MISSED) / np.log(1 - (1 - p) ** bits)))
+    near = sum(comb(bits, d) * p**d * (1 - p) ** (bits - d) for d in range(PROBED + 1))
+    tables = max(1, int(np.ceil(np.log(MISSED) / np.log1p(-min(near, 0.9999)))))
+    all_bits = bits * tables
+    return bits, tables, int(np.ceil(all_bits * p + FAR * np.sqrt(all_bits * p * (1 - p))))
+
+
+def once(table: np.ndarray, key: np.ndarray, differ: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """Whether pairs met in `key` of `table` are to be taken there: in the first table where their keys differ in PROBED
+    bits at most, and there under the smaller of the keys that both are filed under."""
+    first = (np.bitwise_count(differ) <= PROBED).argmax(1)
+    each = np.arange(len(differ))
+    x, u = differ[each, first], left[each, first]
+    low = x & -x
+    return (first == table) & (np.minimum(u ^ low, u ^ x ^ low) == key)
 
 
 def near_duplicates(vectors: DataFrame, least: float = 0.95, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -50,9 +67,11 @@ def near_duplicates(vectors: DataFrame, least: float = 0.95, key: str = "vec_id"
 
     Returns a row for each row: key, n_links, component_id (smallest key that links reach, its own included), kept.
 
-    Equal vectors are one class from the start. The rest is looked up by table: classes of equal keys meet in blocks, pairs
-    with too many differing bits in all tables are dropped, the others' cosines are taken, and a task returns counts and
-    stars. Keys have about log2(n) bits and the number of tables follows from it, so buckets stay small at any size.
+    Equal vectors are one class from the start. The others' binary codes are cut into one key a table, and each vector is
+    filed under its key and all keys one bit away. Ids and codes alone meet in the buckets, in blocks; rows without a partner
+    whose whole code is near go no further. The vectors of the rest meet in the same blocks, the cosines are taken, and a
+    task returns counts and stars. Keys have about log2(n) bits and the number of tables follows from it, so buckets stay
+    small at any size; where the tables need more bits than a code has, another rotation gives the next code.
 
     Vectors that are null, empty, zero or hold null or non-finite components link with nothing, nor do vectors of unlike
     lengths with each other; repeated rows are copies that link; an empty table gives no rows; other columns are ignored.
@@ -81,7 +100,7 @@ def near_duplicates(vectors: DataFrame, least: float = 0.95, key: str = "vec_id"
 def _links(classes: DataFrame, dim: int, size: int, least: float, n: int) -> DataFrame:
     spark = classes.sparkSession
     sample = np.array(classes.orderBy("c").limit(SAMPLE).select("v").toPandas()["v"].to_list(), float).reshape(-1, dim)
-    key_bits, tables = tables_of(size, dim, least)
+    key_bits, tables, far = tables_of(size, dim, least)
     code = min(dim, 64)
     each = max(1, code // key_bits)
     unit = lambda x: x / np.sqrt((x * x).sum(1, keepdims=True))
@@ -99,18 +118,33 @@ def _links(classes: DataFrame, dim: int, size: int, least: float, n: int) -> Dat
                 yield pd.DataFrame({"c": pdf["c"], "copies": pdf["copies"], "keys": list(keys), "code": [k.tobytes() for k in keys], "x": [r.tobytes() for r in x]})
 
     coded = written(classes.select("c", "copies", "v").mapInPandas(codes, "c long, copies long, keys array<int>, code binary, x binary"), "itq-codes")
-    own = meetings(coded.select("c", F.posexplode("keys").alias("table", "h")), ["table", "h"], "c").join(coded.drop("keys"), "c")
-    group = ["table", "h", "bi", "bj"]
+    bucket, group = ["table", "h"], ["table", "h", "bi", "bj"]
+    probes = F.array(F.lit(0), *[F.lit(1 << b) for b in range(key_bits)])
+    filed = coded.select("c", "code", F.posexplode("keys").alias("table", "k")).withColumn("h", F.explode(F.transform(probes, lambda b: F.col("k").bitwiseXOR(b)))).drop("k")
+
+    def candidates(pdf: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        code_ = np.frombuffer(b"".join(pdf["code"]), np.int32).reshape(len(pdf), -1)
+        table, h = pdf["table"].to_numpy(), pdf["h"].to_numpy(np.int32)
+        for i, j in pairs(group_numbers(pdf, group), (pdf["bi"] != pdf["bj"]).to_numpy(), pdf["side"].to_numpy(), 100_000):
+            differ = code_[i] ^ code_[j]
+            near = np.flatnonzero(np.bitwise_count(differ).sum(1) <= far)
+            i, j = i[near], j[near]
+            taken = once(table[i], h[i], differ[near], code_[i])
+            yield i[taken], j[taken]
+
+    def partnered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in rows_by_key(batches, group):
+            has = np.zeros(len(pdf), bool)
+            for i, j in candidates(pdf):
+                has[i] = has[j] = True
+            if has.any():
+                yield pdf.loc[has, ["c", *group, "side"]]
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in rows_by_key(batches, group):
-            code_ = np.frombuffer(b"".join(pdf["code"]), np.int32).reshape(len(pdf), -1)
             x = np.frombuffer(b"".join(pdf["x"]), float).reshape(len(pdf), -1)
-            table, ids, copies, found = pdf["table"].to_numpy(), pdf["c"].to_numpy(np.int64), pdf["copies"].to_numpy(np.int64), []
-            for i, j in pairs(group_numbers(pdf, group), (pdf["bi"] != pdf["bj"]).to_numpy(), pdf["side"].to_numpy(), 100_000):
-                differ = code_[i] ^ code_[j]
-                near = ((differ == 0).argmax(1) == table[i]) & (np.bitwise_count(differ).sum(1) <= FAR * tables * key_bits)  # once, in the first table of both
-                i, j = i[near], j[near]
+            ids, copies, found = pdf["c"].to_numpy(np.int64), pdf["copies"].to_numpy(np.int64), []
+            for i, j in candidates(pdf):
                 hit = np.einsum("ij,ij->i", x[i], x[j]) >= least
                 found.append((i[hit], j[hit]))
             if found:
@@ -122,4 +156,6 @@ def _links(classes: DataFrame, dim: int, size: int, least: float, n: int) -> Dat
                 linked = np.flatnonzero(links)
                 yield pd.DataFrame({"a": ids[linked], "b": ids[root[linked]], "links": links[linked]})
 
-    return in_groups(own, group, 2 * n).mapInPandas(compare, "a long, b long, links long")
+    met = in_groups(meetings(filed, bucket, "c"), group, 2 * n).mapInPandas(partnered, "c long, table int, h int, bi int, bj int, side int")
+    met = written(met, "itq-met").join(coded.drop("keys"), "c")
+    return in_groups(met, group, 2 * n).mapInPandas(compare, "a long, b long, links long")

@@ -13,7 +13,7 @@ from gridjobs.llm.blocks import pairs, roots
 from gridjobs.llm.bpe import byte_pairs
 from gridjobs.llm.chunks import ChunkEncoder, slices
 from gridjobs.llm.html_text import html_to_text
-from gridjobs.llm.itq_dedup import tables_of
+from gridjobs.llm.itq_dedup import once, tables_of
 from gridjobs.llm.quality_mil import AttentionBags, encode
 from gridjobs.llm.sharding import longest_first
 from gridjobs.llm.topk import NONE, best, products
@@ -211,6 +211,22 @@ def test_tables_follow_the_size():
     small, large = tables_of(1000, 64, 0.95), tables_of(10**7, 64, 0.95)
     assert small[0] < large[0]
     assert small[1] < large[1]
+    assert 0 < small[2] < large[2] < large[0] * large[1] / 3
+
+
+def test_near_keys_meet_once():
+    r = np.random.default_rng(2)
+    code = r.integers(0, 1 << 8, (40, 3)).astype(np.int32)
+    for i in range(40):
+        for j in range(i):
+            differ = (code[i] ^ code[j])[None]
+            near = [t for t in range(3) if int(differ[0, t]).bit_count() <= 2]
+            taken = 0
+            for t in range(3):
+                both = {int(code[i, t]) ^ b for b in [0, *(1 << k for k in range(8))]} & {int(code[j, t]) ^ b for b in [0, *(1 << k for k in range(8))]}
+                assert bool(both) == (t in near)
+                taken += sum(once(np.array([t]), np.array([h]), differ, code[i][None])[0] for h in both)
+            assert taken == bool(near)
 
 
 def test_attention_gradients():
