@@ -1,4 +1,4 @@
-"""Byte-level BPE encoding and decoding on length-bucketed, padded numpy matrices."""
+"""Byte-level BPE encoding and decoding on length-bucketed, padded numpy matrices; pieces longer than the buckets stand alone."""
 
 from __future__ import annotations
 
@@ -19,6 +19,8 @@ from .common import whole
 NONE = 0xFFFF
 #: Cells of one matrix.
 CELLS = 2_000_000
+#: Pieces of more bytes than this are merged one by one, all places of a pair in a round; BLOCK places share a minimum.
+LONG, BLOCK = 1024, 256
 
 
 class PairTable:
@@ -114,6 +116,45 @@ class BytePairs:
                 rank[r, p] = self.pairs.find(ids[r, p], ids[r, p + 1])
         yield rows, ids
 
+    def merged_long(self, ids: np.ndarray) -> np.ndarray:
+        """One long row merged to its end, with the result of merged() in time that grows with the merges, not their square.
+
+        A round merges the pair of least rank at all its places from left to right, but for overlapping ones, up to the
+        first place whose merge makes a pair of a still lower rank, which is next in line. Places keep their numbers and know
+        the places before and after; a minimum for each block of places saves looking at all of them.
+        """
+        n = len(ids)
+        ids = np.append(ids, NONE)  # at n, which is also -1: no neighbour
+        after, before = np.arange(1, n + 2), np.arange(-1, n)
+        blocks = np.full((n // BLOCK + 1, BLOCK), NONE, np.int32)
+        rank = blocks.reshape(-1)
+        rank[: n - 1] = self.pairs.find(ids[: n - 1], ids[1:n])
+        low, alive = blocks.min(1), np.ones(n, bool)
+        while (least := low.min()) != NONE:
+            near = np.flatnonzero(low == least)
+            row, column = np.nonzero(blocks[near] == least)
+            at = near[row] * BLOCK + column
+            start = np.r_[True, after[at[:-1]] != at[1:]]
+            each = np.arange(len(at))
+            at = at[(each - np.maximum.accumulate(np.where(start, each, 0))) % 2 == 0]
+            gone = after[at]
+            left = ids[before[at]]
+            left[1:][before[at[1:]] == gone[:-1]] = least
+            same = np.full(len(at), least, np.int32)
+            lower = (self.pairs.find(left, same) < least) | (self.pairs.find(same, ids[after[gone]]) < least)
+            if lower.any():
+                upto = int(lower.argmax()) + 1
+                at, gone = at[:upto], gone[:upto]
+            ids[at], alive[gone], rank[gone] = least, False, NONE
+            after[at] = after[gone]
+            before[after[at]] = at
+            first = before[at]
+            rank[at] = self.pairs.find(ids[at], ids[after[at]])
+            rank[first] = self.pairs.find(ids[first], ids[at])
+            touched = np.unique(np.concatenate([at, gone, first[first >= 0]]) // BLOCK)
+            low[touched] = blocks[touched].min(1)
+        return ids[:n][alive]
+
     def encode_pieces(self, pieces: list[bytes]) -> list[np.ndarray]:
         out: list[np.ndarray] = [None] * len(pieces)  # type: ignore[list-item]
         by_width: dict[int, list[int]] = {}
@@ -121,6 +162,8 @@ class BytePairs:
             rank = self.ranks.get(piece)
             if rank is not None:
                 out[i] = np.array([rank], np.uint32)
+            elif len(piece) > LONG:
+                out[i] = self.merged_long(self.single[np.frombuffer(piece, np.uint8)]).astype(np.uint32)
             elif piece:
                 n = len(piece)
                 by_width.setdefault(n if n <= 16 else 1 << (n - 1).bit_length(), []).append(i)
@@ -161,7 +204,8 @@ def bpe_round_trip(docs: DataFrame, path: str, pattern: str, text: str = "text",
     """Encode every whole text, then decode the ids.
 
     Returns key, ids (array<int>), decoded (binary). A null text counts as empty and has no ids; repeated rows each keep a
-    row; an empty table gives no rows; other columns are ignored. `path` is a rank file that all executors can read.
+    row; an empty table gives no rows; other columns are ignored. Very long texts, unbroken ones too, take time in about
+    proportion to their length. `path` is a rank file that all executors can read.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -1,4 +1,5 @@
 import re
+import time
 
 import numpy as np
 import pandas as pd
@@ -8,7 +9,7 @@ import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from gridjobs.llm import ctw, ngram_join, packing
+from gridjobs.llm import bpe, ctw, ngram_join, packing
 from gridjobs.llm.blocks import pairs, roots
 from gridjobs.llm.bpe import byte_pairs
 from gridjobs.llm.chunks import ChunkEncoder, slices
@@ -290,3 +291,20 @@ def test_html_deep_nesting_is_linear():
     began = process_time()
     assert html_to_text("<div>" * 50_000 + "deep" + "</div>" * 50_000) == "deep"
     assert process_time() - began < 10
+
+
+@pytest.mark.parametrize("kind", ["letters", "one", "few", "signs", "mixed"])
+def test_long_unbroken_pieces_merge_as_tiktoken_says(kind, reference, monkeypatch):
+    r = np.random.default_rng(4)
+    alphabet = {"letters": "abcdefghijklmnopqrstuvwxyz", "one": "a", "few": "ab", "signs": "-=_*#", "mixed": "etaoinéßд漢"}[kind]
+    pairs, enc = reference
+    text = "".join(r.choice(list(alphabet), 1_000_000 if kind in ("letters", "one") else 20_000))
+    start = time.monotonic()
+    (got,) = pairs.encode_many([text])
+    assert time.monotonic() - start < 60
+    assert np.frombuffer(got, "<u4").tolist() == enc.encode_ordinary(text)
+    monkeypatch.setattr(bpe, "LONG", 1)  # short pieces too, where ties and overlaps are dense
+    for n in range(2, 60):
+        piece = "".join(r.choice(list(alphabet), n))
+        (got,) = pairs.encode_many([piece])
+        assert np.frombuffer(got, "<u4").tolist() == enc.encode_ordinary(piece)
