@@ -535,11 +535,11 @@ def v1_snap_time(spark, sf_dir):
     return quality.snap_time(view(spark, sf_dir, "obs").select("obs_time").distinct(), "obs_time")
 
 
-@query("""WITH s AS (SELECT DISTINCT ilat, ilon FROM grid8d WHERE ilon <> 11), g AS (SELECT a, o FROM (SELECT unnest(range(6)) AS a) CROSS JOIN (SELECT unnest(range(12)) AS o)),
-b AS (SELECT count(*) FILTER (s.ilat IS NULL) AS m, count(*) FILTER (g.a IS NULL) AS f FROM g FULL JOIN s ON s.ilat = g.a AND s.ilon = g.o)
-SELECT 'grid' AS "check", 'grid' AS subject, m = 0 AND f = 0 AS ok, concat(m, ',', f) AS detail FROM b""", "grid8d")
+@query("""WITH s AS (SELECT DISTINCT year, widx, ilat, ilon, ilat BETWEEN 0 AND 5 AND ilon BETWEEN 0 AND 11 AS inside FROM grid8d),
+b AS (SELECT year, widx, 72 - count(*) FILTER (inside) AS m, count(*) FILTER (NOT inside) AS f FROM s GROUP BY 1, 2)
+SELECT 'grid' AS "check", concat(year, '-', widx) AS subject, m = 0 AND f = 0 AS ok, concat(m, ',', f) AS detail FROM b""", "grid8d")
 def v3_grid_matches(spark, sf_dir):
-    return quality.grid_matches(view(spark, sf_dir, "grid8d").filter("ilon <> 11"), 30.0)
+    return quality.grid_matches(view(spark, sf_dir, "grid8d"), 30.0)
 
 
 @query("""WITH p AS (SELECT DISTINCT CAST(floor((a + 90) / 30) AS INT) AS ilat, CAST(floor((o + 180) / 30) AS INT) AS ilon FROM (VALUES (20, 25), (-25, 135), (20, -100), (60, 100), (-33, 20)) t(a, o))
@@ -549,14 +549,14 @@ def v4_land_is_empty(spark, sf_dir):
     return quality.land_is_empty(g, "w", 30.0).drop("detail")
 
 
-@query("""SELECT 'longitudes' AS "check", concat(year, '-', widx) AS subject, count(DISTINCT ilon) = 12 AS ok, CAST(12 - count(DISTINCT ilon) AS VARCHAR) AS detail FROM grid8d WHERE NOT (widx % 5 = 0 AND ilon = 11) GROUP BY year, widx""", "grid8d")
+@query("""SELECT 'longitudes' AS "check", concat(year, '-', widx) AS subject, count(DISTINCT o) = 12 AS ok, CAST(12 - count(DISTINCT o) AS VARCHAR) AS detail FROM (SELECT year, widx, CASE WHEN v IS NOT NULL AND NOT (widx % 5 = 0 AND ilon = 11) THEN ilon END AS o FROM grid8d) GROUP BY year, widx""", "grid8d")
 def v5_longitudes_present(spark, sf_dir):
-    return quality.longitudes_present(view(spark, sf_dir, "grid8d").filter("NOT (widx % 5 = 0 AND ilon = 11)"), "v", 12)
+    return quality.longitudes_present(view(spark, sf_dir, "grid8d").withColumn("w", F.when((F.col("widx") % 5 != 0) | (F.col("ilon") != 11), F.col("v"))), "w", 12)
 
 
 @query("""SELECT 'full year' AS "check", CAST(year AS VARCHAR) AS subject, count(DISTINCT widx) = 46 AS ok, CAST(count(DISTINCT widx) AS VARCHAR) AS detail FROM grid8d GROUP BY year
 UNION ALL SELECT 'single year', 'all', count(DISTINCT year) = 1, CAST(count(DISTINCT year) AS VARCHAR) FROM grid8d
-UNION ALL SELECT 'shape', CAST(year AS VARCHAR), count(DISTINCT ilat) = 6 AND count(DISTINCT ilon) = 12, concat(count(DISTINCT ilat), 'x', count(DISTINCT ilon)) FROM grid8d GROUP BY year""", "grid8d")
+UNION ALL SELECT 'shape', concat(year, '-', widx), count(DISTINCT ilat) = 6 AND count(DISTINCT ilon) = 12, concat(count(DISTINCT ilat), 'x', count(DISTINCT ilon)) FROM grid8d GROUP BY year, widx""", "grid8d")
 def v6_v13_year_checks(spark, sf_dir):
     g = view(spark, sf_dir, "grid8d")
     return quality.run_checks([quality.years_full(g), quality.single_year(g), quality.shape_matches(g, 6, 12)], "ignore")

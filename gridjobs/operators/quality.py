@@ -9,8 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.calendar import SPAN, center, end, index, last_second, per_year, start, windows
-from ..functions.cells import lat_index, lon_index
-from .regrid import target_grid
+from ..functions.cells import count, lat_index, lon_index
 
 #: Points on land (lat, lon), where the sea has no data.
 LAND = ((20.0, 25.0), (-25.0, 135.0), (20.0, -100.0), (60.0, 100.0), (-33.0, 20.0))
@@ -40,11 +39,12 @@ def time_bounds(df: DataFrame, span: int = SPAN) -> DataFrame:
 
 
 def grid_matches(cells: DataFrame, res: float) -> DataFrame:
-    """One row: cells of the target grid that never occur, and occurring cells that aren't of it."""
-    seen = cells.select("ilat", "ilon").distinct().withColumn("seen", F.lit(1))
-    goal = target_grid(cells.sparkSession, res).select("ilat", "ilon").withColumn("goal", F.lit(1))
-    both = goal.join(seen, ["ilat", "ilon"], "full").agg(F.count_if(F.col("seen").isNull()).alias("missing"), F.count_if(F.col("goal").isNull()).alias("foreign"))
-    return report(both, "grid", F.lit("grid"), (F.col("missing") == 0) & (F.col("foreign") == 0), F.concat_ws(",", "missing", "foreign"))
+    """A row for each window: how many cells of the target grid it lacks, and how many of its cells aren't of that grid."""
+    nlat, nlon = count(180, res), count(360, res)
+    inside = F.coalesce(F.col("ilat").between(0, nlat - 1) & F.col("ilon").between(0, nlon - 1), F.lit(False))
+    seen = cells.select(*KEY, "ilat", "ilon").distinct()
+    both = seen.groupBy(*KEY).agg((F.lit(nlat * nlon) - F.count_if(inside)).alias("missing"), F.count_if(~inside).alias("foreign"))
+    return report(both, "grid", window_name(), (F.col("missing") == 0) & (F.col("foreign") == 0), F.concat_ws(",", "missing", "foreign"))
 
 
 def land_is_empty(cells: DataFrame, v: str, res: float, points: tuple = LAND, expect_null: bool = True) -> DataFrame:
@@ -73,8 +73,9 @@ def single_year(cells: DataFrame) -> DataFrame:
 
 
 def shape_matches(cells: DataFrame, nlat: int, nlon: int) -> DataFrame:
-    n = cells.groupBy("year").agg(F.count_distinct("ilat").alias("a"), F.count_distinct("ilon").alias("o"))
-    return report(n, "shape", F.col("year"), (F.col("a") == nlat) & (F.col("o") == nlon), F.concat_ws("x", "a", "o"))
+    """A row for each window: has it so many latitudes and longitudes?"""
+    n = cells.groupBy(*KEY).agg(F.count_distinct("ilat").alias("a"), F.count_distinct("ilon").alias("o"))
+    return report(n, "shape", window_name(), (F.col("a") == nlat) & (F.col("o") == nlon), F.concat_ws("x", "a", "o"))
 
 
 def times_match(df: DataFrame, time: str, hours: float = 1.0, span: int = SPAN) -> DataFrame:

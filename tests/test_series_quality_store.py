@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from gridjobs.jobs import products
 from gridjobs.operators import climatology, co2, observe, quality, score
 from gridjobs.sources import readers, store
 
@@ -140,3 +141,24 @@ def test_observations_codes_and_scores(spark):
     assert out[1]["mean"] == pytest.approx(np.mean([score.forward(m, np.array([[1.0, 2.0]]))[0] for m in members]))
     perfect = score.fit_metrics(spark.createDataFrame([(1.0, 1.0), (2.0, 2.0), (3.0, None)], "a double, b double"), "a", "b").first()
     assert (perfect.r2, perfect.rmse, perfect.n) == (1.0, 0.0, 2)
+
+
+def test_checks_look_at_each_window_by_itself(spark, tmp_path):
+    """A window without some of its cells fails, though the other windows together have them all, and isn't stored."""
+    full = [(2000, w, a, o, 1.0) for w in range(2) for a in range(2) for o in range(4)]
+    schema = "year int, widx int, ilat int, ilon int, v double"
+    whole = spark.createDataFrame(full, schema)
+    holed = spark.createDataFrame([r for r in full if r[1:4] != (1, 1, 3) and r[1:4] != (0, 0, 0)], schema)
+    rows = lambda df: {r.subject: (r.ok, r.detail) for r in df.collect()}
+    assert rows(quality.grid_matches(whole, 90.0)) == {"2000-0": (True, "0,0"), "2000-1": (True, "0,0")}
+    assert rows(quality.grid_matches(holed, 90.0)) == {"2000-0": (False, "1,0"), "2000-1": (False, "1,0")}
+    other = spark.createDataFrame([*full, (2000, 1, 7, 0, 1.0), (2000, 1, None, 0, 1.0)], schema)
+    assert rows(quality.grid_matches(other, 90.0))["2000-1"] == (False, "0,2")
+    assert quality.grid_matches(whole.limit(0), 90.0).count() == 0
+    row_less = whole.filter("widx = 0 OR ilat = 0")
+    assert rows(quality.shape_matches(row_less, 2, 4)) == {"2000-0": (True, "2x4"), "2000-1": (False, "1x4")}
+    with pytest.raises(ValueError, match="shape 2000-1"):
+        products.store_windows(row_less, str(tmp_path / "s"), ["v"], 2, 4)
+    assert not (tmp_path / "s").exists()
+    assert products.store_windows(whole, str(tmp_path / "s"), ["v"], 2, 4) == [(2000, 0), (2000, 1)]
+    assert store.open_years(spark, str(tmp_path / "s"), "v").count() == len(full)
