@@ -6,6 +6,7 @@ import html
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -22,7 +23,8 @@ TOKEN = re.compile(
 )
 ATTR = re.compile(r"""([^\s=/>]+)(?:\s*=\s*(?:"([^"]*)"?|'([^']*)'?|([^\s>]+)))?""")
 SPACE = re.compile(r"[ \t\n\f\r]+")
-HIDING = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\s*(?:!\s*important\s*)?(?:;|$)", re.I)
+NOT_DISPLAYED = re.compile(r"(?:^|;)\s*display\s*:\s*none\s*(?:!\s*important\s*)?(?:;|$)", re.I)
+VISIBILITY = re.compile(r"(?:^|;)\s*visibility\s*:\s*(visible|hidden|collapse)\s*(?:!\s*important\s*)?(?=;|$)", re.I)
 
 # Fixed values of the HTML standard: void elements, raw-text elements, elements that end an open paragraph.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -156,13 +158,17 @@ def parse(source: str) -> Node:
     return root
 
 
-def visible(node: Node) -> bool:
+def visible(node: Node, inherited: bool) -> tuple[bool, bool]:
+    """Is the element displayed at all, and is its own text visible? Only visibility can be given back to what is inside."""
     if node.name in HIDDEN:
-        return False
+        return False, False
     if not node.attrs or not re.search("hidden|style|open", node.attrs, re.I):
-        return node.name != "dialog"
+        return node.name != "dialog", inherited
     found = attributes(node.attrs)
-    return "hidden" not in found and not HIDING.search(found.get("style", "")) and (node.name != "dialog" or "open" in found)
+    style = found.get("style", "")
+    displayed = "hidden" not in found and not NOT_DISPLAYED.search(style) and (node.name != "dialog" or "open" in found)
+    said = VISIBILITY.findall(style)
+    return displayed, said[-1].lower() == "visible" if said else inherited
 
 
 class Lines:
@@ -210,46 +216,76 @@ class Lines:
             self.indents[-1] = (b, b)
 
 
-def aligned(rows: list[list[tuple[list[str], int]]]) -> list[str]:
-    """Rows of (lines of a cell, columns that it spans) with each column as wide as its widest cell."""
-    wide: list[int] = []
+Cell = tuple[list[str], int, int]
+
+
+def placed(rows: list[list[Cell]]) -> Iterator[list[tuple[int, list[str], int]]]:
+    """Each row's cells with their first column: those that cells of earlier rows reach down into are passed over."""
+    held: dict[int, int] = {}  # the columns taken from above, and for how many rows
     for row in rows:
-        c = 0
-        for lines, span in row:
-            wide.extend([0] * (c + span - len(wide)))
+        at, out, new = 0, [], {}
+        for lines, span, down in row:
+            while at in held:
+                at += 1
+            out.append((at, lines, span))
+            if down > 1:
+                new |= dict.fromkeys(range(at, at + span), down - 1)
+            at += span
+        held = {c: n - 1 for c, n in held.items() if n > 1} | new
+        yield out
+
+
+def aligned(rows: list[list[Cell]]) -> list[str]:
+    """Rows of (lines of a cell, columns and rows that it spans) with each column as wide as its widest cell."""
+    grid, wide = list(placed(rows)), []
+    for row in grid:
+        for at, lines, span in row:
+            wide.extend([0] * (at + span - len(wide)))
             if span == 1:
-                wide[c] = max(wide[c], max(map(len, lines), default=0))
-            c += span
+                wide[at] = max(wide[at], max(map(len, lines), default=0))
+    start = list(accumulate((w + 2 for w in wide), initial=0))
     out = []
-    for row in rows:
-        for i in range(max((len(lines) for lines, _ in row), default=0)):
-            c, parts = 0, []
-            for lines, span in row:
-                room = sum(wide[c : c + span]) + 2 * (span - 1)
-                parts.append((lines[i] if i < len(lines) else "").ljust(room))
-                c += span
-            out.append("  ".join(parts).rstrip(" "))
+    for row in grid:
+        for i in range(max((len(lines) for _, lines, _ in row), default=0)):
+            line = ""
+            for at, lines, _ in row:
+                line = (f"{line}  " if line else "").ljust(start[at]) + (lines[i] if i < len(lines) else "")
+            out.append(line.rstrip(" "))
     return out
 
 
+def spans(node: Node) -> tuple[int, int]:
+    """Columns and rows of a cell; no rows (0) means all that follow."""
+    found = attributes(node.attrs) if "span" in node.attrs.lower() else {}
+    across, down = found.get("colspan", "1"), found.get("rowspan", "1")
+    down = int(down) if re.fullmatch(r"\d{1,5}", down) else 1
+    return max(1, int(across)) if re.fullmatch(r"\d{1,3}", across) else 1, down or 1 << 30
+
+
 def render(root: Node) -> str:
     """Visible text, without recursion: a page may be nested as deep as it is long."""
     out, stack = [Lines()], [(root, False)]
     counts: list[int | None] = []  # of open lists: the next number, or None for bullets
-    tables: list[list[list[tuple[list[str], int]]]] = []
+    tables: list[list[list[Cell]]] = []
+    seen = [True]  # of open elements: is their text visible?
     kept = 0  # open elements that keep white space
     while stack:
         node, ending = stack.pop()
         here = out[-1]
         if isinstance(node, str):
+            if not seen[-1]:
+                continue
             here.literal(node.replace("\r\n", "\n")) if kept else here.text(node)
             continue
         name = node.name
         block, spaced = name in BLOCK, name in SPACED and not (counts and name in LISTS)
         if not ending:
-            if not visible(node):
+            displayed, shown = visible(node, seen[-1])
+            if not displayed:
                 continue
             if name in VOID:
+                if not shown:
+                    continue
                 if name == "br":
                     here.end(force=True) if not here.parts else here.end()
                 elif name == "hr":
@@ -260,7 +296,7 @@ def render(root: Node) -> str:
             if name in CELLS and tables:
                 out.append(Lines())
             elif block and not (name == "tr" and tables):
-                here.end(blank=spaced)
+                here.end(blank=spaced and shown)
             if name in LISTS:
                 start = attributes(node.attrs).get("start", "1") if name == "ol" else ""
                 counts.append((int(start) if re.fullmatch(r"-?\d{1,9}", start) else 1) if name == "ol" else None)
@@ -270,6 +306,8 @@ def render(root: Node) -> str:
                 if counts and counts[-1] is not None:
                     mark = f"{counts[-1]}. "
                     counts[-1] += 1
+                if not shown:
+                    mark = " " * len(mark)
                 here.push(mark, " " * len(mark))
             elif name in ("blockquote", "dd"):
                 here.push("  ", "  ")
@@ -277,8 +315,9 @@ def render(root: Node) -> str:
                 tables.append([])
             elif name == "tr" and tables:
                 tables[-1].append([])
-            elif name == "q":
+            elif name == "q" and shown:
                 here.text('"')
+            seen.append(shown)
             kept += name in ("pre", "textarea", "xmp")
             stack.append((node, True))
             kids = node.kids
@@ -287,13 +326,13 @@ def render(root: Node) -> str:
             stack.extend((k, False) for k in reversed(kids))
             continue
         kept -= name in ("pre", "textarea", "xmp")
+        shown = seen.pop()
         if name in CELLS and tables:
             here.end()
             out.pop()
             if not tables[-1]:
                 tables[-1].append([])
-            span = attributes(node.attrs).get("colspan", "1") if node.attrs else "1"
-            tables[-1][-1].append((here.lines, max(1, int(span)) if re.fullmatch(r"\d{1,3}", span) else 1))
+            tables[-1][-1].append((here.lines, *spans(node)))
             continue
         if name == "table":
             here.end()
@@ -305,10 +344,10 @@ def render(root: Node) -> str:
             here.pop()
             if name in LISTS:
                 counts.pop()
-        elif name == "q":
+        elif name == "q" and shown:
             here.text('"')
         if block and not (name == "tr" and tables):
-            here.end(blank=spaced)
+            here.end(blank=spaced and shown)
     out[0].end()
     return "\n".join(out[0].lines).strip("\n")
 
@@ -321,8 +360,8 @@ def extract_text(pages: DataFrame, source: str = "html", key: str = "page_id") -
     """Visible text of every whole page: key, text.
 
     Blocks begin lines, paragraphs, headings, lists and tables have a blank line about them, list items their bullet or
-    number, table cells stand in aligned columns. Scripts, styles, heads and elements hidden by attribute or inline style
-    give nothing. A null or empty page gives an empty text; broken mark-up never fails; repeated rows each keep a row; an
+    number, table cells stand in aligned columns, below those that span rows too. Scripts, styles, heads and elements hidden
+    by attribute or inline style give nothing; what is visible again inside a `visibility: hidden` element is shown. A null or empty page gives an empty text; broken mark-up never fails; repeated rows each keep a row; an
     empty table gives no rows; other columns are ignored.
     """
 

@@ -285,6 +285,20 @@ def test_html_quotes_open_strings_only_after_an_equals_sign():
     assert html_to_text("<div hidden='x'>no</div><div style=\"display:none\">no</div>yes") == "yes"
 
 
+def test_html_cells_below_a_cell_that_spans_rows():
+    page = "<table><tr><td rowspan=2>left<td>a<td rowspan=0>end<tr><td colspan=1>bb<tr><td>c<td>dd<tr><td colspan=2>wide one here</table>after"
+    assert html_to_text(page).split("\n") == ["left  a   end", "      bb", "c     dd", "wide one here", "", "after"]
+    assert html_to_text("<table><tr><td rowspan=99999 colspan=900>x</table><table><tr><td rowspan=a>y</table>") == "x\n\ny"
+
+
+def test_html_visible_inside_hidden():
+    show, hide = '<i style="visibility:visible">', '<div style="color: red; visibility: hidden !important">'
+    assert html_to_text(f"a{hide}no {show}yes</i> no<p>no</div>b") == "a\nyes\nb"
+    assert html_to_text(f'a<div style="visibility:hidden;display:none">no {show}no</i></div>b') == "ab"
+    assert html_to_text('<div style="visibility:hidden; visibility:visible">shown</div>') == "shown"
+    assert html_to_text(f"{hide}<ol><li>no<li>{show}two</i></ol><hr><q>no</q><br><table><tr><td>no<td>{show}cell</table></div>end").split("\n") == ["   two", "  cell", "end"]
+
+
 def test_html_deep_nesting_is_linear():
     from time import process_time
 
