@@ -7,7 +7,7 @@ from math import comb
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import group_numbers, in_groups, meetings, pairs, roots
@@ -157,7 +157,7 @@ def perhaps(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
     return marked.filter(F.floor(byte / F.pow(F.lit(2), F.col("at") % 8)) % 2 == 1).select(rows.columns)
 
 
-def join(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+def join(docs: DataFrame, text: str = "text", key: str = "doc_id", row: Column | None = None) -> DataFrame:
     """Links between documents whose sets of five-word n-grams (lower case) have a Jaccard similarity of 0.8 or more.
 
     Returns a row for each document: key, class_id (smallest key among documents of the same set), n_links (other documents
@@ -171,9 +171,14 @@ def join(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     Null, empty and wordless texts have no n-grams: each is a class without links. Repeated rows are copies of each other;
     rows without a key count as copies, but name no class unless nothing else does (null). An empty table gives no rows;
     other columns are ignored.
+
+    row: bytes that tell rows apart where keys may repeat or be null; returned as row_id beside component, a number of the
+    component (null where a text has no words).
     """
     spark, kind, n = docs.sparkSession, dict(docs.dtypes)[key], partitions(docs.sparkSession)
-    rows = docs.select(F.col(key), whole(F.col(text)).alias("t"))
+    own = [] if row is None else [row.alias("row_id")]
+    extra = ["row_id"] if own else []
+    rows = docs.select(F.col(key), whole(F.col(text)).alias("t"), *own)
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler = Shingler()
@@ -181,10 +186,10 @@ def join(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
             texts = pdf["t"].to_list()
             for at in slices(texts):
                 sets = shingler(texts[at])
-                yield pd.DataFrame({key: pdf[key].iloc[at], "c": pd.array([shingler.hash(s.tobytes()) - (1 << 63) if len(s) else None for s in sets], "Int64"), "sig": [signature(s).tobytes() if len(s) else None for s in sets]})
+                yield pd.DataFrame({key: pdf[key].iloc[at], "c": pd.array([shingler.hash(s.tobytes()) - (1 << 63) if len(s) else None for s in sets], "Int64"), "sig": [signature(s).tobytes() if len(s) else None for s in sets], **{e: pdf[e].iloc[at] for e in extra}})
 
-    signed = written(rows.mapInPandas(sign, f"{key} {kind}, c long, sig binary"), "ngram-signatures")
-    members = signed.select(key, "c")
+    signed = written(rows.mapInPandas(sign, f"{key} {kind}, c long, sig binary" + ", row_id binary" * len(extra)), "ngram-signatures")
+    members = signed.select(key, "c", *extra)
     classes = written(signed.filter("c IS NOT NULL").groupBy("c").agg(F.min(key).alias("class_id"), F.count("*").alias("copies"), F.first("sig").alias("sig")), "ngram-classes")
 
     def bands(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -265,6 +270,8 @@ def join(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     named = classes.select("c", "class_id", "copies").join(joined, "c", "left").join(counts, "c", "left").withColumn("root", F.coalesce("root", "c"))
     named = written(named.select("c", "class_id", "root", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")), "ngram-named")
     lowest = named.groupBy("root").agg(F.min("class_id").alias("component_id"))
-    named = named.join(lowest, "root").drop("root")
-    out = members.filter("c IS NOT NULL").join(named, "c").select(key, "class_id", "n_links", "component_id")
-    return out.union(members.filter("c IS NULL").select(key, F.col(key).alias("class_id"), F.lit(0).cast("long"), F.col(key)))
+    named = named.join(lowest, "root").withColumnRenamed("root", "component")
+    extra = [*extra, "component"] if extra else []
+    out = members.filter("c IS NOT NULL").join(named, "c").select(key, "class_id", "n_links", "component_id", *extra)
+    alone = members.filter("c IS NULL").withColumn("component", F.lit(None).cast("long"))
+    return out.union(alone.select(key, F.col(key).alias("class_id"), F.lit(0).cast("long"), F.col(key), *extra))
