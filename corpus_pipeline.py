@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridjobs.llm import ngram_join, packing, quality_mil, toxicity_knn
-from gridjobs.llm.common import table, written
+from gridjobs.llm.common import table, whole, written
 from gridjobs.llm.queries import QUALITY_AT, TOXIC_AT
 
 
@@ -30,9 +30,21 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest doc_id, of each group that links hold together. Rows that repeat a doc_id with the same text stay one."""
-    kept = ngram_join.join(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.alias("d").join(kept.alias("k"), F.col("d.doc_id").eqNullSafe(F.col("k.kept_id")), "left_semi").dropDuplicates(["doc_id", "text"])
+    """One document of each group that links hold together: that of the smallest doc_id.
+
+    Of several texts of that doc_id in the group, or of a group without any doc_id, the text of the least digest stays. Rows
+    that repeat a doc_id with the same text (null: empty) stay one. Texts without words link with nothing and stay.
+    """
+    name = "row_id"
+    while name in docs.columns:
+        name += "_"
+    digest = F.unhex(F.md5(F.concat_ws(":", F.col("doc_id").isNull().cast("string"), F.col("doc_id").cast("string"), whole(F.col("text")))))
+    rows = docs.withColumn(name, digest)
+    found = ngram_join.join(docs, row=digest).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    kept = found.filter("component IS NOT NULL").groupBy("component").agg(F.min("row_id").alias(name)).select(name)
+    kept = kept.union(found.filter("component IS NULL").select("row_id"))
+    # repeated rows meet before the join, map-side first, in the layout that the join needs: one shuffle of the texts
+    return rows.dropDuplicates([name]).join(kept, name, "left_semi").select(docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
