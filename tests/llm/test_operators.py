@@ -321,6 +321,19 @@ def test_html(spark):
     assert html_text.extract_text(pages.limit(0)).count() == 0
 
 
+def test_near_duplicates_stage_with_null_and_repeated_keys(spark):
+    """One row of each group, by brute force over word n-grams; keys may be null or name several texts; a column is called row_id."""
+    a, b, c, d = (words(i, 60) for i in (900, 901, 902, 903))
+    rows = [(3, a), (5, a + " more"), (5, b), (None, b + " x"), (None, c), (None, c + " y"), (None, c + " y"), (7, d), (7, d), (7, d + " z"), (8, None), (8, ""), (9, ""), (None, None), (None, "")]
+    docs = spark.createDataFrame([(i, t, n) for n, (i, t) in enumerate(rows)], "doc_id long, text string, row_id int")
+    got = [(r.doc_id, r.text or "") for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()]
+    assert len(got) == len(set(got)) == 7
+    assert {(3, a), (5, b), (8, ""), (9, ""), (None, "")} <= set(got)
+    rest = sorted((x for x in got if x[1][:60] in (c[:60], d[:60])), key=str)
+    assert rest[0][0] == 7 and rest[0][1] in (d, d + " z")
+    assert rest[1][0] is None and rest[1][1] in (c, c + " y")
+
+
 def test_pipeline(spark, tmp_path):
     docs, labels = labelled(spark)
     docs = docs.select("doc_id", "text", "lang", "source", "n_chars")
