@@ -17,9 +17,9 @@ from .fill import coalesced_flag
 
 
 def replay(values: np.ndarray, guess: np.ndarray, projections: list[np.ndarray]) -> np.ndarray:
-    """Cells x times with their gaps filled by the first guess, then by each projection in turn."""
+    """Cells x times with their gaps filled by the first guess (0 where it isn't a finite number), then by each projection in turn."""
     gap = np.isnan(values)
-    x = np.where(gap, guess, values)
+    x = np.where(gap, np.where(np.isfinite(guess), guess, 0.0), values)
     for p in projections:
         x = np.where(gap, x @ p, x)
     return x
@@ -29,7 +29,8 @@ def svd_fill(series: DataFrame, keys: list[str], value: str, guess: str, rank: i
     """series: keys, and arrays of doubles over the same times for the values and for the first guess.
 
     apart: a key, few of whose values occur (years); each value's cells are a matrix of their own, with times of their own.
-    A cell without a value whose guess is null anywhere is land: it stays null and has no part. Returns keys with `filled` and the
+    Where the guess is null or infinite, a gap begins at 0 and is null in the result; the other times of that cell are filled. A cell
+    without any guess is land: it stays null and has no part. Returns keys with `filled` and the
     mean absolute error on the known values after each round. Only the list of projections grows, one times x times matrix a round.
     """
     series = series.persist()
@@ -42,7 +43,7 @@ def svd_fill(series: DataFrame, keys: list[str], value: str, guess: str, rank: i
         for pdf in batches:
             for name, part in parts(pdf):
                 v, first = arrays(part, value), arrays(part, guess)
-                sea = ~np.isnan(first).any(1) if len(first) else np.zeros(0, bool)
+                sea = np.isfinite(first).any(1) if len(first) else np.zeros(0, bool)
                 v, first = v[sea], first[sea]
                 if not len(v):
                     continue
@@ -77,7 +78,7 @@ def svd_fill(series: DataFrame, keys: list[str], value: str, guess: str, rank: i
                 if len(part):
                     v, first = arrays(part, value), arrays(part, guess)
                     x = replay(v, first, projections.get(name, []))
-                    x[np.isnan(first).any(1)] = np.nan
+                    x[(np.isnan(v) & ~np.isfinite(first)) | ~np.isfinite(first).any(1, keepdims=True)] = np.nan
                     yield part[keys].assign(filled=[[None if np.isnan(y) else float(y) for y in r] for r in x])
 
     schema = ", ".join(f"{k} {dict(series.dtypes)[k]}" for k in keys) + ", filled array<double>"

@@ -23,6 +23,26 @@ def test_chlorophyll_is_filled_in_all_years_and_along_all_axes(spark):
     assert got["chl_filled"][some].to_numpy(float) == pytest.approx(near[some].to_numpy() / 100, abs=1e-6)
 
 
+def test_svd_keeps_cells_whose_guess_is_partly_missing(spark):
+    """A gap without a guess begins at 0 and ends null, by itself: against the same rounds in numpy."""
+    r = np.random.default_rng(5)
+    full = r.standard_normal((30, 2)) @ r.standard_normal((2, 7)) + 2
+    v = np.where(r.random(full.shape) < 0.3, np.nan, full)
+    guess = np.where(r.random(full.shape) < 0.2, np.nan, 2.0)
+    guess[3, :2], guess[4] = np.inf, np.nan
+    plain = lambda a: [[None if np.isnan(x) else float(x) for x in row] for row in a]
+    df = spark.createDataFrame(list(zip(range(30), plain(v), plain(guess), strict=True)), "cell int, v array<double>, g array<double>")
+    got = {x.cell: np.array(x.filled, float) for x in svdfill.svd_fill(df, ["cell"], "v", "g", 2, 5)[0].collect()}
+    sea, gap = np.arange(30) != 4, np.isnan(v)
+    x = np.where(gap, np.nan_to_num(guess, nan=0, posinf=0), v)[sea]
+    for _ in range(5):
+        u, s, w = np.linalg.svd(x, full_matrices=False)
+        x = np.where(gap[sea], u[:, :2] * s[:2] @ w[:2], x)
+    x[gap[sea] & ~np.isfinite(guess[sea])] = np.nan
+    np.testing.assert_allclose(np.array([got[i] for i in np.flatnonzero(sea)]), x, atol=1e-8)
+    assert np.isnan(got[4]).all()
+
+
 def test_svd_keeps_years_of_different_lengths_apart(spark):
     r = np.random.default_rng(4)
     rows = []
