@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import SPAN, with_window
 from ..functions.cells import lat_index, lon_index
+from ..sources.shared import written
 
 CELL = ["year", "widx", "ilat", "ilon"]
 
@@ -24,9 +25,17 @@ def grid(obs: DataFrame, measures: list[str], res: float, time: str = "obs_time"
 
 
 def with_codes(df: DataFrame, columns: list[str], suffix: str = "_idx") -> DataFrame:
-    """Integer codes of categories, by their order from 0; null stays null. The categories are a small table, joined by name."""
+    """Integer codes of categories, by their order from 0; null stays null.
+
+    The distinct categories are dealt to ranges and written, numbered inside each range, and moved on by the number of those in earlier
+    ranges, a row for each range: no task sees all categories.
+    """
     for c in columns:
-        codes = df.select(c).filter(F.col(c).isNotNull()).distinct().withColumn(c + suffix, (F.dense_rank().over(Window.orderBy(c)) - 1).cast("int"))
+        names = df.select(F.col(c).alias("name")).filter("name IS NOT NULL").distinct()
+        names = written(names.repartitionByRange("name").withColumn("range", F.spark_partition_id()), "categories")
+        before = names.groupBy("range").count().select("range", (F.sum("count").over(Window.orderBy("range")) - F.col("count")).alias("before"))
+        at = F.row_number().over(Window.partitionBy("range").orderBy("name")) - 1
+        codes = names.withColumn("at", at).join(F.broadcast(before), "range").select(F.col("name").alias(c), (F.col("at") + F.col("before")).cast("int").alias(c + suffix))
         df = df.join(codes, c, "left")
     return df
 
