@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.calendar import center, with_window
@@ -29,6 +29,17 @@ def store_windows(cells: DataFrame, root: str, variables: list[str], nlat: int,
     return store.append(cells, root, variables)
 
 
+def store_year(cells: DataFrame, root: str, variables: list[str], overwrite: bool = False, policy: str = "raise") -> None:
+    """Check that the year has all its windows, then write it."""
+    quality.run_checks([quality.years_full(cells)], policy)
+    store.write_year(cells, root, variables, overwrite)
+
+
+def stored_climatology(spark: SparkSession, root: str, variable: str, key: str = "dayofyear") -> DataFrame:
+    """The seasonal climatology of a stored variable; a year that lacks windows is an error."""
+    return climatology.climatology(store.open_years(spark, root, variable, quality.years_full), [variable], key)
+
+
 def gridded_observations(obs: DataFrame, measures: list[str], res: float, since: int = 1982) -> DataFrame:
     """Observations since a year (filtered before the shuffle), gridded, with their window's centre."""
     recent = obs.filter(F.col("obs_time") >= F.lit(f"{since}-01-01").cast("timestamp_ntz"))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +30,8 @@ def append(cells: DataFrame, root: str, variables: list[str], span: int = 8) ->
     """Append the windows of cells that follow what is stored, each variable to its own dataset; returns them.
 
     Windows that are stored already are left out; one that doesn't follow its predecessor is an error, before anything is written.
+    All variables are written beside the store first, and then moved into it window by window: a failure in a write leaves the
+    store as it was, and one between two moves leaves whole windows, which the next append completes.
     """
     spark = cells.sparkSession
     stored = stored_windows(spark, root, variables)
@@ -47,12 +52,33 @@ def append(cells: DataFrame, root: str, variables: list[str], span: int = 8) ->
                 raise ValueError(f"{v}: an empty store begins with a year's first window, not {y}-{w}")
             if (y, w) not in have[v]:
                 have[v].append((y, w))
-    for v in variables:
-        part = cells.select(*KEYS, F.col(v).cast("float").alias(v)).join(F.broadcast(new.filter(F.col("variable") == v).select("year", "widx")), ["year", "widx"], "left_semi")
-        part.repartition("year", "widx").write.mode("append").partitionBy("year", "widx").parquet(f"{root}/{v}")
+    missing = new.groupBy("year", "widx").agg(F.collect_set("variable").alias("_new"))
+    part = cells.select(*KEYS, *[F.col(v).cast("float").alias(v) for v in variables]).join(F.broadcast(missing), ["year", "widx"])
+    part = part.repartition("year", "widx").persist(StorageLevel.DISK_ONLY)
+    beside = f"{root}/.append-{uuid.uuid4().hex}"
+    try:
+        for v in variables:
+            part.filter(F.array_contains("_new", v)).select(*KEYS, v).write.partitionBy("year", "widx").parquet(f"{beside}/{v}")
+    finally:
+        part.unpersist()
+    move(spark, beside, root, windows, variables)
     return windows
 
 
+def move(spark: SparkSession, beside: str, root: str, windows: list[tuple[int, int]], variables: list[str]) -> None:
+    """Rename the windows' folders into the store, in order of time, so that what is stored has no gap at any moment."""
+    path, conf = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
+    fs = path(root).getFileSystem(conf)
+    for y, w in windows:
+        for v in variables:
+            name = f"{v}/year={y}/widx={w}"
+            if fs.exists(path(f"{beside}/{name}")):
+                fs.mkdirs(path(f"{root}/{name}").getParent())
+                if not fs.rename(path(f"{beside}/{name}"), path(f"{root}/{name}")):
+                    raise OSError(f"{name} can't be moved into {root}")
+    fs.delete(path(beside), True)
+
+
 def write_year(cells: DataFrame, root: str, variables: list[str], overwrite: bool = False) -> None:
     """Write one whole year of each variable. A year that is there is an error, or is replaced; other years stay."""
     years = [r.year for r in cells.select("year").distinct().limit(2).collect()]

@@ -55,6 +55,34 @@ def test_store_writes_a_year_or_replaces_it(spark, tmp_path):
         store.write_year(cells.union(cells.withColumn("year", F.lit(2025))), root, ["temperature"])
 
 
+def test_a_failed_append_leaves_the_store_as_it_was(spark, tmp_path):
+    root = str(tmp_path)
+    cells = spark.createDataFrame(GRID, CELLS).withColumn("other", F.col("temperature"))
+    both = ["temperature", "other"]
+    assert store.append(cells, root, both) == [(2023, 0)]
+    late = cells.withColumn("widx", F.lit(1))
+    broken = late.withColumn("other", F.raise_error(F.lit("broken")).cast("double"))
+    with pytest.raises(Exception, match="broken"):
+        store.append(broken, root, both)
+    assert {(r.variable, r.widx) for r in store.stored_windows(spark, root, both).collect()} == {("temperature", 0), ("other", 0)}
+    store.append(late.drop("other"), root, ["temperature"])  # one variable is ahead
+    assert store.append(late, root, both) == [(2023, 1)]
+    assert [store.open_years(spark, root, v).count() for v in both] == [8, 8]
+
+
+def test_a_year_is_checked_before_it_is_written_and_read(spark, tmp_path):
+    root, cells = str(tmp_path / "s"), spark.createDataFrame(GRID, CELLS)
+    with pytest.raises(ValueError, match="full year 2023"):
+        products.store_year(cells, root, ["temperature"])
+    assert not (tmp_path / "s").exists()
+    whole = cells.drop("widx").withColumn("widx", F.explode(F.sequence(F.lit(0), F.lit(45))))
+    products.store_year(whole, root, ["temperature"])
+    assert products.stored_climatology(spark, root, "temperature", "widx").count() == 46 * 4
+    products.store_year(cells.withColumn("year", F.lit(2024)), root, ["temperature"], policy="ignore")
+    with pytest.raises(ValueError, match="full year 2024"):
+        products.stored_climatology(spark, root, "temperature")
+
+
 def test_checks_and_policies(spark):
     cells = spark.createDataFrame(GRID, CELLS)
     bad = quality.years_full(cells)
