@@ -5,7 +5,7 @@ import os
 import duckdb
 import pytest
 
-from gridjobs.jobs.queries import ORACLES, QUERIES
+from gridjobs.jobs.files import ORACLES, QUERIES
 
 DATA = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test data")
