@@ -521,7 +521,7 @@ def e4_xco2_field(spark, sf_dir):
 
 @query(None)
 def m1_m2_ensemble(spark, sf_dir):
-    """Five networks on the vectors of the embeddings table: mean and spread for each row."""
+    """Five networks, of weights drawn at random, on the vectors of the embeddings table: mean and spread for each row."""
     e = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
     return score.ensemble(score.predict(e, ["vec_id"], "embedding", [score.member(s, 64) for s in range(5)]), ["vec_id"])
 
@@ -574,13 +574,13 @@ def v8_windows_have_data(spark, sf_dir):
     return quality.windows_have_data(view(spark, sf_dir, "grid8d").withColumn("w", F.when(F.col("widx") % 7 > 0, F.col("v"))), "w")
 
 
-@query(f"""WITH s AS (SELECT DISTINCT 'v' AS variable, year, widx FROM grid8d WHERE year < 2001 OR widx < 20), l AS (SELECT variable, max(year * 46 + widx) AS l FROM s GROUP BY 1),
+@query(f"""WITH s AS (SELECT DISTINCT 'v' AS variable, year, widx FROM product_b), l AS (SELECT variable, max(year * 46 + widx) AS l FROM s GROUP BY 1),
 w AS (SELECT DISTINCT u AS variable, year, widx FROM grid8d CROSS JOIN (SELECT unnest(['v', 'other']) AS u)),
 r AS (SELECT w.*, CASE WHEN s.year IS NOT NULL THEN 'exists' WHEN l IS NULL AND w.widx > 0 THEN 'not first' WHEN l IS NOT NULL AND w.year * 46 + w.widx - l <> 1 THEN 'not adjacent' ELSE 'safe' END AS reason
-FROM w LEFT JOIN s USING (variable, year, widx) LEFT JOIN l USING (variable)) SELECT variable, year, widx, reason, reason = 'safe' AS ok FROM r""", "grid8d")
+FROM w LEFT JOIN s USING (variable, year, widx) LEFT JOIN l USING (variable)) SELECT variable, year, widx, reason, reason = 'safe' AS ok FROM r""", "grid8d", "product_b")
 def v9_v12_append_verdict(spark, sf_dir):
     g = view(spark, sf_dir, "grid8d")
-    stored = g.filter("year < 2001 OR widx < 20").select(F.lit("v").alias("variable"), "year", "widx")
+    stored = view(spark, sf_dir, "product_b").select(F.lit("v").alias("variable"), "year", "widx")
     wanted = g.select("year", "widx").distinct().withColumn("variable", F.explode(F.array(F.lit("v"), F.lit("other"))))
     return quality.append_verdict(wanted, stored)
 

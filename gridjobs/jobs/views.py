@@ -19,8 +19,8 @@ PRODUCT_B = f"""SELECT {WINDOW.format("o_orderdate")}, CAST(o_custkey % 6 AS INT
   avg(round(o_totalprice * 1e2)) AS v_b FROM orders GROUP BY 1, 2, 3, 4"""
 SERIES = """SELECT CAST(date_trunc('week', o_orderdate) AS DATE) AS d,
   CASE WHEN count(*) % 7 = 0 THEN NULL ELSE avg(round(o_totalprice * 1e2)) END AS x FROM orders GROUP BY 1"""
-LAT_SERIES = f"""SELECT {WINDOW.format("obs_time")}, CAST(floor(lat10 / 3e2) AS INT) AS ilat, avg(sst) AS y
-  FROM obs WHERE year(obs_time) <= 2000 GROUP BY 1, 2, 3"""
+LAT_SERIES = f"""SELECT {WINDOW.format("obs_time")}, CAST(floor(lat10 / 3e2) AS INT) AS ilat,
+  avg(CASE WHEN year(obs_time) <= 2000 THEN sst END) AS y FROM obs GROUP BY 1, 2, 3"""
 WIND_HOURLY = """SELECT CAST(date_trunc('hour', ts) AS TIMESTAMP) AS time, CAST(user_id % 6 AS INT) AS ilat, CAST((event_id * 5) % 12 AS INT) AS ilon,
   avg(round(value * 1e2) - 25e3) AS u10, avg(CAST((event_id * 37) % 500 AS DOUBLE) * 1e2 - 25e3) AS v10 FROM events GROUP BY 1, 2, 3"""
 PAIRS = """SELECT l_linenumber AS grp, round(l_extendedprice * 1e2) AS y_true,
