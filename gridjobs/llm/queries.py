@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, ctw, html_text, itq_dedup, ngram_join, packing, quality_mil, toxicity_knn
-from .common import held_out, table
+from . import ball_kmeans, bpe, ctw, html_text, itq_dedup, ngram_join, packing, quality_mil, repair_ids, toxicity_knn, whitening
+from .common import held_out, shared_dir, table
 from .sharding import assign_shards
 from .topk import exact_top_k
 
@@ -62,9 +63,48 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_text(table(spark, sf_dir, "pages"))
 
 
+def op11_ball_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ball_kmeans.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_repair_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_dir(spark)}/ids-{uuid.uuid4().hex}"
+    repair_ids.write_ids(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), 2)
+    return repair_ids.read_ids(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_mil, op2_bpe, op3_ctw, op4_toxicity_knn, op5_sharding, op6_ngram_join, op7_itq_dedup, op8_exact_topk, op9_packing, op10_html_text)
-}
+    f.__name__: f
+    for f in (
+        op1_quality_mil, op2_bpe, op3_ctw, op4_toxicity_knn, op5_sharding, op6_ngram_join, op7_itq_dedup, op8_exact_topk, op9_packing, op10_html_text,
+        op11_ball_kmeans, op12_whitening, op13_repair_ids,
+    )
+}
+
+
+def kmeans_sql(k: int = 40, rounds: int = 5, dim: int = 64, scale: int = 256, seed: int = 2) -> str:
+    """Every round of k-means in SQL: all distances, the least of each vector (ties: the smaller number), floors of the means."""
+    parts = [
+        f"""v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor({scale} * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) = {dim} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+        f"""c0 AS MATERIALIZED (SELECT c, e FROM (SELECT row_number() OVER (ORDER BY sha256(concat('{seed}:', vec_id)), e) - 1 AS c, e FROM v WHERE vec_id IS NOT NULL) WHERE c < {k})""",
+    ]
+    for i in range(rounds + 1):
+        parts.append(f"""a{i} AS MATERIALIZED (SELECT r, min(CAST(list_dot_product(v.e, v.e) - 2 * list_dot_product(v.e, c.e) + list_dot_product(c.e, c.e) AS BIGINT) * {k} + c) AS least FROM v CROSS JOIN c{i} c GROUP BY r)""")
+        if i < rounds:
+            parts.append(f"""s{i} AS (SELECT c, i, CAST(sum(x) AS BIGINT) AS s, count(*) AS n FROM (SELECT least % {k} AS c, unnest(e) AS x, unnest(range({dim})) AS i FROM a{i} JOIN v USING (r)) GROUP BY c, i)""")
+            parts.append(f"""m{i} AS (SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS DOUBLE) ORDER BY i) AS e FROM s{i} GROUP BY c)""")
+            parts.append(f"""c{i + 1} AS MATERIALIZED (SELECT c, coalesce(m{i}.e, c{i}.e) AS e FROM c{i} LEFT JOIN m{i} USING (c))""")
+    return f"""WITH {", ".join(parts)},
+f AS (SELECT r, CAST(least % {k} AS INT) AS c, least // {k} AS distance FROM a{rounds}), t AS (SELECT c, CAST(sum(distance) AS BIGINT) AS cluster_inertia FROM f GROUP BY c)
+SELECT vec_id, f.c AS cluster, distance, cluster_inertia, (SELECT CAST(sum(distance) AS BIGINT) FROM f) AS inertia,
+  sha256(array_to_string(list_transform(k.e, lambda x: CAST(CAST(x AS BIGINT) AS VARCHAR)), ',')) AS centroid_sha256
+FROM f JOIN v USING (r) JOIN t ON t.c = f.c JOIN c{rounds} k ON k.c = f.c"""
+
 
 ORACLES: dict[str, str] = {
     "op7_itq_dedup": """
@@ -93,4 +133,5 @@ WITH v AS (
 )
 SELECT query_id, CAST(rk AS INT) AS rank, vec_id, score FROM r WHERE rk <= 20
 """,
+    "op11_ball_kmeans": kmeans_sql(),
 }
