@@ -9,18 +9,23 @@ of each document in symbols (8) and in ids (8); the symbols, in as few whole byt
 
 from __future__ import annotations
 
+import re
 import struct
+import unicodedata
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
-from .chunks import slices
 from .common import whole
 
 MAGIC, HEAD = b"RPG1", "<4sIIIIQ"
@@ -28,8 +33,10 @@ MAGIC, HEAD = b"RPG1", "<4sIIIIQ"
 SHARD = 1_000_000
 #: Rounds of replacement in a shard, and the least number of uses of a rule: it takes 16 bytes and saves 2 or 3 a use.
 ROUNDS, LEAST = 8, 10
-#: Words that an encoder keeps, and their largest length.
-WORDS, LONG = 500_000, 100
+#: Words, and pieces of them, that an encoder keeps, and their largest length.
+WORDS, LONG = 600_000, 100
+#: Bytes of text that are encoded together, about, and words whose ids are laid out together.
+BATCH, TOGETHER = 4_000_000, 1_000_000
 NO_PAIR = np.uint64(2**64 - 1)
 
 
@@ -43,34 +50,91 @@ class Shard(NamedTuple):
     symbols: np.ndarray
 
 
-@lru_cache(maxsize=1)
-def tokenizer(path: str):
-    from tokenizers import Tokenizer
+class Words:
+    """Ids of texts by a tokenizer that drops white space, lower-cases and splits by a fixed pattern (that of PIECE, over all letters).
 
-    return Tokenizer.from_file(path)
+    ASCII white space separates words for it, whatever stands around, and it forgets capitals, so words are taken in lower case, each
+    distinct word of a batch is looked up once, and its ids are made once while it is known. A new word of ASCII alone is put together
+    from its pieces. Texts that hold what may be a special token, whose case counts, or marks that may join a letter before it is
+    lower-cased, keep their capitals.
+    """
 
-
-class Words:
-    """Ids of texts by a tokenizer that drops white space, word by word: each word is encoded once while it is known."""
+    ODD = "<\\||[\u0300-\u037f]"
+    #: The pattern on lower-case ASCII.
+    PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+    #: The characters that stand for bytes in the vocabulary: those that can be printed for themselves, the others from 256 on.
+    PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    BYTES = dict(zip(sorted(set(range(256)) - set(PRINTED)), map(chr, range(256, 512)), strict=False))
 
     def __init__(self, path: str):
-        tok = tokenizer(path)
+        tok = Tokenizer.from_file(path)
         self.base = max(tok.get_vocab(with_added_tokens=True).values()) + 1
-        self.encode = lambda w: np.array(tok.encode(w, add_special_tokens=False).ids, "<u4").tobytes()
+        self.encode, self.model = tok.encode, tok.model.tokenize
         self.known: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+
+    def single(self, p: str) -> bytes:
+        """Ids of a piece that is normalized and that the pattern splits no further."""
+        return array("I", [t.id for t in self.model(p if p.isascii() and p.isprintable() else p.encode().decode("latin-1").translate(self.BYTES))]).tobytes()
+
+    def word(self, w: str) -> bytes:
+        get = self.pieces.get
+        if w.isascii() and w.islower() and "<|" not in w:
+            return b"".join([get(p) or self.learn(p, True) for p in self.PIECE.findall(w)])
+        bare = w.rstrip(".,;:!?)")
+        if bare and len(bare) < len(w) and bare[-1].lower()[-1].isalnum():  # what ends a word is a piece of its own
+            return self.learn(bare) + self.learn(w[len(bare) :])
+        return self.learn(w)
+
+    def learn(self, p: str, alone: bool = False) -> bytes:
+        ids = self.pieces.get(p)
+        if ids is None:
+            if alone or (p.isalpha() and p.islower() and unicodedata.is_normalized("NFC", p)):
+                ids = self.single(p)
+            else:
+                ids = array("I", self.encode(p, add_special_tokens=False).ids).tobytes()
+            if len(p) <= LONG:
+                self.pieces[p] = ids
+        return ids
+
+    def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, and where each text's end."""
+        texts = pc.if_else(pc.match_substring_regex(texts, self.ODD), texts, pc.ascii_lower(texts))
+        lists = pc.ascii_split_whitespace(texts)
+        words = lists.flatten().dictionary_encode()
+        for held in (self.known, self.pieces):
+            if len(held) > WORDS:
+                held.clear()
+        distinct, get = words.dictionary.to_pylist(), self.known.get
+        found = list(map(get, distinct))
+        for i, ids in enumerate(found):
+            if ids is None:
+                w = distinct[i]
+                found[i] = ids = self.word(w)
+                if len(w) <= LONG:
+                    self.known[w] = ids
+        flat, many = np.frombuffer(b"".join(found), "<u4"), np.fromiter(map(len, found), np.int64, len(found)) // 4
+        starts, which = np.cumsum(many) - many, words.indices.to_numpy()
+        ends = np.cumsum(many[which])
+        out = np.empty(int(ends[-1]) if len(ends) else 0, np.uint32)
+        for at in range(0, len(which), TOGETHER):
+            w, e = which[at : at + TOGETHER], ends[at : at + TOGETHER]
+            a, b = int(e[0] - many[w[0]]), int(e[-1])
+            out[a:b] = flat[np.repeat(starts[w] - e + many[w], many[w]) + np.arange(a, b)]
+        return out, np.append(0, ends)[lists.offsets.to_numpy()[1:] - lists.offsets[0].as_py()]
 
-    def ids(self, texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        if len(self.known) > WORDS:
-            self.known.clear()
-        new = set().union(*split).difference(self.known)
-        self.known.update((w, self.encode(w)) for w in new)
-        get = self.known.__getitem__
-        out = [b"".join(map(get, words)) for words in split]
-        for w in new:
-            if len(w) > LONG:
-                del self.known[w]
-        return out
+
+@lru_cache(maxsize=1)
+def words_of(path: str) -> Words:
+    """Kept from task to task of a worker."""
+    return Words(path)
+
+
+def cuts(sizes: np.ndarray) -> list[slice]:
+    """Runs of texts of about BATCH bytes each."""
+    group = np.cumsum(sizes) // BATCH
+    edges = np.flatnonzero(np.diff(group, prepend=-1))
+    return [slice(int(a), int(b)) for a, b in zip(edges, np.append(edges[1:], len(sizes)), strict=True)]
 
 
 def frequent(pairs: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
@@ -96,7 +160,7 @@ def frequent(pairs: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
 def compress(ids: np.ndarray, ends: np.ndarray, base: int, rounds: int = ROUNDS, least: int = LEAST) -> Shard:
     """The grammar of ids (below base) of documents that end at `ends`. No pair spans two documents.
 
-    A round replaces all frequent pairs at once: where two overlap, the more frequent, and of equal ones the first.
+    A round replaces all frequent pairs at once: where two overlap, the more frequent; of a run of one pair every second.
     """
     s, last = ids.astype(np.uint32), np.zeros(len(ids), bool)
     last[ends[ends > np.append(0, ends[:-1])] - 1] = True
@@ -107,9 +171,12 @@ def compress(ids: np.ndarray, ends: np.ndarray, base: int, rounds: int = ROUNDS,
         pairs = (s[:-1].astype(np.uint64) << np.uint64(32)) | s[1:]
         pairs[last[:-1]] = NO_PAIR
         found, number = frequent(pairs, least)
-        take = number > 0
-        take[1:] &= number[1:] > number[:-1]
+        take, same = number > 0, np.append(False, (number[1:] == number[:-1]) & (number[1:] > 0))
+        take[1:] &= (number[1:] > number[:-1]) | same[1:]
         take[:-1] &= number[:-1] >= number[1:]
+        if same.any():  # of a run of one pair, such as a a a a, every second place
+            place = np.arange(len(same))
+            take &= (place - np.maximum.accumulate(np.where(same, 0, place))) % 2 == 0
         where = np.flatnonzero(take)
         used = np.bincount(number[where], minlength=len(found) + 1) >= least
         where = where[used[number[where]]]
@@ -191,26 +258,27 @@ def write_ids(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, text
     order = ["key", "sum", "row"]
     rows = rows.withColumn("sum", F.crc32(F.col("t").cast("binary"))).repartitionByRange(*order).sortWithinPartitions(*order)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words, part = Words(tokenizer_path), TaskContext.get().partitionId()
-        end = np.array([end_id], "<u4").tobytes()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, part = words_of(tokenizer_path), TaskContext.get().partitionId()
         base = max(words.base, end_id + 1)
-        held: list[bytes] = []
-        keys: list = []
+        held: list[np.ndarray] = []
+        keys: list[str | None] = []
         size = number = before = 0
 
-        def closed() -> pd.DataFrame:
-            ends = np.cumsum([len(x) // 4 for x in held])
-            data = packed(compress(np.frombuffer(b"".join(held), "<u4"), ends, base))
-            return pd.DataFrame({"part": [part], "number": [number], "before": [before], "n_ids": [int(ends[-1])], "keys": [keys], "data": [data]})
-
-        for pdf in batches:
-            own, texts = pdf["key"].to_list(), pdf["t"].to_list()
-            for some in slices(texts):
-                for k, ids in zip(own[some], words.ids(texts[some]), strict=True):
-                    held.append(ids + end)
+        def closed() -> pa.RecordBatch:
+            data = packed(compress(np.concatenate(held), np.cumsum([len(x) for x in held]), base))
+            values = [pa.array([part], pa.int32()), pa.array([number], pa.int32()), pa.array([before]), pa.array([size]), pa.array([keys], pa.list_(pa.string())), pa.array([data])]
+            return pa.RecordBatch.from_arrays(values, ["part", "number", "before", "n_ids", "keys", "data"])
+
+        for batch in batches:
+            own, texts = batch.column(0).to_pylist(), batch.column(1)
+            for some in cuts(pc.binary_length(texts).to_numpy(zero_copy_only=False)):
+                ids, ends = words.ids(texts[some])
+                ids = np.insert(ids, ends, end_id)
+                for k, x in zip(own[some], np.split(ids, ends[:-1] + np.arange(1, len(ends))), strict=True):
+                    held.append(x)
                     keys.append(k)
-                    size += len(ids) // 4 + 1
+                    size += len(x)
                     if size >= shard:
                         yield closed()
                         before, number, size = before + size, number + 1, 0
@@ -219,7 +287,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, text
             yield closed()
 
     # keys travel as strings, so that null keys leave the others' type alone
-    shards = rows.select(F.col("key").cast("string"), "t").mapInPandas(run, "part int, number int, before long, n_ids long, keys array<string>, data binary")
+    shards = rows.select(F.col("key").cast("string"), "t").mapInArrow(run, "part int, number int, before long, n_ids long, keys array<string>, data binary")
     shards.withColumn("keys", F.col("keys").cast(f"array<{kind}>")).write.option("compression", "zstd").parquet(path)
 
 

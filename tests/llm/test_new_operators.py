@@ -200,7 +200,7 @@ def test_grammar_round_trip_and_random_access(seed):
     r = np.random.default_rng(seed)
     words = [r.integers(0, 50, int(n)) for n in r.integers(1, 9, 12)]
     docs = [np.concatenate([words[int(i)] for i in r.integers(0, 12, int(n))]) if n else np.zeros(0, int) for n in r.integers(0, 60, 40)]
-    docs[3] = np.full(500, 7)  # runs
+    docs[3], docs[4] = np.full(501, 7), np.array([1, 2] * 200)  # runs
     ids = np.concatenate(docs).astype("<u4")
     x = repair_ids.compress(ids, np.cumsum([len(d) for d in docs]), 100, least=3)
     assert len(x.rules) > 10
