@@ -5,7 +5,7 @@ The last window of a year ends at the next January 1, so it is shorter. Spans ar
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SPAN = 8
@@ -116,7 +116,9 @@ def extended(df: DataFrame, span: int = SPAN) -> DataFrame:
 def steps_per_window(df: DataFrame, time: str = "time", span: int = SPAN) -> DataFrame:
     """One row: steps, whole time steps of the median spacing in a window; 1 for a single time, an error for none."""
     t = df.select(F.unix_timestamp(F.col(time).cast("timestamp")).alias("t")).filter("t IS NOT NULL").distinct()
-    gap = F.col("t") - F.lag("t").over(Window.orderBy("t"))  # distinct times only: one short row each
-    one = t.withColumn("gap", gap).agg(F.count("t").alias("n"), F.median("gap").alias("gap"))
+    from ..operators.prefix import rolling
+
+    gaps = rolling(t, ["t"], lambda rows, frame: rows.withColumn("gap", F.col("t") - F.first("t").over(frame(-1, -1))), 1)
+    one = gaps.agg(F.count("t").alias("n"), F.median("gap").alias("gap"))
     none = F.raise_error(F.lit("no time steps")).cast("long")
     return one.select(F.when(F.col("n") == 0, none).when(F.col("n") == 1, F.lit(1)).otherwise(F.floor(span * 86400 / F.col("gap"))).cast("long").alias("steps"))

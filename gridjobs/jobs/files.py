@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from ..operators import co2, quality
 from ..sources import readers, store
 from ..sources.shared import fresh
-from . import products
+from . import products, whole
 from .queries import CELL, ORACLES, QUERIES, center, query
 from .views import view
 
-__all__ = ["ORACLES", "QUERIES"]
+__all__ = ["ORACLES", "QUERIES", "whole"]
 
 
 def text_file(head: list[str], rows: DataFrame, path: str) -> None:

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import warnings
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.calendar import center, with_window
-from ..operators import climatology, fill, observe, quality, regrid
-from ..sources import store
+from ..functions.calendar import bounds_status, center, with_window
+from ..functions.cells import count
+from ..operators import checks, climatology, climstate, fill, observe, quality, regrid
+from ..sources import manifest, store
+from ..sources.shared import written
 
 CELL = ["year", "widx", "ilat", "ilon"]
 
@@ -24,11 +29,131 @@ def catalog_windows(products: list[DataFrame]) -> DataFrame:
 
 
 def store_windows(cells: DataFrame, root: str, variables: list[str], nlat: int, nlon: int, policy: str = "raise") -> list[tuple[int, int]]:
-    """Check the windows, then append them by variable."""
-    quality.run_checks([quality.shape_matches(cells, nlat, nlon)], policy)
+    """Check that the windows have every cell of the grid, then append them by variable."""
+    checks.run(cells, {"shape": checks.shape(nlat, nlon)}, policy)
     return store.append(cells, root, variables)
 
 
+@dataclass(frozen=True)
+class Product:
+    """A product's cells at its own times and resolution, and how its windows are made.
+
+    factor: cells that are averaged along each axis before the interpolation to the target; time_start, time_end: the product's bounds.
+    """
+
+    cells: DataFrame
+    variables: list[str]
+    source_res: float
+    factor: int
+    target_res: float
+    time: str = "time"
+    time_start: str | None = None
+    time_end: str | None = None
+
+    @property
+    def names(self) -> list[str]:
+        """The variables of its windows, spreads among them."""
+        plain = regrid.like(self.cells.select(*self.variables))
+        return [*self.variables, *[f"{v}_sigma_regrid" for v in self.variables if v not in plain]]
+
+
+def asked_windows(product: Product, skip: set[tuple[int, int]], span: int, outside: str) -> list[tuple[int, int]]:
+    """The product's windows but for those in `skip`. One that isn't within the product's bounds is left out, or an error, as `outside` says."""
+    found = with_window(product.cells, product.time, span).select("year", "widx").distinct()
+    if product.time_end is not None or product.time_start is not None:
+        found = bounds_status(found, product.time_start, product.time_end or "9999-12-31", span)
+    else:
+        found = found.withColumns({"in_bounds": F.lit(True), "reason": F.lit("within")})
+    rows = sorted((r.year, r.widx, r.in_bounds, r.reason) for r in found.collect() if (r.year, r.widx) not in skip)  # a calendar
+    late = [f"{y}-{w}: {why}" for y, w, ok, why in rows if not ok]
+    if late and outside != "ignore":
+        if outside == "raise":
+            raise ValueError("; ".join(late[:5]))
+        warnings.warn("; ".join(late[:5]), stacklevel=3)
+    return [(y, w) for y, w, ok, _ in rows if ok]
+
+
+def whole_windows(product: Product, windows: list[tuple[int, int]], span: int = 8) -> DataFrame:
+    """These windows on the target grid: regridded, a row for every cell of the grid (null where the product has nothing), and longitudes
+    that interpolation leaves without any value filled from their neighbours across the date line."""
+    spark, res = product.cells.sparkSession, product.target_res
+    nlat, nlon = count(180, res), count(360, res)
+    wanted = spark.createDataFrame([(i, y, w) for i, (y, w) in enumerate(windows)], "_i long, year int, widx int")
+    cells = with_window(product.cells, product.time, span).join(F.broadcast(wanted.drop("_i")), ["year", "widx"], "left_semi")
+    got = regrid.regrid(cells, product.variables, ["year", "widx"], product.factor, product.source_res, res)
+    n = nlat * nlon
+    spine = spark.range(len(windows) * n).select(F.expr(f"id DIV {n}").alias("_i"), F.expr(f"CAST(id % {n} DIV {nlon} AS INT)").alias("ilat"), F.expr(f"CAST(id % {nlon} AS INT)").alias("ilon"))
+    spine = spine.join(F.broadcast(wanted), "_i").drop("_i")
+    out = spine.join(got, CELL, "left")
+    for v in product.names:
+        out = regrid.fill_lon_gap(out, v, ["year", "widx"], nlon)
+    return out.select(*CELL, *[F.col(v).cast("float").alias(v) for v in product.names])
+
+
+def checked(cells: DataFrame, names: list[str], res: float, must: list[str], noted: list[str], span: int) -> DataFrame:
+    """Reports of all checks of all variables, from one scan: those of `must` are errors where they fail, those of `noted` warnings."""
+    own = {}
+    for check in (*must, *noted):
+        of = names if check in ("longitudes", "data", "land") else names[:1]
+        own |= {f"{check} {v}" if len(of) > 1 else check: c for v in of for c in checks.named([check], v, res, span).values()}
+    reports = checks.run(cells, own, "ignore")
+    named = F.split("check", " ")[0]
+    quality.run_checks([reports.filter(named.isin([m.split(" ")[0] for m in must]))], "raise")
+    if noted:
+        quality.run_checks([reports.filter(named.isin([m.split(" ")[0] for m in noted]))], "warn")
+    return reports
+
+
+def store_product(product: Product, root: str, must: tuple = ("grid", "shape"), noted: tuple = (), span: int = 8, outside: str = "warn", states: bool = False) -> list[tuple[int, int]]:
+    """One job from a product to the store: bounds, windows not stored yet, regridding, checks, one commit. Returns the windows appended.
+
+    All windows of the product at once. The regridded windows are written once, since checks and store both read them. Run again
+    after a failure it goes on where the store is; run again after success it does nothing.
+    """
+    spark = product.cells.sparkSession
+    now = manifest.load(spark, root)
+    stored = set.intersection(*[set(now.windows(v)) for v in product.names])
+    windows = asked_windows(product, stored, span, outside)
+    if not windows:
+        return []
+    cells = written(whole_windows(product, windows, span), "windows")
+    checked(cells, product.names, product.target_res, list(must), list(noted), span)
+    return store.append(cells, root, product.names, span, states)
+
+
+def store_catalog(products: dict[str, Product], root: str, must: tuple = ("grid", "shape"), noted: tuple = (), span: int = 8, outside: str = "warn") -> list[tuple[int, int]]:
+    """The same for a catalog: the products' windows merged cell by cell, and all their variables appended in one commit.
+
+    Variables are named <variable>_<product>. Products without any row are left out; a window that some product lacks is stored with
+    nulls for it. All products have the same target grid.
+    """
+    if len({p.target_res for p in products.values()}) != 1:
+        raise ValueError("the products of a catalog share a target grid")
+    spark = next(iter(products.values())).cells.sparkSession
+    now = manifest.load(spark, root)
+    names = [f"{v}_{k}" for k, p in products.items() for v in p.names]
+    stored = set.intersection(*[set(now.windows(v)) for v in names])
+    parts = []
+    for k, p in products.items():
+        if windows := asked_windows(p, stored, span, outside):
+            own = whole_windows(p, windows, span)
+            parts.append(own.select(*CELL, *[F.col(v).alias(f"{v}_{k}") for v in p.names]))
+    if not parts:
+        return []
+    cells = written(fill.merge_products(parts, CELL), "windows")
+    for v in names:
+        if v not in cells.columns:
+            cells = cells.withColumn(v, F.lit(None).cast("float"))
+    checked(cells, names, next(iter(products.values())).target_res, list(must), list(noted), span)
+    return store.append(cells, root, names, span)
+
+
+def kept_climatology(spark: SparkSession, root: str, variable: str) -> DataFrame:
+    """Climatology and seasonal anomaly of a stored variable from the sums that its appends have kept: the record isn't read."""
+    state = store.read_state(spark, root, variable)
+    return climatology.seasonal_anomaly(climstate.climatology(state, [variable]), climstate.long_term_mean(state, [variable]), [variable]).join(climstate.climatology(state, [variable]), ["ilat", "ilon", "season_key"])
+
+
 def store_year(cells: DataFrame, root: str, variables: list[str], overwrite: bool = False, policy: str = "raise") -> None:
     """Check that the year has all its windows, then write it."""
     quality.run_checks([quality.years_full(cells)], policy)

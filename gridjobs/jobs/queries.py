@@ -556,7 +556,7 @@ def v5_longitudes_present(spark, sf_dir):
 
 @query("""SELECT 'full year' AS "check", CAST(year AS VARCHAR) AS subject, count(DISTINCT widx) = 46 AS ok, CAST(count(DISTINCT widx) AS VARCHAR) AS detail FROM grid8d GROUP BY year
 UNION ALL SELECT 'single year', 'all', count(DISTINCT year) = 1, CAST(count(DISTINCT year) AS VARCHAR) FROM grid8d
-UNION ALL SELECT 'shape', concat(year, '-', widx), count(DISTINCT ilat) = 6 AND count(DISTINCT ilon) = 12, concat(count(DISTINCT ilat), 'x', count(DISTINCT ilon)) FROM grid8d GROUP BY year, widx""", "grid8d")
+UNION ALL SELECT 'shape', concat(year, '-', widx), count(DISTINCT ilat) = 6 AND count(DISTINCT ilon) = 12 AND count(DISTINCT ilat * 12 + ilon) = 72, concat(count(DISTINCT ilat), 'x', count(DISTINCT ilon)) FROM grid8d GROUP BY year, widx""", "grid8d")
 def v6_v13_year_checks(spark, sf_dir):
     g = view(spark, sf_dir, "grid8d")
     return quality.run_checks([quality.years_full(g), quality.single_year(g), quality.shape_matches(g, 6, 12)], "ignore")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.calendar import SPAN, center, per_year
+from . import prefix
 
 CELL = ["ilat", "ilon"]
 
@@ -58,6 +59,14 @@ def features(cells: DataFrame, variables: list[str], key: str = "widx") -> DataF
 
 def smooth(series: DataFrame, v: str, part: list[str], order: list[str], window: int = 3, iters: int = 1, func: str = "avg") -> DataFrame:
     """Iterated centred rolling aggregate; a frame at the end is shorter, and null only if it holds nothing."""
+    if not part:  # one series, however long
+
+        def frames(rows: DataFrame, frame) -> DataFrame:
+            for _ in range(iters):
+                rows = rows.withColumn(v, F.call_function(func, F.col(v)).over(frame(-(window // 2), window - 1 - window // 2)))
+            return rows
+
+        return prefix.rolling(series, order, frames, iters * window)
     w = Window.partitionBy(*part).orderBy(*order).rowsBetween(-(window // 2), window - 1 - window // 2)
     for _ in range(iters):
         series = series.withColumn(v, F.call_function(func, F.col(v)).over(w))

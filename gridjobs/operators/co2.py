@@ -2,27 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.cells import fugacity
+from . import prefix
 from .climatology import smooth, smooth_cycle
 
 
 def at_times(knots: DataFrame, queries: DataFrame, time: str, value: str, part: list[str] | None = None) -> DataFrame:
     """Linear interpolation of a series at the queries' times, null outside its range. time is a number.
 
-    Knots and queries are one ordered set, in which each query sees the known values on both sides: no range join.
+    Knots and queries are one ordered set, in which each query sees the known values on both sides: no range join. The set is scanned
+    in ranges, so a series may be of any length, or hold most of the rows. Times of knots are unique in a series.
     """
     part = part or []
     known = knots.filter(F.col(value).isNotNull()).select(*part, time, F.col(value).alias("_v"), F.lit(0).alias("_q"))
     both = known.unionByName(queries.select(*part, time).distinct().withColumns({"_v": F.lit(None).cast("double"), "_q": F.lit(1)}))
-    back = Window.partitionBy(*part).orderBy(time, "_q").rowsBetween(Window.unboundedPreceding, 0)
-    ahead = Window.partitionBy(*part).orderBy(F.desc(time), "_q").rowsBetween(Window.unboundedPreceding, 0)
-    t = F.when(F.col("_v").isNotNull(), F.col(time))
-    both = both.withColumns({"_a": F.last("_v", True).over(back), "_ta": F.last(t, True).over(back), "_b": F.last("_v", True).over(ahead), "_tb": F.last(t, True).over(ahead)})
-    blend = F.when(F.col("_ta") == F.col("_tb"), F.col("_a")).otherwise(F.col("_a") + (F.col("_b") - F.col("_a")) * (F.col(time) - F.col("_ta")) / (F.col("_tb") - F.col("_ta")))
-    return both.filter("_q = 1").select(*part, time, blend.alias(value))
+    got = prefix.known_around(both.withColumn("_t", F.col(time)), "_v", [time, "_q"], part, ["_t"]).filter("_q = 1")
+    a, b, t, u = F.col("before._v"), F.col("after._v"), F.col("before._t"), F.col("after._t")
+    blend = F.when(t == F.col(time), a).otherwise(a + (b - a) * (F.col(time) - t) / (u - t))  # a knot at the time itself comes before it
+    return got.select(*part, time, blend.alias(value))
 
 
 def regress(df: DataFrame, x: str, y: str, part: list[str], paired: bool = False) -> DataFrame:
@@ -49,7 +49,7 @@ def xco2_field(station: DataFrame, surface: DataFrame) -> DataFrame:
 
     the smoothed station value, the surface, its regression with the residuals' seasonal cycle moved to meet it, and the surface filled by that.
     """
-    x = smooth(station, "x", [], ["year", "widx"], 3, 3)  # one short series
+    x = smooth(station.withColumn("_one", F.lit(0)), "x", ["_one"], ["year", "widx"], 3, 3).drop("_one")  # a row for each window of the calendar
     lats = surface.select("ilat").distinct().agg(F.collect_set("ilat").alias("l"))  # at most 720
     spine = x.join(F.broadcast(lats), F.lit(True)).select("year", "widx", "x", F.explode("l").alias("ilat"))
     both = spine.join(surface, ["year", "widx", "ilat"], "left")
@@ -63,6 +63,6 @@ def xco2_field(station: DataFrame, surface: DataFrame) -> DataFrame:
 
 
 def fco2(cells: DataFrame, field: DataFrame, xco2: str = "xco2_filled") -> DataFrame:
-    """Cells with sst (Celsius), msl (Pa) and sss get fco2; the field of windows and latitudes is broadcast, far smaller than the cells."""
-    got = cells.join(F.broadcast(field.select("year", "widx", "ilat", xco2)), ["year", "widx", "ilat"], "left")
+    """Cells with sst (Celsius), msl (Pa) and sss get fco2. The field, windows x latitudes, is broadcast where the optimizer finds it small enough."""
+    got = cells.join(field.select("year", "widx", "ilat", xco2), ["year", "widx", "ilat"], "left")
     return got.withColumn("fco2", fugacity(F.col(xco2), F.col("sst"), F.col("msl"), F.col("sss"))).drop(xco2)

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import prefix
+
 
 def fill_with_flag(df: DataFrame, a: str, b: str, out: str, flag: str) -> DataFrame:
     """a where it has a value, else b. flag: 1 from a, 2 from b, 0 neither."""
@@ -24,10 +26,14 @@ def fill_successively(df: DataFrame, sources: list[str], out: str, flag: str) ->
 def merge_products(products: list[DataFrame], keys: list[str]) -> DataFrame:
     """Products side by side by cell, a cell of any product kept: one union and one group-by in place of full outer joins.
 
-    Keys are unique within a product; if they aren't, one of the rows' values stays for each variable.
+    A key that a product has twice is an error, found in the same group-by.
     """
-    both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), products)
-    return both.groupBy(*keys).agg(*[F.first(c, True).alias(c) for c in both.columns if c not in keys])
+    both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [p.withColumn("_p", F.lit(i)) for i, p in enumerate(products)])
+    most = [F.count_if(F.col("_p") == i) for i in range(len(products))]
+    most = F.greatest(*most) if len(most) > 1 else most[0]
+    got = both.groupBy(*keys).agg(*[F.first(c, True).alias(c) for c in both.columns if c not in (*keys, "_p")], most.alias("_most"))
+    said = F.concat_ws(" ", F.lit("a product has a key twice:"), *[F.col(k).cast("string") for k in keys])
+    return got.filter(F.when(F.col("_most") > 1, F.raise_error(said).cast("boolean")).otherwise(F.lit(True))).drop("_most")
 
 
 def fill_nearest(cells: DataFrame, v: str, axes: list[tuple[list[str], list[str]]]) -> DataFrame:
@@ -51,7 +57,10 @@ def interpolate_positions(series: DataFrame, v: str, order: str, part: list[str]
     """Interior nulls linearly by row position; trailing ones take the last value, leading ones stay."""
     from .regrid import between, neighbours_along
 
-    part = part or []
+    if not part:  # one series, however long
+        rows = prefix.known_around(prefix.numbered(series, [order], "_n"), v, ["_n"], carry=["_n"])
+        a, b, t, u = F.col(f"before.{v}"), F.col(f"after.{v}"), F.col("before._n"), F.col("after._n")
+        return rows.withColumn(v, F.coalesce(v, F.when(u > t, a + (b - a) * (F.col("_n") - t) / (u - t)), a)).drop("_n", "before", "after")
     n = F.row_number().over(Window.partitionBy(*part).orderBy(order))
     s = series.withColumn("_n", n)
     last = neighbours_along(F.col(v), F.col("_n"), part)[0]

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import SPAN, center, end, index, last_second, per_year, start, windows
 from ..functions.cells import count, lat_index, lon_index
+from . import prefix
 
 #: Points on land (lat, lon), where the sea has no data.
 LAND = ((20.0, 25.0), (-25.0, 135.0), (20.0, -100.0), (60.0, 100.0), (-33.0, 20.0))
@@ -73,9 +74,11 @@ def single_year(cells: DataFrame) -> DataFrame:
 
 
 def shape_matches(cells: DataFrame, nlat: int, nlon: int) -> DataFrame:
-    """A row for each window: has it so many latitudes and longitudes?"""
-    n = cells.groupBy(*KEY).agg(F.count_distinct("ilat").alias("a"), F.count_distinct("ilon").alias("o"))
-    return report(n, "shape", window_name(), (F.col("a") == nlat) & (F.col("o") == nlon), F.concat_ws("x", "a", "o"))
+    """A row for each window: has it so many latitudes and longitudes, and a cell for every pair of them?"""
+    from . import checks
+
+    check = checks.shape(nlat, nlon)
+    return report(checks.facts_of(cells, {"shape": check}), "shape", *check.row)
 
 
 def times_match(df: DataFrame, time: str, hours: float = 1.0, span: int = SPAN) -> DataFrame:
@@ -85,6 +88,26 @@ def times_match(df: DataFrame, time: str, hours: float = 1.0, span: int = SPAN)
     return report(got, "times", F.col(time), far < hours * 3600, far)
 
 
+def times_in_order(steps: DataFrame, time: str, hours: float = 1.0, span: int = SPAN) -> DataFrame:
+    """The n-th time step of a year against the n-th window's centre: a row for each, ok if strictly within so many hours.
+
+    steps: a row for each time step. They are numbered through ranges of time, so a missing or a doubled step moves all later ones of
+    its year off their windows: those fail, a window that no step is left for fails as missing, and a step beyond the last as surplus.
+    """
+    spark = steps.sparkSession
+    t = steps.select(F.col(time).alias("t")).filter("t IS NOT NULL").withColumn("year", F.year("t").cast("int"))
+    numbers = prefix.numbered(t, ["t"], "n")
+    ordinal = numbers.join(F.broadcast(numbers.groupBy("year").agg(F.min("n").alias("first"))), "year").select("year", "t", (F.col("n") - F.col("first")).cast("int").alias("widx"))
+    first, last = t.agg(F.min("year"), F.max("year")).first()
+    if first is None:
+        return report(ordinal, "times", F.lit(""), F.lit(True), F.lit(""))
+    expected = windows(spark, first, last, span).join(F.broadcast(t.select("year").distinct()), "year", "left_semi").select("year", "widx", "window_center")
+    both = expected.join(ordinal, ["year", "widx"], "full")
+    off = F.abs(F.unix_timestamp(F.col("t").cast("timestamp")) - F.unix_timestamp(F.col("window_center").cast("timestamp")))
+    detail = F.when(F.col("t").isNull(), "missing").when(F.col("window_center").isNull(), "surplus").otherwise(off.cast("string"))
+    return report(both, "times", window_name(), off < hours * 3600, detail)
+
+
 def windows_have_data(cells: DataFrame, v: str, span: int = SPAN) -> DataFrame:
     """A row for each window of the years that occur: has it any value?"""
     first, last = cells.agg(F.min("year"), F.max("year")).first()
