@@ -36,7 +36,7 @@ ROUNDS, LEAST = 8, 10
 #: Words, and pieces of them, that an encoder keeps, and their largest length.
 WORDS, LONG = 600_000, 100
 #: Bytes of text that are encoded together, about, and words whose ids are laid out together.
-BATCH, TOGETHER = 4_000_000, 1_000_000
+BATCH, TOGETHER = 12_000_000, 1_000_000
 NO_PAIR = np.uint64(2**64 - 1)
 
 
@@ -75,13 +75,17 @@ class Words:
 
     def single(self, p: str) -> bytes:
         """Ids of a piece that is normalized and that the pattern splits no further."""
-        return array("I", [t.id for t in self.model(p if p.isascii() and p.isprintable() else p.encode().decode("latin-1").translate(self.BYTES))]).tobytes()
+        if not (p.isascii() and p.isprintable()):
+            p = p.encode().decode("latin-1").translate(self.BYTES)
+        return array("I", [t.id for t in self.model(p)]).tobytes()
 
     def word(self, w: str) -> bytes:
-        get = self.pieces.get
-        if w.isascii() and w.islower() and "<|" not in w:
-            return b"".join([get(p) or self.learn(p, True) for p in self.PIECE.findall(w)])
         bare = w.rstrip(".,;:!?)")
+        ascii_ = w.isascii() and w.islower()
+        if ascii_ and bare.isalpha():  # most words: letters, and what ends them
+            return self.learn(bare, True) + (self.learn(w[len(bare) :], True) if len(bare) < len(w) else b"")
+        if ascii_ and "<|" not in w:
+            return b"".join([self.learn(p, True) for p in self.PIECE.findall(w)])
         if bare and len(bare) < len(w) and bare[-1].lower()[-1].isalnum():  # what ends a word is a piece of its own
             return self.learn(bare) + self.learn(w[len(bare) :])
         return self.learn(w)
@@ -105,7 +109,7 @@ class Words:
         for held in (self.known, self.pieces):
             if len(held) > WORDS:
                 held.clear()
-        distinct, get = words.dictionary.to_pylist(), self.known.get
+        distinct, get = words.dictionary.to_numpy(zero_copy_only=False).tolist(), self.known.get
         found = list(map(get, distinct))
         for i, ids in enumerate(found):
             if ids is None:
