@@ -141,10 +141,11 @@ def cuts(sizes: np.ndarray) -> list[slice]:
     return [slice(int(a), int(b)) for a, b in zip(edges, np.append(edges[1:], len(sizes)), strict=True)]
 
 
-def frequent(pairs: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Which pairs occur `least` times and more, by rising frequency, and at each place the number of its pair there, from 1 (0: none).
+def frequent(pairs: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which pairs occur `least` times and more, by rising frequency; at each place the number of its pair there, from 1 (0: none); and
+    the places whose pair is rarer.
 
-    Of two pairs that share a slot of the table, the more frequent is found; the other waits for the next round.
+    Of two pairs that share a slot of the table, the more frequent is found; the other waits for the next round, and isn't called rare.
     """
     ordered = np.sort(pairs)
     edge = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
@@ -155,26 +156,31 @@ def frequent(pairs: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
     bits = max(10, int(len(found) * 8).bit_length())
     slot = lambda p: (p * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)
     table = np.zeros(1 << bits, np.int32)
-    table[slot(found)] = np.arange(1, len(found) + 1, dtype=np.int32)
-    number = table[slot(pairs)]
+    own = slot(found)
+    table[own] = np.arange(1, len(found) + 1, dtype=np.int32)
+    shared = np.bincount(own, minlength=len(table)) > 1
+    at = slot(pairs)
+    number = table[at]
     number[np.append(NO_PAIR, found)[number] != pairs] = 0
-    return found, number
+    return found, number, (number == 0) & ~shared[at]
 
 
 def compress(ids: np.ndarray, ends: np.ndarray, base: int, rounds: int = ROUNDS, least: int = LEAST) -> Shard:
     """The grammar of ids (below base) of documents that end at `ends`. No pair spans two documents.
 
-    A round replaces all frequent pairs at once: where two overlap, the more frequent; of a run of one pair every second.
+    A pair that is rare once stays so, since others' replacement only takes its places away: a round counts what isn't known to be rare.
+    It replaces all frequent pairs at once: where two overlap, the more frequent; of a run of one pair every second.
     """
     s, last = ids.astype(np.uint32), np.zeros(len(ids), bool)
     last[ends[ends > np.append(0, ends[:-1])] - 1] = True
     rules, lengths = np.zeros((0, 2), np.uint32), np.zeros(0, np.int64)
+    rare = last.copy()  # no pair begins at a document's last symbol
     for _ in range(rounds):
-        if len(s) < 2:
+        open_ = np.flatnonzero(~rare[:-1])
+        if not len(open_):
             break
-        pairs = (s[:-1].astype(np.uint64) << np.uint64(32)) | s[1:]
-        pairs[last[:-1]] = NO_PAIR
-        found, number = frequent(pairs, least)
+        number = np.zeros(len(s) - 1, np.int32)
+        found, number[open_], rare[open_] = frequent((s[open_].astype(np.uint64) << np.uint64(32)) | s[open_ + 1], least)
         take, same = number > 0, np.append(False, (number[1:] == number[:-1]) & (number[1:] > 0))
         take[1:] &= (number[1:] > number[:-1]) | same[1:]
         take[:-1] &= number[:-1] >= number[1:]
@@ -195,9 +201,12 @@ def compress(ids: np.ndarray, ends: np.ndarray, base: int, rounds: int = ROUNDS,
         rules = np.concatenate([rules, new])
         s[where] = symbol[number[where]]
         last[where] = last[where + 1]
+        rare[where] = last[where]
+        before = where[where > 0] - 1
+        rare[before] = last[before]
         keep = np.ones(len(s), bool)
         keep[where + 1] = False
-        s, last = s[keep], last[keep]
+        s, last, rare = s[keep], last[keep], rare[keep]
     own = np.concatenate([[0], np.flatnonzero(last) + 1])  # a document without ids ends where the one before it does
     at = own[np.cumsum(ends > np.append(0, ends[:-1]))] if len(ends) else np.zeros(0, np.int64)
     return Shard(base, rules, lengths, np.stack([at, ends.astype(np.int64)], 1), s)
