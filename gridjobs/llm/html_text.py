@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from heapq import heappop, heappush
 from itertools import accumulate
 
 import pandas as pd
@@ -217,33 +219,82 @@ class Lines:
 
 
 Cell = tuple[list[str], int, int]
+#: Times a table's text that aligning it may add in spaces.
+PADDING = 4
+
+
+class Held:
+    """The columns that cells of earlier rows reach down into, as disjoint runs; each part of a run knows the row at which it ends."""
+
+    def __init__(self):
+        self.runs: list[list[int]] = []  # [first, last + 1], sorted, no two adjacent
+        self.ends: list[tuple[int, int, int]] = []  # a heap of (row, first, last + 1)
+
+    def free(self, at: int) -> int:
+        """The first column from `at` on that isn't held."""
+        i = bisect_right(self.runs, [at, 1 << 62]) - 1
+        return max(at, self.runs[i][1]) if i >= 0 else at
+
+    def hold(self, first: int, last: int, row: int) -> None:
+        """Columns that are held already stay so for as long as they were to."""
+        while first < last:
+            i = bisect_right(self.runs, [first, 1 << 62])
+            stop = min(last, self.runs[i][0]) if i < len(self.runs) else last
+            heappush(self.ends, (row, first, stop))
+            before, after = i > 0 and self.runs[i - 1][1] == first, i < len(self.runs) and self.runs[i][0] == stop
+            if before and after:
+                self.runs[i - 1][1] = self.runs.pop(i)[1]
+            elif before:
+                self.runs[i - 1][1] = stop
+            elif after:
+                self.runs[i][0] = first
+            else:
+                self.runs.insert(i, [first, stop])
+            first = self.free(stop)
+
+    def release(self, row: int) -> None:
+        """End what ends at this row."""
+        while self.ends and self.ends[0][0] <= row:
+            _, first, last = heappop(self.ends)
+            i = bisect_right(self.runs, [first, 1 << 62]) - 1
+            a, b = self.runs[i]
+            self.runs[i : i + 1] = [x for x in ([a, first], [last, b]) if x[0] < x[1]]
 
 
 def placed(rows: list[list[Cell]]) -> Iterator[list[tuple[int, list[str], int]]]:
     """Each row's cells with their first column: those that cells of earlier rows reach down into are passed over."""
-    held: dict[int, int] = {}  # the columns taken from above, and for how many rows
-    for row in rows:
-        at, out, new = 0, [], {}
+    held = Held()
+    for n, row in enumerate(rows):
+        held.release(n)
+        at, out, new = 0, [], []
         for lines, span, down in row:
-            while at in held:
-                at += 1
+            at = held.free(at)
             out.append((at, lines, span))
             if down > 1:
-                new |= dict.fromkeys(range(at, at + span), down - 1)
+                new.append((at, at + span, n + down))
             at += span
-        held = {c: n - 1 for c, n in held.items() if n > 1} | new
+        for cell in new:
+            held.hold(*cell)
         yield out
 
 
 def aligned(rows: list[list[Cell]]) -> list[str]:
-    """Rows of (lines of a cell, columns and rows that it spans) with each column as wide as its widest cell."""
-    grid, wide = list(placed(rows)), []
+    """Rows of (lines of a cell, columns and rows that it spans) with each column as wide as its widest cell.
+
+    A column that no cell has for itself takes no room. A table in which the padding would come to more than PADDING times its text
+    keeps its cells two spaces apart.
+    """
+    grid, wide, text = list(placed(rows)), {}, 0
     for row in grid:
         for at, lines, span in row:
-            wide.extend([0] * (at + span - len(wide)))
+            text += sum(map(len, lines)) + 2
             if span == 1:
-                wide[at] = max(wide[at], max(map(len, lines), default=0))
-    start = list(accumulate((w + 2 for w in wide), initial=0))
+                wide[at] = max(wide.get(at, 0), max(map(len, lines), default=0))
+    columns = sorted(wide)
+    upto = list(accumulate((wide[c] + 2 for c in columns), initial=0))
+    start = {at: upto[bisect_left(columns, at)] for at in {at for row in grid for at, _, _ in row}}
+    if sum(start[row[-1][0]] * max(len(lines) for _, lines, _ in row) for row in grid if row) > PADDING * text + 1_000:
+        start = dict.fromkeys(start, 0)
     out = []
     for row in grid:
         for i in range(max((len(lines) for _, lines, _ in row), default=0)):
