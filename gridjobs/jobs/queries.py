@@ -519,13 +519,6 @@ def e4_xco2_field(spark, sf_dir):
 # --- scoring ---------------------------------------------------------------------------------------------------------
 
 
-@query(None)
-def m1_m2_ensemble(spark, sf_dir):
-    """Five networks, of weights drawn at random, on the vectors of the embeddings table: mean and spread for each row."""
-    e = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
-    return score.ensemble(score.predict(e, ["vec_id"], "embedding", [score.member(s, 64) for s in range(5)]), ["vec_id"])
-
-
 # --- checks ----------------------------------------------------------------------------------------------------------
 
 

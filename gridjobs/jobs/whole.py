@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
-from ..operators import checks, climatology, co2, fill, intervals, quality
+from ..operators import checks, climatology, co2, fill, intervals, prefix, quality, score
 from ..sources import store
 from ..sources.shared import fresh
 from . import products
@@ -176,3 +176,33 @@ def a1_a2_kept_climatology(spark, sf_dir):
     for year in (1994, 1997, 9999):
         store.append(g.filter(F.col("year") < year), root, ["v"], states=True)
     return products.kept_climatology(spark, root, "v").select("ilat", "ilon", "season_key", F.round("clim_v", 4).alias("clim_v"), F.round("seas_v", 4).alias("seas_v"))
+
+
+# --- scoring by stored networks --------------------------------------------------------------------------------------
+
+RELU = "greatest(0e0, (list_dot_product({x}, u.weights) + bias - mean) / sqrt(variance + 1e-5) * gain + shift)"
+LAYER = "SELECT vec_id, x.member, list({relu} ORDER BY unit) AS h FROM {x} x JOIN u ON u.layer = {layer} AND u.member = x.member GROUP BY 1, 2"
+
+
+def units_sql(layer: int, first: int, last: int, wide: int) -> str:
+    return f"""SELECT member, {layer} AS layer, i - member * 97 - {first} AS unit, e[1:{wide}] AS weights, e[2] AS bias, e[3] AS mean, e[4] * e[4] + 5e-1 AS variance, 1 + e[5] AS gain, e[6] AS shift
+FROM n JOIN (SELECT unnest(range(5)) AS member) m ON i BETWEEN member * 97 + {first} AND member * 97 + {last - 1}"""
+
+
+@query(f"""WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings), n AS (SELECT e, row_number() OVER (ORDER BY vec_id) - 1 AS i FROM v),
+u AS ({units_sql(0, 0, 64, 64)} UNION ALL {units_sql(1, 64, 96, 64)} UNION ALL {units_sql(2, 96, 97, 32)}), m AS (SELECT DISTINCT member FROM u), z AS (SELECT vec_id, member, e AS h FROM v CROSS JOIN m),
+a AS ({LAYER.format(relu=RELU.format(x="x.h"), x="z", layer=0)}), b AS ({LAYER.format(relu=RELU.format(x="x.h"), x="a", layer=1)}),
+p AS (SELECT vec_id, b.member, list_dot_product(b.h, u.weights) + bias AS y FROM b JOIN u ON u.layer = 2 AND u.member = b.member)
+SELECT vec_id, round(avg(y), 6) AS mean, round(stddev_pop(y), 6) AS std, count(y) AS members FROM p GROUP BY 1""")
+def m1_m2_ensemble(spark, sf_dir):
+    """Five networks, whose units' numbers are vectors of the table, written, loaded and run on all vectors: mean and spread for each."""
+    e = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", F.col("embedding").cast("array<double>").alias("e"))
+    n = prefix.numbered(e, ["vec_id"], "i").filter("i < 485").withColumns({"member": F.expr("CAST(i DIV 97 AS INT)"), "j": F.col("i") % 97})
+    layer = F.when(F.col("j") < 64, 0).when(F.col("j") < 96, 1).otherwise(2)
+    unit = (F.col("j") - F.when(F.col("j") < 64, 0).when(F.col("j") < 96, 64).otherwise(96)).cast("int")
+    c = lambda k: F.col("e")[k]
+    units = n.select("member", layer.alias("layer"), unit.alias("unit"), F.slice("e", 1, F.when(F.col("j") < 96, 64).otherwise(32)).alias("weights"), c(1).alias("bias"), c(2).alias("mean"), (c(3) * c(3) + 0.5).alias("variance"), (1 + c(4)).alias("gain"), c(5).alias("shift"))
+    path = fresh(spark, "networks")
+    units.write.parquet(path)
+    out = score.ensemble(score.predict(e, ["vec_id"], "e", score.load_members(spark, path)), ["vec_id"])
+    return out.withColumns({"mean": F.round("mean", 6), "std": F.round("std", 6)})

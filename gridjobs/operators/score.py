@@ -6,10 +6,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Numbers of all networks together, at most: what the driver and each worker hold.
+MOST_NUMBERS = 20_000_000
+NAMES = {"bias": "b", "mean": "mean", "variance": "var", "gain": "gain", "shift": "shift"}
+
+
 def fit_metrics(df: DataFrame, truth: str, guess: str, part: list[str] | None = None) -> DataFrame:
     """r2, rmse, mae and n over the rows where both have a value."""
     d = F.col(truth) - F.col(guess)
@@ -30,6 +35,49 @@ def member(seed: int, width: int, hidden: tuple[int, int] = (64, 32)) -> dict[st
     return out
 
 
+def load_members(spark: SparkSession, path: str) -> list[dict[str, np.ndarray]]:
+    """The networks of an ensemble from a table of their units, checked: layers 0, 1 and 2 without gaps, units numbered from 0, as many
+    weights as the layer before has units, finite numbers, variances of 0 and more, all members of one width.
+
+    Columns: member, layer, unit, weights array<double>, bias; mean, variance, gain and shift, which the last layer has no use for.
+    The table is read by the driver and sent to the tasks; its size is checked first.
+    """
+    df = spark.read.parquet(path)
+    if missing := {"member", "layer", "unit", "weights", "bias", "mean", "variance", "gain", "shift"} - set(df.columns):
+        raise ValueError(f"the weights lack {sorted(missing)}")
+    numbers, rows = df.agg(F.sum(F.size("weights")), F.count("*")).first()
+    if not rows:
+        raise ValueError(f"{path} holds no network")
+    if (numbers or 0) + 5 * rows > MOST_NUMBERS:
+        raise ValueError(f"{numbers} weights are more than {MOST_NUMBERS}")
+    units: dict[int, dict[int, list]] = {}
+    for u in df.orderBy("member", "layer", "unit").collect():
+        units.setdefault(u.member, {}).setdefault(u.layer, []).append(u)
+    members = []
+    for m, layers in units.items():
+        if sorted(layers) != [0, 1, 2]:
+            raise ValueError(f"member {m} has the layers {sorted(layers)}")
+        out: dict[str, np.ndarray] = {}
+        for i in range(3):
+            own = layers[i]
+            if [u.unit for u in own] != list(range(len(own))):
+                raise ValueError(f"member {m}, layer {i}: units aren't numbered from 0 without gaps")
+            wide = len(layers[i - 1]) if i else len(own[0].weights or [])
+            if any(u.weights is None or len(u.weights) != wide for u in own):
+                raise ValueError(f"member {m}, layer {i}: not all units have {wide} weights")
+            out[f"w{i}"] = np.array([u.weights for u in own], float).T
+            columns = ["bias", *(["mean", "variance", "gain", "shift"] if i < 2 else [])]
+            out |= {f"{NAMES[c]}{i}": np.array([getattr(u, c) for u in own], float) for c in columns}
+        if not all(np.isfinite(x).all() for x in out.values()) or any((out[f"var{i}"] < 0).any() for i in range(2)):
+            raise ValueError(f"member {m} has null or non-finite numbers or a negative variance")
+        if len(layers[2]) != 1:
+            raise ValueError(f"member {m} has {len(layers[2])} outputs")
+        members.append(out)
+    if len({x["w0"].shape[0] for x in members}) != 1:
+        raise ValueError("the members have unlike numbers of features")
+    return members
+
+
 def forward(w: dict[str, np.ndarray], x: np.ndarray, eps: float = 1e-5) -> np.ndarray:
     """Two layers, each linear, normalised by its statistics and rectified, then a linear output; no dropout when scoring."""
     for i in range(2):
