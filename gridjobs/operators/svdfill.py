@@ -13,8 +13,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.shared import written
 from .fill import coalesced_flag
 
+#: Rounds after which the cells are written with what was filled.
+KEEP = 4
+
 
 def replay(values: np.ndarray, guess: np.ndarray, projections: list[np.ndarray]) -> np.ndarray:
     """Cells x times with their gaps filled by the first guess (0 where it isn't a finite number), then by each projection in turn."""
@@ -31,9 +35,13 @@ def svd_fill(series: DataFrame, keys: list[str], value: str, guess: str, rank: i
     apart: a key, few of whose values occur (years); each value's cells are a matrix of their own, with times of their own.
     Where the guess is null or infinite, a gap begins at 0 and is null in the result; the other times of that cell are filled. A cell
     without any guess is land: it stays null and has no part. Returns keys with `filled` and the
-    mean absolute error on the known values after each round. Only the list of projections grows, one times x times matrix a round.
+    mean absolute error on the known values after each round.
+
+    A round's projection is applied when the cells are read next; every KEEP rounds the cells are written as they are then, so that a
+    round reads them once and applies few projections, however many rounds there are.
     """
-    series = series.persist()
+    types = dict(series.dtypes)
+    kept = ", ".join(f"{k} {types[k]}" for k in keys) + f", {value} array<double>, {guess} array<double>, _now array<double>"
     arrays = lambda pdf, c: np.array([[np.nan if x is None else x for x in r] for r in pdf[c]], float)
     projections: dict[str, list[np.ndarray]] = {}
     parts = lambda pdf: pdf.groupby(pdf[apart].astype(str)) if apart else [("", pdf)]
@@ -42,22 +50,30 @@ def svd_fill(series: DataFrame, keys: list[str], value: str, guess: str, rank: i
         sums: dict[str, tuple] = {}
         for pdf in batches:
             for name, part in parts(pdf):
-                v, first = arrays(part, value), arrays(part, guess)
+                v, first, now = arrays(part, value), arrays(part, guess), arrays(part, "_now")
                 sea = np.isfinite(first).any(1) if len(first) else np.zeros(0, bool)
-                v, first = v[sea], first[sea]
+                v, now = v[sea], now[sea]
                 if not len(v):
                     continue
                 own, (g, err, n) = projections.get(name, []), sums.get(name, (0.0, 0.0, 0))
-                x = replay(v, first, own)
+                x = replay(v, now, own)
                 if own:
                     known = ~np.isnan(v)
-                    before = replay(v, first, own[:-1])
+                    before = replay(v, now, own[:-1])
                     err, n = err + float(np.abs((before @ own[-1] - v)[known]).sum()), n + int(known.sum())
                 sums[name] = g + x.T @ x, err, n
         for name, (g, err, n) in sums.items():
             yield pd.DataFrame({"part": name, "i": np.arange(g.size), "g": g.ravel(), "err": [err] + [0.0] * (g.size - 1), "n": [n] + [0] * (g.size - 1)})
 
-    columns, errors = series.select(*keys, value, guess), []
+    def advance(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """All projections but the last, by which the next round measures its error."""
+        for pdf in batches:
+            for name, part in parts(pdf):
+                if len(part):
+                    x = replay(arrays(part, value), arrays(part, "_now"), projections.get(name, [])[:-1])
+                    yield part.assign(_now=x.tolist())
+
+    columns, errors = written(series.select(*keys, value, guess, F.col(guess).alias("_now")), "svd-cells"), []
     for done in range(rounds + 1):
         got = columns.mapInPandas(gram, "part string, i int, g double, err double, n long").groupBy("part", "i").agg(F.sum("g").alias("g"), F.sum("err").alias("err"), F.sum("n").alias("n")).toPandas().sort_values(["part", "i"])
         if not len(got):
@@ -66,6 +82,9 @@ def svd_fill(series: DataFrame, keys: list[str], value: str, guess: str, rank: i
             errors.append(float(got["err"].sum() / max(1, got["n"].sum())))
         if done == rounds:
             break
+        if done and done % KEEP == 0:
+            columns = written(columns.mapInPandas(advance, kept), "svd-cells")
+            projections = {name: own[-1:] for name, own in projections.items()}
         for name, own in got.groupby("part"):
             t = int(round(len(own) ** 0.5))
             _, vectors = np.linalg.eigh(own["g"].to_numpy().reshape(t, t))
@@ -77,11 +96,11 @@ def svd_fill(series: DataFrame, keys: list[str], value: str, guess: str, rank: i
             for name, part in parts(pdf):
                 if len(part):
                     v, first = arrays(part, value), arrays(part, guess)
-                    x = replay(v, first, projections.get(name, []))
+                    x = replay(v, arrays(part, "_now"), projections.get(name, []))
                     x[(np.isnan(v) & ~np.isfinite(first)) | ~np.isfinite(first).any(1, keepdims=True)] = np.nan
                     yield part[keys].assign(filled=[[None if np.isnan(y) else float(y) for y in r] for r in x])
 
-    schema = ", ".join(f"{k} {dict(series.dtypes)[k]}" for k in keys) + ", filled array<double>"
+    schema = ", ".join(f"{k} {types[k]}" for k in keys) + ", filled array<double>"
     return columns.mapInPandas(fill, schema), errors
 
 

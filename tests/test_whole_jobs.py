@@ -54,3 +54,23 @@ def test_svd_keeps_years_of_different_lengths_apart(spark):
     for year in (1, 2):
         for x in svdfill.svd_fill(df.filter(f"year = {year}"), ["year", "cell"], "v", "g")[0].collect():
             assert both[year, x.cell] == pytest.approx(x.filled, abs=1e-9)
+
+
+def test_svd_work_grows_with_the_rounds_alone(spark, monkeypatch):
+    """Writing the cells every few rounds changes nothing, and no round applies more projections than lie between two writes."""
+    r = np.random.default_rng(8)
+    full = r.standard_normal((50, 2)) @ r.standard_normal((2, 8)) + 1
+    rows = [(i, [None if r.random() < 0.25 else float(x) for x in full[i]], [1.0] * 8) for i in range(50)]
+    df = spark.createDataFrame(rows, "cell int, v array<double>, g array<double>")
+    out, cached = {}, len(spark.sparkContext._jsc.getPersistentRDDs())
+    for keep in (1, 3, 99):
+        monkeypatch.setattr(svdfill, "KEEP", keep)
+        filled, errors = svdfill.svd_fill(df, ["cell"], "v", "g", 2, 10)
+        out[keep] = {x.cell: x.filled for x in filled.collect()}, errors
+        assert len(errors) == 10
+        assert errors[-1] < errors[0]
+    for keep in (1, 3):
+        assert out[keep][1] == pytest.approx(out[99][1], abs=1e-12)
+        for i in range(50):
+            assert out[keep][0][i] == pytest.approx(out[99][0][i], abs=1e-9)
+    assert len(spark.sparkContext._jsc.getPersistentRDDs()) == cached
