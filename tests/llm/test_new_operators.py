@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -217,6 +218,16 @@ def test_grammar_round_trip_and_random_access(seed):
         repair_ids.opened(b"x" * 64)
 
 
+def test_words_of_odd_texts_by_the_tokenizer(encode):
+    r = np.random.default_rng(9)
+    alphabet = list("abAB'sST.,!?-<|>09 \n\t\u0301\u030cJjH\u03a3\u03c3\u03c2\u0130\u01c5\u00e9\u00c9\u212a\x0b\x1c\x85\u3000(\"&\u00b2\u00bd\u0663\u5b57\x00")
+    texts = ["".join(r.choice(alphabet, int(n))) for n in r.integers(0, 30, 4000)]
+    texts += ["<|endoftext|>.", "a<|startoftext|>)", "it's they're I'LL", "''s 't", "word'.", "\u00e9t\u00e9, \u0391\u03a3. x\u00b2,", ""]
+    ids, ends = repair_ids.words_of(PATH).ids(pa.array(texts))
+    for t, got in zip(texts, np.split(ids, ends[:-1]), strict=True):
+        assert got.tolist() == encode(t)[:-1], t
+
+
 @pytest.mark.skipif(not os.path.isdir(DATA), reason="no test data")
 def test_ids_query_by_the_tokenizer(spark, encode):
     docs = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text").orderBy("doc_id").collect()
