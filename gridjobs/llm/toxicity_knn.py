@@ -1,8 +1,9 @@
 """Toxicity by the nearest labelled examples: exact TF-IDF cosine over a block-max inverted index, distance-weighted votes.
 
-Every word of every sampled example is a term. A term's weight is (1 + log tf) * idf * relevance: idf counts all documents,
-and relevance, 1 or more, grows with how surely the term's share differs between toxic and other examples (the lower bound
-of its log odds ratio), so that a few telling words aren't lost among hundreds of rare ones. relevance = 0 gives plain TF-IDF.
+Every word of every sampled example is a term; its weight is (1 + log tf) * idf, and idf counts all documents. A text's nearest
+examples of each class are found by the cosine of these weights alone. Then they vote: an example's vote is its closeness, which
+counts the part of the cosine that comes from telling terms (whose share surely differs between the classes, by the lower bound
+of the log odds ratio) more. What the votes of both classes mean is learned from the examples, each left out of its own search.
 """
 
 from __future__ import annotations
@@ -26,10 +27,12 @@ from .quality_mil import sigmoid
 
 #: Labelled examples of each class in the index, at most.
 PER_CLASS = 4_000
-#: Neighbours that vote; examples of a block; texts searched together.
-NEIGHBOURS, BLOCK, TOGETHER = 30, 256, 32
-#: How much relevance counts, and standard errors that the odds ratio is lowered by.
-RELEVANCE, ERRORS = 3.0, 3.0
+#: Neighbours of each class that vote; examples of a block; texts searched together.
+NEIGHBOURS, BLOCK, TOGETHER = 32, 256, 32
+#: How much more telling terms count in a vote, and standard errors that the odds ratio is lowered by.
+TELLING, ERRORS = 3.0, 3.0
+#: Votes of so many of the nearest examples of a class are summed up apart; closeness and cosine are held this far from 0.
+NEAREST, LEAST = (1, 4, 16, 32), 1e-4
 #: Votes are held this far from 0 and 1.
 EDGE = 1e-5
 #: Share of the examples from which on a term's weights are a dense row.
@@ -89,24 +92,35 @@ class BlockMaxIndex:
     only for blocks whose bound reaches the k-th best that is known so far. Examples' weights are single-precision numbers.
     """
 
-    def __init__(self, rows: np.ndarray, terms: np.ndarray, n: np.ndarray, y: np.ndarray, ids: np.ndarray, idf: np.ndarray, stands: dict[int, float], relevance: float = RELEVANCE, k: int = NEIGHBOURS):
-        """rows, terms, n: number of the example, term, count; y, ids: of each example."""
+    def __init__(self, rows: np.ndarray, terms: np.ndarray, n: np.ndarray, y: np.ndarray, ids: np.ndarray, idf: np.ndarray, stands: dict[int, float], telling: float = TELLING, k: int = NEIGHBOURS):
+        """rows, terms, n: number of the example, term, count; y (1 or 0), ids: of each example. A block holds examples of one class."""
         self.k, share = k, np.array([stands.get(int(v), 1.0) for v in y])
         bare = np.bincount(rows, minlength=len(y)) == 0
         self.bare = (float((share * (y == 1))[bare].sum()) + 0.5) / (float(share[bare].sum()) + 50.0)
-        self.weight = idf * (1 + relevance * told_apart(terms, rows, y, len(idf)))
+        self.weight = idf
         w = self.weighted(rows, terms, n, len(y))
-        # like examples side by side, so that few blocks hold much of a term; those without any term are left out
+        # toxic examples first; then like ones side by side, so that few blocks hold much of a term; those without any term are left out
         order = np.lexsort((-w, rows))
         first = np.flatnonzero(np.r_[True, np.diff(rows[order]) > 0]) if len(rows) else np.zeros(0, int)
         some, leading = rows[order][first], terms[order][first]
-        some = some[np.lexsort((ids[some], leading))]
+        some = some[np.lexsort((ids[some], leading, -y[some]))]
         place = np.zeros(len(y), np.int64)
         place[some] = np.arange(len(some))
         self.y, self.ids, self.share = y[some].astype(float), ids[some], share[some]
-        self.size, self.blocks = len(some), -(-len(some) // BLOCK)
+        self.size, ones = len(some), int((y[some] == 1).sum())
         self.repeats = int(np.unique(self.ids, return_counts=True)[1].max()) if len(some) else 0  # rows that share an id
+        # columns: as rows, but the other class begins with a block of its own
+        begin = -(-ones // BLOCK) * BLOCK
+        self.blocks = (begin - (ones - self.size) + BLOCK - 1) // BLOCK
+        self.classes = [(row, at, many) for row, at, many in ((0, 0, ones), (ones, begin, self.size - ones)) if many]
         rows = place[rows]
+        # the telling terms of each example: what they add to its closeness
+        more = (1 + telling * told_apart(terms, rows, self.y, len(idf))) ** 2 - 1
+        at = np.flatnonzero(more[terms] > 0)
+        at = at[np.argsort(rows[at], kind="stable")]
+        self.told = np.searchsorted(rows[at], np.arange(self.size + 1))
+        self.told_terms, self.told_more = terms[at].astype(np.int32), (w[at] * more[terms[at]]).astype(np.float32)
+        rows = rows + (rows >= ones) * (begin - ones)
         held = np.bincount(terms, minlength=len(idf))
         self.dense_of = np.full(len(idf), -1, np.int64)
         often = np.flatnonzero(held > DENSE * self.size)
@@ -120,7 +134,7 @@ class BlockMaxIndex:
         # runs of a term's postings in one block: where they start, the block, the largest weight
         block = rows // BLOCK
         self.run = np.flatnonzero(np.r_[True, (terms[1:] != terms[:-1]) | (block[1:] != block[:-1])]) if len(terms) else np.zeros(0, int)
-        self.rows, self.block = rows.astype(np.min_scalar_type(self.size)), block[self.run].astype(np.min_scalar_type(self.blocks))
+        self.rows, self.block = rows.astype(np.min_scalar_type(self.blocks * BLOCK)), block[self.run].astype(np.min_scalar_type(self.blocks))
         self.most = np.maximum.reduceat(self.weights, self.run) if len(self.run) else np.zeros(0, np.float32)
         self.runs = np.searchsorted(terms[self.run], np.arange(len(idf) + 1)).astype(np.int32)
         self.run = np.r_[self.run, len(terms)].astype(np.int32)
@@ -130,13 +144,17 @@ class BlockMaxIndex:
         w = (1 + np.log(n)) * self.weight[terms]
         return w / np.maximum(1e-12, np.sqrt(np.bincount(rows, w * w, size)))[rows]
 
-    def nearest(self, counts: list[dict[int, int]], leave: list[int] | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
-        """For each text the rows and cosines of its k nearest examples, exact to ten decimals, ties by row. leave: an id for each text, to be left out."""
+    def nearest(self, counts: list[dict[int, int]], leave: list | None = None) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """For each text the rows, cosines and closenesses of its k nearest examples of each class, by class and falling cosine.
+
+        Cosines are exact to ten decimals, ties by row. leave: an id for each text, to be left out.
+        """
         many, wide = len(counts), self.blocks * BLOCK
         if not self.size:
-            return [(NONE, np.zeros(0))] * many
+            return [(NONE, np.zeros(0), np.zeros(0))] * many
         q, t, n = flat(counts)
         w = self.weighted(q, t, n, many)
+        starts, all_terms, all_weights = np.searchsorted(q, np.arange(many + 1)), t, w
         of = self.dense_of[t]
         asked = np.zeros((many, len(self.dense)))
         asked[q[of >= 0], of[of >= 0]] = w[of >= 0]
@@ -147,8 +165,6 @@ class BlockMaxIndex:
         run, own = spans(self.runs[t], self.runs[t + 1])
         cell = q[own] * self.blocks + self.block[run]
         bound = found.reshape(many, self.blocks, BLOCK).max(2).ravel() + np.bincount(cell, w[own] * self.most[run], many * self.blocks)
-        k = min(self.k + (leave is not None) * self.repeats, self.size)
-
         def read(wanted: np.ndarray) -> np.ndarray:
             here = np.flatnonzero(wanted[cell])
             first, of_run = self.run[run[here]], own[here]
@@ -157,39 +173,62 @@ class BlockMaxIndex:
             place = np.repeat(q[of_run] * wide, length) + self.rows[posting]
             return np.bincount(place, np.repeat(w[of_run], length) * self.weights[posting], many * wide).reshape(many, wide)
 
-        best = np.zeros(many * self.blocks, bool)  # the blocks of the largest bounds first: most others can't reach what they hold
-        few = min(4, self.blocks)
-        best[(np.argpartition(-bound.reshape(many, -1), few - 1, 1)[:, :few] + np.arange(many)[:, None] * self.blocks).ravel()] = True
-        found += read(best)
-        known = np.where(np.repeat(best.reshape(many, -1), BLOCK, 1), found, 0)
-        reach = np.partition(known, wide - k, 1)[:, wide - k]
-        left = ~best & (bound >= np.repeat(reach, self.blocks) - 1e-9)
-        found += read(left)
-        found = np.where(np.repeat((best | left).reshape(many, -1), BLOCK, 1), found, 0)[:, : self.size].round(10)
+        # the blocks of a class's largest bounds first: most others can't reach what they hold
+        best, kth = np.zeros((many, self.blocks), bool), {}
+        for row, at, size in self.classes:
+            own_blocks = bound.reshape(many, -1)[:, at // BLOCK : -(-(at + size) // BLOCK)]
+            few = min(2, own_blocks.shape[1])
+            best[np.arange(many)[:, None], at // BLOCK + np.argpartition(-own_blocks, few - 1, 1)[:, :few]] = True
+            kth[row] = min(self.k + (leave is not None) * self.repeats, size)
+        found += read(best.ravel())
+        left = np.zeros((many, self.blocks), bool)
+        for row, at, size in self.classes:
+            mine = slice(at // BLOCK, -(-(at + size) // BLOCK))
+            known = np.where(np.repeat(best[:, mine], BLOCK, 1)[:, :size], found[:, at : at + size], 0)
+            reach = np.partition(known, size - kth[row], 1)[:, size - kth[row]]
+            left[:, mine] = ~best[:, mine] & (bound.reshape(many, -1)[:, mine] >= reach[:, None] - 1e-9)
+        found += read(left.ravel())
+        self.read = float((best | left).mean())
+        found = np.where(np.repeat(best | left, BLOCK, 1), found, 0).round(10)
         out = []
+        asks = np.zeros(len(self.weight))
         for i in range(many):
-            if leave is not None:
-                found[i, self.ids == leave[i]] = 0
-            least = np.partition(found[i], self.size - k)[self.size - k]
-            rows = np.flatnonzero(found[i] >= max(least, 1e-10))
-            rows = rows[np.lexsort((rows, -found[i, rows]))][: self.k]
-            out.append((rows, found[i, rows]))
+            rows, cosines = [], []
+            for row, at, size in self.classes:
+                cosine = found[i, at : at + size]
+                if leave is not None:
+                    cosine[self.ids[row : row + size] == leave[i]] = 0
+                k = min(self.k, size)
+                least = np.partition(cosine, size - k)[size - k]
+                near = np.flatnonzero(cosine >= max(least, 1e-10))
+                near = near[np.lexsort((near, -cosine[near]))][:k]
+                rows.append(row + near)
+                cosines.append(cosine[near])
+            rows, cosine = np.concatenate(rows), np.concatenate(cosines)
+            mine = slice(starts[i], starts[i + 1])
+            asks[all_terms[mine]] = all_weights[mine]
+            told, of_row = spans(self.told[rows], self.told[rows + 1])
+            out.append((rows, cosine, cosine + np.bincount(of_row, asks[self.told_terms[told]] * self.told_more[told], len(rows))))
+            asks[all_terms[mine]] = 0
         return out
 
-    def vote(self, rows: np.ndarray, cosine: np.ndarray) -> float:
-        """Share of toxic ones among the neighbours, each weighted by its closeness and by the examples it stands for."""
-        if not len(rows):
-            return self.bare
-        w = self.share[rows] * cosine**2 / (1.05 - np.minimum(cosine, 1.0))
-        return float((w @ self.y[rows] + 0.02 * self.bare) / (w.sum() + 0.02))
+    def vote(self, rows: np.ndarray, cosine: np.ndarray, close: np.ndarray) -> list[float]:
+        """Log odds of the toxic share of all votes, each weighted by closeness and by the examples it stands for; then the logs of each class's mean closeness and mean cosine."""
+        w = self.share[rows] * close**2 / (1.05 - np.minimum(cosine, 1.0))
+        v = min(max(float((w @ self.y[rows] + 0.02 * self.bare) / (w.sum() + 0.02)), EDGE), 1 - EDGE)
+        out = [np.log(v / (1 - v))]
+        for by in (close, cosine):
+            for y in (1, 0):
+                own = np.sort(by[self.y[rows] == y])[::-1]
+                out += [np.log(own[:k].sum() / k + LEAST) for k in NEAREST]
+        return out
 
-    def votes(self, counts: list[dict[int, int]], leave: list[int] | None = None) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
-        """For each text the log odds of its neighbours' vote, and the neighbours."""
+    def votes(self, counts: list[dict[int, int]], leave: list | None = None) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray, np.ndarray]]]:
+        """For each text what its neighbours' votes sum up to, by closeness and by the bare cosine, and the neighbours."""
         found = []
         for i in range(0, len(counts), TOGETHER):
             found += self.nearest(counts[i : i + TOGETHER], leave and leave[i : i + TOGETHER])
-        v = np.clip([self.vote(*x) for x in found], EDGE, 1 - EDGE)
-        return np.log(v / (1 - v)), found
+        return np.array([self.vote(*x) for x in found], float).reshape(len(counts), 1 + 4 * len(NEAREST)), found
 
 
 def told_apart(terms: np.ndarray, rows: np.ndarray, y: np.ndarray, size: int) -> np.ndarray:
@@ -200,25 +239,29 @@ def told_apart(terms: np.ndarray, rows: np.ndarray, y: np.ndarray, size: int) ->
     return np.maximum(0, np.abs(np.log(a / b) - np.log(c / d)) - ERRORS * np.sqrt(1 / a + 1 / b + 1 / c + 1 / d))
 
 
-def platt(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[float, float]:
-    """a, b of the weighted logistic regression of y on x, by Newton's method, each step halved until the loss falls."""
+def logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray, ridge: float = 1e-3) -> tuple[np.ndarray, float]:
+    """Weights of the columns, and the constant, of the weighted logistic regression of y on x, by Newton's method, each step halved until the loss falls.
+
+    Columns are brought to mean 0 and spread 1 inside; a small ridge keeps parted classes finite.
+    """
     w = w / w.sum()
-    ones = (w * y).sum()
-    y = np.where(y == 1, 1 - 0.5 / (len(y) * ones + 1), 0.5 / (len(y) * (1 - ones) + 1))  # no example is quite sure
-    loss = lambda ab: float(w @ (np.logaddexp(0, ab[0] * x + ab[1]) - y * (ab[0] * x + ab[1])) + 5e-4 * ((ab[0] - 1) ** 2 + ab[1] ** 2))
-    ab = np.array([1.0, 0.0])
-    for _ in range(50):
-        p = sigmoid(ab[0] * x + ab[1])
-        g = np.array([(w * (p - y)) @ x, (w * (p - y)).sum()]) + 1e-3 * (ab - [1, 0])
-        v = w * p * (1 - p)
-        step = np.linalg.solve(np.array([[v @ (x * x), v @ x], [v @ x, v.sum()]]) + 1e-3 * np.eye(2), g)
+    mean = w @ x
+    spread = np.sqrt(w @ (x - mean) ** 2) + 1e-9
+    z = np.c_[(x - mean) / spread, np.ones(len(x))]
+    keep = ridge * np.r_[np.ones(x.shape[1]), 1e-3]
+    loss = lambda v: float(w @ (np.logaddexp(0, z @ v) - y * (z @ v)) + 0.5 * keep @ v**2)
+    v = np.zeros(z.shape[1])
+    for _ in range(100):
+        p = sigmoid(z @ v)
+        step = np.linalg.solve((z * (w * p * (1 - p))[:, None]).T @ z + np.diag(keep), z.T @ (w * (p - y)) + keep * v)
         size = 1.0
-        while size > 1e-6 and loss(ab - size * step) > loss(ab):
+        while size > 1e-6 and loss(v - size * step) > loss(v):
             size /= 2
-        ab = ab - size * step
+        v = v - size * step
         if np.abs(size * step).max() < 1e-9:
             break
-    return float(max(ab[0], 0.05)), float(ab[1])
+    a = v[:-1] / spread
+    return a, float(v[-1] - a @ mean)
 
 
 class Model(NamedTuple):
@@ -226,24 +269,25 @@ class Model(NamedTuple):
 
     index: Broadcast
     vocabulary: Broadcast
-    a: float = 1.0
+    key: str = "bigint"  # type of the examples' ids
+    a: np.ndarray | None = None  # None: the first of the votes' figures as it is
     b: float = 0.0
 
-    def score(self, counts: list[dict[int, int]]) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+    def score(self, counts: list[dict[int, int]]) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray, np.ndarray]]]:
         """Calibrated scores, and the neighbours; a text without any term has the rate of such examples."""
         x, found = self.index.value.votes(counts)
-        return np.where([len(c) > 0 for c in counts], sigmoid(self.a * x + self.b), self.index.value.bare), found
+        return np.where([len(c) > 0 for c in counts], sigmoid(x @ self.a + self.b if self.a is not None else x[:, 0]), self.index.value.bare), found
 
 
-def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = PER_CLASS, text: str = "text", key: str = "doc_id", relevance: float = RELEVANCE) -> Model:
+def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = PER_CLASS, text: str = "text", key: str = "doc_id", telling: float = TELLING) -> Model:
     """Index of at most per_class labelled examples of each class, over all their words.
 
-    Document frequencies are counted over all documents. key must be an integer. Votes are calibrated by Platt's scaling of the
-    examples' own votes, each left out of its own.
+    Document frequencies are counted over all documents. key may be of any type that Python orders. Votes are calibrated by a
+    logistic regression on the examples' own votes, each left out of its own search.
     """
     spark = docs.sparkSession
     rows, stands = sample(docs, labels, label, per_class, text, key)
-    rows = written(rows.select(F.col(key).cast("long").alias("id"), "y", "t"), "toxicity-examples")
+    rows = written(rows.select(F.col(key).alias("id"), "y", "t"), "toxicity-examples")
 
     def terms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -272,12 +316,12 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: i
             found = [find(t) for t in pdf["t"]]
             yield pd.DataFrame({"id": pdf["id"], "y": pdf["y"], "terms": [np.fromiter(c, np.int32, len(c)).tobytes() for c in found], "counts": [np.fromiter(c.values(), np.int32, len(c)).tobytes() for c in found]})
 
-    got = rows.mapInPandas(vectors, "id long, y int, terms binary, counts binary").toArrow()  # 2 * per_class rows
-    ids, y = got.column("id").to_numpy(), got.column("y").to_numpy()
+    got = rows.mapInPandas(vectors, f"id {dict(docs.dtypes)[key]}, y int, terms binary, counts binary").toArrow()  # 2 * per_class rows
+    ids, y = np.array(got.column("id").to_pylist()), got.column("y").to_numpy()
     own_terms, own_counts = ([np.frombuffer(x, np.int32) for x in got.column(c).to_pylist()] for c in ("terms", "counts"))
     own = np.repeat(np.arange(len(ids)), [len(x) for x in own_terms])
-    index = BlockMaxIndex(own, np.concatenate([NONE, *own_terms]).astype(np.int64), np.concatenate([NONE, *own_counts]).astype(float), y, ids, idf, stands, relevance)
-    model = Model(spark.sparkContext.broadcast(index), shared)
+    index = BlockMaxIndex(own, np.concatenate([NONE, *own_terms]).astype(np.int64), np.concatenate([NONE, *own_counts]).astype(float), y, ids, idf, stands, telling)
+    model = Model(spark.sparkContext.broadcast(index), shared, dict(docs.dtypes)[key])
     if len(index.y) < 20 or index.y.min() == index.y.max():
         return model
 
@@ -286,19 +330,19 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: i
         for pdf in batches:
             counts = [find(t) for t in pdf["t"]]
             some = np.array([len(c) > 0 for c in counts])
-            yield pd.DataFrame({"y": pdf["y"], "x": model.index.value.votes(counts, pdf["id"].to_list())[0]})[some]
+            yield pd.DataFrame({"y": pdf["y"], "x": list(model.index.value.votes(counts, pdf["id"].to_list())[0])})[some]
 
-    got = rows.repartition(4 * spark.sparkContext.defaultParallelism, "id").mapInPandas(leave_one_out, "y int, x double").toArrow()  # 2 * per_class rows
+    got = rows.repartition(4 * spark.sparkContext.defaultParallelism, "id").mapInPandas(leave_one_out, "y int, x array<double>").toArrow()  # 2 * per_class rows
     y = got.column("y").to_numpy()
-    a, b = platt(got.column("x").to_numpy(), y.astype(float), np.array([stands[int(v)] for v in y]))
+    a, b = logistic(np.array(got.column("x").to_pylist()), y.astype(float), np.array([stands[int(v)] for v in y]))
     return model._replace(a=a, b=b)
 
 
 def score_toxicity(docs: DataFrame, model: Model, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """Score every whole text: key, score, and the evidence: nearest (id of the closest example), cosine, toxic_near (toxic ones among the neighbours).
+    """Score every whole text: key, score, and the evidence: nearest (id of the closest example), cosine, toxic_near (toxic ones among the nearest NEIGHBOURS of both classes).
 
     A null text counts as empty; a text without any term of the vocabulary has the rate of toxic ones among such examples, and no
-    evidence; of equally near examples those first in the index count (like examples side by side, then by id); repeated rows each
+    evidence; of equally near examples those first in the index count (toxic ones, like examples side by side, then by id); repeated rows each
     keep a row; an empty table gives no rows; other columns are never read. Cosines are taken over the examples' terms.
     """
 
@@ -308,10 +352,11 @@ def score_toxicity(docs: DataFrame, model: Model, text: str = "text", key: str =
             texts = pdf["t"].to_list()
             for at in slices(texts):
                 scores, found = model.score([find(t) for t in texts[at]])
-                nearest = pd.array([int(index.ids[r[0]]) if len(r) else None for r, _ in found], "Int64")
-                yield pd.DataFrame({key: pdf[key].iloc[at], "score": scores, "nearest": nearest, "cosine": [c[0] if len(c) else 0.0 for _, c in found], "toxic_near": [int(index.y[r].sum()) for r, _ in found]})
+                near = [(rows[by], cosine[by]) for rows, cosine, _ in found for by in [np.argsort(-cosine, kind="stable")[: index.k]]]
+                nearest = pd.Series([index.ids[r[0]].item() if len(r) else None for r, _ in near], dtype=object)
+                yield pd.DataFrame({key: pdf[key].iloc[at].to_numpy(), "score": scores, "nearest": nearest, "cosine": [c[0] if len(c) else 0.0 for _, c in near], "toxic_near": [int(index.y[r].sum()) for r, _ in near]})
 
-    return docs.select(F.col(key), whole(F.col(text)).alias("t")).mapInPandas(run, f"{key} {dict(docs.dtypes)[key]}, score double, nearest long, cosine double, toxic_near int")
+    return docs.select(F.col(key), whole(F.col(text)).alias("t")).mapInPandas(run, f"{key} {dict(docs.dtypes)[key]}, score double, nearest {model.key}, cosine double, toxic_near int")
 
 
 def filter_documents(docs: DataFrame, model: Model, below: float, text: str = "text") -> DataFrame:

@@ -280,7 +280,7 @@ def test_block_max_is_exact():
     r = np.random.default_rng(2)
     examples = [Counter((r.integers(0, 90, r.integers(0, 9)) ** 2 // 90).tolist()) for _ in range(700)]
     rows, terms, n = toxicity_knn.flat(examples)
-    y, idf = r.integers(0, 2, 700), r.random(90) + 0.5
+    y, idf = np.array([int((4 in e) != (r.random() < 0.2)) for e in examples]), r.random(90) + 0.5  # term 4 tells
     index = toxicity_knn.BlockMaxIndex(rows, terms, n, y, np.arange(700), idf, {0: 3.0, 1: 1.0})
     assert 0 < len(index.dense) < 90 and sorted(index.ids.tolist()) == [i for i, e in enumerate(examples) if e]
     assert index.dense.dtype == np.float32
@@ -289,30 +289,59 @@ def test_block_max_is_exact():
         for t, c in e.items():
             dense[i, t] = (1 + np.log(c)) * index.weight[t]
     dense /= np.maximum(1e-12, np.sqrt((dense**2).sum(1)))[:, None]
-    kept = dense[index.ids].astype(np.float32).astype(float)
+    kept, own_y = dense[index.ids].astype(np.float32).astype(float), y[index.ids]
+    ones, zeros = (np.array([[t in e for t in range(90)] for e, v in zip(examples, y, strict=True) if v == c and e]).sum(0) + 0.5 for c in (1, 0))
+    b, d = (index.y == 1).sum() + 1 - ones, (index.y == 0).sum() + 1 - zeros
+    telling = np.maximum(0, abs(np.log(ones / b) - np.log(zeros / d)) - 3 * np.sqrt(1 / ones + 1 / b + 1 / zeros + 1 / d))
+    more = (1 + 3 * telling) ** 2 - 1
+    assert (more > 0).any() and (index.weight == idf).all()  # telling terms vote, but don't change who is near
     sent = SimpleNamespace(value=index)
-    scores, found = toxicity_knn.Model(sent, None, 1.3, -0.2).score(examples[:90])
+    a = r.normal(size=17)
+    scores, found = toxicity_knn.Model(sent, None, "bigint", a, -0.2).score(examples[:90])
     alone = index.nearest(examples[:90], list(range(90)))
     for i, e in enumerate(examples[:90]):
         if not e:
             assert scores[i] == index.bare and not len(found[i][0])
             continue
-        for (own, cosine), left in ((found[i], None), (alone[i], i)):
+        for (own, cosine, close), left in ((found[i], None), (alone[i], i)):
             cos = (kept @ dense[i]).round(10)
             cos[index.ids == left] = 0
-            want = np.lexsort((np.arange(len(cos)), -cos))[: index.k]
-            want = want[cos[want] > 0]
+            order = np.lexsort((np.arange(len(cos)), -cos))
+            want = np.concatenate([[j for j in order if own_y[j] == c and cos[j] > 0][: index.k] for c in (1, 0)]).astype(int)
             assert own.tolist() == want.tolist() and cosine == pytest.approx(cos[want], abs=1e-9)
-        w = cos_of = (kept @ dense[i])[found[i][0]].clip(max=1.0)
-        w = np.where(y[index.ids[found[i][0]]] == 1, 1.0, 3.0) * cos_of**2 / (1.05 - cos_of)
-        v = np.clip((w @ y[index.ids[found[i][0]]] + 0.02 * index.bare) / (w.sum() + 0.02), 1e-5, 1 - 1e-5)
-        assert scores[i] == pytest.approx(1 / (1 + (v / (1 - v)) ** -1.3 * np.exp(0.2)), abs=1e-6)
-
-
-def test_platt_converges_on_parted_votes():
+            assert close == pytest.approx(cos[want] + (kept[want] * more) @ dense[i], abs=1e-5)
+        own, cosine, close = found[i]
+        w = np.where(own_y[own] == 1, 1.0, 3.0) * close**2 / (1.05 - cosine.clip(max=1.0))
+        v = np.clip((w @ own_y[own] + 0.02 * index.bare) / (w.sum() + 0.02), 1e-5, 1 - 1e-5)
+        x = [np.log(v / (1 - v))]
+        for by in (close, cosine):
+            for c in (1, 0):
+                best = sorted(by[own_y[own] == c], reverse=True)
+                x += [np.log(sum(best[:k]) / k + 1e-4) for k in (1, 4, 16, 32)]
+        assert scores[i] == pytest.approx(1 / (1 + np.exp(-(a @ x - 0.2))), abs=1e-6)
+
+
+def test_logistic_converges_on_parted_votes():
     x = np.r_[np.linspace(-6, -1, 300), np.linspace(1, 6, 40)]
-    a, b = toxicity_knn.platt(x, (x > 0).astype(float), np.where(x > 0, 1.0, 8.0))
-    assert 0.5 < a < 20 and abs(b) < 20
+    y = (x > 0).astype(float)
+    a, b = toxicity_knn.logistic(np.c_[x, 0 * x], y, np.where(x > 0, 1.0, 8.0))
+    assert 0.5 < a[0] < 20 and abs(a[1]) < 1e-6 and abs(b) < 20
+    clear = abs(x) >= 1.5  # the ridge and the lighter class move the edge a little
+    assert (((a[0] * x + b) > 0) == (y == 1))[clear].all()
+
+
+def test_toxicity_with_string_keys(spark):
+    """Keys of any type; a text's evidence is itself, where it is an example; clashing names; ties by key."""
+    texts = [(f"k{i}", words(i // 2, 30) + (" slurx" if i % 6 < 2 else ""), f"t{i}") for i in range(80)]
+    docs = spark.createDataFrame(texts, "name string, text string, t string")
+    labels = spark.createDataFrame([(k, int(i % 6 < 2)) for i, (k, _, _) in enumerate(texts)], "name string, toxic int")
+    learned = {r.name for r in docs.filter(~held_out(F.col("name"), 5, 0)).collect()}
+    got = {r.name: r for r in toxicity_knn.score_toxicity(docs, toxicity_knn.learn(docs, labels, key="name"), key="name").collect()}
+    assert len(got) == 80
+    for i, (k, _, _) in enumerate(texts):
+        same = sorted({k, texts[i ^ 1][0]} & learned)
+        if same:
+            assert got[k].nearest == same[0] and got[k].cosine == pytest.approx(1, abs=1e-6)
 
 
 def test_html(spark):
