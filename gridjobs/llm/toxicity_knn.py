@@ -36,7 +36,7 @@ NEAREST, LEAST = (1, 4, 16, 32), 1e-4
 #: Votes are held this far from 0 and 1.
 EDGE = 1e-5
 #: Share of the examples from which on a term's weights are a dense row.
-DENSE = 0.05
+DENSE = 0.12
 WORD = re.compile(r"\w+")
 NONE = np.zeros(0, np.int32)
 
@@ -106,7 +106,7 @@ class BlockMaxIndex:
         some = some[np.lexsort((ids[some], leading, -y[some]))]
         place = np.zeros(len(y), np.int64)
         place[some] = np.arange(len(some))
-        self.y, self.ids, self.share = y[some].astype(float), ids[some], share[some]
+        self.y, self.ids, self.stands = y[some].astype(float), ids[some], np.array([stands.get(1, 1.0), stands.get(0, 1.0)])
         self.size, ones = len(some), int((y[some] == 1).sum())
         self.repeats = int(np.unique(self.ids, return_counts=True)[1].max()) if len(some) else 0  # rows that share an id
         # columns: as rows, but the other class begins with a block of its own
@@ -212,23 +212,25 @@ class BlockMaxIndex:
             asks[all_terms[mine]] = 0
         return out
 
-    def vote(self, rows: np.ndarray, cosine: np.ndarray, close: np.ndarray) -> list[float]:
-        """Log odds of the toxic share of all votes, each weighted by closeness and by the examples it stands for; then the logs of each class's mean closeness and mean cosine."""
-        w = self.share[rows] * close**2 / (1.05 - np.minimum(cosine, 1.0))
-        v = min(max(float((w @ self.y[rows] + 0.02 * self.bare) / (w.sum() + 0.02)), EDGE), 1 - EDGE)
-        out = [np.log(v / (1 - v))]
-        for by in (close, cosine):
-            for y in (1, 0):
-                own = np.sort(by[self.y[rows] == y])[::-1]
-                out += [np.log(own[:k].sum() / k + LEAST) for k in NEAREST]
-        return out
+    def sums(self, found: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> np.ndarray:
+        """For each text the log odds of the toxic share of all votes, each weighted by closeness and by the examples it stands for; then the logs of each class's mean closeness and mean cosine."""
+        by = np.zeros((2, len(found), 2, self.k))  # closeness and cosine, by text and class
+        for i, (rows, cosine, close) in enumerate(found):
+            m = int(np.searchsorted(-self.y[rows], -0.5))  # toxic ones come first
+            by[0, i, 0, :m], by[0, i, 1, : len(rows) - m] = close[:m], close[m:]
+            by[1, i, 0, :m], by[1, i, 1, : len(rows) - m] = cosine[:m], cosine[m:]
+        w = (by[0] ** 2 / (1.05 - np.minimum(by[1], 1.0))).sum(2) * self.stands
+        v = np.clip((w[:, 0] + 0.02 * self.bare) / (w.sum(1) + 0.02), EDGE, 1 - EDGE)
+        sums = np.cumsum(-np.sort(-by, 3), 3)[..., np.minimum(NEAREST, self.k) - 1]
+        logs = np.log(sums / NEAREST + LEAST)
+        return np.c_[np.log(v / (1 - v)), logs[0].reshape(len(found), -1), logs[1].reshape(len(found), -1)]
 
     def votes(self, counts: list[dict[int, int]], leave: list | None = None) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray, np.ndarray]]]:
         """For each text what its neighbours' votes sum up to, by closeness and by the bare cosine, and the neighbours."""
         found = []
         for i in range(0, len(counts), TOGETHER):
             found += self.nearest(counts[i : i + TOGETHER], leave and leave[i : i + TOGETHER])
-        return np.array([self.vote(*x) for x in found], float).reshape(len(counts), 1 + 4 * len(NEAREST)), found
+        return self.sums(found), found
 
 
 def told_apart(terms: np.ndarray, rows: np.ndarray, y: np.ndarray, size: int) -> np.ndarray:
