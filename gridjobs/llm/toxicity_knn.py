@@ -36,7 +36,7 @@ NEAREST, LEAST = (1, 4, 16, 32), 1e-4
 #: Votes are held this far from 0 and 1.
 EDGE = 1e-5
 #: Share of the examples from which on a term's weights are a dense row.
-DENSE = 0.05
+DENSE = 0.12
 WORD = re.compile(r"\w+")
 NONE = np.zeros(0, np.int32)
 
