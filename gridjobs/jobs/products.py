@@ -8,9 +8,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.calendar import bounds_status, center, with_window
+from ..functions.calendar import bounds_status, center, per_year, with_window
 from ..functions.cells import count
-from ..operators import checks, climatology, climstate, fill, observe, quality, regrid
+from ..operators import bits, checks, climatology, climstate, fill, observe, quality, regrid
 from ..sources import manifest, store
 from ..sources.shared import written
 
@@ -84,9 +84,7 @@ def whole_windows(product: Product, windows: list[tuple[int, int]], span: int =
     n = nlat * nlon
     spine = spark.range(len(windows) * n).select(F.expr(f"id DIV {n}").alias("_i"), F.expr(f"CAST(id % {n} DIV {nlon} AS INT)").alias("ilat"), F.expr(f"CAST(id % {nlon} AS INT)").alias("ilon"))
     spine = spine.join(F.broadcast(wanted), "_i").drop("_i")
-    out = spine.join(got, CELL, "left")
-    for v in product.names:
-        out = regrid.fill_lon_gap(out, v, ["year", "widx"], nlon)
+    out = regrid.fill_lon_gap(spine.join(got, CELL, "left"), product.names, ["year", "widx"], nlon)
     return out.select(*CELL, *[F.col(v).cast("float").alias(v) for v in product.names])
 
 
@@ -174,3 +172,37 @@ def gridded_observations(obs: DataFrame, measures: list[str], res: float, since:
 def training_table(observed: DataFrame, cells: DataFrame, variables: list[str]) -> DataFrame:
     """Gridded observations beside the features of their cell and window."""
     return observe.colocate(observed, climatology.features(cells, variables))
+
+
+def stored_features(spark: SparkSession, root: str, variables: list[str], places: DataFrame, windows: set[tuple[int, int]], span: int = 8) -> DataFrame:
+    """The features of some places in some windows, from the store and the sums that its appends have kept.
+
+    places: a set of cells as bits (operators/bits.py), at most a row for each 64 cells of the grid. Of the record, only the files
+    of the windows and of those just before them are opened, and only the places' rows go on; climatologies come from the sums.
+    Values are doubles of the stored floats; a cell that isn't stored in a window has no row there.
+    """
+    now, per = manifest.load(spark, root), per_year(span)
+    before = {divmod(y * per + w - 1, per) for y, w in windows}
+    of = {v: bits.within(store.opened(spark, root, v, now, windows=windows | before), places, ["ilat"], "ilon").withColumn(v, F.col(v).cast("double")) for v in variables}
+    cells = fill.merge_products(list(of.values()), CELL) if len(of) > 1 else of[variables[0]]
+    out = climatology.deltas(cells, variables, span)
+    for v in variables:
+        state = bits.within(store.read_state(spark, root, v, now), places, ["ilat"], "ilon")
+        clim = climstate.climatology(state, [v]).join(climstate.long_term_mean(state, [v]), climatology.CELL)
+        out = out.join(clim.withColumnRenamed("season_key", "widx"), [*climatology.CELL, "widx"], "left")
+    named = {"anom": lambda v: F.col(v) - F.col(f"clim_{v}"), "seas": lambda v: F.col(f"clim_{v}") - F.col(f"ltm_{v}"), "delta": lambda v: F.col(f"delta_{v}"), "clim": lambda v: F.col(f"clim_{v}")}
+    asked = spark.createDataFrame(sorted(windows), "year int, widx int")
+    return out.join(F.broadcast(asked), ["year", "widx"], "left_semi").select(*CELL, *[named[p](v).alias(f"{p}_{v}") for v in variables for p in ("anom", "delta", "clim", "seas")])
+
+
+def stored_training_table(spark: SparkSession, observed: DataFrame, root: str, variables: list[str], span: int = 8) -> DataFrame:
+    """Gridded observations beside the stored features of their cell and window; the work on the record follows what was observed.
+
+    The observations are written once. Their windows, a calendar, say which files are opened, and their places as bits which rows of these go
+    on to the join. Without any observation nothing of the record is read. Cells that the store lacks have no row.
+    """
+    observed = written(observed, "observed")
+    windows = {(r.year, r.widx) for r in observed.select("year", "widx").dropna().distinct().collect()}
+    if not windows:
+        windows = {(-1, 0)}  # no window of a store
+    return observe.colocate(observed, stored_features(spark, root, variables, bits.bitmap(observed, ["ilat"], "ilon"), windows, span))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
-from ..operators import checks, climatology, co2, fill, intervals, prefix, quality, score
+from ..operators import checks, climatology, co2, fill, halo, intervals, observe, prefix, quality, score
 from ..sources import store
 from ..sources.shared import fresh
 from . import products
@@ -178,6 +178,41 @@ def a1_a2_kept_climatology(spark, sf_dir):
     return products.kept_climatology(spark, root, "v").select("ilat", "ilon", "season_key", F.round("clim_v", 4).alias("clim_v"), F.round("seas_v", 4).alias("seas_v"))
 
 
+FLOATS = f"g AS (SELECT year, widx, ilat, ilon, {F8.format('v')} AS v FROM grid8d)"
+
+
+@query(f"""WITH {FLOATS}, f AS (SELECT year, widx, ilat, ilon, v - avg(v) OVER s AS anom_v, CASE WHEN (year * 46 + widx) - lag(year * 46 + widx) OVER w = 1 THEN v - lag(v) OVER w END AS delta_v,
+avg(v) OVER s AS clim_v, avg(v) OVER s - avg(v) OVER p AS seas_v FROM g WINDOW p AS (PARTITION BY ilat, ilon), s AS (PARTITION BY ilat, ilon, widx), w AS (PARTITION BY ilat, ilon ORDER BY year, widx)),
+o AS (SELECT CAST(year(obs_time) AS INT) AS year, CAST(floor((dayofyear(obs_time) - 1) / 8e0) AS INT) AS widx, CAST(floor(lat10 / 3e2) AS INT) AS ilat, CAST(floor(lon10 / 3e2) AS INT) AS ilon,
+avg(sst) AS sst_mean, count(*) AS n FROM obs WHERE fco2 >= 49 GROUP BY 1, 2, 3, 4)
+SELECT year, widx, ilat, ilon, sst_mean, n, round(anom_v, 4) AS anom_v, round(delta_v, 4) AS delta_v, round(clim_v, 4) AS clim_v, round(seas_v, 4) AS seas_v FROM o JOIN f USING (year, widx, ilat, ilon)""", "grid8d")
+def j9_s11_stored_training(spark, sf_dir):
+    """The features of cells and windows with the highest observed values, from the store: few files, few rows, no pass over the record."""
+    root = fresh(spark, "training")
+    store.append(view(spark, sf_dir, "grid8d"), root, ["v"], states=True)
+    seen = observe.grid(view(spark, sf_dir, "obs").filter("fco2 >= 49"), ["sst"], 30.0).drop("sst_std")
+    got = products.stored_training_table(spark, seen, root, ["v"])
+    return got.withColumns({f"{p}_v": F.round(f"{p}_v", 4) for p in ("anom", "delta", "clim", "seas")})
+
+
+# --- gaps and their neighbours ---------------------------------------------------------------------------------------
+
+
+def beside_sql(source: str, at: str, *line: str) -> str:
+    """Each null from one position before on an axis, else from the one after."""
+    same = " AND ".join(f"s.{c} = {{0}}.{c}" for c in line)
+    return f"""SELECT s.year, s.widx, s.ilat, s.ilon, s.t, coalesce(s.v, b.v, e.v) AS v FROM {source} s
+LEFT JOIN {source} b ON {same.format("b")} AND b.{at} = s.{at} - 1 LEFT JOIN {source} e ON {same.format("e")} AND e.{at} = s.{at} + 1"""
+
+
+@query(f"""WITH s AS (SELECT year, widx, ilat, ilon, year * 46 + widx AS t, CASE WHEN n > 1 THEN v END AS v FROM grid8d),
+a AS ({beside_sql("s", "t", "ilat", "ilon")}), b AS ({beside_sql("a", "ilat", "t", "ilon")}), c AS ({beside_sql("b", "ilon", "t", "ilat")}) SELECT year, widx, ilat, ilon, v FROM c""", "grid8d")
+def w4_f3_fill_beside(spark, sf_dir):
+    """Gaps from the cells beside them in time, latitude and longitude; cells that aren't beside a gap don't travel."""
+    g = view(spark, sf_dir, "grid8d").select(*CELL, (F.col("year") * 46 + F.col("widx")).alias("t"), F.when(F.col("n") > 1, F.col("v")).alias("v"))
+    return halo.fill_gaps(g, "v", [(["ilat", "ilon"], "t"), (["t", "ilon"], "ilat"), (["t", "ilat"], "ilon")]).select(*CELL, "v")
+
+
 # --- scoring by stored networks --------------------------------------------------------------------------------------
 
 RELU = "greatest(0e0, (list_dot_product({x}, u.weights) + bias - mean) / sqrt(variance + 1e-5) * gain + shift)"

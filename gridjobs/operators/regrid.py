@@ -96,12 +96,16 @@ def fill_lon_limited(cells: DataFrame, v: str, window: list[str], nlon: int, lim
     return cells.withColumn("_o", turned).withColumn(v, between(F.col(v), F.col("_o"), [*window, "ilat"], limit)).drop("_o")
 
 
-def fill_lon_gap(cells: DataFrame, v: str, window: list[str], nlon: int) -> DataFrame:
-    """Longitudes without any value in a window are interpolated from their neighbours, the date line included; other cells stay."""
-    empty = F.count(v).over(Window.partitionBy(*window, "ilon")) == 0
-    turned = F.pmod(F.col("ilon") + nlon // 2, F.lit(nlon))
-    out = cells.withColumns({"_empty": empty, "_o": turned})
-    return out.withColumn(v, F.when(F.col("_empty"), between(F.col(v), F.col("_o"), [*window, "ilat"])).otherwise(F.col(v))).drop("_empty", "_o")
+def fill_lon_gap(cells: DataFrame, v: str | list[str], window: list[str], nlon: int) -> DataFrame:
+    """Longitudes without any value in a window are interpolated from their neighbours, the date line included; other cells stay.
+
+    Rows are dealt out by window once, which serves longitudes and latitudes of all variables; a window is one grid at most.
+    """
+    names = [v] if isinstance(v, str) else v
+    by_lon, turned = Window.partitionBy(*window, "ilon"), F.pmod(F.col("ilon") + nlon // 2, F.lit(nlon))
+    out = cells.repartition(*window).withColumns({"_o": turned} | {f"_empty_{x}": F.count(x).over(by_lon) == 0 for x in names})
+    filled = {x: F.when(F.col(f"_empty_{x}"), between(F.col(x), F.col("_o"), [*window, "ilat"])).otherwise(F.col(x)) for x in names}
+    return out.withColumns(filled).select(*cells.columns)
 
 
 def to_daily(cells: DataFrame, v: str, time: str = "day") -> DataFrame:

@@ -113,18 +113,23 @@ def open_years(spark: SparkSession, root: str, variable: str, check: Callable[[D
     return opened(spark, root, variable, now, check)
 
 
-def opened(spark: SparkSession, root: str, variable: str, now: Manifest, check=None) -> DataFrame:
-    own = now.entries.get(variable)
+def opened(spark: SparkSession, root: str, variable: str, now: Manifest, check=None, windows: set[tuple[int, int]] | None = None) -> DataFrame:
+    """A variable in a version; windows: only those of it are opened that are in this set, so no other file is listed or read."""
+    own, schema = now.entries.get(variable), f"ilat int, ilon int, {variable} float, commit string, year int, widx int"
     if not own:
         raise FileNotFoundError(f"{root} has no {variable}")
+    if windows is not None:
+        own = {k: x for k, x in own.items() if k in windows}
+        if not own:
+            return spark.createDataFrame([], schema).select(*KEYS, variable)
     by_commit: dict[str, set] = {}
     for (y, w), (c, _) in own.items():
         by_commit.setdefault(c, set()).add((y, w))
     paths = []
-    for c, windows in sorted(by_commit.items()):
+    for c, held in sorted(by_commit.items()):
         top = f"{root}/{variable}/commit={c}"
-        paths += [top] if len(windows) == now.sizes[f"{variable}/{c}"] else [f"{top}/year={y}/widx={w}" for y, w in sorted(windows)]
-    df = spark.read.option("basePath", f"{root}/{variable}").schema(f"ilat int, ilon int, {variable} float, commit string, year int, widx int").parquet(*paths).select(*KEYS, variable)
+        paths += [top] if len(held) == now.sizes[f"{variable}/{c}"] else [f"{top}/year={y}/widx={w}" for y, w in sorted(held)]
+    df = spark.read.option("basePath", f"{root}/{variable}").schema(schema).parquet(*paths).select(*KEYS, variable)
     if check is not None:
         quality.run_checks([check(df)], "raise")
     return df
