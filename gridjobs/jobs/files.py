@@ -73,6 +73,19 @@ def s7_observations_to_parquet(spark, sf_dir):
     return readers.observations_to_parquet(spark, tsv, fresh(spark, "observations"), schema).groupBy(*columns).agg(F.count("*").alias("n"))
 
 
+@query(f"""WITH g AS (SELECT CAST(year(obs_time) AS INT) AS year, CAST(floor((dayofyear(obs_time) - 1) / 8e0) AS INT) AS widx, CAST(floor(lat10 / 5e1) AS INT) AS ilat, CAST(floor(lon10 / 5e1) AS INT) AS ilon,
+round(avg(fco2), 6) AS fco2_mean, round(stddev_pop(fco2), 6) AS fco2_std, round(avg(sst), 3) AS sst_mean, round(stddev_pop(sst), 3) AS sst_std, count(*) AS n, count(DISTINCT expocode) AS expocode_n, count(DISTINCT qc_flag) AS qc_flag_n FROM obs WHERE year(obs_time) >= 1982 GROUP BY 1, 2, 3, 4)
+SELECT {center()} AS time, (ilat + 5e-1) * 5 - 90 AS lat, (ilon + 5e-1) * 5 - 180 AS lon, fco2_mean, fco2_std, sst_mean, sst_std, n, expocode_n, qc_flag_n FROM g""")
+def b3_s12_observation_store(spark, sf_dir):
+    """Observations as TSV, then the whole job: Parquet, codes, cells, written by year, read again under other names."""
+    obs = view(spark, sf_dir, "obs").select("expocode", "obs_time", "lat", "lon", F.col("fco2").alias("fco2_rec"), F.col("sst").alias("sst_deg"), "qc_flag")
+    tsv = fresh(spark, "observations-tsv")
+    obs.write.csv(tsv, sep="\t", header=True)
+    schema = ", ".join(f"{c} {t}" for c, t in obs.dtypes)
+    got = products.observation_job(spark, tsv, fresh(spark, "observations"), schema, {"fco2_rec": "fco2", "sst_deg": "sst"}, ["expocode", "qc_flag"], 5.0)
+    return got.withColumns({c: F.round(c, 6 if c.startswith("fco2") else 3) for c in ("fco2_mean", "fco2_std", "sst_mean", "sst_std")})
+
+
 @query("SELECT CASE grp % 3 WHEN 0 THEN 'train' WHEN 1 THEN 'val' ELSE 'test' END AS subset, CAST(y_true AS FLOAT) AS y_true, CAST(y_pred AS FLOAT) AS y_pred, count(*) AS n FROM pairs GROUP BY 1, 2, 3", "pairs")
 def s8_split_table(spark, sf_dir):
     pairs, root, columns = view(spark, sf_dir, "pairs"), fresh(spark, "splits"), ["y_true", "y_pred"]

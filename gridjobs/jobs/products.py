@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 import warnings
 from dataclasses import dataclass
 
@@ -9,9 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.calendar import bounds_status, center, per_year, with_window
-from ..functions.cells import count
+from ..functions.cells import count, lat_center, lon_center
 from ..operators import bits, checks, climatology, climstate, fill, observe, quality, regrid
-from ..sources import manifest, store
+from ..sources import manifest, readers, store
 from ..sources.shared import written
 
 CELL = ["year", "widx", "ilat", "ilon"]
@@ -169,6 +170,33 @@ def gridded_observations(obs: DataFrame, measures: list[str], res: float, since:
     return observe.grid(recent, measures, res).withColumn("window_center", center(F.col("year"), F.col("widx")))
 
 
+def observation_job(spark: SparkSession, tsv: str, folder: str, schema: str, names: dict[str, str], categories: list[str], res: float, since: int = 1982, time: str = "obs_time", ddof: int = 0) -> DataFrame:
+    """From tab-separated observations to a table of gridded ones: as Parquet, categories coded, gridded, written by year, read again.
+
+    names: measure -> its name in the result, where it becomes <name>_mean and <name>_std; of each category, the number of different
+    codes of a cell becomes <category>_n. The whole record is gridded and written below `folder`, in one rename at the end, so a job
+    that failed is run again as it is; the result reads the years from `since` on alone. Observations without time or place have no cell.
+    """
+    flat = readers.observations_to_parquet(spark, tsv, f"{folder}/observations", schema)
+    coded = observe.with_codes(flat.dropna(subset=[time, "lat", "lon"]), categories)
+    cells = observe.with_cells(coded, res, time)
+    spread = F.stddev_samp if ddof else F.stddev_pop
+    out = [f(m).alias(f"{n}_{s}") for m, n in names.items() for f, s in ((F.avg, "mean"), (spread, "std"))]
+    gridded = cells.groupBy(*CELL).agg(*out, F.count("*").alias("n"), *[F.count_distinct(f"{c}_idx").alias(f"{c}_n") for c in categories])
+    files, beside = manifest.Folder(spark, folder), f".gridded-{uuid.uuid4().hex}"
+    gridded.repartition("year").write.partitionBy("year").parquet(f"{folder}/{beside}")
+    files.delete("gridded")
+    if not files.rename(beside, "gridded"):
+        raise RuntimeError(f"{folder}: another job has written its cells")
+    return gridded_table(spark, folder, gridded.schema, res, since)
+
+
+def gridded_table(spark: SparkSession, folder: str, schema, res: float, since: int = 1982) -> DataFrame:
+    """The stored cells of a year and later, by time, lat and lon of their centres; earlier years' files aren't read."""
+    got = spark.read.schema(schema).parquet(f"{folder}/gridded").filter(F.col("year") >= since)
+    return got.select(center(F.col("year"), F.col("widx")).alias("time"), lat_center(F.col("ilat"), res).alias("lat"), lon_center(F.col("ilon"), res).alias("lon"), *[c for c in got.columns if c not in CELL])
+
+
 def training_table(observed: DataFrame, cells: DataFrame, variables: list[str]) -> DataFrame:
     """Gridded observations beside the features of their cell and window."""
     return observe.colocate(observed, climatology.features(cells, variables))

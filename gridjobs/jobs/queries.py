@@ -345,14 +345,19 @@ def w5_interpolate_positions(spark, sf_dir):
 def f4_f5_svd_fill(spark, sf_dir):
     """Chlorophyll filling year by year: original, nearest along time, latitude and longitude, reconstructed from the climatology as first guess."""
     g = fill.dense(view(spark, sf_dir, "grid8d").select(*CELL, F.when((F.col("n") > 1), F.col("v") / 100).alias("chl")), ["year", "widx"], ["ilat", "ilon"])
-    near = fill.fill_nearest(g.withColumn("near", F.col("chl")), "near", [(["ilat", "ilon"], ["year", "widx"]), (["year", "widx", "ilon"], ["ilat"]), (["year", "widx", "ilat"], ["ilon"])])
     season = clim.climatology(g, ["chl"], "widx").withColumnRenamed("season_key", "widx")
-    cells = near.join(season, ["ilat", "ilon", "widx"])
-    series = cells.groupBy("year", "ilat", "ilon").agg(F.array_sort(F.collect_list(F.struct("widx", "near", "clim_chl"))).alias("s"))
-    series = series.select("year", "ilat", "ilon", F.col("s.widx").alias("widx"), F.col("s.near").alias("near"), F.col("s.clim_chl").alias("guess"))
-    filled, _ = svdfill.svd_fill(series, ["year", "ilat", "ilon", "widx"], "near", "guess", apart="year")
-    filled = filled.select("year", "ilat", "ilon", F.explode(F.arrays_zip("widx", "filled")).alias("z")).select("year", "ilat", "ilon", "z.widx", "z.filled")
-    return svdfill.chlorophyll(cells.join(filled, CELL, "left")).select(*CELL, F.round("chl_filled", 6).alias("chl_filled"), "chl_flag")
+    return svdfill.filled_by_year(g, season, "chl", "clim_chl").withColumn("chl_filled", F.round("chl_filled", 6))
+
+
+@query(None)
+def f5_p12_chlorophyll_log10(spark, sf_dir):
+    """The same as one operator: whole years, brought to log10, against a climatology of the same shape."""
+    g = view(spark, sf_dir, "grid8d").select(*CELL, F.when(F.col("n") > 1, F.col("v") / 100).alias("chl"))
+    years = g.select("year").distinct()  # a row for each
+    places = g.select("ilat", "ilon").distinct().withColumn("widx", F.explode(F.sequence(F.lit(0), F.lit(45))))
+    whole = places.join(F.broadcast(years), F.lit(True)).join(g, CELL, "left")
+    season = clim.climatology(whole.withColumn("chl", cf.log10_clipped(F.col("chl"))), ["chl"], "widx").withColumnRenamed("season_key", "widx")
+    return svdfill.fill_chlorophyll(whole, season, convert=True).withColumn("chl_filled", F.round("chl_filled", 6))
 
 
 # --- observations ----------------------------------------------------------------------------------------------------

@@ -13,8 +13,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.cells import log10_clipped
 from ..sources.shared import written
-from .fill import coalesced_flag
+from .fill import coalesced_flag, fill_nearest, log_state
 
 #: Rounds after which the cells are written with what was filled.
 KEEP = 4
@@ -108,3 +109,44 @@ def chlorophyll(cells: DataFrame, original: str = "chl", nearest: str = "near",
     """The original value, else the nearest, else the reconstructed one, and which it was."""
     a, b, c = (F.col(x) for x in (original, nearest, reconstructed))
     return cells.withColumns({"chl_filled": F.coalesce(a, b, c), "chl_flag": coalesced_flag(a, b, c)})
+
+
+def filled_by_year(cells: DataFrame, guess: DataFrame, v: str, g: str, rank: int = 8, rounds: int = 13) -> DataFrame:
+    """cells: year, widx, ilat, ilon, v, dense; guess: ilat, ilon, widx, g. The original value, else the nearest along time, latitude and
+    longitude, else the low-rank fill of that year's matrix: CELL, chl_filled, chl_flag. A cell of which there is no guess has no row."""
+    axes = [(["ilat", "ilon"], ["year", "widx"]), (["year", "widx", "ilon"], ["ilat"]), (["year", "widx", "ilat"], ["ilon"])]
+    near = fill_nearest(cells.withColumn("near", F.col(v)), "near", axes).join(guess.select("ilat", "ilon", "widx", F.col(g).alias("_guess")), ["ilat", "ilon", "widx"])
+    series = near.groupBy("year", "ilat", "ilon").agg(F.array_sort(F.collect_list(F.struct("widx", "near", "_guess"))).alias("s"))  # the windows of a year
+    series = series.select("year", "ilat", "ilon", F.col("s.widx").alias("widx"), F.col("s.near").alias("near"), F.col("s._guess").alias("guess"))
+    filled, _ = svd_fill(series, ["year", "ilat", "ilon", "widx"], "near", "guess", rank, rounds, apart="year")
+    filled = filled.select("year", "ilat", "ilon", F.explode(F.arrays_zip("widx", "filled")).alias("z")).select("year", "ilat", "ilon", "z.widx", "z.filled")
+    got = chlorophyll(near.join(filled, ["year", "widx", "ilat", "ilon"], "left"), v)
+    return got.select("year", "widx", "ilat", "ilon", "chl_filled", "chl_flag")
+
+
+def same_shape(cells: DataFrame, guess: DataFrame) -> None:
+    """Every year has the climatology's windows and cells, each once; a year that hasn't is an error, and so is a repeated key of the climatology."""
+    keys = ["ilat", "ilon", "widx"]
+    size, distinct = guess.agg(F.count("*"), F.count_distinct(*keys)).first()
+    if size != distinct:
+        raise ValueError("the climatology has a key twice")
+    years = cells.join(guess.select(*keys, F.lit(1).alias("_there")), keys, "left").groupBy("year").agg(F.count("*").alias("rows"), F.count("_there").alias("there"), F.count_distinct(*keys).alias("keys"))
+    wrong = years.filter((F.col("rows") != size) | (F.col("there") != size) | (F.col("keys") != size)).orderBy("year").limit(5).collect()
+    if wrong:
+        raise ValueError(f"the climatology has {size} windows and cells; " + "; ".join(f"year {r.year} has {r['rows']}, of which {r.there} are in it" for r in wrong))
+
+
+def fill_chlorophyll(cells: DataFrame, guess: DataFrame, v: str = "chl", g: str = "clim_chl", convert: bool = False, rank: int = 8, rounds: int = 13) -> DataFrame:
+    """Chlorophyll filled year by year, in log10: original (flag 1), nearest (2), reconstructed from the climatology as first guess (3), none (0).
+
+    The climatology is in log10. So are the cells, or with convert they are brought to it, from 0.005 up; negative values that aren't
+    log10 are an error, and so is a field without any value, of which neither can be told. Shapes must match (see same_shape).
+    """
+    if not log_state(guess, g):
+        raise ValueError("the climatology isn't in log10")
+    if not log_state(cells, v):
+        if not convert:
+            raise ValueError("the cells aren't in log10")
+        cells = cells.withColumn(v, log10_clipped(F.col(v)))
+    same_shape(cells, guess)
+    return filled_by_year(cells, guess, v, g, rank, rounds)
