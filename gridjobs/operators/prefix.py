@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..sources.shared import written
@@ -17,6 +17,17 @@ from ..sources.shared import written
 BLOCK = 100_000
 
 
+def both_ways(part: list[str], order: list[str | Column], upto: int = 0) -> tuple[WindowSpec, WindowSpec]:
+    """The frame of all rows up to one (0: this one, -1: the one before it) in the order, and in the reverse order. The order must leave no ties.
+
+    What follows a row is looked at in reverse: Spark goes through a frame that ends with the last row anew for every row, so its work
+    grows with the square of the rows, while a frame that begins with the first row grows as it goes.
+    """
+    by = Window.partitionBy(*part)
+    back, ahead = by.orderBy(*order), by.orderBy(*[(F.col(c) if isinstance(c, str) else c).desc() for c in order])
+    return back.rowsBetween(Window.unboundedPreceding, upto), ahead.rowsBetween(Window.unboundedPreceding, upto)
+
+
 def ranged(df: DataFrame, order: list[str], name: str = "_range") -> DataFrame:
     """The rows in a table, with the number of the range of `order` that each is in; ranges rise with the order. Equal keys share a range."""
     return written(df.repartitionByRange(*order).withColumn(name, F.spark_partition_id()), "ranges")
@@ -37,20 +48,19 @@ def known_around(df: DataFrame, value: str, order: list[str], part: list[str] |
     The structs hold `value` and the columns of `carry` of that row; they are null where no row of the part is known on that side.
     """
     part, fields = part or [], [value, *(carry or [])]
-    rows = ranged(df, [*part, *order])
+    rows = ranged(df.withColumn("_row", F.monotonically_increasing_id()), [*part, *order])
+    order = [*order, "_row"]  # rows with equal keys come in one order both ways
     known = F.when(F.col(value).isNotNull(), F.struct(*fields))
-    here = Window.partitionBy("_range", *part).orderBy(*order)
-    back, ahead = here.rowsBetween(Window.unboundedPreceding, 0), here.rowsBetween(0, Window.unboundedFollowing)
-    local = rows.withColumns({"before": F.last(known, True).over(back), "after": F.first(known, True).over(ahead)})
+    back, ahead = both_ways(["_range", *part], order)
+    local = rows.withColumns({"before": F.last(known, True).over(back), "after": F.last(known, True).over(ahead)})
 
     # what parts that several ranges hold inherit: at most two parts of a range
     key = F.struct(*order)
     ends = rows.groupBy("_range", *part).agg(F.max_by(known, F.when(known.isNotNull(), key)).alias("_last"), F.min_by(known, F.when(known.isNotNull(), key)).alias("_first"))
     if part:
         ends = ends.join(ends.groupBy(*part).agg(F.count("*").alias("_ranges")).filter("_ranges > 1").drop("_ranges"), part, "left_semi")
-    over = Window.partitionBy(*part).orderBy("_range") if part else Window.orderBy("_range")  # a row for each range
-    earlier, later = over.rowsBetween(Window.unboundedPreceding, -1), over.rowsBetween(1, Window.unboundedFollowing)
-    inherited = ends.select("_range", *part, F.last("_last", True).over(earlier).alias("_earlier"), F.first("_first", True).over(later).alias("_later"))
+    earlier, later = both_ways(part, ["_range"], -1)  # a row for each range
+    inherited = ends.select("_range", *part, F.last("_last", True).over(earlier).alias("_earlier"), F.last("_first", True).over(later).alias("_later"))
     inherited = F.broadcast(inherited)  # at most two rows for each range
     if part:
         same = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in part]
@@ -59,7 +69,7 @@ def known_around(df: DataFrame, value: str, order: list[str], part: list[str] |
     else:
         got = local.join(inherited, "_range", "left")
     got = got.withColumns({"before": F.coalesce("before", "_earlier"), "after": F.coalesce("after", "_later")})
-    return got.drop("_range", "_earlier", "_later")
+    return got.drop("_range", "_row", "_earlier", "_later")
 
 
 def rolling(df: DataFrame, order: list[str], frames: Callable[[DataFrame, Callable], DataFrame], reach: int) -> DataFrame:
