@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.cells import count, lat_center, like, lon_center, wind_moments
+from .prefix import both_ways
 
 
 def target_grid(spark: SparkSession, res: float) -> DataFrame:
@@ -74,10 +75,9 @@ def regrid(cells: DataFrame, variables: list[str], window: list[str], factor: in
 
 def neighbours_along(value: Column, order: Column, part: list[str]) -> tuple[Column, Column, Column, Column]:
     """Of each row the last known value and its place before or at it, and the next ones."""
-    back = Window.partitionBy(*part).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    ahead = Window.partitionBy(*part).orderBy(order).rowsBetween(0, Window.unboundedFollowing)
+    back, ahead = both_ways(part, [order])
     at = F.when(value.isNotNull(), order)
-    return F.last(value, True).over(back), F.last(at, True).over(back), F.first(value, True).over(ahead), F.first(at, True).over(ahead)
+    return F.last(value, True).over(back), F.last(at, True).over(back), F.last(value, True).over(ahead), F.last(at, True).over(ahead)
 
 
 def between(value: Column, order: Column, part: list[str], limit: int | None = None) -> Column:

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from gridjobs.operators import co2, prefix
+from gridjobs.operators import co2, fill, prefix
 
 
 def plan(df):
@@ -28,3 +28,16 @@ def test_rows_with_equal_keys_have_one_order_both_ways(spark):
     of = prefix.known_around(df, "v", ["t"]).filter("t = 1 AND v IS NULL").collect()
     assert len(of) == 2
     assert all((r.before.v, r.after.v) in ((1.0, 5.0), (5.0, 9.0)) for r in of)
+
+
+def test_filling_by_position_has_no_frame_to_the_last_row(spark):
+    df = one_range(spark, 300_000)
+    got = fill.interpolate_positions(df, "v", "t")
+    assert "unboundedfollowing" not in plan(got)
+    assert got.filter(F.abs(F.col("v") - F.least(2 * F.col("t"), F.lit(599_994.0))) < 1e-6).count() == 300_000
+    # series by parts, one of which has nearly all rows
+    parts = df.withColumn("k", (F.col("t") < 5).cast("int"))
+    got = fill.interpolate_positions(parts, "v", "t", ["k"])
+    assert "unboundedfollowing" not in plan(got)
+    assert got.filter("k = 0 AND t > 5 AND t < 299998").filter(F.abs(F.col("v") - 2 * F.col("t")) < 1e-6).count() == 299_992
+    assert {r.t: r.v for r in got.filter("k = 1").collect()} == {0.0: 0.0, 1.0: 2.0, 2.0: 4.0, 3.0: 6.0, 4.0: 6.0}
