@@ -178,11 +178,14 @@ def observation_job(spark: SparkSession, tsv: str, folder: str, schema: str, nam
     that failed is run again as it is; the result reads the years from `since` on alone. Observations without time or place have no cell.
     """
     flat = readers.observations_to_parquet(spark, tsv, f"{folder}/observations", schema)
-    coded = observe.with_codes(flat.dropna(subset=[time, "lat", "lon"]), categories)
-    cells = observe.with_cells(coded, res, time)
+    placed = flat.dropna(subset=[time, "lat", "lon"])
     spread = F.stddev_samp if ddof else F.stddev_pop
     out = [f(m).alias(f"{n}_{s}") for m, n in names.items() for f, s in ((F.avg, "mean"), (spread, "std"))]
-    gridded = cells.groupBy(*CELL).agg(*out, F.count("*").alias("n"), *[F.count_distinct(f"{c}_idx").alias(f"{c}_n") for c in categories])
+    gridded = observe.with_cells(placed, res, time).groupBy(*CELL).agg(*out, F.count("*").alias("n"))
+    if categories:
+        coded = observe.with_cells(observe.with_codes(placed.select(time, "lat", "lon", *categories), categories), res, time)
+        different = observe.different(coded, CELL, {f"{c}_n": f"{c}_idx" for c in categories}, flat.count())
+        gridded = fill.merge_products([gridded, different], CELL).withColumns({f"{c}_n": F.coalesce(f"{c}_n", F.lit(0)) for c in categories})
     files, beside = manifest.Folder(spark, folder), f".gridded-{uuid.uuid4().hex}"
     gridded.repartition("year").write.partitionBy("year").parquet(f"{folder}/{beside}")
     files.delete("gridded")

@@ -10,6 +10,8 @@ from ..functions.cells import lat_index, lon_index
 from ..sources.shared import written
 
 CELL = ["year", "widx", "ilat", "ilon"]
+#: Values that a task looks for copies among, about; groups that the rows of a crowded cell are dealt to.
+DEALT, PARTS = 1_000_000, 64
 
 
 def with_cells(obs: DataFrame, res: float, time: str = "obs_time", span: int = SPAN) -> DataFrame:
@@ -40,6 +42,19 @@ def with_codes(df: DataFrame, columns: list[str], suffix: str = "_idx") -> DataF
     return df
 
 
+def different(df: DataFrame, keys: list[str], of: dict[str, str], rows: int) -> DataFrame:
+    """The number of different values of several columns by key, nulls left out: name -> column. Keys with nulls alone have no row.
+
+    rows: of df, about. Values travel without what else is summed up by key. They are first dealt so that a task drops the copies among
+    about DEALT of them, and then by key and value; one key, however many rows it has, is dealt to PARTS groups at first.
+    """
+    dealt = df.select(*keys, *of.values()).withColumn("_part", F.monotonically_increasing_id() % PARTS)
+    dealt = dealt.repartition(rows * len(of) // DEALT + 1, *keys, "_part")
+    stacked = F.array(*[F.struct(F.lit(i).alias("_of"), F.col(c).alias("_value")) for i, c in enumerate(of.values())])
+    values = dealt.select(*keys, F.explode(stacked).alias("_x")).select(*keys, "_x._of", "_x._value").filter("_value IS NOT NULL").distinct()
+    return values.groupBy(*keys).agg(*[F.count_if(F.col("_of") == i).alias(name) for i, name in enumerate(of)])
+
+
 def colocate(observed: DataFrame, features: DataFrame, how: str = "inner") -> DataFrame:
     """Gridded observations with the features of their window and cell."""
     return observed.join(features, CELL, how)

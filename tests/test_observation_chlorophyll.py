@@ -83,3 +83,24 @@ def test_chlorophyll_of_another_scale_or_shape_is_an_error(spark):
     ):
         with pytest.raises(ValueError, match=said):
             fill(cells, clim, **more)
+
+
+def test_codes_are_counted_apart_from_the_sums(spark, tmp_path, monkeypatch):
+    """Codes travel without the sums' buffers, and are dealt to tasks of a bounded number before copies are dropped."""
+    import gridjobs.jobs.products as p
+
+    seen, merge = [], p.fill.merge_products
+    monkeypatch.setattr(p.fill, "merge_products", lambda parts, keys: seen.extend(parts) or merge(parts, keys))
+    monkeypatch.setattr(p.observe, "DEALT", 100)
+    rows = [f"S{i % 7}\t1990-06-0{1 + i % 2} 00:00:00\t{0.5 + i % 2}\t0.5\t{i}.0\t{'x' if i % 3 else ''}" for i in range(600)]
+    got = {r.lat: (r.n, r.ship_n, r.flag_n) for r in job(spark, tmp_path, rows).collect()}
+    assert got == {0.5: (300, 7, 1), 1.5: (300, 7, 1)}
+    plans = [d._jdf.queryExecution().executedPlan().toString() for d in seen]
+    assert len(plans) == 2
+    assert not any("Expand" in x for x in plans)
+    assert "avg" in plans[0]
+    assert "avg" not in plans[1]
+    assert "REPARTITION_BY_NUM" in plans[1]
+    assert ", 13)" in plans[1]  # 1,200 values, 100 a task
+    alone = job(spark, tmp_path, ["A\t1990-06-01 00:00:00\t0.5\t0.5\t1.0\t"])
+    assert [tuple(r)[3:] for r in alone.collect()] == [(1.0, 0.0, 1, 1, 0)]
