@@ -33,7 +33,8 @@ def op3_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_toxicity_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    out = toxicity_knn.score_toxicity(docs, toxicity_knn.learn(docs, table(spark, sf_dir, "labels")))
+    model, terms = toxicity_knn.learn_with(docs, table(spark, sf_dir, "labels"))
+    out = toxicity_knn.score_terms(terms, model)
     return out.select("doc_id", held_out(F.col("doc_id"), 5, 0).alias("held_out"), "score", (F.col("score") >= TOXIC_AT).cast("int").alias("predicted"), "nearest")
 
 

@@ -37,6 +37,8 @@ NEAREST, LEAST = (1, 4, 16, 32), 1e-4
 EDGE = 1e-5
 #: Share of the examples from which on a term's weights are a dense row.
 DENSE = 0.12
+#: Texts of stored terms that are scored at once.
+ROWS = 512
 WORD = re.compile(r"\w+")
 NONE = np.zeros(0, np.int32)
 
@@ -77,9 +79,23 @@ class Terms:
         return out
 
 
-def flat(counts: list[dict[int, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+class Counted:
+    """Terms of a text and their counts as two arrays, as they are stored, in place of a dict."""
+
+    __slots__ = ("n", "terms")
+
+    def __init__(self, terms: bytes, n: bytes):
+        self.terms, self.n = np.frombuffer(terms, np.int32), np.frombuffer(n, np.int32)
+
+    def __len__(self) -> int:
+        return len(self.terms)
+
+
+def flat(counts: list[dict[int, int]] | list[Counted]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Number of the text, term and count, of all texts."""
     many = np.fromiter(map(len, counts), np.int64, len(counts))
+    if counts and isinstance(counts[0], Counted):
+        return np.repeat(np.arange(len(counts)), many), np.concatenate([c.terms for c in counts]).astype(np.int64), np.concatenate([c.n for c in counts]).astype(float)
     terms = np.fromiter(chain.from_iterable(counts), np.int64, int(many.sum()))
     n = np.fromiter(chain.from_iterable(c.values() for c in counts), float, int(many.sum()))
     return np.repeat(np.arange(len(counts)), many), terms, n
@@ -287,6 +303,11 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: i
     Document frequencies are counted over all documents. key may be of any type that Python orders. Votes are calibrated by a
     logistic regression on the examples' own votes, each left out of its own search.
     """
+    return learn_with(docs, labels, label, per_class, text, key, telling, keep=False)[0]
+
+
+def learn_with(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = PER_CLASS, text: str = "text", key: str = "doc_id", telling: float = TELLING, keep: bool = True) -> tuple[Model, DataFrame | None]:
+    """As learn; with keep, also the terms of every document (key, terms, counts), written as frequencies are counted, so that texts are taken apart once."""
     spark = docs.sparkSession
     rows, stands = sample(docs, labels, label, per_class, text, key)
     rows = written(rows.select(F.col(key).alias("id"), "y", "t"), "toxicity-examples")
@@ -307,7 +328,29 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: i
         some = np.flatnonzero(df)
         yield pd.DataFrame({"i": np.r_[-1, some], "n": np.r_[total, df[some]]})
 
-    got = docs.select(whole(F.col(text)).alias("t")).mapInPandas(frequencies, "i int, n long").groupBy("i").agg(F.sum("n").alias("n")).toArrow()  # a row for each term of the vocabulary
+    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        find = Terms(shared.value)
+        for pdf in batches:
+            texts = pdf["t"].to_list()
+            for at in slices(texts):
+                found = [find(t) for t in texts[at]]
+                yield pd.DataFrame({key: pdf[key].iloc[at].to_numpy(), "terms": [np.fromiter(c, np.int32, len(c)).tobytes() for c in found], "counts": [np.fromiter(c.values(), np.int32, len(c)).tobytes() for c in found]})
+
+    def frequencies_kept(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        df, total = np.zeros(len(shared.value), np.int64), 0
+        for pdf in batches:
+            total += len(pdf)
+            df += np.bincount(np.frombuffer(b"".join(pdf["terms"]), np.int32), minlength=len(df))
+        some = np.flatnonzero(df)
+        yield pd.DataFrame({"i": np.r_[-1, some], "n": np.r_[total, df[some]]})
+
+    kept = None
+    if keep:
+        kept = written(docs.select(F.col(key), whole(F.col(text)).alias("t")).mapInPandas(counted, f"{key} {dict(docs.dtypes)[key]}, terms binary, counts binary"), "toxicity-terms")
+        each = kept.select("terms").mapInPandas(frequencies_kept, "i int, n long")
+    else:
+        each = docs.select(whole(F.col(text)).alias("t")).mapInPandas(frequencies, "i int, n long")
+    got = each.groupBy("i").agg(F.sum("n").alias("n")).toArrow()  # a row for each term of the vocabulary
     df = np.zeros(len(vocabulary) + 1)
     df[got.column("i").to_numpy()] = got.column("n").to_numpy()  # the last place has the number of documents
     idf = np.log((1 + df[-1]) / (1 + df[:-1])) + 1
@@ -325,7 +368,7 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: i
     index = BlockMaxIndex(own, np.concatenate([NONE, *own_terms]).astype(np.int64), np.concatenate([NONE, *own_counts]).astype(float), y, ids, idf, stands, telling)
     model = Model(spark.sparkContext.broadcast(index), shared, dict(docs.dtypes)[key])
     if len(index.y) < 20 or index.y.min() == index.y.max():
-        return model
+        return model, kept
 
     def leave_one_out(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         find = Terms(model.vocabulary.value)
@@ -337,7 +380,7 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: i
     got = rows.repartition(4 * spark.sparkContext.defaultParallelism, "id").mapInPandas(leave_one_out, "y int, x array<double>").toArrow()  # 2 * per_class rows
     y = got.column("y").to_numpy()
     a, b = logistic(np.array(got.column("x").to_pylist()), y.astype(float), np.array([stands[int(v)] for v in y]))
-    return model._replace(a=a, b=b)
+    return model._replace(a=a, b=b), kept
 
 
 def score_toxicity(docs: DataFrame, model: Model, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -349,16 +392,37 @@ def score_toxicity(docs: DataFrame, model: Model, text: str = "text", key: str =
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        find, index = Terms(model.vocabulary.value), model.index.value
+        find = Terms(model.vocabulary.value)
         for pdf in batches:
             texts = pdf["t"].to_list()
             for at in slices(texts):
-                scores, found = model.score([find(t) for t in texts[at]])
-                near = [(rows[by], cosine[by]) for rows, cosine, _ in found for by in [np.argsort(-cosine, kind="stable")[: index.k]]]
-                nearest = pd.Series([index.ids[r[0]].item() if len(r) else None for r, _ in near], dtype=object)
-                yield pd.DataFrame({key: pdf[key].iloc[at].to_numpy(), "score": scores, "nearest": nearest, "cosine": [c[0] if len(c) else 0.0 for _, c in near], "toxic_near": [int(index.y[r].sum()) for r, _ in near]})
+                yield evidence(model, key, pdf[key].iloc[at].to_numpy(), [find(t) for t in texts[at]])
+
+    return docs.select(F.col(key), whole(F.col(text)).alias("t")).mapInPandas(run, scored_schema(docs, model, key))
+
+
+def score_terms(terms: DataFrame, model: Model, key: str = "doc_id") -> DataFrame:
+    """As score_toxicity, from the terms that learn_with has kept."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for i in range(0, len(pdf), ROWS):
+                some = pdf.iloc[i : i + ROWS]
+                yield evidence(model, key, some[key].to_numpy(), [Counted(t, n) for t, n in zip(some["terms"], some["counts"], strict=True)])
+
+    return terms.mapInPandas(run, scored_schema(terms, model, key))
+
+
+def scored_schema(df: DataFrame, model: Model, key: str) -> str:
+    return f"{key} {dict(df.dtypes)[key]}, score double, nearest {model.key}, cosine double, toxic_near int"
+
 
-    return docs.select(F.col(key), whole(F.col(text)).alias("t")).mapInPandas(run, f"{key} {dict(docs.dtypes)[key]}, score double, nearest {model.key}, cosine double, toxic_near int")
+def evidence(model: Model, key: str, keys: np.ndarray, counts: list[dict[int, int]] | list[Counted]) -> pd.DataFrame:
+    index = model.index.value
+    scores, found = model.score(counts)
+    near = [(rows[by], cosine[by]) for rows, cosine, _ in found for by in [np.argsort(-cosine, kind="stable")[: index.k]]]
+    nearest = pd.Series([index.ids[r[0]].item() if len(r) else None for r, _ in near], dtype=object)
+    return pd.DataFrame({key: keys, "score": scores, "nearest": nearest, "cosine": [c[0] if len(c) else 0.0 for _, c in near], "toxic_near": [int(index.y[r].sum()) for r, _ in near]})
 
 
 def filter_documents(docs: DataFrame, model: Model, below: float, text: str = "text") -> DataFrame:
